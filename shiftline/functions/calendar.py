@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shiftline.functions.text_time import SECONDS_PER_DAY, hour_of, instant
+from shiftline.functions.text_time import SECONDS_PER_DAY, hour_of, instant, seconds_of_day
 
 
 @dataclass(frozen=True)
@@ -67,23 +67,23 @@ class ShiftCalendar:
         """End of the shift that holds ``hour`` on ``date``, as an instant."""
         return instant(date, self.pick(hour, lambda shift: F.lit(shift.end_hour * 3600)))
 
-    def next_boundary(self, start: Column) -> Column:
-        """End of the shift in which the instant ``start`` lies."""
-        return self.end_instant(F.hour(start), F.to_date(start))
+    def production_date(self, hour: Column, date: Column) -> Column:
+        """Date on which work at ``hour`` of the calendar day ``date`` is booked."""
+        return F.date_sub(date, self.pick(hour, lambda shift: F.lit(int(shift.previous_date))))
 
-    def date_of(self, start: Column) -> Column:
-        """Production date of an instant."""
-        shift_back = self.pick(F.hour(start), lambda shift: F.lit(int(shift.previous_date)))
-        return F.date_sub(F.to_date(start), shift_back)
+    def next_shift(self, shift: Shift) -> Shift:
+        return next(s for s in self.shifts if s.first_hour == shift.end_hour % 24)
 
     def is_evening(self, time_begin: Column) -> Column:
         """Whether a record that begins at ``time_begin`` may run past midnight."""
         return F.coalesce(hour_of(time_begin) >= self.evening_hour, F.lit(False))
 
-    def day_offset(self, evening: Column, time_text: Column) -> Column:
-        """Seconds to add to a time of an evening record that lies past midnight, else 0."""
-        past_midnight = evening & (hour_of(time_text) < self.morning_hour)
-        return F.when(past_midnight, SECONDS_PER_DAY).otherwise(0)
+    def seconds_from_record_date(self, evening: Column, time_text: Column) -> Column:
+        """Seconds from midnight of a record's date to ``time_text``; in an evening record, times
+        before the morning lie on the next day."""
+        seconds = seconds_of_day(time_text)
+        past_midnight = evening & (seconds < self.morning_hour * 3600)
+        return F.when(past_midnight, seconds + SECONDS_PER_DAY).otherwise(seconds)
 
 
 # The three eight-hour shifts; C is booked on the previous date.

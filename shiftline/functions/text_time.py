@@ -36,8 +36,9 @@ def seconds_of_day(text: Column) -> Column:
 
     Reads the text as a time on the first day of the epoch, which is the cheapest reader Spark has.
     """
-    on_first_day = F.concat(F.lit(f"{_FIRST_DAY} "), text).try_cast("timestamp_ntz")
-    return F.hour(on_first_day) * 3600 + F.minute(on_first_day) * 60 + F.second(on_first_day)
+    first_day = F.lit(_FIRST_DAY)
+    read = F.concat(first_day, F.lit(" "), text).try_cast("timestamp_ntz")
+    return (read - first_day.cast("timestamp_ntz")).cast("interval second").cast("int")
 
 
 def parse_date(text: Column, year_digits: int = 2) -> Column:

@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftline.functions.numbers import TOTAL_TYPE, exact_mean
 from shiftline.functions.text_time import parse_datetime_text
@@ -40,8 +41,16 @@ def _stretch(unit: str, instant: Column) -> Column:
     raise ValueError(f"unknown stretch {unit!r}")
 
 
+def _total_type(kind: T.DataType) -> str:
+    return "bigint" if isinstance(kind, T.IntegralType) else TOTAL_TYPE
+
+
 def _running_totals(
-    rows: DataFrame, by: Sequence[str], order: str, totals: Sequence[str], stretches: Sequence[str]
+    rows: DataFrame,
+    by: Sequence[str],
+    order: str,
+    totals: Mapping[str, str],
+    stretches: Sequence[str],
 ) -> DataFrame:
     """Add ``before_<total>``: the sum over all rows of the same ``by`` that come earlier.
 
@@ -54,25 +63,28 @@ def _running_totals(
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-
-    def exact(total: Column) -> Column:
-        return F.coalesce(total, F.lit(0)).cast(TOTAL_TYPE)
-
-    inside = rows.withColumns({f"before_{t}": exact(F.sum(t).over(earlier)) for t in totals})
+    inside = rows.withColumns(
+        {
+            f"before_{t}": F.coalesce(F.sum(t).over(earlier), F.lit(0)).cast(kind)
+            for t, kind in totals.items()
+        }
+    )
     if not stretches:
         return inside
     per_stretch = rows.groupBy(*by, *stretches).agg(
-        *(F.sum(t).cast(TOTAL_TYPE).alias(t) for t in totals)
+        *(F.sum(t).cast(kind).alias(t) for t, kind in totals.items())
     )
     carried = _running_totals(per_stretch, by, finest[0], totals, stretches[1:]).select(
         *by, *finest, *(F.col(f"before_{t}").alias(f"carried_{t}") for t in totals)
     )
+    # Every stretch has its row. A left join, because an inner one would add tests for NULL to one
+    # of the two uses of `rows`, and they could no longer share their shuffle.
     return (
-        inside.join(carried, [*by, *finest])
+        inside.join(carried, [*by, *finest], "left")
         .withColumns(
             {
-                f"before_{t}": (F.col(f"before_{t}") + F.col(f"carried_{t}")).cast(TOTAL_TYPE)
-                for t in totals
+                f"before_{t}": (F.col(f"before_{t}") + F.col(f"carried_{t}")).cast(kind)
+                for t, kind in totals.items()
             }
         )
         .drop(*(f"carried_{t}" for t in totals))
@@ -101,9 +113,10 @@ def interval_totals(
     closed: str = "both",
     stretches: Sequence[str] = ("day",),
 ) -> DataFrame:
-    """Add to every distinct interval the totals of the points inside it, as ``decimal(38,5)``.
+    """Add to every distinct interval the totals of the points inside it.
 
-    ``totals`` are numeric column expressions over ``points``; NULL counts as 0. ``closed`` says
+    ``totals`` are numeric column expressions over ``points``; NULL counts as 0. Whole numbers are
+    added up as bigint, all others as ``decimal(38,5)``. ``closed`` says
     which ends belong to the interval: ``both``, ``left``, ``right`` or ``neither``. ``by`` names
     columns on both sides that must be equal as well.
 
@@ -112,7 +125,10 @@ def interval_totals(
     """
     if closed not in ("both", "left", "right", "neither"):
         raise ValueError(f"unknown closed {closed!r}")
-    names = list(totals)
+    measured = points.select(
+        *by, F.col(ts).alias("_instant"), *(total.alias(name) for name, total in totals.items())
+    )
+    kinds = {name: _total_type(measured.schema[name].dataType) for name in totals}
     bounds = intervals.select(
         *intervals.columns,
         F.inline(
@@ -124,24 +140,19 @@ def interval_totals(
     )
     # One row per instant at which anything happens: a reading, a start or an end.
     instants = (
-        points.where(F.col(ts).isNotNull())
-        .select(
-            *by,
-            F.col(ts).alias("_instant"),
-            *(F.coalesce(total, F.lit(0)).cast("decimal(28,5)").alias(name)
-              for name, total in totals.items()),
-        )
+        measured.where(F.col("_instant").isNotNull())
+        .withColumns({name: F.coalesce(name, F.lit(0)).cast(kinds[name]) for name in totals})
         .unionByName(
             bounds.select(
-                *by, "_instant", *(F.lit(0).cast("decimal(28,5)").alias(name) for name in names)
+                *by, "_instant", *(F.lit(0).cast(kinds[name]).alias(name) for name in totals)
             )
         )
         .groupBy(*by, "_instant")
-        .agg(*(F.sum(name).cast(TOTAL_TYPE).alias(name) for name in names))
+        .agg(*(F.sum(name).cast(kinds[name]).alias(name) for name in totals))
         .withColumns({f"_{unit}": _stretch(unit, F.col("_instant")) for unit in stretches})
     )
     running = _running_totals(
-        instants, by, "_instant", names, [f"_{unit}" for unit in stretches]
+        instants, by, "_instant", kinds, [f"_{unit}" for unit in stretches]
     ).drop(*(f"_{unit}" for unit in stretches))
 
     def at_bound(name: str) -> Column:
@@ -154,7 +165,7 @@ def interval_totals(
     return (
         bounds.join(running, [*by, "_instant"], "left")
         .groupBy(*intervals.columns)
-        .agg(*(F.sum(at_bound(name)).cast(TOTAL_TYPE).alias(name) for name in names))
+        .agg(*(F.sum(at_bound(name)).cast(kinds[name]).alias(name) for name in totals))
     )
 
 
@@ -265,9 +276,10 @@ def enrich_intervals(
     attached = attach_interval_totals(
         slots, readings, start, end, "mem_dt", totals, by, closed, broadcast_rows=broadcast_rows
     )
+    kinds = {name: attached.schema[name].dataType for name in totals}
     merged = attached.groupBy(*by, *(k for k in keys if k not in by)).agg(
-        *(F.sum(name).cast(TOTAL_TYPE).alias(name) for name in channel_totals(channels)),
-        *(F.max(name).cast("bigint").alias(name) for name in batch_counts()),
+        *(F.sum(name).cast(kinds[name]).alias(name) for name in channel_totals(channels)),
+        *(F.max(name).alias(name) for name in batch_counts()),
     )
     means = {c: exact_mean(F.col(f"sum_{c}"), F.col(f"n_{c}")) for c in channels}
     return merged.withColumns(means).drop(*channel_totals(channels))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
-from shiftline.functions.text_time import hour_of, instant, parse_date, seconds_of_day
+from shiftline.functions.text_time import hour_of, instant, parse_date
 from shiftline.operators.ordered import edge_before, first_of_range, pinned_ranges, same_key
 
 # Number of repeated groups in a record, its plain columns, and for each repeated
@@ -42,30 +42,32 @@ def parse_records(records: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) ->
 
     Runs on wide records and on slots that already are rows. The ``resolve`` operators need it.
     """
-    time_end, evening = F.col("time_end"), calendar.is_evening(F.col("time_begin"))
-    date = parse_date(F.col("date_begin"))
-    end_seconds = seconds_of_day(time_end) + calendar.day_offset(evening, time_end)
+    date, evening = parse_date(F.col("date_begin")), calendar.is_evening(F.col("time_begin"))
+    end_seconds = calendar.seconds_from_record_date(evening, F.col("time_end"))
     return records.withColumns(
         {"record_date": date, "is_evening": evening, "record_end_dt": instant(date, end_seconds)}
     )
 
 
-def _grouped_columns(groups: Mapping[str, str], n: int) -> set[str]:
-    return {f"{group}_{i}" for group in groups for i in range(1, n + 1)}
+def _used_slots(
+    records: DataFrame, groups: Mapping[str, str], n: int, trimmed: str, used_when: str
+) -> tuple[list[str], Column]:
+    """Names of the columns outside the repeated groups, and the used slots as an array."""
 
+    def field(group: str, name: str, number: int) -> str:
+        column = f"`{group}_{number}`"
+        return f"'{name}', " + (f"trim({column})" if name == trimmed else column)
 
-def _slot_fields(
-    number: int, groups: Mapping[str, str], trimmed: str
-) -> tuple[Column, ...]:
-    def value(group: str, name: str) -> Column:
-        column = F.col(f"{group}_{number}")
-        return F.trim(column) if name == trimmed else column
+    def slot(number: int) -> str:
+        fields = ", ".join(field(group, name, number) for group, name in groups.items())
+        return f"named_struct('slot_no', {number}, {fields})"
 
-    return tuple(value(group, name).alias(name) for group, name in groups.items())
-
-
-def _is_used(number: int, used_when: str) -> Column:
-    return F.coalesce(F.col(f"{used_when}_{number}"), F.lit(0)) > 0
+    numbers = range(1, n + 1)
+    grouped = {f"{group}_{number}" for group in groups for number in numbers}
+    # As one text: with 26 slots the calls for single columns would take longer than the analysis.
+    slots = F.expr(f"array({', '.join(slot(number) for number in numbers)})")
+    used = F.filter(slots, lambda slot: F.coalesce(slot[used_when], F.lit(0)) > 0)
+    return [c for c in records.columns if c not in grouped], used
 
 
 def unpivot_slots(
@@ -80,18 +82,8 @@ def unpivot_slots(
 
     ``keep`` defaults to all columns outside the repeated groups.
     """
-    grouped = _grouped_columns(groups, n)
-    keep = keep or [c for c in records.columns if c not in grouped]
-    slots = F.array(
-        *(
-            F.when(
-                _is_used(i, used_when),
-                F.struct(F.lit(i).alias("slot_no"), *_slot_fields(i, groups, trimmed)),
-            )
-            for i in range(1, n + 1)
-        )
-    )
-    return records.select(*keep, F.inline(F.array_compact(slots)))
+    ungrouped, used = _used_slots(records, groups, n, trimmed, used_when)
+    return records.select(*(keep or ungrouped), F.inline(used))
 
 
 def unpivot_with_later_slot(
@@ -109,50 +101,34 @@ def unpivot_with_later_slot(
     provided a record is one row, and without a shuffle. Slots with equal starts are ordered by
     slot number.
     """
-    grouped = _grouped_columns(groups, n)
-    keep = keep or [c for c in records.columns if c not in grouped]
-    names = list(groups.values())
-
-    def slot(number: int) -> Column:
-        begin = F.col(f"begin_{number}")
-        seconds = seconds_of_day(begin) + calendar.day_offset(F.col("is_evening"), begin)
-        # Sorted downwards, these structs put the latest slot first, then the unreadable ones in
-        # slot order, then the unused ones, which are NULL.
-        return F.when(
-            _is_used(number, used_when),
-            F.struct(
-                seconds.alias("at"),
-                F.lit(-number).alias("rank"),
-                *_slot_fields(number, groups, trimmed),
-            ),
-        )
+    ungrouped, used = _used_slots(records, groups, n, trimmed, used_when)
+    keep = keep or ungrouped
+
+    def timed(slot: Column) -> Column:
+        # Sorted downwards, these structs put the latest slot first and unreadable ones last, in
+        # slot order.
+        seconds = calendar.seconds_from_record_date(F.col("is_evening"), slot["begin"])
+        return F.struct(seconds.alias("at"), (-slot["slot_no"]).alias("rank"), slot.alias("slot"))
 
-    latest_first = F.sort_array(F.array(*(slot(i) for i in range(1, n + 1))), asc=False)
+    latest_first = F.sort_array(F.transform(used, timed), asc=False)
     # Shifted by one, so that each slot meets the one that starts after it.
-    shifted = F.slice(F.concat(F.array(F.lit(None)), F.col("_slots")), F.lit(1), F.lit(n))
-    paired = (
-        records.select(*keep, latest_first.alias("_slots"))
-        .select(
-            *keep,
-            F.inline(F.arrays_zip(F.col("_slots").alias("this"), shifted.alias("later"))),
-        )
-        .where(F.col("this").isNotNull())
+    shifted = F.slice(F.concat(F.array(F.lit(None)), F.col("_slots")), F.lit(1), F.size("_slots"))
+    paired = records.select(*keep, latest_first.alias("_slots")).select(
+        *keep, F.inline(F.arrays_zip(F.col("_slots").alias("this"), shifted.alias("later")))
     )
     date = F.col("record_date")
     return paired.select(
         *keep,
-        (-F.col("this.rank")).alias("slot_no"),
-        *(F.col(f"this.{name}").alias(name) for name in names),
+        "this.slot.*",
         instant(date, F.col("this.at")).alias("start_dt"),
-        F.col("later.begin").alias("later_begin"),
+        F.col("later.slot.begin").alias("later_begin"),
         instant(date, F.col("later.at")).alias("later_start"),
     )
 
 
 def resolve_start(slots: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) -> DataFrame:
     """Add ``start_dt``: ``record_date`` at ``begin``, a day later for slots past midnight."""
-    begin = F.col("begin")
-    seconds = seconds_of_day(begin) + calendar.day_offset(F.col("is_evening"), begin)
+    seconds = calendar.seconds_from_record_date(F.col("is_evening"), F.col("begin"))
     return slots.withColumn("start_dt", instant(F.col("record_date"), seconds))
 
 

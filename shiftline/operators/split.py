@@ -32,39 +32,52 @@ def split_at_boundary(
     Expects and keeps ``production_date``, ``shift``, ``shift_order``, ``start``, ``end`` and
     ``sort_begin``; the pieces get their own.
     """
-    boundary, start_col, end_col = F.col("_boundary"), F.col(start), F.col(end)
+    start_col, end_col = F.col(start), F.col(end)
+    hour, boundary = F.col("_hour"), F.col("_boundary")
+    facts = {"_hour": F.hour(start_col), "_date": F.to_date(start_col)}
+    minutes = minutes_between(start_col, boundary), minutes_between(start_col, end_col)
+    shares = {f"_first_{q}": share(F.col(q), *minutes) for q in quantities}
     crosses = end_col > boundary
+    # Without a start or an end both tests are unknown, and no array means no row.
+    cut = F.when(crosses, F.array(F.lit(1), F.lit(2))).when(~crosses, F.array(F.lit(0)))
+    timed = intervals.withColumns(facts).withColumn(
+        "_boundary", calendar.end_instant(hour, F.col("_date"))
+    )
+
     before, after = F.col("_piece") == 1, F.col("_piece") == 2
-    boundary_text = calendar.end_text(F.hour(start_col))
-    minutes_before, minutes = minutes_between(start_col, boundary), minutes_between(start_col, end_col)
 
-    def dated(column: str, expression) -> Column:
-        of_piece = F.when(after, expression(boundary)).otherwise(expression(start_col))
-        return F.when(F.col("_piece") > 0, of_piece).otherwise(F.col(column))
+    def following(attribute: str) -> Column:
+        return calendar.pick(
+            hour, lambda shift: F.lit(getattr(calendar.next_shift(shift), attribute))
+        )
 
-    def divided(quantity: str) -> Column:
-        whole, first = F.col(quantity), share(F.col(quantity), minutes_before, minutes)
-        piece = F.when(before, first).when(after, whole - first).otherwise(whole)
-        return piece.cast(intervals.schema[quantity].dataType)
+    # A cut interval starts on `_date` whichever way it is booked, and each boundary is the start
+    # of a shift that is booked on that same date.
+    own_date = calendar.production_date(hour, F.col("_date"))
+    boundary_text = calendar.end_text(hour)
+
+    def piece(name: str, if_before: Column, if_after: Column) -> Column:
+        return F.when(before, if_before).when(after, if_after).otherwise(F.col(name))
 
     pieces = {
-        "production_date": dated("production_date", calendar.date_of),
-        "shift": dated("shift", lambda instant: calendar.label(F.hour(instant))),
-        "shift_order": dated("shift_order", lambda instant: calendar.order(F.hour(instant))),
-        "start": F.when(after, boundary_text).otherwise(F.col("start")),
-        "end": F.when(before, boundary_text).otherwise(F.col("end")),
-        "sort_begin": F.when(after, F.concat(boundary_text, F.lit(":00"))).otherwise(
-            F.col("sort_begin")
-        ),
-        start: F.when(after, boundary).otherwise(start_col),
-        end: F.when(before, boundary).otherwise(end_col),
-        **{quantity: divided(quantity) for quantity in quantities},
+        "production_date": piece("production_date", own_date, F.col("_date")),
+        "shift": piece("shift", calendar.label(hour), following("label")),
+        "shift_order": piece("shift_order", calendar.order(hour), following("order")),
+        "start": piece("start", F.col("start"), boundary_text),
+        "end": piece("end", boundary_text, F.col("end")),
+        "sort_begin": piece("sort_begin", F.col("sort_begin"), F.concat(boundary_text, F.lit(":00"))),
+        start: piece(start, start_col, boundary),
+        end: piece(end, boundary, end_col),
+        **{
+            q: piece(q, F.col(f"_first_{q}"), F.col(q) - F.col(f"_first_{q}")).cast(
+                intervals.schema[q].dataType
+            )
+            for q in quantities
+        },
     }
-    # Without a start or an end both tests are unknown, and no array means no row.
-    cut = F.when(crosses, F.array(F.lit(1), F.lit(2))).when(~crosses, F.array(F.lit(0)))
     return (
-        intervals.withColumn("_boundary", calendar.next_boundary(start_col))
+        timed.withColumns({name: F.when(crosses, first) for name, first in shares.items()})
         .select("*", F.explode(cut).alias("_piece"))
         .withColumns(pieces)
-        .drop("_boundary", "_piece")
+        .select(*intervals.columns)
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shiftline.operators.ordered import written
 from shiftline.operators.slots import SLOTS_PER_RECORD
 
 
@@ -18,9 +19,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Written production tables, by application and folder.
+_PRODUCTION: dict[tuple[str, str], DataFrame] = {}
+
+
 def production(spark: SparkSession, folder: str) -> DataFrame:
-    """Wide records, ``4 + 26 * 5`` columns."""
-    base = table(spark, folder, "events").selectExpr(
+    """Wide records, written once per application, as a table of their own would be."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _PRODUCTION:
+        _PRODUCTION[key] = written(_wide_records(table(spark, folder, "events")))
+    return _PRODUCTION[key]
+
+
+def _wide_records(events: DataFrame) -> DataFrame:
+    """``4 + 26 * 5`` columns."""
+    # The source may be a single small file; the rows it turns into are worth more tasks than that.
+    tasks = max(events.sparkSession.sparkContext.defaultParallelism, events.rdd.getNumPartitions())
+    base = events.repartition(tasks, "event_id", "ts").selectExpr(
         "event_id AS id",
         "date_format(ts, 'dd.MM.yy') AS date_begin",
         "element_at(array('08:00:00', '16:00:00', '00:00:00'), CAST(event_id % 3 + 1 AS INT)) "
