@@ -273,8 +273,9 @@ def enrich_intervals(
     are the largest. Slots without readings have NULL means and counts of 0.
     """
     totals = {**batch_counts(), **channel_totals(channels)}
+    needed = slots.select(*dict.fromkeys([*by, *keys, start, end]))
     attached = attach_interval_totals(
-        slots, readings, start, end, "mem_dt", totals, by, closed, broadcast_rows=broadcast_rows
+        needed, readings, start, end, "mem_dt", totals, by, closed, broadcast_rows=broadcast_rows
     )
     kinds = {name: attached.schema[name].dataType for name in totals}
     merged = attached.groupBy(*by, *(k for k in keys if k not in by)).agg(

@@ -40,7 +40,7 @@ def join_by_weight(
         *keys, F.struct(*values).alias("_light"), F.lit(0).cast("bigint").alias("_spread")
     )
     spread = F.when(F.col("_heavy").isNull(), F.lit(0).cast("bigint")).otherwise(
-        row_hash(left.columns) | 1  # odd, so it meets no light row
+        row_hash(left.columns).bitwiseOR(F.lit(1).cast("bigint"))  # odd, so it meets no light row
     )
     found = F.coalesce("_heavy", "_light")
     return (

@@ -84,11 +84,14 @@ def _wide_records(events: DataFrame) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, folder: str) -> DataFrame:
+def readings(spark: SparkSession, folder: str, with_line: bool = False) -> DataFrame:
+    """One reading per event; ``with_line`` adds ``line`` and ``event_id``."""
+
     def component(expression: str) -> str:
         return f"CAST({expression} AS DECIMAL(18,4))"
 
     return table(spark, folder, "events").selectExpr(
+        *(("user_id div 6 AS line", "event_id") if with_line else ()),
         "CASE WHEN event_id % 211 = 0 THEN 'n/a' "
         "ELSE date_format(ts, 'dd.MM.yyyy HH:mm:ss') END AS mem_date_time",
         "CASE event_type WHEN 'error' THEN 'BAD' WHEN 'signup' THEN 'TEST' ELSE 'GOOD' END AS type",

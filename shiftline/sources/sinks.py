@@ -34,21 +34,23 @@ def write_bookings(
         .parquet(path)
     )
     metrics = written.get
-    window = {(first + dt.timedelta(days=n)).isoformat() for n in range(window_days + 1)}
-    gone = sorted(window - set(metrics["dates"]))
-    emptied = [date for date in gone if _empty_date(bookings, path, date)]
-    return {"rows": metrics["rows"], "emptied": len(emptied)}
+    emptied = _empty_dates(bookings, path, first, as_of, metrics["dates"])
+    return {"rows": metrics["rows"], "emptied": emptied}
 
 
-def _empty_date(bookings: DataFrame, path: str, date: str) -> bool:
-    """Overwrite the folder of one date with no rows, if any rows are booked on it."""
+def _empty_dates(
+    bookings: DataFrame, path: str, first: dt.date, last: dt.date, booked: list[str]
+) -> int:
+    """Overwrite the folders of dates from ``first`` to ``last`` that were not ``booked`` with no
+    rows. Returns how many had rows."""
     spark = bookings.sparkSession
-    schema = bookings.drop("date").schema
-    if spark.read.schema(bookings.schema).parquet(path).where(F.col("date") == date).isEmpty():
-        return False
-    nothing = spark.createDataFrame([], schema)
-    nothing.write.mode("overwrite").parquet(f"{path}/date={date}")
-    return True
+    before = spark.read.schema(bookings.schema).parquet(path).select("date")
+    in_window = F.col("date").between(first.isoformat(), last.isoformat())
+    stale = before.where(in_window & ~F.col("date").isin(booked)).distinct().collect()
+    nothing = spark.createDataFrame([], bookings.drop("date").schema)
+    for row in stale:
+        nothing.write.mode("overwrite").parquet(f"{path}/date={row.date}")
+    return len(stale)
 
 
 def write_payload(bookings: DataFrame, path: str) -> None:
