@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle_queries import ORACLE_SQL  # noqa: E402
+from shiftline.functions import with_exprs  # noqa: E402
 from shiftline.functions.text_time import (  # noqa: E402
     hour_of,
     parse_date,
@@ -76,17 +77,16 @@ def _readings(spark: SparkSession, folder: str) -> DataFrame:
 def _plain(df: DataFrame) -> DataFrame:
     """Instants as text, dates as text and decimals as doubles: one form in both engines."""
     shown = {
-        "timestamp_ntz": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss"),
-        "date": lambda c: F.date_format(c, "yyyy-MM-dd"),
+        "timestamp_ntz": "date_format({}, 'yyyy-MM-dd HH:mm:ss')",
+        "date": "date_format({}, 'yyyy-MM-dd')",
+        "decimal": "CAST({} AS DOUBLE)",
     }
-
-    def column(field):
-        kind = field.dataType.typeName()
-        if kind == "decimal":
-            return F.col(field.name).cast("double").alias(field.name)
-        return shown.get(kind, lambda c: c)(F.col(field.name)).alias(field.name)
-
-    return df.select(*(column(f) for f in df.schema.fields))
+    return df.selectExpr(
+        *(
+            shown.get(f.dataType.typeName(), "{}").format(f"`{f.name}`") + f" AS `{f.name}`"
+            for f in df.schema.fields
+        )
+    )
 
 
 def unpivot_slots(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,17 +120,17 @@ def slot_ends_by_line(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_time_parse(spark: SparkSession, folder: str) -> DataFrame:
     texts = S.unpivot_slots(derived.production(spark, folder))
-    date_text, begin = F.col("date_begin"), F.col("begin")
+    record_date, minutes = parse_date("date_begin"), "substring_index(begin, ':', 2)"
     return _plain(
-        texts.select(
+        texts.selectExpr(
             "id",
             "slot_no",
-            hour_of(begin).alias("begin_hour"),
-            seconds_of_day(begin).alias("begin_seconds"),
-            parse_date(date_text).alias("record_date"),
-            F.date_format(parse_date(date_text), "dd-MM-yyyy").alias("shown_date"),
-            parse_datetime(date_text, begin).alias("begin_dt"),
-            parse_datetime(date_text, F.substring_index(begin, ":", 2)).alias("begin_dt_to_the_minute"),
+            f"{hour_of('begin')} AS begin_hour",
+            f"{seconds_of_day('begin')} AS begin_seconds",
+            f"{record_date} AS record_date",
+            f"date_format({record_date}, 'dd-MM-yyyy') AS shown_date",
+            f"{parse_datetime('date_begin', 'begin')} AS begin_dt",
+            f"{parse_datetime('date_begin', minutes)} AS begin_dt_to_the_minute",
         )
     )
 
@@ -204,8 +204,7 @@ def setpoint_fill(spark: SparkSession, folder: str) -> DataFrame:
     """Channels of good readings, filled forward along time and within a line."""
     readings = derived.readings(spark, folder, with_line=True)
     readings = I.normalise_readings(readings, extra=["line", "event_id"])
-    good = F.col("type") == "GOOD"
-    sparse = readings.withColumns({c: F.when(good, F.col(c)) for c in I.CHANNELS})
+    sparse = with_exprs(readings, {c: f"CASE WHEN type = 'GOOD' THEN {c} END" for c in I.CHANNELS})
     everywhere = forward_fill(sparse, I.CHANNELS, ["mem_dt", "event_id"])
     by_line = forward_fill(sparse, I.CHANNELS, ["mem_dt", "event_id"], ["line"])
     return _plain(

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from shiftline.functions.text_time import SECONDS_PER_DAY, hour_of, instant, seconds_of_day
 
@@ -39,51 +36,50 @@ class ShiftCalendar:
     morning_hour: int
     evening_hour: int
 
-    def pick(self, hour: Column, value) -> Column:
-        """``value(shift)`` of the shift that holds ``hour``."""
-        *claimed, default = self.shifts
-        first, *rest = claimed
+    def pick(self, hour: str, value: Callable[[Shift], str | int]) -> str:
+        """``value(shift)`` of the shift that holds ``hour``; text becomes a literal."""
 
-        def condition(shift: Shift) -> Column:
-            return (hour >= shift.first_hour) & (hour < shift.end_hour)
+        def literal(shift: Shift) -> str:
+            found = value(shift)
+            return f"'{found}'" if isinstance(found, str) else str(found)
 
-        chain = reduce(
-            lambda case, shift: case.when(condition(shift), value(shift)),
-            rest,
-            F.when(condition(first), value(first)),
+        *claimed, default = self.shifts
+        cases = " ".join(
+            f"WHEN {hour} BETWEEN {shift.first_hour} AND {shift.end_hour - 1} THEN {literal(shift)}"
+            for shift in claimed
         )
-        return chain.otherwise(value(default))
+        return f"CASE {cases} ELSE {literal(default)} END"
 
-    def label(self, hour: Column) -> Column:
-        return self.pick(hour, lambda shift: F.lit(shift.label))
+    def label(self, hour: str) -> str:
+        return self.pick(hour, lambda shift: shift.label)
 
-    def order(self, hour: Column) -> Column:
-        return self.pick(hour, lambda shift: F.lit(shift.order))
+    def order(self, hour: str) -> str:
+        return self.pick(hour, lambda shift: shift.order)
 
-    def end_text(self, hour: Column) -> Column:
-        return self.pick(hour, lambda shift: F.lit(shift.end_text))
+    def end_text(self, hour: str) -> str:
+        return self.pick(hour, lambda shift: shift.end_text)
 
-    def end_instant(self, hour: Column, date: Column) -> Column:
+    def end_instant(self, hour: str, date: str) -> str:
         """End of the shift that holds ``hour`` on ``date``, as an instant."""
-        return instant(date, self.pick(hour, lambda shift: F.lit(shift.end_hour * 3600)))
+        return instant(date, self.pick(hour, lambda shift: shift.end_hour * 3600))
 
-    def production_date(self, hour: Column, date: Column) -> Column:
+    def production_date(self, hour: str, date: str) -> str:
         """Date on which work at ``hour`` of the calendar day ``date`` is booked."""
-        return F.date_sub(date, self.pick(hour, lambda shift: F.lit(int(shift.previous_date))))
+        return f"date_sub({date}, {self.pick(hour, lambda shift: int(shift.previous_date))})"
 
     def next_shift(self, shift: Shift) -> Shift:
         return next(s for s in self.shifts if s.first_hour == shift.end_hour % 24)
 
-    def is_evening(self, time_begin: Column) -> Column:
+    def is_evening(self, time_begin: str) -> str:
         """Whether a record that begins at ``time_begin`` may run past midnight."""
-        return F.coalesce(hour_of(time_begin) >= self.evening_hour, F.lit(False))
+        return f"coalesce({hour_of(time_begin)} >= {self.evening_hour}, false)"
 
-    def seconds_from_record_date(self, evening: Column, time_text: Column) -> Column:
+    def seconds_from_record_date(self, evening: str, time_text: str) -> str:
         """Seconds from midnight of a record's date to ``time_text``; in an evening record, times
         before the morning lie on the next day."""
-        seconds = seconds_of_day(time_text)
-        past_midnight = evening & (seconds < self.morning_hour * 3600)
-        return F.when(past_midnight, seconds + SECONDS_PER_DAY).otherwise(seconds)
+        day_starts = f"CASE WHEN {evening} THEN {self.morning_hour * 3600} ELSE 0 END"
+        seconds = f"{seconds_of_day(time_text)} - ({day_starts})"
+        return f"pmod({seconds}, {SECONDS_PER_DAY}) + ({day_starts})"
 
 
 # The three eight-hour shifts; C is booked on the previous date.

@@ -2,42 +2,35 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Widest decimal Spark has; totals over any number of readings stay exact in it.
 TOTAL_TYPE = "decimal(38,5)"
 
 
-def exact_mean(total: Column, count: Column) -> Column:
+def exact_mean(total: str, count: str) -> str:
     """``total / count`` rounded to two places, halves away from zero; NULL when ``count`` is 0.
 
-    The rounding is decided on integers, so no intermediate digit is lost and no value is rounded
-    twice, however many readings went into the total.
+    The rounding is decided on whole numbers, so no intermediate digit is lost and no value is
+    rounded twice, however many readings went into the total.
     """
-    divisor = F.nullif(count, F.lit(0)).cast("decimal(20,0)")
-    doubled = (F.abs(total.cast(TOTAL_TYPE)) * 200 + divisor).cast(TOTAL_TYPE)
-    hundredths = F.call_function("div", doubled, (divisor * 2).cast(TOTAL_TYPE))
-    signed = F.when(total < 0, -hundredths).otherwise(hundredths)
-    return (signed.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+    divisor = f"CAST(nullif({count}, 0) AS DECIMAL(20,0))"
+    doubled = f"CAST(abs({total}) * 200 + {divisor} AS {TOTAL_TYPE})"
+    hundredths = f"{doubled} div CAST({divisor} * 2 AS {TOTAL_TYPE})"
+    signed = f"CAST(CAST(sign({total}) AS INT) * ({hundredths}) AS DECIMAL(20,0))"
+    return f"CAST({signed} * 0.01 AS DECIMAL(18,2))"
 
 
-def to_number(text: Column) -> Column:
-    """Number written in ``text`` as a double, or NULL.
+def to_whole_number(text: str) -> str:
+    """Number written in ``text``, fraction cut off, as a bigint; NULL when there is none.
 
     A plain cast also reads Java suffixes (``'12D'``, ``'12F'``), which are names, not numbers.
     """
-    plain = text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
-    return F.when(plain, text.try_cast("double"))
-
-
-def to_whole_number(text: Column) -> Column:
-    """Number written in ``text``, fraction cut off, as a bigint; NULL when there is none."""
-    return F.coalesce(text.try_cast("bigint"), to_number(text).try_cast("bigint"))
+    plain = rf"{text} RLIKE r'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$'"
+    return (
+        f"coalesce(try_cast({text} AS BIGINT), "
+        f"CASE WHEN {plain} THEN try_cast(try_cast({text} AS DOUBLE) AS BIGINT) END)"
+    )
 
 
-def share(quantity: Column, part: Column, whole: Column) -> Column:
+def share(quantity: str, part: str, whole: str) -> str:
     """``quantity * part / whole`` rounded half away from zero; NULL when ``whole`` is 0."""
-    return F.round(quantity * part / F.nullif(whole, F.lit(0))).cast("bigint")
+    return f"CAST(round({quantity} * {part} / nullif({whole}, 0)) AS BIGINT)"

@@ -1,79 +1,69 @@
 """Dates and times that arrive as text.
 
-Everything here is a column expression. Bad text becomes NULL and never an error, whatever
-``spark.sql.ansi.enabled`` says, and every instant is a ``timestamp_ntz``, so the session time zone
-plays no part.
+Bad text becomes NULL and never an error, whatever ``spark.sql.ansi.enabled`` says, and every instant
+is a ``timestamp_ntz``, so the session time zone plays no part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 SECONDS_PER_DAY = 86_400
 _FIRST_DAY = "1970-01-01"
 
 
-def _part(text: Column, delimiter: str, position: int) -> Column:
-    return F.split_part(text, F.lit(delimiter), F.lit(position))
-
-
-def hour_of(text: Column) -> Column:
+def hour_of(text: str) -> str:
     """Leading hour number of a time text: ``'19:34:22'`` is 19, ``'9:05:00'`` is 9.
 
     Text that does not start with a number counts as hour 0; NULL stays NULL.
     """
-    leading_number = F.coalesce(
-        F.left(text, F.lit(2)).try_cast("int"),
-        F.left(text, F.lit(1)).try_cast("int"),
-        F.lit(0),
+    return (
+        f"CASE WHEN {text} IS NOT NULL THEN coalesce(try_cast(left({text}, 2) AS INT), "
+        f"try_cast(left({text}, 1) AS INT), 0) END"
     )
-    return F.when(text.isNotNull(), leading_number)
 
 
-def seconds_of_day(text: Column) -> Column:
+def seconds_of_day(text: str) -> str:
     """Seconds since midnight of ``H:m:s`` text, missing parts counting as 0; NULL for other text.
 
     Reads the text as a time on the first day of the epoch, which is the cheapest reader Spark has.
     """
-    first_day = F.lit(_FIRST_DAY)
-    read = F.concat(first_day, F.lit(" "), text).try_cast("timestamp_ntz")
-    return (read - first_day.cast("timestamp_ntz")).cast("interval second").cast("int")
+    read = f"try_cast(concat('{_FIRST_DAY} ', {text}) AS TIMESTAMP_NTZ)"
+    return f"CAST(CAST({read} - TIMESTAMP_NTZ'{_FIRST_DAY}' AS INTERVAL SECOND) AS INT)"
 
 
-def parse_date(text: Column, year_digits: int = 2) -> Column:
+def parse_date(text: str, year_digits: int = 2) -> str:
     """Date of ``d.M.yy`` (or ``d.M.yyyy``) text. Two-digit years below 70 are 20xx, others 19xx."""
-    year = _part(text, ".", 3).try_cast("int")
+
+    def part(position: int) -> str:
+        return f"try_cast(split_part({text}, '.', {position}) AS INT)"
+
+    year = part(3)
     if year_digits == 2:
-        year = F.when(year.between(0, 69), year + 2000).when(year.between(70, 99), year + 1900)
+        full = f"CASE WHEN {year} BETWEEN 0 AND 99 THEN (({year}) + 30) % 100 + 1970 END"
     else:
-        year = F.when(year.between(1, 9999), year)
-    month, day = _part(text, ".", 2).try_cast("int"), _part(text, ".", 1).try_cast("int")
-    midnight = F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0))
-    return midnight.cast("date")
+        full = f"CASE WHEN {year} BETWEEN 1 AND 9999 THEN {year} END"
+    return f"CAST(try_make_timestamp_ntz({full}, {part(2)}, {part(1)}, 0, 0, 0) AS DATE)"
 
 
-def instant(date: Column, seconds: Column) -> Column:
+def instant(date: str, seconds: str | int) -> str:
     """``date`` 00:00 plus a number of seconds, as ``timestamp_ntz``."""
-    return F.timestamp_add("SECOND", seconds, date.cast("timestamp_ntz"))
+    return f"timestampadd(SECOND, {seconds}, CAST({date} AS TIMESTAMP_NTZ))"
 
 
-def parse_datetime(date_text: Column, time_text: Column) -> Column:
+def parse_datetime(date_text: str, time_text: str) -> str:
     """Instant of a ``d.M.yy`` date text and an ``H:m:s`` time text."""
     return instant(parse_date(date_text), seconds_of_day(time_text))
 
 
-def parse_datetime_text(text: Column) -> Column:
+def parse_datetime_text(text: str) -> str:
     """Instant of ``d.M.yyyy H:m:s`` text (four-digit year)."""
-    return instant(
-        parse_date(_part(text, " ", 1), year_digits=4), seconds_of_day(_part(text, " ", 2))
-    )
+    date, time = f"split_part({text}, ' ', 1)", f"split_part({text}, ' ', 2)"
+    return instant(parse_date(date, year_digits=4), seconds_of_day(time))
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Whole minutes from ``start`` to ``end``, truncated towards zero.
 
-    ``timestamp_diff`` would read ``timestamp_ntz`` values in the session time zone, and count an
+    ``timestampdiff`` would read ``timestamp_ntz`` values in the session time zone, and count an
     hour too many or too few across a clock change.
     """
-    return (end - start).cast("interval minute").cast("bigint")
+    return f"CAST(CAST({end} - {start} AS INTERVAL MINUTE) AS BIGINT)"

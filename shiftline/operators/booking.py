@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiftline.functions import quoted
 from shiftline.operators.ordered import pinned_ranges
 
 # The order in which results are reported. The first three are the reported order;
@@ -73,11 +74,10 @@ SETPOINTS = {
 
 def report_rows(enriched: DataFrame, order: Sequence[str] = REPORT_ORDER) -> DataFrame:
     """The 15 report columns in report order, dates as ``dd-MM-yyyy`` text."""
-    shown = {
-        name: F.date_format(source, "dd-MM-yyyy") if source == "production_date" else F.col(source)
-        for name, source in RESULT_COLUMNS.items()
-    }
-    return enriched.orderBy(*order).select(*(c.alias(name) for name, c in shown.items()))
+    shown = {"production_date": "date_format(production_date, 'dd-MM-yyyy')"}
+    return enriched.orderBy(*order).selectExpr(
+        *(f"{shown.get(c, f'`{c}`')} AS `{name}`" for name, c in RESULT_COLUMNS.items())
+    )
 
 
 def to_booking(
@@ -92,47 +92,41 @@ def to_booking(
     that carry the order.
     """
 
-    def count(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
-
-    moulded, poured = count("moulded"), count("poured")
-    values: Mapping[str, Column] = {
-        "date": F.date_format("production_date", "yyyy-MM-dd"),
-        "shift": F.col("shift"),
-        "startTime": F.concat("start", F.lit(":00")),
-        "endTime": F.concat("end", F.lit(":00")),
-        "componentId": F.col("component_id"),
-        "totalMould": moulded,
-        "unpouredMould": F.greatest(moulded - poured, F.lit(0)),
-        "noOfBoxesPoured": poured,
-        "foundryLineId": F.lit(line_id).cast("bigint"),
+    def count(name: str) -> str:
+        return f"CAST(coalesce({name}, 0) AS BIGINT)"
+
+    values = {
+        "date": "date_format(production_date, 'yyyy-MM-dd')",
+        "shift": "shift",
+        "startTime": "concat(start, ':00')",
+        "endTime": "concat(end, ':00')",
+        "componentId": "component_id",
+        "totalMould": count("moulded"),
+        "unpouredMould": f"greatest({count('moulded')} - {count('poured')}, 0)",
+        "noOfBoxesPoured": count("poured"),
+        "foundryLineId": f"CAST({line_id} AS BIGINT)",
         "badBatches": count("n_bad"),
         "noOfBatches": count("n_batches"),
-        **{setpoint: F.col(c).cast("double") for c, setpoint in SETPOINTS.items()},
+        **{setpoint: f"CAST({c} AS DOUBLE)" for c, setpoint in SETPOINTS.items()},
     }
-    return resolved.where(F.col("component_id").isNotNull()).select(
-        *(values[c].alias(c) for c in columns), *keep
+    return resolved.where("component_id IS NOT NULL").selectExpr(
+        *(f"{values[c]} AS `{c}`" for c in columns), *quoted(keep)
     )
 
 
-def booking_json(columns: Sequence[str]) -> Column:
+def booking_json(columns: Sequence[str]) -> str:
     """One JSON object with all ``columns``; NULL is written as ``""``."""
-    return F.to_json(
-        F.struct(
-            *(
-                F.when(F.col(c).isNull(), F.parse_json(F.lit('""')))
-                .otherwise(F.col(c).cast("variant"))
-                .alias(c)
-                for c in columns
-            )
-        )
+    fields = ", ".join(
+        f"'{c}', CASE WHEN `{c}` IS NULL THEN parse_json('\"\"') ELSE CAST(`{c}` AS VARIANT) END"
+        for c in columns
     )
+    return f"to_json(named_struct({fields}))"
 
 
 def payload_json(bookings: DataFrame, columns: Sequence[str] = BOOKING_COLUMNS) -> DataFrame:
     """One JSON text per booking, in column ``payload``."""
     others = [c for c in bookings.columns if c not in columns]
-    return bookings.select(*others, booking_json(columns).alias("payload"))
+    return bookings.selectExpr(*quoted(others), f"{booking_json(columns)} AS payload")
 
 
 def payload_batches(
@@ -146,23 +140,18 @@ def payload_batches(
     Consecutive batches hold consecutive bookings. A batch never reaches over a range of the order,
     so the last one of each range may be shorter.
     """
-    ranged = pinned_ranges(bookings, [F.col(c) for c in order_by])
-    number = F.row_number().over(Window.partitionBy("_range").orderBy("_position")) - 1
-    return (
-        ranged.withColumn("_batch", F.floor(number / batch_size))
+    ranged = pinned_ranges(bookings, [f"{c} ASC" for c in order_by])
+    number = "row_number() OVER (PARTITION BY _range ORDER BY _position) - 1"
+    members = f"struct(_position, {booking_json(columns)} AS json)"
+    batches = (
+        ranged.selectExpr("*", f"({number}) div {batch_size} AS _batch")
         .groupBy("_range", "_batch")
         .agg(
-            F.min("_position").alias("batch_id"),
-            F.count(F.lit(1)).alias("n_bookings"),
-            F.sort_array(
-                F.collect_list(F.struct("_position", booking_json(columns).alias("json")))
-            ).alias("_bookings"),
-        )
-        .select(
-            "batch_id",
-            "n_bookings",
-            F.concat(
-                F.lit("["), F.array_join(F.col("_bookings.json"), ", "), F.lit("]")
-            ).alias("payload"),
+            F.expr("min(_position) AS batch_id"),
+            F.expr("count(1) AS n_bookings"),
+            F.expr(f"sort_array(collect_list({members})) AS _bookings"),
         )
     )
+    return batches.selectExpr(
+        "batch_id", "n_bookings", "concat('[', array_join(_bookings.json, ', '), ']') AS payload"
+    )

@@ -4,58 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from shiftline.functions import listed, with_exprs
 from shiftline.operators.ordered import edge_before, pinned_ranges, same_key
 
 
-def _ascending(order_by: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c).asc() if isinstance(c, str) else c for c in order_by]
-
-
 def forward_fill(
     df: DataFrame,
     cols: Sequence[str],
-    order_by: Sequence[str | Column],
+    order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     strategy: str = "two_phase",
 ) -> DataFrame:
     """Replace NULL in each of ``cols`` by the last value before it in ``order_by``.
 
-    Columns are filled independently. Rows with nothing before them stay NULL. ``order_by`` should
-    tell all rows apart. With ``partition_by`` values do not pass from one key to another.
+    Columns are filled independently. Rows with nothing before them stay NULL. ``order_by`` names
+    ascending columns and should tell all rows apart. With ``partition_by`` values do not pass from
+    one key to another.
 
     ``strategy="two_phase"`` fills inside consecutive ranges of the order, and hands only each
     range's last values on to the next. ``strategy="window"`` puts each key, or without
     ``partition_by`` everything, into one task; it is for small results and for keys known to be
     small.
     """
-    order = _ascending(order_by)
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     if strategy == "window":
-        w = Window.partitionBy(*partition_by).orderBy(*order)
-        so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in cols})
+        keys = f"PARTITION BY {listed(partition_by)} " if partition_by else ""
+        over = f"OVER ({keys}ORDER BY {listed(order_by)} {so_far})"
+        return with_exprs(df, {c: f"last(`{c}`, true) {over}" for c in cols})
     if strategy != "two_phase":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    ranged = pinned_ranges(df, [*_ascending(partition_by), *order])
+    ranged = pinned_ranges(df, [f"{c} ASC" for c in (*partition_by, *order_by)])
     edges = edge_before(
         ranged,
-        {f"_edge_{c}": (F.struct(*partition_by, c), F.col(c).isNotNull()) for c in cols},
-    )
-    so_far = (
-        Window.partitionBy("_range", *partition_by)
-        .orderBy("_position")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        {f"_edge_{c}": (f"struct({listed([*partition_by, c])})", f"`{c}` IS NOT NULL") for c in cols},
     )
+    over = f"OVER (PARTITION BY {listed(['_range', *partition_by])} ORDER BY _position {so_far})"
 
-    def filled(c: str) -> Column:
-        carried = F.when(same_key(f"_edge_{c}", partition_by), F.col(f"_edge_{c}")[c])
-        return F.coalesce(F.last(c, ignorenulls=True).over(so_far), carried)
+    def filled(c: str) -> str:
+        carried = f"CASE WHEN {same_key(f'_edge_{c}', partition_by)} THEN `_edge_{c}`.`{c}` END"
+        return f"coalesce(last(`{c}`, true) {over}, {carried})"
 
-    return (
-        ranged.join(edges, "_range", "left")
-        .withColumns({c: filled(c) for c in cols})
-        .drop("_range", "_position", *(f"_edge_{c}" for c in cols))
+    return with_exprs(ranged.join(edges, "_range", "left"), {c: filled(c) for c in cols}).drop(
+        "_range", "_position", *(f"_edge_{c}" for c in cols)
     )

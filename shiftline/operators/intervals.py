@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftline.functions import listed, quoted, with_exprs
 from shiftline.functions.numbers import TOTAL_TYPE, exact_mean
 from shiftline.functions.text_time import parse_datetime_text
 from shiftline.operators.ordered import written
@@ -29,15 +30,15 @@ from shiftline.operators.skew import join_by_weight
 BROADCAST_INTERVALS = 200_000
 
 
-def _stretch(unit: str, instant: Column) -> Column:
+def _stretch(unit: str, instant: str) -> str:
     """Number of the calendar ``unit`` (``day``, ``hour`` or ``minute``) that holds ``instant``."""
-    day = F.unix_date(F.to_date(instant)).cast("bigint")
+    day = f"CAST(unix_date(to_date({instant})) AS BIGINT)"
     if unit == "day":
         return day
     if unit == "hour":
-        return day * 24 + F.hour(instant)
+        return f"{day} * 24 + hour({instant})"
     if unit == "minute":
-        return day * 1440 + F.hour(instant) * 60 + F.minute(instant)
+        return f"{day} * 1440 + hour({instant}) * 60 + minute({instant})"
     raise ValueError(f"unknown stretch {unit!r}")
 
 
@@ -45,11 +46,15 @@ def _total_type(kind: T.DataType) -> str:
     return "bigint" if isinstance(kind, T.IntegralType) else TOTAL_TYPE
 
 
+def _grouped(df: DataFrame, keys: Sequence[str], aggregates: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*map(F.expr, aggregates))
+
+
 def _running_totals(
     rows: DataFrame,
     by: Sequence[str],
     order: str,
-    totals: Mapping[str, str],
+    kinds: Mapping[str, str],
     stretches: Sequence[str],
 ) -> DataFrame:
     """Add ``before_<total>``: the sum over all rows of the same ``by`` that come earlier.
@@ -58,48 +63,43 @@ def _running_totals(
     stretch of the finest kind; whole stretches are carried over as one row each.
     """
     finest = list(stretches[:1])
-    earlier = (
-        Window.partitionBy(*by, *finest)
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = rows.withColumns(
-        {
-            f"before_{t}": F.coalesce(F.sum(t).over(earlier), F.lit(0)).cast(kind)
-            for t, kind in totals.items()
-        }
+    keys = f"PARTITION BY {listed([*by, *finest])} " if by or finest else ""
+    over = f"OVER ({keys}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    inside = rows.selectExpr(
+        "*",
+        *(
+            f"CAST(coalesce(sum(`{t}`) {over}, 0) AS {kind}) AS `before_{t}`"
+            for t, kind in kinds.items()
+        ),
     )
     if not stretches:
         return inside
-    per_stretch = rows.groupBy(*by, *stretches).agg(
-        *(F.sum(t).cast(kind).alias(t) for t, kind in totals.items())
+    per_stretch = _grouped(
+        rows,
+        [*by, *stretches],
+        [f"CAST(sum(`{t}`) AS {kind}) AS `{t}`" for t, kind in kinds.items()],
     )
-    carried = _running_totals(per_stretch, by, finest[0], totals, stretches[1:]).select(
-        *by, *finest, *(F.col(f"before_{t}").alias(f"carried_{t}") for t in totals)
+    carried = _running_totals(per_stretch, by, finest[0], kinds, stretches[1:]).selectExpr(
+        *quoted([*by, *finest]), *(f"`before_{t}` AS `carried_{t}`" for t in kinds)
     )
     # Every stretch has its row. A left join, because an inner one would add tests for NULL to one
     # of the two uses of `rows`, and they could no longer share their shuffle.
-    return (
-        inside.join(carried, [*by, *finest], "left")
-        .withColumns(
-            {
-                f"before_{t}": (F.col(f"before_{t}") + F.col(f"carried_{t}")).cast(kind)
-                for t, kind in totals.items()
-            }
-        )
-        .drop(*(f"carried_{t}" for t in totals))
+    return inside.join(carried, [*by, *finest], "left").selectExpr(
+        *quoted(rows.columns),
+        *(
+            f"CAST(`before_{t}` + `carried_{t}` AS {kind}) AS `before_{t}`"
+            for t, kind in kinds.items()
+        ),
     )
 
 
 def distinct_intervals(
-    intervals: DataFrame, start: str, end: str, by: Sequence[str] = (), weight: str = "_weight"
+    intervals: DataFrame, start: str, end: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """The different non-empty (``by``, ``start``, ``end``), with how many rows have each."""
-    return (
-        intervals.where(F.col(start) <= F.col(end))
-        .groupBy(*by, start, end)
-        .agg(F.count(F.lit(1)).alias(weight))
-    )
+    """The different non-empty (``by``, ``start``, ``end``), with how many rows have each in
+    ``_weight``."""
+    not_empty = intervals.where(f"`{start}` <= `{end}`")
+    return _grouped(not_empty, [*by, start, end], ["count(1) AS _weight"])
 
 
 def interval_totals(
@@ -108,64 +108,61 @@ def interval_totals(
     start: str,
     end: str,
     ts: str,
-    totals: Mapping[str, Column],
+    totals: Mapping[str, str],
     by: Sequence[str] = (),
     closed: str = "both",
     stretches: Sequence[str] = ("day",),
 ) -> DataFrame:
     """Add to every distinct interval the totals of the points inside it.
 
-    ``totals`` are numeric column expressions over ``points``; NULL counts as 0. Whole numbers are
-    added up as bigint, all others as ``decimal(38,5)``. ``closed`` says
-    which ends belong to the interval: ``both``, ``left``, ``right`` or ``neither``. ``by`` names
-    columns on both sides that must be equal as well.
+    ``totals`` are numeric expressions over ``points``, as SQL text; NULL counts as 0. Whole numbers
+    are added up as bigint, all others as ``decimal(38,5)``. ``closed`` says which ends belong to
+    the interval: ``both``, ``left``, ``right`` or ``neither``. ``by`` names columns on both sides
+    that must be equal as well.
 
     ``stretches`` bounds the work of a task: with the default a window holds one day, at most
     86,400 rows when instants are whole seconds. For finer instants use ``("minute", "day")``.
     """
     if closed not in ("both", "left", "right", "neither"):
         raise ValueError(f"unknown closed {closed!r}")
-    measured = points.select(
-        *by, F.col(ts).alias("_instant"), *(total.alias(name) for name, total in totals.items())
+    keys = quoted(by)
+    measured = points.selectExpr(
+        *keys, f"`{ts}` AS _instant", *(f"{total} AS `{name}`" for name, total in totals.items())
     )
     kinds = {name: _total_type(measured.schema[name].dataType) for name in totals}
-    bounds = intervals.select(
-        *intervals.columns,
-        F.inline(
-            F.array(
-                F.struct(F.col(start).alias("_instant"), F.lit(False).alias("_is_end")),
-                F.struct(F.col(end).alias("_instant"), F.lit(True).alias("_is_end")),
-            )
-        ),
+    bounds = intervals.selectExpr(
+        "*", f"stack(2, `{start}`, false, `{end}`, true) AS (_instant, _is_end)"
     )
     # One row per instant at which anything happens: a reading, a start or an end.
-    instants = (
-        measured.where(F.col("_instant").isNotNull())
-        .withColumns({name: F.coalesce(name, F.lit(0)).cast(kinds[name]) for name in totals})
+    instants = _grouped(
+        measured.where("_instant IS NOT NULL")
+        .selectExpr(
+            *keys,
+            "_instant",
+            *(f"CAST(coalesce(`{name}`, 0) AS {kind}) AS `{name}`" for name, kind in kinds.items()),
+        )
         .unionByName(
-            bounds.select(
-                *by, "_instant", *(F.lit(0).cast(kinds[name]).alias(name) for name in totals)
+            bounds.selectExpr(
+                *keys, "_instant", *(f"CAST(0 AS {kind}) AS `{n}`" for n, kind in kinds.items())
             )
-        )
-        .groupBy(*by, "_instant")
-        .agg(*(F.sum(name).cast(kinds[name]).alias(name) for name in totals))
-        .withColumns({f"_{unit}": _stretch(unit, F.col("_instant")) for unit in stretches})
-    )
+        ),
+        [*by, "_instant"],
+        [f"CAST(sum(`{name}`) AS {kind}) AS `{name}`" for name, kind in kinds.items()],
+    ).selectExpr("*", *(f"{_stretch(unit, '_instant')} AS `_{unit}`" for unit in stretches))
     running = _running_totals(
         instants, by, "_instant", kinds, [f"_{unit}" for unit in stretches]
     ).drop(*(f"_{unit}" for unit in stretches))
 
-    def at_bound(name: str) -> Column:
-        before = F.col(f"before_{name}")
-        upto = before + F.col(name)
+    def at_bound(name: str) -> str:
+        before, upto = f"`before_{name}`", f"`before_{name}` + `{name}`"
         at_end = upto if closed in ("both", "right") else before
         at_start = before if closed in ("both", "left") else upto
-        return F.when(F.col("_is_end"), at_end).otherwise(-at_start)
+        return f"CASE WHEN _is_end THEN {at_end} ELSE -({at_start}) END"
 
-    return (
-        bounds.join(running, [*by, "_instant"], "left")
-        .groupBy(*intervals.columns)
-        .agg(*(F.sum(at_bound(name)).cast(kinds[name]).alias(name) for name in totals))
+    return _grouped(
+        bounds.join(running, [*by, "_instant"], "left"),
+        intervals.columns,
+        [f"CAST(sum({at_bound(name)}) AS {kind}) AS `{name}`" for name, kind in kinds.items()],
     )
 
 
@@ -175,7 +172,7 @@ def attach_interval_totals(
     start: str,
     end: str,
     ts: str,
-    totals: Mapping[str, Column],
+    totals: Mapping[str, str],
     by: Sequence[str] = (),
     closed: str = "both",
     stretches: Sequence[str] = ("day",),
@@ -196,7 +193,7 @@ def attach_interval_totals(
         joined = intervals.join(F.broadcast(per_interval.drop("_weight")), keys, "left")
     else:
         joined = join_by_weight(intervals, per_interval, keys, "_weight")
-    return joined.withColumns({name: F.coalesce(name, F.lit(0)) for name in totals})
+    return with_exprs(joined, {name: f"coalesce(`{name}`, 0)" for name in totals})
 
 
 # The channels of a reading, by the name they are reported under.
@@ -225,34 +222,33 @@ def normalise_readings(
 
     ``collation`` (such as ``UTF8_LCASE``) decides how ``type`` compares; the default is bytewise.
     """
-    def tenth(channel: str) -> Column:
-        return (F.col(channel).cast("decimal(18,4)") / 10).cast("decimal(20,5)")
-
-    kind = F.col("type") if collation is None else F.collate("type", collation)
-    return readings.select(
-        *extra,
-        parse_datetime_text(F.col("mem_date_time")).alias("mem_dt"),
-        kind.alias("type"),
-        tenth("comp_3").alias("bentonite"),
-        F.col("comp_2").cast("decimal(20,5)").alias("new_sand"),
-        tenth("comp_5").alias("lca"),
-        tenth("water").alias("water"),
+    def tenth(channel: str) -> str:
+        return f"CAST(CAST({channel} AS DECIMAL(18,4)) / 10 AS DECIMAL(20,5))"
+
+    kind = "type" if collation is None else f"collate(type, '{collation}')"
+    return readings.selectExpr(
+        *quoted(extra),
+        f"{parse_datetime_text('mem_date_time')} AS mem_dt",
+        f"{kind} AS type",
+        f"{tenth('comp_3')} AS bentonite",
+        "CAST(comp_2 AS DECIMAL(20,5)) AS new_sand",
+        f"{tenth('comp_5')} AS lca",
+        f"{tenth('water')} AS water",
     )
 
 
-def batch_counts() -> dict[str, Column]:
+def batch_counts() -> dict[str, str]:
     """Totals over readings: all of them, whatever their type, and the bad ones."""
-    return {
-        "n_batches": F.lit(1),
-        "n_bad": F.when(F.col("type") == "BAD", 1).otherwise(0),
-    }
+    return {"n_batches": "1", "n_bad": "CASE WHEN type = 'BAD' THEN 1 ELSE 0 END"}
 
 
-def channel_totals(channels: Sequence[str] = CHANNELS) -> dict[str, Column]:
+def channel_totals(channels: Sequence[str] = CHANNELS) -> dict[str, str]:
     """Per channel, sum and number of the values in good readings."""
-    good = F.col("type") == "GOOD"
-    sums = {f"sum_{c}": F.when(good, F.col(c)) for c in channels}
-    counts = {f"n_{c}": F.when(good & F.col(c).isNotNull(), 1) for c in channels}
+    sums = {f"sum_{c}": f"CASE WHEN type = 'GOOD' THEN `{c}` END" for c in channels}
+    counts = {
+        f"n_{c}": f"CASE WHEN type = 'GOOD' AND `{c}` IS NOT NULL THEN 1 ELSE 0 END"
+        for c in channels
+    }
     return {**sums, **counts}
 
 
@@ -272,18 +268,32 @@ def enrich_intervals(
     Slots that agree on ``keys`` merge: means are taken over the readings of all of them, counts
     are the largest. Slots without readings have NULL means and counts of 0.
     """
+    keys = list(dict.fromkeys([*by, *keys]))
     totals = {**batch_counts(), **channel_totals(channels)}
-    needed = slots.select(*dict.fromkeys([*by, *keys, start, end]))
     attached = attach_interval_totals(
-        needed, readings, start, end, "mem_dt", totals, by, closed, broadcast_rows=broadcast_rows
+        slots.select(*dict.fromkeys([*keys, start, end])),
+        readings,
+        start,
+        end,
+        "mem_dt",
+        totals,
+        by,
+        closed,
+        broadcast_rows=broadcast_rows,
+    )
+    kinds = {name: attached.schema[name].dataType.simpleString() for name in totals}
+    merged = _grouped(
+        attached,
+        keys,
+        [
+            *(f"CAST(sum(`{t}`) AS {kinds[t]}) AS `{t}`" for t in channel_totals(channels)),
+            *(f"max(`{t}`) AS `{t}`" for t in batch_counts()),
+        ],
     )
-    kinds = {name: attached.schema[name].dataType for name in totals}
-    merged = attached.groupBy(*by, *(k for k in keys if k not in by)).agg(
-        *(F.sum(name).cast(kinds[name]).alias(name) for name in channel_totals(channels)),
-        *(F.max(name).alias(name) for name in batch_counts()),
+    return merged.selectExpr(
+        *quoted([*keys, *batch_counts()]),
+        *(f"{exact_mean(f'`sum_{c}`', f'`n_{c}`')} AS `{c}`" for c in channels),
     )
-    means = {c: exact_mean(F.col(f"sum_{c}"), F.col(f"n_{c}")) for c in channels}
-    return merged.withColumns(means).drop(*channel_totals(channels))
 
 
 def collapse_duplicates(slots: DataFrame, keys: Sequence[str] = REPORT_KEYS) -> DataFrame:

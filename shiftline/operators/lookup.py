@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from shiftline.functions import with_exprs
 from shiftline.functions.numbers import to_whole_number
 from shiftline.operators.skew import BROADCAST_BYTES, left_lookup
 
 
-def _comparable(name: Column, collation: str | None) -> Column:
-    return name if collation is None else F.collate(name, collation)
+def _comparable(name: str, collation: str | None) -> str:
+    return f"trim({name})" if collation is None else f"collate(trim({name}), '{collation}')"
 
 
 def resolve_component(
@@ -28,23 +28,20 @@ def resolve_component(
     number in it, NULL when it is no number. So an unmapped name that is a number passes for an id,
     unless ``strict``. A name with several ids gives a row for each.
     """
-    lookup = mapping.select(
-        _comparable(F.trim("Component"), collation).alias("_name"),
-        F.col("ComponentID").cast("string").alias("_id"),
+    lookup = mapping.selectExpr(
+        f"{_comparable('Component', collation)} AS _name", "CAST(ComponentID AS STRING) AS _id"
     ).distinct()
-    named = slots.withColumn("_name", _comparable(F.trim(name), collation))
+    named = slots.selectExpr("*", f"{_comparable(name, collation)} AS _name")
     matched = left_lookup(named, lookup, "_name", broadcast_bytes=broadcast_bytes)
-    key = F.coalesce("_id", F.trim(name))
-    number = F.col("_id") if strict else key
-    return matched.withColumns(
-        {"component_key": key, "component_id": to_whole_number(number)}
-    ).drop("_name", "_id")
+    key = f"coalesce(_id, trim(`{name}`))"
+    number = to_whole_number("_id" if strict else key)
+    return with_exprs(matched, {"component_key": key, "component_id": number}).drop("_name", "_id")
 
 
 def unresolved_report(resolved: DataFrame, name: str = "component") -> DataFrame:
     """The different component names without an id, sorted."""
     return (
-        resolved.where(F.col("component_id").isNull() & F.col(name).isNotNull())
+        resolved.where(f"component_id IS NULL AND `{name}` IS NOT NULL")
         .select(name)
         .distinct()
         .orderBy(name)

@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # monotonically_increasing_id keeps the partition number above bit 33.
@@ -42,48 +42,55 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pinned_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def pinned_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Add ``_position``, which rises along ``order``, and ``_range``, its partition.
 
-    Ranges are balanced whatever the leading order columns hold, as long as the full order tells
-    rows apart. AQE merges small ones.
+    ``order`` is SQL text like ``start_dt DESC NULLS LAST``. Ranges are balanced whatever the
+    leading order columns hold, as long as the full order tells rows apart. AQE merges small ones.
     """
+    columns = [F.expr(item) if " " not in item else _sort_order(item) for item in order]
     return written(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_position", F.monotonically_increasing_id())
-    ).withColumn("_range", F.shiftright("_position", _ROW_BITS))
+        df.repartitionByRange(*columns)
+        .sortWithinPartitions(*columns)
+        .selectExpr("*", "monotonically_increasing_id() AS _position")
+    ).selectExpr("*", f"shiftright(_position, {_ROW_BITS}) AS _range")
 
 
-def first_of_range() -> Column:
-    return F.col("_position") == F.shiftleft(F.col("_range"), _ROW_BITS)
+def _sort_order(item: str) -> Column:
+    name, _, direction = item.partition(" ")
+    column = F.col(name)
+    return {
+        "ASC": column.asc,
+        "DESC": column.desc,
+        "DESC NULLS LAST": column.desc_nulls_last,
+        "ASC NULLS LAST": column.asc_nulls_last,
+    }[direction]()
 
 
-def edge_before(ranged: DataFrame, values: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+FIRST_OF_RANGE = f"_position = shiftleft(_range, {_ROW_BITS})"
+
+
+def edge_before(ranged: DataFrame, values: Mapping[str, tuple[str, str]]) -> DataFrame:
     """For every range, what the rows before it hold last.
 
-    ``values`` maps a result name to ``(value, counts)``: the value of the last earlier row for
-    which ``counts`` is true. The result has one row per range, which is at most the number of
-    shuffle partitions, so it is safe to broadcast.
+    ``values`` maps a result name to ``(value, counts)``, both SQL text: the value of the last
+    earlier row for which ``counts`` is true. The result has one row per range, which is at most the
+    number of shuffle partitions, so it is safe to broadcast.
     """
-    position = F.col("_position")
     per_range = ranged.groupBy("_range").agg(
         *(
-            F.max_by(value, F.when(counts, position)).alias(name)
+            F.expr(f"max_by({value}, _position) FILTER (WHERE {counts}) AS {name}")
             for name, (value, counts) in values.items()
         )
     )
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     return F.broadcast(
-        per_range.select(
-            "_range", *(F.last(name, ignorenulls=True).over(earlier).alias(name) for name in values)
+        per_range.selectExpr(
+            "_range", *(f"last({name}, true) {earlier} AS {name}" for name in values)
         )
     )
 
 
-def same_key(edge: str, keys: Sequence[str]) -> Column:
+def same_key(edge: str, keys: Sequence[str]) -> str:
     """Whether the edge row belongs to the key of the current row. NULL keys are equal."""
-    same = F.col(edge).isNotNull()
-    for key in keys:
-        same = same & F.col(edge)[key].eqNullSafe(F.col(key))
-    return same
+    return " AND ".join([f"{edge} IS NOT NULL", *(f"{edge}.`{k}` <=> `{k}`" for k in keys)])

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shiftline.functions import listed, quoted
 
 # A key with this many rows is heavy. There can be at most one heavy key per so many rows of the
 # large side, which bounds what is broadcast.
@@ -15,11 +18,6 @@ HEAVY_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """A number that differs between rows, the same on every attempt."""
-    return F.xxhash64(*columns)
-
-
 def join_by_weight(
     left: DataFrame,
     right: DataFrame,
@@ -33,33 +31,33 @@ def join_by_weight(
     the shuffle of the light join, but spread by row instead of by key.
     """
     values = [c for c in right.columns if c not in keys and c != weight]
-    heavy = right.where(F.col(weight) >= heavy_rows).select(
-        *keys, F.struct(*values).alias("_heavy")
-    )
-    light = right.where(F.col(weight) < heavy_rows).select(
-        *keys, F.struct(*values).alias("_light"), F.lit(0).cast("bigint").alias("_spread")
+    heavy = right.where(f"`{weight}` >= {heavy_rows}").selectExpr(
+        *quoted(keys), f"struct({listed(values)}) AS _heavy"
     )
-    spread = F.when(F.col("_heavy").isNull(), F.lit(0).cast("bigint")).otherwise(
-        row_hash(left.columns).bitwiseOR(F.lit(1).cast("bigint"))  # odd, so it meets no light row
+    light = right.where(f"`{weight}` < {heavy_rows}").selectExpr(
+        *quoted(keys), f"struct({listed(values)}) AS _light", "0L AS _spread"
     )
-    found = F.coalesce("_heavy", "_light")
+    # Odd for rows that have their match already, so that they meet no light row.
+    spread = f"CASE WHEN _heavy IS NULL THEN 0L ELSE xxhash64({listed(left.columns)}) | 1L END"
     return (
         left.join(F.broadcast(heavy), list(keys), "left")
-        .withColumn("_spread", spread)
+        .selectExpr("*", f"{spread} AS _spread")
         .join(light, [*keys, "_spread"], "left")
-        .select(*left.columns, *(found[value].alias(value) for value in values))
+        .selectExpr(
+            *quoted(left.columns),
+            *(f"coalesce(_heavy.`{value}`, _light.`{value}`) AS `{value}`" for value in values),
+        )
     )
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether all rows of ``df`` together stay below ``limit`` bytes. Runs one aggregation."""
-    row_bytes = sum(
-        (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() == "string"
-         else F.lit(16))
-        + 16
+    row_bytes = " + ".join(
+        f"coalesce(octet_length(`{f.name}`), 0) + 16" if isinstance(f.dataType, T.StringType)
+        else "32"
         for f in df.schema.fields
     )
-    return (df.agg(F.sum(row_bytes).alias("size")).first().size or 0) <= limit
+    return (df.selectExpr(f"sum({row_bytes}) AS size").first().size or 0) <= limit
 
 
 def left_lookup(
@@ -76,6 +74,6 @@ def left_lookup(
     """
     if fits_broadcast(lookup, broadcast_bytes):
         return left.join(F.broadcast(lookup), key, "left")
-    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(row_hash(left.columns), F.lit(salts)).cast("int")
-    return left.withColumn("_salt", salt).join(salted, [key, "_salt"], "left").drop("_salt")
+    salted = lookup.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
+    salt = f"CAST(pmod(xxhash64({listed(left.columns)}), {salts}) AS INT) AS _salt"
+    return left.selectExpr("*", salt).join(salted, [key, "_salt"], "left").drop("_salt")

@@ -16,12 +16,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from shiftline.functions import listed, quoted, with_exprs
 from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
 from shiftline.functions.text_time import hour_of, instant, parse_date
-from shiftline.operators.ordered import edge_before, first_of_range, pinned_ranges, same_key
+from shiftline.operators.ordered import FIRST_OF_RANGE, edge_before, pinned_ranges, same_key
 
 # Number of repeated groups in a record, its plain columns, and for each repeated
 # column (`begin_1` .. `begin_26` and so on) the name it gets as a slot column.
@@ -42,16 +42,17 @@ def parse_records(records: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) ->
 
     Runs on wide records and on slots that already are rows. The ``resolve`` operators need it.
     """
-    date, evening = parse_date(F.col("date_begin")), calendar.is_evening(F.col("time_begin"))
-    end_seconds = calendar.seconds_from_record_date(evening, F.col("time_end"))
-    return records.withColumns(
-        {"record_date": date, "is_evening": evening, "record_end_dt": instant(date, end_seconds)}
+    date, evening = parse_date("date_begin"), calendar.is_evening("time_begin")
+    end_seconds = calendar.seconds_from_record_date(evening, "time_end")
+    return with_exprs(
+        records,
+        {"record_date": date, "is_evening": evening, "record_end_dt": instant(date, end_seconds)},
     )
 
 
 def _used_slots(
     records: DataFrame, groups: Mapping[str, str], n: int, trimmed: str, used_when: str
-) -> tuple[list[str], Column]:
+) -> tuple[list[str], str]:
     """Names of the columns outside the repeated groups, and the used slots as an array."""
 
     def field(group: str, name: str, number: int) -> str:
@@ -64,9 +65,8 @@ def _used_slots(
 
     numbers = range(1, n + 1)
     grouped = {f"{group}_{number}" for group in groups for number in numbers}
-    # As one text: with 26 slots the calls for single columns would take longer than the analysis.
-    slots = F.expr(f"array({', '.join(slot(number) for number in numbers)})")
-    used = F.filter(slots, lambda slot: F.coalesce(slot[used_when], F.lit(0)) > 0)
+    slots = f"array({', '.join(slot(number) for number in numbers)})"
+    used = f"filter({slots}, slot -> coalesce(slot.`{used_when}`, 0) > 0)"
     return [c for c in records.columns if c not in grouped], used
 
 
@@ -83,7 +83,7 @@ def unpivot_slots(
     ``keep`` defaults to all columns outside the repeated groups.
     """
     ungrouped, used = _used_slots(records, groups, n, trimmed, used_when)
-    return records.select(*(keep or ungrouped), F.inline(used))
+    return records.selectExpr(*quoted(keep or ungrouped), f"inline({used})")
 
 
 def unpivot_with_later_slot(
@@ -102,48 +102,45 @@ def unpivot_with_later_slot(
     slot number.
     """
     ungrouped, used = _used_slots(records, groups, n, trimmed, used_when)
-    keep = keep or ungrouped
-
-    def timed(slot: Column) -> Column:
-        # Sorted downwards, these structs put the latest slot first and unreadable ones last, in
-        # slot order.
-        seconds = calendar.seconds_from_record_date(F.col("is_evening"), slot["begin"])
-        return F.struct(seconds.alias("at"), (-slot["slot_no"]).alias("rank"), slot.alias("slot"))
-
-    latest_first = F.sort_array(F.transform(used, timed), asc=False)
+    kept = quoted(keep or ungrouped)
+    seconds = calendar.seconds_from_record_date("is_evening", "slot.begin")
+    # Sorted downwards, these structs put the latest slot first and unreadable ones last, in slot
+    # order.
+    timed = f"named_struct('at', {seconds}, 'rank', -slot.slot_no, 'slot', slot)"
+    latest_first = f"sort_array(transform({used}, slot -> {timed}), false)"
     # Shifted by one, so that each slot meets the one that starts after it.
-    shifted = F.slice(F.concat(F.array(F.lit(None)), F.col("_slots")), F.lit(1), F.size("_slots"))
-    paired = records.select(*keep, latest_first.alias("_slots")).select(
-        *keep, F.inline(F.arrays_zip(F.col("_slots").alias("this"), shifted.alias("later")))
-    )
-    date = F.col("record_date")
-    return paired.select(
-        *keep,
-        "this.slot.*",
-        instant(date, F.col("this.at")).alias("start_dt"),
-        F.col("later.slot.begin").alias("later_begin"),
-        instant(date, F.col("later.at")).alias("later_start"),
+    shifted = "slice(concat(array(NULL), this), 1, size(this))"
+    return (
+        records.selectExpr(*kept, f"{latest_first} AS this")
+        .selectExpr(*kept, f"inline(arrays_zip(this, {shifted})) AS (this, later)")
+        .selectExpr(
+            *kept,
+            "this.slot.*",
+            f"{instant('record_date', 'this.at')} AS start_dt",
+            "later.slot.begin AS later_begin",
+            f"{instant('record_date', 'later.at')} AS later_start",
+        )
     )
 
 
 def resolve_start(slots: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) -> DataFrame:
     """Add ``start_dt``: ``record_date`` at ``begin``, a day later for slots past midnight."""
-    seconds = calendar.seconds_from_record_date(F.col("is_evening"), F.col("begin"))
-    return slots.withColumn("start_dt", instant(F.col("record_date"), seconds))
+    seconds = calendar.seconds_from_record_date("is_evening", "begin")
+    return with_exprs(slots, {"start_dt": instant("record_date", seconds)})
 
 
 def production_date(slots: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) -> DataFrame:
     """Add ``production_date``; early-morning slots count to the day before, unless an evening
     record runs on into them."""
-    own_day = (hour_of(F.col("begin")) >= calendar.morning_hour) | F.col("is_evening")
-    date = F.col("record_date")
-    return slots.withColumn("production_date", F.when(own_day, date).otherwise(F.date_sub(date, 1)))
+    own_day = f"{hour_of('begin')} >= {calendar.morning_hour} OR is_evening"
+    date = f"CASE WHEN {own_day} THEN record_date ELSE date_sub(record_date, 1) END"
+    return with_exprs(slots, {"production_date": date})
 
 
 def assign_shift(slots: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) -> DataFrame:
     """Add ``shift`` and ``shift_order`` from the hour in ``begin``."""
-    hour = hour_of(F.col("begin"))
-    return slots.withColumns({"shift": calendar.label(hour), "shift_order": calendar.order(hour)})
+    hour = hour_of("begin")
+    return with_exprs(slots, {"shift": calendar.label(hour), "shift_order": calendar.order(hour)})
 
 
 def with_later_slot(
@@ -159,30 +156,25 @@ def with_later_slot(
     a single record is too large for that: rows are cut into ranges of record and time, and only
     the last slot of each range travels on to the next one.
     """
-    order = [F.col(order_col).desc_nulls_last(), *(F.col(c).asc() for c in tie_break)]
+    order = [f"{order_col} DESC NULLS LAST", *(f"{c} ASC" for c in tie_break)]
     later = {"later_begin": "begin", "later_start": order_col}
 
     if strategy == "window":
-        w = Window.partitionBy(*record_key).orderBy(*order)
-        return slots.withColumns({name: F.lag(c, 1).over(w) for name, c in later.items()})
+        over = f"OVER (PARTITION BY {listed(record_key)} ORDER BY {', '.join(order)})"
+        return with_exprs(slots, {name: f"lag({c}) {over}" for name, c in later.items()})
     if strategy != "two_phase":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    ranged = pinned_ranges(slots, [*(F.col(c).asc() for c in record_key), *order])
-    edges = edge_before(
-        ranged, {"_edge": (F.struct(*record_key, *later.values()), F.lit(True))}
-    )
-    w = Window.partitionBy("_range", *record_key).orderBy("_position")
-    carried = first_of_range() & same_key("_edge", record_key)
-    return (
-        ranged.join(edges, "_range", "left")
-        .withColumns(
-            {
-                name: F.when(carried, F.col("_edge")[c]).otherwise(F.lag(c, 1).over(w))
-                for name, c in later.items()
-            }
-        )
-        .drop("_range", "_position", "_edge")
+    ranged = pinned_ranges(slots, [*(f"{c} ASC" for c in record_key), *order])
+    edges = edge_before(ranged, {"_edge": (f"struct({listed([*record_key, *later.values()])})", "true")})
+    over = f"OVER (PARTITION BY _range, {listed(record_key)} ORDER BY _position)"
+    carried = f"{FIRST_OF_RANGE} AND {same_key('_edge', record_key)}"
+    neighbours = {
+        name: f"CASE WHEN {carried} THEN _edge.{c} ELSE lag({c}) {over} END"
+        for name, c in later.items()
+    }
+    return with_exprs(ranged.join(edges, "_range", "left"), neighbours).drop(
+        "_range", "_position", "_edge"
     )
 
 
@@ -194,49 +186,42 @@ def resolve_end(slots: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) -> Dat
     ``record_date``. That last rule gives an evening record's slot past midnight an end before its
     start, which makes an empty interval.
     """
-    hour, time_end = hour_of(F.col("begin")), F.col("time_end")
+    hour = hour_of("begin")
     end_dt = (
-        F.when(F.col("later_start").isNotNull(), F.col("later_start"))
-        .when(time_end.isNotNull(), F.col("record_end_dt"))
-        .otherwise(calendar.end_instant(hour, F.col("record_date")))
+        "CASE WHEN later_start IS NOT NULL THEN later_start "
+        "WHEN time_end IS NOT NULL THEN record_end_dt "
+        f"ELSE {calendar.end_instant(hour, 'record_date')} END"
     )
     end_text = (
-        F.when(F.col("later_begin").isNotNull(), F.left("later_begin", F.lit(5)))
-        .when(time_end.isNotNull(), F.left(time_end, F.lit(5)))
-        .otherwise(calendar.end_text(hour))
+        "CASE WHEN later_begin IS NOT NULL THEN left(later_begin, 5) "
+        f"WHEN time_end IS NOT NULL THEN left(time_end, 5) ELSE {calendar.end_text(hour)} END"
     )
-    return slots.withColumns({"end_dt": end_dt, "end": end_text})
+    return with_exprs(slots, {"end_dt": end_dt, "end": end_text})
 
 
 def display_columns(slots: DataFrame) -> DataFrame:
     """Add ``start`` (``HH:MM`` text) and ``sort_begin`` (the begin text rows are ordered by)."""
-    begin = F.col("begin")
-    return slots.withColumns({"start": F.left(begin, F.lit(5)), "sort_begin": begin})
+    return with_exprs(slots, {"start": "left(begin, 5)", "sort_begin": "begin"})
+
+
+def window_start(as_of: dt.date | None, days: int) -> str:
+    """First date of the window of ``days`` days before ``as_of`` (default: today)."""
+    today = "current_date()" if as_of is None else f"DATE'{as_of.isoformat()}'"
+    return f"date_sub({today}, {days})"
 
 
 def trailing_window(
-    df: DataFrame, date_col: str, as_of: dt.date | Column | None = None, days: int = 2
+    df: DataFrame, date_col: str, as_of: dt.date | None = None, days: int = 2
 ) -> DataFrame:
     """Rows dated ``days`` before ``as_of`` (default: today) or later; undated rows go."""
-    return df.where(F.col(date_col) >= F.date_sub(as_of_date(as_of), days))
-
-
-def as_of_date(as_of: dt.date | Column | None) -> Column:
-    if as_of is None:
-        return F.current_date()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return df.where(f"`{date_col}` >= {window_start(as_of, days)}")
 
 
 def rejected_slots(slots: DataFrame) -> DataFrame:
     """Slots that the boundary split drops because a time cannot be read, counted by reason."""
     reason = (
-        F.when(F.col("record_date").isNull(), "date_begin")
-        .when(F.col("start_dt").isNull(), "begin")
-        .when(F.col("end_dt").isNull(), "time_end")
-    )
-    return (
-        slots.select(reason.alias("reason"))
-        .where(F.col("reason").isNotNull())
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("n_slots"))
+        "CASE WHEN record_date IS NULL THEN 'date_begin' WHEN start_dt IS NULL THEN 'begin' "
+        "WHEN end_dt IS NULL THEN 'time_end' END AS reason"
     )
+    rejected = slots.selectExpr(reason).where("reason IS NOT NULL")
+    return rejected.groupBy("reason").count().withColumnRenamed("count", "n_slots")

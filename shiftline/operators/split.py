@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from shiftline.functions import with_exprs
 from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
 from shiftline.functions.numbers import share
 from shiftline.functions.text_time import minutes_between
@@ -32,52 +32,43 @@ def split_at_boundary(
     Expects and keeps ``production_date``, ``shift``, ``shift_order``, ``start``, ``end`` and
     ``sort_begin``; the pieces get their own.
     """
-    start_col, end_col = F.col(start), F.col(end)
-    hour, boundary = F.col("_hour"), F.col("_boundary")
-    facts = {"_hour": F.hour(start_col), "_date": F.to_date(start_col)}
-    minutes = minutes_between(start_col, boundary), minutes_between(start_col, end_col)
-    shares = {f"_first_{q}": share(F.col(q), *minutes) for q in quantities}
-    crosses = end_col > boundary
+    minutes = minutes_between(start, "_boundary"), minutes_between(start, end)
+    crosses = f"{end} > _boundary"
+    facts = {
+        f"_first_{q}": f"CASE WHEN {crosses} THEN {share(q, *minutes)} END" for q in quantities
+    }
     # Without a start or an end both tests are unknown, and no array means no row.
-    cut = F.when(crosses, F.array(F.lit(1), F.lit(2))).when(~crosses, F.array(F.lit(0)))
-    timed = intervals.withColumns(facts).withColumn(
-        "_boundary", calendar.end_instant(hour, F.col("_date"))
-    )
-
-    before, after = F.col("_piece") == 1, F.col("_piece") == 2
-
-    def following(attribute: str) -> Column:
-        return calendar.pick(
-            hour, lambda shift: F.lit(getattr(calendar.next_shift(shift), attribute))
-        )
+    cut = f"CASE WHEN {crosses} THEN array(1, 2) WHEN NOT ({crosses}) THEN array(0) END"
 
     # A cut interval starts on `_date` whichever way it is booked, and each boundary is the start
     # of a shift that is booked on that same date.
-    own_date = calendar.production_date(hour, F.col("_date"))
-    boundary_text = calendar.end_text(hour)
+    own_date = calendar.production_date("_hour", "_date")
+    boundary_text = calendar.end_text("_hour")
+
+    def following(attribute: str) -> str:
+        return calendar.pick("_hour", lambda shift: getattr(calendar.next_shift(shift), attribute))
 
-    def piece(name: str, if_before: Column, if_after: Column) -> Column:
-        return F.when(before, if_before).when(after, if_after).otherwise(F.col(name))
+    def piece(name: str, before: str, after: str) -> str:
+        return f"CASE _piece WHEN 1 THEN {before} WHEN 2 THEN {after} ELSE `{name}` END"
 
     pieces = {
-        "production_date": piece("production_date", own_date, F.col("_date")),
-        "shift": piece("shift", calendar.label(hour), following("label")),
-        "shift_order": piece("shift_order", calendar.order(hour), following("order")),
-        "start": piece("start", F.col("start"), boundary_text),
-        "end": piece("end", boundary_text, F.col("end")),
-        "sort_begin": piece("sort_begin", F.col("sort_begin"), F.concat(boundary_text, F.lit(":00"))),
-        start: piece(start, start_col, boundary),
-        end: piece(end, boundary, end_col),
-        **{
-            q: piece(q, F.col(f"_first_{q}"), F.col(q) - F.col(f"_first_{q}")).cast(
-                intervals.schema[q].dataType
-            )
-            for q in quantities
-        },
+        "production_date": piece("production_date", own_date, "_date"),
+        "shift": piece("shift", calendar.label("_hour"), following("label")),
+        "shift_order": piece("shift_order", calendar.order("_hour"), following("order")),
+        "start": piece("start", "start", boundary_text),
+        "end": piece("end", boundary_text, "end"),
+        "sort_begin": piece("sort_begin", "sort_begin", f"concat({boundary_text}, ':00')"),
+        start: piece(start, start, "_boundary"),
+        end: piece(end, "_boundary", end),
     }
+    for q in quantities:
+        kind = intervals.schema[q].dataType.simpleString()
+        divided = piece(q, f"`_first_{q}`", f"`{q}` - `_first_{q}`")
+        pieces[q] = f"CAST({divided} AS {kind})"
+    timed = with_exprs(intervals, {"_hour": f"hour({start})", "_date": f"to_date({start})"})
+    bounded = with_exprs(timed, {"_boundary": calendar.end_instant("_hour", "_date")})
     return (
-        timed.withColumns({name: F.when(crosses, first) for name, first in shares.items()})
-        .select("*", F.explode(cut).alias("_piece"))
-        .withColumns(pieces)
-        .select(*intervals.columns)
+        with_exprs(bounded, facts)
+        .selectExpr("*", f"explode({cut}) AS _piece")
+        .selectExpr(*(f"{pieces.get(c, f'`{c}`')} AS `{c}`" for c in intervals.columns))
     )

@@ -6,8 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
 from shiftline.functions.text_time import parse_date
@@ -16,7 +15,6 @@ from shiftline.operators.fill import forward_fill
 from shiftline.operators.intervals import CHANNELS, enrich_intervals, normalise_readings
 from shiftline.operators.lookup import resolve_component
 from shiftline.operators.slots import (
-    as_of_date,
     assign_shift,
     display_columns,
     parse_records,
@@ -26,6 +24,7 @@ from shiftline.operators.slots import (
     trailing_window,
     unpivot_slots,
     unpivot_with_later_slot,
+    window_start,
     with_later_slot,
 )
 from shiftline.operators.split import split_at_boundary
@@ -61,16 +60,14 @@ def slot_intervals(
 
 
 def recent_records(
-    production: DataFrame, as_of: dt.date | Column | None, days: int
+    production: DataFrame, as_of: dt.date | None, days: int
 ) -> DataFrame:
     """Records that can hold slots of the trailing window.
 
     A production date is the record's date or the day before, and slots only depend on their own
     record, so whole records can go before any other work.
     """
-    return production.where(
-        parse_date(F.col("date_begin")) >= F.date_sub(as_of_date(as_of), days)
-    )
+    return production.where(f"{parse_date('date_begin')} >= {window_start(as_of, days)}")
 
 
 def enriched_slots(
@@ -96,7 +93,7 @@ def fill_setpoints(
     enriched: DataFrame, partition_by: Sequence[str] = (), strategy: str = "two_phase"
 ) -> DataFrame:
     """Rows with a component id, channels filled forward in report order."""
-    bookable = enriched.where(F.col("component_id").isNotNull())
+    bookable = enriched.where("component_id IS NOT NULL")
     return forward_fill(bookable, CHANNELS, REPORT_ORDER, partition_by, strategy)
 
 
