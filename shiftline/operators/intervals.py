@@ -94,11 +94,11 @@ def _running_totals(
 
 
 def distinct_intervals(
-    intervals: DataFrame, start: str, end: str, by: Sequence[str] = ()
+    intervals: DataFrame, start: str, end: str, by: Sequence[str] = (), closed: str = "both"
 ) -> DataFrame:
     """The different non-empty (``by``, ``start``, ``end``), with how many rows have each in
-    ``_weight``."""
-    not_empty = intervals.where(f"`{start}` <= `{end}`")
+    ``_weight``. An open interval between equal ends is empty."""
+    not_empty = intervals.where(f"`{start}` {'<' if closed == 'neither' else '<='} `{end}`")
     return _grouped(not_empty, [*by, start, end], ["count(1) AS _weight"])
 
 
@@ -185,7 +185,7 @@ def attach_interval_totals(
     one is joined by key, with the most frequent intervals taken out of the shuffle.
     """
     keys = [*by, start, end]
-    distinct = written(distinct_intervals(intervals, start, end, by))
+    distinct = written(distinct_intervals(intervals, start, end, by, closed))
     per_interval = interval_totals(
         distinct, points, start, end, ts, totals, by, closed, stretches
     )
