@@ -30,18 +30,19 @@ def seconds_of_day(text: str) -> str:
     return f"CAST(CAST({read} - TIMESTAMP_NTZ'{_FIRST_DAY}' AS INTERVAL SECOND) AS INT)"
 
 
-def parse_date(text: str, year_digits: int = 2) -> str:
-    """Date of ``d.M.yy`` (or ``d.M.yyyy``) text. Two-digit years below 70 are 20xx, others 19xx."""
+def _date_text(text: str, year_digits: int) -> str:
+    """``d.M.y`` text turned round to ``y-M-d``, the form Spark's own reader takes."""
+    year = f"split_part({text}, '.', 3)"
+    if year_digits == 2:
+        number = f"try_cast({year} AS INT)"
+        year = f"CASE WHEN {number} BETWEEN 0 AND 99 THEN ({number} + 30) % 100 + 1970 END"
+    month = f"substring_index(substring_index({text}, '.', 2), '.', -1)"
+    return f"concat({year}, '-', {month}, '-', substring_index({text}, '.', 1))"
 
-    def part(position: int) -> str:
-        return f"try_cast(split_part({text}, '.', {position}) AS INT)"
 
-    year = part(3)
-    if year_digits == 2:
-        full = f"CASE WHEN {year} BETWEEN 0 AND 99 THEN (({year}) + 30) % 100 + 1970 END"
-    else:
-        full = f"CASE WHEN {year} BETWEEN 1 AND 9999 THEN {year} END"
-    return f"CAST(try_make_timestamp_ntz({full}, {part(2)}, {part(1)}, 0, 0, 0) AS DATE)"
+def parse_date(text: str, year_digits: int = 2) -> str:
+    """Date of ``d.M.yy`` (or ``d.M.yyyy``) text. Two-digit years below 70 are 20xx, others 19xx."""
+    return f"try_cast({_date_text(text, year_digits)} AS DATE)"
 
 
 def instant(date: str, seconds: str | int) -> str:
@@ -56,8 +57,8 @@ def parse_datetime(date_text: str, time_text: str) -> str:
 
 def parse_datetime_text(text: str) -> str:
     """Instant of ``d.M.yyyy H:m:s`` text (four-digit year)."""
-    date, time = f"split_part({text}, ' ', 1)", f"split_part({text}, ' ', 2)"
-    return instant(parse_date(date, year_digits=4), seconds_of_day(time))
+    date = _date_text(f"substring_index({text}, ' ', 1)", year_digits=4)
+    return f"try_cast(concat({date}, ' ', split_part({text}, ' ', 2)) AS TIMESTAMP_NTZ)"
 
 
 def minutes_between(start: str, end: str) -> str:
