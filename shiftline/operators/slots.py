@@ -14,7 +14,7 @@ A slot ends where the next-later slot of its record starts. There are two ways t
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -50,10 +50,19 @@ def parse_records(records: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) ->
     )
 
 
-def _used_slots(
-    records: DataFrame, groups: Mapping[str, str], n: int, trimmed: str, used_when: str
+def _slot_structs(
+    records: DataFrame,
+    groups: Mapping[str, str],
+    n: int,
+    trimmed: str,
+    used_when: str,
+    leading: Callable[[int], str],
 ) -> tuple[list[str], str]:
-    """Names of the columns outside the repeated groups, and the used slots as an array."""
+    """Names of the columns outside the repeated groups, and an array with a struct per slot.
+
+    Unused slots are NULL. ``leading`` gives the first fields of a slot's struct. Each slot has its
+    own expression rather than a shared lambda, because those are compiled and lambdas are not.
+    """
 
     def field(group: str, name: str, number: int) -> str:
         column = f"`{group}_{number}`"
@@ -61,13 +70,13 @@ def _used_slots(
 
     def slot(number: int) -> str:
         fields = ", ".join(field(group, name, number) for group, name in groups.items())
-        return f"named_struct('slot_no', {number}, {fields})"
+        struct = f"named_struct({leading(number)}, 'slot_no', {number}, {fields})"
+        return f"CASE WHEN coalesce(`{used_when}_{number}`, 0) > 0 THEN {struct} END"
 
     numbers = range(1, n + 1)
     grouped = {f"{group}_{number}" for group in groups for number in numbers}
     slots = f"array({', '.join(slot(number) for number in numbers)})"
-    used = f"filter({slots}, slot -> coalesce(slot.`{used_when}`, 0) > 0)"
-    return [c for c in records.columns if c not in grouped], used
+    return [c for c in records.columns if c not in grouped], slots
 
 
 def unpivot_slots(
@@ -82,8 +91,15 @@ def unpivot_slots(
 
     ``keep`` defaults to all columns outside the repeated groups.
     """
-    ungrouped, used = _used_slots(records, groups, n, trimmed, used_when)
-    return records.selectExpr(*quoted(keep or ungrouped), f"inline({used})")
+    ungrouped, slots = _slot_structs(
+        records, groups, n, trimmed, used_when, lambda number: "'used', true"
+    )
+    kept, names = quoted(keep or ungrouped), quoted(["slot_no", *groups.values()])
+    return (
+        records.selectExpr(*kept, f"inline({slots}) AS (_used, {', '.join(names)})")
+        .where("_used")
+        .drop("_used")
+    )
 
 
 def unpivot_with_later_slot(
@@ -101,23 +117,27 @@ def unpivot_with_later_slot(
     provided a record is one row, and without a shuffle. Slots with equal starts are ordered by
     slot number.
     """
-    ungrouped, used = _used_slots(records, groups, n, trimmed, used_when)
-    kept = quoted(keep or ungrouped)
-    seconds = calendar.seconds_from_record_date("is_evening", "slot.begin")
-    # Sorted downwards, these structs put the latest slot first and unreadable ones last, in slot
-    # order.
-    timed = f"named_struct('at', {seconds}, 'rank', -slot.slot_no, 'slot', slot)"
-    latest_first = f"sort_array(transform({used}, slot -> {timed}), false)"
+
+    def sort_fields(number: int) -> str:
+        seconds = calendar.seconds_from_record_date("is_evening", f"`begin_{number}`")
+        return f"'at', {seconds}, 'rank', {-number}"
+
+    ungrouped, slots = _slot_structs(records, groups, n, trimmed, used_when, sort_fields)
+    kept, names = quoted(keep or ungrouped), ["slot_no", *groups.values()]
+    # Sorted downwards, these structs put the latest slot first, then unreadable ones in slot order,
+    # then the unused ones.
+    latest_first = f"sort_array({slots}, false)"
     # Shifted by one, so that each slot meets the one that starts after it.
     shifted = "slice(concat(array(NULL), this), 1, size(this))"
     return (
         records.selectExpr(*kept, f"{latest_first} AS this")
         .selectExpr(*kept, f"inline(arrays_zip(this, {shifted})) AS (this, later)")
+        .where("this IS NOT NULL")
         .selectExpr(
             *kept,
-            "this.slot.*",
+            *(f"this.`{name}` AS `{name}`" for name in names),
             f"{instant('record_date', 'this.at')} AS start_dt",
-            "later.slot.begin AS later_begin",
+            "later.begin AS later_begin",
             f"{instant('record_date', 'later.at')} AS later_start",
         )
     )
