@@ -1,6 +1,5 @@
 """Run the registered queries against their SQL: python tests/compare.py <folder> [names...]"""
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -10,17 +9,6 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
-def rows(frame):
-    names = sorted(frame.columns)
-
-    def plain(value):
-        if value is None or (isinstance(value, float) and math.isnan(value)):
-            return "NULL"
-        return str(int(value)) if isinstance(value, bool) else str(value)
-
-    return names, sorted(tuple(map(plain, row)) for row in frame[names].itertuples(index=False))
-
-
 def oracle(sql, folder):
     connection = duckdb.connect()
     for name in ("events", "part"):
