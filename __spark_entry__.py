@@ -49,6 +49,12 @@ from shiftline.plans.pipeline import (  # noqa: E402
 from shiftline.sources import derived  # noqa: E402
 from shiftline.streaming.rebooking import rebook_stream  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from shiftline.llm import queries as llm
+except ModuleNotFoundError:  # the training-data operators are not installed
+    corpus_pipeline = llm = None
+
 # The derived records span a month up to this date; the whole-table queries look back over all.
 AS_OF = dt.date(2024, 1, 31)
 WHOLE_SPAN = 3_650
@@ -282,6 +288,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**_booking_queries(), **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})}
+
+
+def _booking_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "unpivot_slots": unpivot_slots,
         "shift_dates": shift_dates,
@@ -310,4 +320,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return ORACLE_SQL | (llm.ORACLE_SQL if llm else {})
