@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftline.llm import language_id
 from shiftline.llm.license_scan import scan_licenses
 from shiftline.llm.mixing import document_sizes, mix_sizes
+from shiftline.llm.packing import pack_documents
+from shiftline.llm.pii import KINDS, find_personal_data
 from shiftline.llm.workspace import Workspace
 
 
@@ -14,6 +17,20 @@ def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def _held_out(parts: int) -> Column:
+    """Whether crc32 of the doc_id as text leaves 2; rows without an id are not held out."""
+    remainder = F.crc32(F.col("doc_id").cast("string")) % parts
+    return F.coalesce(remainder == 2, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~_held_out(4)))
+    return language_id.identify(docs, model).select(
+        "doc_id", _held_out(4).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op5_mix_to_weights(spark: SparkSession, folder: str) -> DataFrame:
     work = Workspace(spark, "mixing")
     docs = _table(spark, folder, "documents", "doc_id", "text", "source")
@@ -38,9 +55,47 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack_documents(_table(spark, folder, "documents", "doc_id", "text"))
+    return packed.select(
+        "doc_id",
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        F.col("sequence_id").cast("long").alias("sequence_id"),
+        F.col("offset").cast("long").alias("offset"),
+    )
+
+
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    base = F.filter("pii_spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        own = F.filter(base, lambda s: s["kind"] == kind)
+        return F.size(own).cast("long").alias(f"n_{kind}")
+
+    return find_personal_data(docs).select(
+        "doc_id",
+        *map(count, KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii_spans")).alias("spans"),
+    )
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op5_mix_to_weights": op5_mix_to_weights,
     "op8_license_scan": op8_license_scan,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {}

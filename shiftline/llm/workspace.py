@@ -7,13 +7,31 @@ are saved. Tables that a later round has replaced are deleted at once.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
+import shiftline
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftline.operators.ordered import shared_folder
 
 _opened: dict[str, list[str]] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Send this library to the Python workers, once per application."""
+    context = (spark or SparkSession.active()).sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(shiftline.__file__).parent
+        folder = tempfile.mkdtemp(prefix="shiftline-")  # the driver serves the file from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = f"{folder}/{package.name}"
+        context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
 
 
 class Workspace:
