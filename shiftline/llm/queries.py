@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from shiftline.llm import language_id
 from shiftline.llm.license_scan import scan_licenses
+from shiftline.llm.embedding_dup import near_embeddings
+from shiftline.llm.html_text import extract_main_text
 from shiftline.llm.mixing import document_sizes, mix_sizes
+from shiftline.llm.near_dup import near_duplicates
 from shiftline.llm.packing import pack_documents
 from shiftline.llm.pii import KINDS, find_personal_data
+from shiftline.llm.pivot_search import search_top
+from shiftline.llm.suffix_tree import score_texts
 from shiftline.llm.workspace import Workspace
 
 
@@ -31,6 +36,23 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages", "page_id", "url", "html")
+    return extract_main_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_table(spark, folder, "documents", "doc_id", "text"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def op4_near_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_embeddings(_table(spark, folder, "embeddings", "vec_id", "embedding"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op5_mix_to_weights(spark: SparkSession, folder: str) -> DataFrame:
     work = Workspace(spark, "mixing")
     docs = _table(spark, folder, "documents", "doc_id", "text", "source")
@@ -38,6 +60,16 @@ def op5_mix_to_weights(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    scored = score_texts(docs, ~_held_out(7))
+    return scored.select("doc_id", _held_out(7).alias("held_out"), *scored.columns[1:])
+
+
+def op7_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search_top(_table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents", "doc_id", "text")
     starts = F.transform("license_base", lambda b: b["start"])
@@ -92,7 +124,12 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_html_text": op2_html_text,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_near_embeddings": op4_near_embeddings,
     "op5_mix_to_weights": op5_mix_to_weights,
+    "op6_suffix_tree": op6_suffix_tree,
+    "op7_pivot_search": op7_pivot_search,
     "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_personal_data": op10_personal_data,
