@@ -1,32 +1,32 @@
 """Pack tokenized documents into sequences by bulk-synchronous best fit.
 
-Pieces are sorted by length once, over all tasks, and get ranks. Bands of lengths, each half as long as
-the one before, go through rounds, the longest band first. A round sorts the gaps of the open
-sequences, sweeps both orders for the successor of each piece, that is the smallest gap that still
-holds it, and settles conflicts by rank: pieces that want the same gap take the following ones in
-order. In ranks this is a running maximum, place(i) = i + max over j <= i of (successor(j) - j). It is
-taken over runs of equal length, of which there are at most as many as a sequence has tokens, so
-the driver sees counts by length, never pieces. Matched gaps shrink, and the round repeats; when
-nothing fits, as many sequences are opened as the rest of the band fills at least.
+Pieces are range-sorted by length over all tasks, and each gets its rank. A superstep handles all
+pieces of one length, the longest first: it looks up the successor, that is the smallest gap that still
+holds the length, gives the gaps from there on to the pieces in order of rank, so that no two
+claim the same place, and updates the gaps. Sequences are opened when no gap is left. Pieces of one length
+and sequences of one gap are alike, so supersteps work on runs of ranks and runs of sequence numbers. There are at
+most as many lengths, and as many gaps, as a sequence has tokens; so the plan's size depends on
+``capacity`` and not on the documents. What grows with the documents, sorting, ranking and placing them, is
+spread over all tasks, and takes one shuffle of rows without text.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from shiftline.llm.ranks import ranked
 from shiftline.llm.workspace import Workspace, ship
 
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-_ROW_BITS = 33
 _CACHE = 400_000  # words a worker remembers
 _CHUNK = 1 << 21  # characters tokenized at once
 
@@ -178,51 +178,60 @@ def tokenized_pieces(
     )
 
 
-def _ranked(df: DataFrame, order: list[str], work: Workspace, table: str):
-    """``df`` written in order with ``_range`` and ``_row``, and its counts by range and ``order[0]``."""
-    ordered = work.write(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_position", F.monotonically_increasing_id()),
-        table,
-    ).withColumn("_range", F.shiftright("_position", _ROW_BITS))
-    counts = ordered.groupBy("_range", order[0]).agg(
-        F.count("*").alias("n"), F.min("_position").alias("first")
-    )
-    # At most one row per length and range: runs of one length are consecutive.
-    counts = sorted((r[0], r[1], r["n"], r["first"]) for r in counts.collect())
-    bases, total = {}, 0
-    for part, _, n, first in counts:
-        if part not in bases:
-            bases[part] = total - first
-        total += n
-    spark = df.sparkSession
-    offsets = spark.createDataFrame(list(bases.items()) or [(-1, 0)], "_range long, _base long")
-    ranked = (
-        ordered.join(F.broadcast(offsets), "_range")
-        .withColumn("rank", F.col("_position") + F.col("_base"))
-        .drop("_range", "_position", "_base")
-    )
-    runs: dict[int, int] = {}
-    for _, value, n, _ in counts:
-        runs[value] = runs.get(value, 0) + n
-    return ranked, dict(sorted(runs.items()))
-
-
-def _sweep(items: list[tuple[int, int, int]], gaps: dict[int, int], slots: dict[int, int]):
-    """Match runs of pieces (length, first rank, end rank) with slots in order of gaps.
-
-    Returns (length, shift) per run, for place = rank + shift, and the number of pieces matched.
-    """
-    values = np.array(list(gaps), np.int64)
-    starts = np.concatenate([[0], np.cumsum([gaps[g] * slots[g] for g in gaps])])
-    shifts, shift, matched = [], None, 0
-    for length, first, end in items:
-        successor = int(starts[np.searchsorted(values, length)])
-        shift = successor - first if shift is None else max(shift, successor - first)
-        shifts.append((length, shift))
-        matched += max(0, min(end + shift, int(starts[-1])) - (first + shift))
-    return shifts, matched, int(starts[-1])
+class _Gaps:
+    """Runs of sequences by gap."""
+
+    def __init__(self):
+        self.sorted: list[int] = []
+        self.runs: dict[int, list[tuple[int, int]]] = {}
+
+    def add(self, gap: int, first: int, count: int) -> None:
+        if gap > 0 and count > 0:
+            if gap not in self.runs:
+                insort(self.sorted, gap)
+                self.runs[gap] = []
+            self.runs[gap].append((first, count))
+
+    def successor(self, length: int) -> tuple[int, int, int] | None:
+        """Take a run of the smallest gap that holds ``length``."""
+        at = bisect_left(self.sorted, length)
+        if at == len(self.sorted):
+            return None
+        gap = self.sorted[at]
+        first, count = self.runs[gap].pop()
+        if not self.runs[gap]:
+            del self.runs[gap], self.sorted[at]
+        return gap, first, count
+
+
+def plan(runs: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
+    """(length, first rank, end rank, first sequence, pieces per sequence, offset) from counts by length."""
+    ranks, total = {}, 0
+    for length in sorted(runs):
+        ranks[length] = total
+        total += runs[length]
+    gaps, opened, rows = _Gaps(), 0, []
+    for length in sorted(runs, reverse=True):
+        rank, left = ranks[length], runs[length]
+        while left:
+            found = gaps.successor(length)
+            if found is None:
+                new = -(-left // (capacity // length))
+                found = capacity, opened, new
+                opened += new
+            gap, first, count = found
+            # A gap that holds several is filled before the next larger one is touched.
+            each = gap // length
+            filled = min(count, left // each)
+            for sequences, pieces in ((filled, each), (1, left - filled * each)):
+                if sequences and count and 0 < pieces <= each and left:
+                    taken = sequences * pieces
+                    rows.append((length, rank, rank + taken, first, pieces, capacity - gap))
+                    gaps.add(gap - pieces * length, first, sequences)
+                    rank, left = rank + taken, left - taken
+                    first, count = first + sequences, count - sequences
+            gaps.add(gap, first, count)
+    return rows
 
 
 def pack(pieces: DataFrame, work: Workspace, capacity: int = CAPACITY) -> DataFrame:
@@ -230,121 +239,22 @@ def pack(pieces: DataFrame, work: Workspace, capacity: int = CAPACITY) -> DataFr
 
     Every row gets its own place, also rows that repeat; an empty table gives an empty table.
     """
-    spark = pieces.sparkSession
-    payload = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    items, runs = _ranked(
-        pieces.select("length", F.struct(*payload).alias("item")).withColumn(
-            "tie", F.xxhash64("item")
-        ),
-        ["length", "tie"],
-        work,
-        "items",
-    )
-    items = items.drop("tie")
-    ranks, total = [], 0  # (length, first rank, end rank), ascending
-    for length, n in runs.items():
-        ranks.append((length, total, total + n))
-        total += n
-    half = next((first for length, first, _ in ranks if length > capacity // 2), total)
-    alone = items.where(F.col("rank") >= half)
-    place = ["item.*", "sequence_id", "offset"]
-    placed = [alone.select("item", F.col("rank").alias("sequence_id"), F.lit(0).alias("offset"))]
-    gaps = alone.select(
-        F.col("rank").alias("sequence_id"), (capacity - F.col("length")).alias("gap")
-    ).where("gap > 0")
-    opened, left, number = total, half, 0
-    most = capacity // 2
-    while left:
-        below = next((first for length, first, _ in ranks if length > most // 2), total)
-        band = (below, left)
-        while band[0] < band[1]:
-            own = [
-                (length, max(first, band[0]), min(end, band[1]))
-                for length, first, end in ranks
-                if first < band[1] and end > band[0]
-            ]
-            shortest, longest = own[0][0], own[-1][0]
-            ranked, kinds = _ranked(
-                gaps.where(F.col("gap") >= ranks[0][0]), ["gap", "sequence_id"], work, f"gaps-{number}"
-            )
-            slots = {g: max(1, g // longest) if g >= shortest else 0 for g in kinds}
-            shifts, matched, _ = _sweep(own, kinds, slots)
-            if not matched:
-                size = sum(length * (end - first) for length, first, end in own)
-                new = -(-size // capacity)
-                gaps = gaps.unionAll(
-                    spark.range(opened, opened + new).select(
-                        F.col("id").alias("sequence_id"), F.lit(capacity).cast("int").alias("gap")
-                    )
-                )
-                opened += new
-                work.drop(f"gaps-{number}")
-                number += 1
-                continue
-            state = _round(ranked, items, kinds, slots, shifts, band, matched, capacity)
-            state = work.write(state, f"round-{number}")
-            work.drop(f"gaps-{number}")
-            placed.append(
-                state.where("item IS NOT NULL").select("item", "sequence_id", "offset")
-            )
-            gaps = state.where("slot = 0").select("sequence_id", "gap")
-            band = (band[0] + matched, band[1])
-            number += 1
-        left, most = below, most // 2
-    packed = placed[0]
-    for more in placed[1:]:
-        packed = packed.unionAll(more)
-    return packed.select(*place)
-
-
-def _round(
-    gaps: DataFrame,
-    items: DataFrame,
-    kinds: dict[int, int],
-    slots: dict[int, int],
-    shifts: list[tuple[int, int]],
-    band: tuple[int, int],
-    matched: int,
-    capacity: int,
-) -> DataFrame:
-    """One row per gap and slot that is needed: what it takes, where, and the gap that remains."""
-    spark = gaps.sparkSession
-    end = band[0] + matched
-    last = end + max(shift for _, shift in shifts)  # beyond it no slot is taken
-    table, rank, slot = [], 0, 0
-    for gap, n in kinds.items():
-        table.append((gap, rank, slot, slots[gap]))
-        rank += n
-        slot += n * slots[gap]
-    table = spark.createDataFrame(table, "gap int, first long, base long, wide int")
-    moved = spark.createDataFrame(shifts, "length int, shift long")
-    wanted = (
-        items.where((F.col("rank") >= band[0]) & (F.col("rank") < end))
-        .join(F.broadcast(moved), "length")
-        .select((F.col("rank") + F.col("shift")).alias("place"), "length", "item")
-    )
-    base = F.col("base") + (F.col("rank") - F.col("first")) * F.col("wide")
-    needed = F.greatest(F.lit(1), F.least("wide", F.lit(last) - F.col("place"))).cast("int")
-    offered = (
-        gaps.join(F.broadcast(table), "gap")
-        .withColumn("place", base)
-        .withColumn("slot", F.explode(F.sequence(F.lit(0), needed - 1)))
-        .select(
-            "sequence_id",
-            "gap",
-            "slot",
-            F.when(F.col("wide") > 0, F.col("place") + F.col("slot")).alias("place"),
-        )
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    items = pieces.select("length", F.struct(*kept).alias("item"))
+    items = ranked(items.withColumn("tie", F.xxhash64("item")), ["length", "tie"], work, "ordered")
+    runs = {r["length"]: r["count"] for r in items.groupBy("length").count().collect()}
+    rows = pieces.sparkSession.createDataFrame(
+        plan(runs, capacity),
+        "length int, first long, end long, sequence long, each long, start long",
     )
-    of = Window.partitionBy("sequence_id")
-    before = of.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.lit(capacity) - F.col("gap")
+    place = F.col("rank") - F.col("first")
     return (
-        offered.join(wanted, "place", "left")
-        .withColumn("offset", start + F.coalesce(F.sum("length").over(before), F.lit(0)))
-        .withColumn("gap", F.col("gap") - F.coalesce(F.sum("length").over(of), F.lit(0)))
+        items.join(F.broadcast(rows), "length")
+        .where("rank >= first AND rank < end")
         .select(
-            "sequence_id", "slot", F.col("gap").cast("int"), "item", F.col("offset").cast("int")
+            "item.*",
+            (F.col("sequence") + F.floor(place / F.col("each"))).cast("long").alias("sequence_id"),
+            (F.col("start") + place % F.col("each") * F.col("length")).alias("offset"),
         )
     )
 
