@@ -51,7 +51,7 @@ def _signatures(vectors: DataFrame, signs: int, tables: int) -> DataFrame:
                     random = np.random.default_rng([20240607, size])
                     planes[size] = random.standard_normal((size, tables * signs))
                 bits = (matrix @ planes[size] > 0).reshape(-1, tables, signs)
-                numbers = bits @ weights
+                numbers = bits @ weights | (size & 0x7FFF) << 48  # dimensions do not meet
                 some = matrix.any(axis=1)
                 for place, vector, number, ok in zip(places, matrix, numbers, some, strict=True):
                     if ok:
@@ -92,13 +92,8 @@ def _links_within(cosine: float):
             if len(bucket) < 2:
                 continue
             bucket = bucket.sort_values("rep")
-            vectors = [np.frombuffer(v) for v in bucket["vector"]]
-            size = max(map(len, vectors))
-            if min(map(len, vectors)) < size:  # equal signs, but of other dimensions
-                vectors = [v if len(v) == size else np.zeros(size) for v in vectors]
-            matrix = np.array(vectors)
+            matrix = np.array([np.frombuffer(v) for v in bucket["vector"]])
             length = np.sqrt((matrix * matrix).sum(axis=1))
-            length = np.where(length > 0, length, np.inf)
             linked = matrix @ matrix.T / np.multiply.outer(length, length) >= cosine
             np.fill_diagonal(linked, False)
             own, other = bucket["own"].to_numpy(), bucket["other"].to_numpy()

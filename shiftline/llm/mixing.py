@@ -230,6 +230,28 @@ def mix_sizes(sizes: DataFrame, work: Workspace, seed: int = 0, **targets) -> Da
     )
 
 
+_RESULT = ("size", "source_size", "target", "copies", "taken")
+
+
+def with_mix(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
+    """``docs`` with the results of ``mix_to_weights`` as the fields of a column ``_mixed``."""
+    work = Workspace(docs.sparkSession, "mixing")
+    mixed = mix_sizes(work.write(document_sizes(docs), "sizes"), work, seed, **targets)
+    # Rows that agree in the key have equal results.
+    mixed = mixed.dropDuplicates(list(_UNIT)).select(
+        F.col("doc_id").alias("_doc_id"),
+        F.col("source").alias("_source"),
+        F.col("text_key").alias("_text_key"),
+        F.struct(*_RESULT).alias("_mixed"),
+    )
+    return docs.join(
+        mixed,
+        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+        & F.xxhash64("text").eqNullSafe(F.col("_text_key")),
+    ).select(*(docs[c] for c in docs.columns), "_mixed")
+
+
 def mix_to_weights(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
     """Add size, source_size, target, copies and taken to ``docs`` (doc_id, text, source, ...).
 
@@ -240,23 +262,5 @@ def mix_to_weights(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
     equally often. An empty table gives an empty table. Input columns that bear a result's name are
     replaced.
     """
-    work = Workspace(docs.sparkSession, "mixing")
-    sizes = work.write(document_sizes(docs), "sizes")
-    mixed = mix_sizes(sizes, work, seed, **targets)
-    new = ["size", "source_size", "target", "copies", "taken"]
-    mixed = mixed.dropDuplicates(["doc_id", "source", "text_key"]).select(
-        F.col("doc_id").alias("_doc_id"),
-        F.col("source").alias("_source"),
-        F.col("text_key").alias("_text_key"),
-        F.struct(*new).alias("_mixed"),
-    )
-    kept = [c for c in docs.columns if c not in new]
-    return (
-        docs.join(
-            mixed,
-            F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-            & F.col("source").eqNullSafe(F.col("_source"))
-            & F.xxhash64("text").eqNullSafe(F.col("_text_key")),
-        )
-        .select(*(docs[c] for c in kept), "_mixed.*")
-    )
+    kept = [c for c in docs.columns if c not in _RESULT]
+    return with_mix(docs.select(*kept), seed, **targets).select(*kept, "_mixed.*")

@@ -1,25 +1,66 @@
-"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+All but the last return the columns they were given, whatever else they hold. Documents need doc_id, text,
+lang and source; rows with nulls go through as each operator says.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftline.llm.mixing import mix_to_weights
+from shiftline.llm import language_id
+from shiftline.llm.mixing import with_mix
+from shiftline.llm.near_dup import near_duplicates
+from shiftline.llm.packing import pack_documents
+from shiftline.llm.pii import mask_spans, personal_spans
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Without the documents that language identification rejects: those without a letter, and those
+    far from every language that the labelled rows teach."""
+    model = language_id.fit(docs)
+    return (
+        docs.withColumn("_found", language_id.predicted(model))
+        .where("NOT _found.rejected")
+        .select(*docs.columns)
+    )
+
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates.
 
-one_of_each_group = masked = packed = known_language
+    Rows that repeat a doc_id are one document. Rows without a doc_id are not compared and stay.
+    """
+    found = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL")
+    first = named.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return first.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+
+
+def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by [EMAIL], [IP], [CARD] and [PHONE]; n_chars, if there, follows."""
+    found = docs.withColumn("_spans", personal_spans())
+    text = F.when(F.size("_spans") > 0, mask_spans("text", F.col("_spans"))).otherwise(F.col("text"))
+    changed = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.when(F.size("_spans") > 0, F.char_length("text").cast(kind))
+        changed = changed.withColumn("n_chars", length.otherwise(F.col("n_chars")))
+    return changed.select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; those taken 0 times go."""
-    taken = mix_to_weights(docs.withColumn("_row", F.struct(*docs.columns)))
+    copies = F.col("_mixed.copies").cast("int")
     return (
-        taken.where("copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select("_row.*")
+        with_mix(docs)
+        .where(copies > 0)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+        .select(*docs.columns)
     )
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows with their places in sequences."""
+    return pack_documents(docs).drop("ids")
