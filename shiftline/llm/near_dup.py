@@ -6,16 +6,14 @@ node, so similar sets go down the same path; a node that is small enough is comp
 Trees are independent, and there are as many as the recall asks for: a pair of similarity s shares a
 node of the first level of one tree with probability s.
 
-There are two rounds, so that a large group of near copies is not compared pair by pair. The first round
-takes two trees, cuts large nodes into blocks that share one member, and from each block only a spanning
-forest of its likely pairs. These are confirmed on the full sets, and their components are found. The
-second round takes all other trees. A node within one component has nothing left to tell and ends;
-the others branch until they are small, and every likely pair across components is confirmed. So a link
-is left out only where the two documents are known to be connected.
-
-Likely pairs are those whose minwise values agree well enough (``LIKELY``, four standard deviations
-below the threshold). Small sets are always likely. Confirmation recomputes the sets of the classes
-concerned from their texts.
+A node is compared on the sets' ``SKETCH`` smallest hashes, which for most documents are the whole set, by
+counting along lists of the classes that hold a hash. What leaves the node is no more than one link per
+class: a spanning forest of the links it found, so a large group of near copies never becomes a list of
+pairs. Links that leave a node are confirmed on the full sets, recomputed from the texts.
+
+There are two rounds. The first takes two trees and cuts large nodes into blocks that share one member;
+its links give first components. The second takes the other trees. A node whose classes are all connected
+has nothing left to tell and ends; the others branch until they are small, and give links across components.
 """
 
 from __future__ import annotations
@@ -36,17 +34,20 @@ from shiftline.llm.workspace import Workspace, ship
 SHINGLE = 5
 PERCENT = 75  # links have 100 * intersection >= PERCENT * union
 FIRST_TREES = 2
-TREES = 12  # of the second round: a pair at the threshold is missed with probability 0.25 ** 12
+TREES = 10  # of the second round: a pair at the threshold is missed with probability 0.25 ** 10
 PLACES = 128  # minwise values of a set, one per interval of hashes
-LIKELY = 0.6
-SMALL = 32  # sets of so few shingles are likely whatever their minwise values
-NODE = 512  # classes that are compared exhaustively
-DEPTH = 10
-GROUP_ROWS = 8192
+SKETCH = 1024
+# Similarity on sketches from which sets that are larger than a sketch may be linked, and from which they
+# surely are: four standard deviations from the threshold.
+LIKELY, SURE = 0.695, 0.805
+NODE = 2048  # classes that are compared exhaustively
+DEPTH = 12
+GROUP_ROWS = 4096
 FILTER_BITS = 25  # of the filter that tells which texts are needed
 
 _FEATURES = (
-    "doc_id long, n_shingles long, set_key binary, paths array<long>, values array<short>"
+    "doc_id long, n_shingles long, set_key binary, paths array<long>, values array<short>,"
+    " sketch binary"
 )
 _BELOW = np.uint64(1) << np.uint64(57)
 _EDGES = np.arange(PLACES, dtype=np.uint64) * _BELOW
@@ -69,12 +70,12 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
 
 
 def set_features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (equal for equal sets), paths and values, per document."""
+    """doc_id, n_shingles, set_key (equal for equal sets), paths, values and sketch, per document."""
     ship(docs.sparkSession)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, keys, paths, values = [], [], [], []
+            counts, keys, paths, values, sketches = [], [], [], [], []
             for first, end, words, bounds in word_hashes(batch.column(1)):
                 for k in range(end - first):
                     shingles = shingle_set(words[bounds[k] : bounds[k + 1]], SHINGLE)
@@ -83,11 +84,13 @@ def set_features(docs: DataFrame) -> DataFrame:
                         keys.append(None)
                         paths.append(None)
                         values.append(None)
+                        sketches.append(None)
                         continue
                     keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                     least = minwise(shingles)
                     paths.append(least[: FIRST_TREES + TREES].view(np.int64))
                     values.append(least.astype(np.uint16).view(np.int16))
+                    sketches.append((shingles[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -95,8 +98,9 @@ def set_features(docs: DataFrame) -> DataFrame:
                     pa.array(keys, pa.binary()),
                     pa.array(paths, pa.list_(pa.int64())),
                     pa.array(values, pa.list_(pa.int16())),
+                    pa.array(sketches, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "paths", "values"],
+                names=["doc_id", "n_shingles", "set_key", "paths", "values", "sketch"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(features, _FEATURES)
@@ -105,67 +109,100 @@ def set_features(docs: DataFrame) -> DataFrame:
 # --- comparing nodes --------------------------------------------------------------------------
 
 
-def _agreement(values: np.ndarray) -> np.ndarray:
-    return np.array([(values == row).mean(axis=1) for row in values], np.float32)
-
-
-def _likely(values: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Agreement of the pairs that may be links, else 0."""
-    agree = _agreement(values)
-    few = np.minimum.outer(sizes, sizes) * 100 >= PERCENT * np.maximum.outer(sizes, sizes)
-    small = np.maximum.outer(sizes, sizes) <= SMALL
-    likely = few & (small | (agree >= LIKELY)) & (labels[:, None] != labels[None, :])
-    return np.where(likely, agree + np.float32(0.001), 0)
-
-
-def _forest(agree: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the likely pairs that prefers those that agree best."""
-    rest = np.ones(len(agree), bool)
-    best, source = np.zeros(len(agree), np.float32), np.zeros(len(agree), np.int64)
-    pairs = []
+def _similarities(sketches: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """Similarity of all pairs as far as sketches tell; 0 where sizes rule a link out."""
+    k = len(sketches)
+    held = np.array([len(x) for x in sketches])
+    last = np.array([x[-1] for x in sketches])
+    _, code = np.unique(np.concatenate(sketches), return_inverse=True)
+    lists = np.argsort(code, kind="stable")
+    owner = np.repeat(np.arange(k), held)[lists]
+    length = np.bincount(code)
+    first = np.cumsum(length) - length
+    result = np.zeros((k, k), np.float32)
+    starts = np.cumsum(held) - held
+    for i in range(k):
+        own = code[starts[i] : starts[i] + held[i]]
+        own = own[length[own] > 1]
+        many = length[own]
+        end = np.cumsum(many)
+        if len(own) == 0:
+            continue
+        at = np.arange(end[-1]) + np.repeat(first[own] - (end - many), many)
+        common = np.bincount(owner[at], minlength=k)
+        near = 100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i])
+        near &= common > 0
+        here, there = np.full(k, held[i]), held.copy()
+        for j in np.flatnonzero(near & ((sizes > held) | (sizes[i] > held[i]))):
+            # Up to the smaller of the largest hashes both sets are known in full.
+            bounds = [last[x] for x in (i, j) if sizes[x] > held[x]]
+            here[j] = np.searchsorted(sketches[i], min(bounds), side="right")
+            there[j] = np.searchsorted(sketches[j], min(bounds), side="right")
+        result[i] = np.where(near, common / np.maximum(here + there - common, 1), 0)
+    np.fill_diagonal(result, 0)
+    return result
+
+
+def _forest(links: np.ndarray, labels: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A spanning forest of the links, the closest first, where equal labels are connected already.
+
+    Also returns the number of the tree that each member is in.
+    """
+    k = len(links)
+    rest, free = np.ones(k, bool), np.zeros(k, bool)
+    best, source = np.zeros(k, np.float32), np.zeros(k, np.int64)
+    tree, trees, pairs = np.zeros(k, np.int64), 0, []
     while rest.any():
         i = int(np.where(rest, best, -1).argmax())
-        if best[i] > 0:
+        if best[i] == 0:
+            trees += 1
+        elif not free[i]:
             pairs.append((int(source[i]), i))
-        rest[i] = False
-        closer = rest & (agree[i] > best)
-        best[closer], source[closer] = agree[i][closer], i
-    return pairs
-
-
-def _pairs_of(whole: bool):
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["node", "rep"])
-        nodes = group["node"].to_numpy()
-        cuts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]]))
-        reps, sizes = group["rep"].to_numpy(), group["n_shingles"].to_numpy()
-        labels = group["label"].to_numpy()
-        values = np.stack(group["values"].to_numpy())
-        found: list[tuple[int, int]] = []
-        for a, b in zip(cuts, [*cuts[1:], len(nodes)], strict=True):
-            if b - a < 2:
-                continue
-            agree = _likely(values[a:b], sizes[a:b], labels[a:b])
-            if whole:
-                pairs = zip(*np.nonzero(np.triu(agree)), strict=True)
-            else:
-                pairs = _forest(agree)
+        tree[i], rest[i] = trees, False
+        alike = rest & (labels == labels[i])
+        best[alike], free[alike] = 2, True
+        closer = rest & (links[i] > best)
+        best[closer], source[closer] = links[i][closer], i
+    return pairs, tree
+
+
+def _node_links(
+    sketches: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray
+) -> list[tuple[int, int]]:
+    close = _similarities(sketches, sizes)
+    whole = sizes <= [len(x) for x in sketches]
+    exact = whole[:, None] & whole[None, :]
+    sure = np.where(exact, 100 * close >= PERCENT - 1e-4, close >= SURE)
+    pairs, tree = _forest(np.where(sure, close, 0), labels)
+    maybe = ~exact & ~sure & (close >= LIKELY) & (tree[:, None] != tree[None, :])
+    return pairs + list(zip(*np.nonzero(np.triu(maybe)), strict=True))
+
+
+def _links_of(group: pd.DataFrame) -> pd.DataFrame:
+    group = group.sort_values(["node", "rep"])
+    nodes = group["node"].to_numpy()
+    cuts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]]))
+    reps, sizes = group["rep"].to_numpy(), group["n_shingles"].to_numpy()
+    labels = group["label"].to_numpy()
+    sketches = [np.frombuffer(x, "<u4") for x in group["sketch"]]
+    found: list[tuple[int, int]] = []
+    for a, b in zip(cuts, [*cuts[1:], len(nodes)], strict=True):
+        if b - a > 1:
+            pairs = _node_links(sketches[a:b], sizes[a:b], labels[a:b])
             found += [(reps[a + i], reps[a + j]) for i, j in pairs]
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
 
-    return compare
 
-
-def _compared(members: DataFrame, classes: DataFrame, rows: int, whole: bool) -> DataFrame:
-    """Likely pairs of classes within the nodes of ``members`` (node, rep, label)."""
+def _compared(members: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
+    """Links between classes within the nodes of ``members`` (node, rep, label), yet to be confirmed."""
     groups = max(1, -(-rows // GROUP_ROWS))
-    full = members.join(classes.select("rep", "n_shingles", "values"), "rep")
+    full = members.join(classes.select("rep", "n_shingles", "sketch"), "rep")
     bucket = F.pmod(F.xxhash64("node"), F.lit(groups)).alias("bucket")
     return (
-        full.select(bucket, "node", "rep", "label", "n_shingles", "values")
+        full.select(bucket, "node", "rep", "label", "n_shingles", "sketch")
         .groupBy("bucket")
-        .applyInPandas(_pairs_of(whole), "a long, b long")
+        .applyInPandas(_links_of, "a long, b long")
         .distinct()
     )
 
@@ -280,19 +317,12 @@ def _small_nodes(classes: DataFrame, work: Workspace) -> DataFrame:
         large = level.where(f"size > {NODE}")
         if large.isEmpty():
             break
-        # Two places per node: the expected number of shared children of a pair at the threshold is 1.5.
-        children = F.array(
-            *(
-                F.struct(
-                    F.lit(b).alias("branch"),
-                    F.expr(f"element_at(values, CAST(pmod(xxhash64(node, {b}), {PLACES}) AS INT) + 1)").alias("v"),
-                )
-                for b in (0, 1)
-            )
-        )
-        grown = large.join(values, "rep").select(
-            "rep", "label", F.explode(F.transform(children, lambda c: F.xxhash64("node", c["branch"], c["v"]))).alias("node")
-        )
+        # One or two places per node, by its hash: a pair of similarity s shares 1.5 * s children on average.
+        places = F.expr("IF(pmod(xxhash64(node, 7), 2) = 0, array(0), array(0, 1))")
+        value = "element_at(values, CAST(pmod(xxhash64(node, b), {}) AS INT) + 1)".format(PLACES)
+        children = F.expr(f"transform(places, b -> xxhash64(node, b, {value}))")
+        grown = large.join(values, "rep").withColumn("places", places)
+        grown = grown.select("rep", "label", F.explode(children).alias("node"))
         level = work.write(_open_nodes(grown.select("node", "rep", "label")), f"level-{depth}")
         ready.append(level.where(f"size <= {NODE}").select("node", "rep", "label"))
     else:
@@ -336,13 +366,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         named.join(keys, "set_key")
         .where("doc_id = rep")
         .dropDuplicates(["rep"])
-        .select("rep", "n_shingles", "paths", "values", F.col("rep").alias("label")),
+        .select("rep", "n_shingles", "paths", "values", "sketch", F.col("rep").alias("label")),
         "classes",
     )
 
     opened = work.write(_open_nodes(_first_level(classes, range(FIRST_TREES))), "first-nodes")
     blocks = work.write(_blocks(opened), "first-blocks")
-    pairs = work.write(_compared(blocks, classes, blocks.count(), whole=False), "first-pairs")
+    pairs = work.write(_compared(blocks, classes, blocks.count()), "first-pairs")
     links = work.write(_confirmed(pairs, docs, work, "first"), "first-links")
     work.drop("sets-first")
     known = work.write(connected_components(links, work, "first"), "first-components")
@@ -355,7 +385,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "labelled",
     )
     members = work.write(_small_nodes(labelled, work), "members")
-    more = _compared(members, labelled, members.count(), whole=True)
+    more = _compared(members, labelled, members.count())
     more = work.write(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     more_links = work.write(_confirmed(more, docs, work, "more"), "more-links")
     work.drop("sets-more")

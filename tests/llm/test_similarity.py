@@ -98,7 +98,7 @@ def near_copies(rng, n, size, changes, first):
     return rows
 
 
-@pytest.mark.parametrize("node, depth", [(512, 10), (12, 10), (8, 1)])
+@pytest.mark.parametrize("node, depth", [(2048, 12), (12, 12), (8, 1)])
 def test_near_duplicates(spark, monkeypatch, node, depth):
     """Small nodes force blocks, branching and, with little depth, pairs of blocks."""
     monkeypatch.setattr(near_dup, "NODE", node)
