@@ -244,6 +244,58 @@ def payload_in_batches(spark: SparkSession, folder: str) -> DataFrame:
     return payload_batches(rows, order)
 
 
+def interval_totals_fine(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of a channel with eight decimal places."""
+    points = with_exprs(
+        _readings(spark, folder),
+        {"fine": "CAST((bentonite * 70 + 3) * 0.00000001BD AS DECIMAL(18,8))"},
+    )
+    totals = I.attach_interval_totals(
+        _pieces(spark, folder).select("id", "slot_no", "start_dt", "end_dt"),
+        points,
+        "start_dt",
+        "end_dt",
+        "mem_dt",
+        {"fine": "fine"},
+    )
+    return _plain(totals)
+
+
+def interval_enrich_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """No table small enough to broadcast, and intervals that two slots share count as heavy."""
+    enriched = I.enrich_intervals(
+        _pieces(spark, folder),
+        _readings(spark, folder),
+        broadcast_rows=0,
+        stretches=("hour", "day"),
+        heavy_rows=2,
+    )
+    return _plain(enriched)
+
+
+def lookup_fallback_large(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup counts as too large to broadcast."""
+    slots = S.unpivot_slots(derived.production(spark, folder)).select("id", "slot_no", "component")
+    return resolve_component(slots, derived.component_map(spark, folder), broadcast_bytes=0)
+
+
+def collated_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """Components that differ in case only count as one."""
+    spelled = "CASE WHEN id % 2 = 0 THEN lower(component) ELSE component END"
+    pieces = with_exprs(_pieces(spark, folder), {"component": spelled})
+    keys = ["production_date", "shift", "component"]
+    return _plain(I.grouped_alike(pieces, keys, "UTF8_LCASE", ["count(1) AS n"]))
+
+
+def rebook_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run over the whole span left out, as the job reports it."""
+    path = _new_path(spark, "rebook_rejects")
+    rebook(
+        _sources(spark, folder), path, AS_OF, WHOLE_SPAN, skipped_path=f"{path}-skipped"
+    )
+    return spark.read.parquet(f"{path}-skipped")
+
+
 def rebooked(spark: SparkSession, folder: str) -> DataFrame:
     """Two overlapping cycles into one folder; the later one replaces what both cover."""
     path = _new_path(spark, "rebooked")
@@ -314,6 +366,11 @@ def _booking_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recent_bookings": recent_bookings,
         "payload_json": payload,
         "payload_batches": payload_in_batches,
+        "interval_totals_fine": interval_totals_fine,
+        "interval_enrich_by_key": interval_enrich_by_key,
+        "lookup_fallback_large": lookup_fallback_large,
+        "collated_slots": collated_slots,
+        "rebook_rejects": rebook_rejects,
         "rebooked": rebooked,
         "stream_rebooked": stream_rebooked,
     }

@@ -273,6 +273,29 @@ _KEYS = (
 )
 
 
+# The payload's columns, and whether they print as text.
+_PAYLOAD = {
+    "date": True, "shift": True, "startTime": True, "endTime": True, "componentId": False,
+    "totalMould": False, "unpouredMould": False, "noOfBoxesPoured": False, "foundryLineId": False,
+    "badBatches": False, "noOfBatches": False, "bentoniteSetPoint": False,
+    "newSandSetPoint": False, "coalDustSetPoint": False, "waterSetPoint": False,
+}
+_JSON = (
+    "'{' || "
+    + " || ',' || ".join(
+        f"""'"{name}":' || coalesce({'chr(34) || ' if text else ''}"{name}"{' || chr(34)' if text else '::VARCHAR'}, '""')"""
+        for name, text in _PAYLOAD.items()
+    )
+    + " || '}'"
+)
+_BOOKED = _CTES["booked"].split("SELECT", 1)[1].rsplit("FROM filled", 1)[0]
+_REPORTED = (
+    "ORDER BY production_date NULLS FIRST, shift_order NULLS FIRST, sort_begin NULLS FIRST, "
+    'component NULLS FIRST, component_key NULLS FIRST, "start" NULLS FIRST, "end" NULLS FIRST, '
+    "moulded NULLS FIRST, poured NULLS FIRST, waste NULLS FIRST"
+)
+
+
 def _fill(scope: str, partition: str) -> str:
     filled = ", ".join(
         f"last_value({value} IGNORE NULLS) OVER w AS {name}"
@@ -377,6 +400,45 @@ ORACLE_SQL = {
         'bentonite AS "Bentonite", new_sand AS "New Sand", lca AS "LCA", water AS "Water", '
         'n_batches AS "No of Batches", n_bad AS "Bad Batch" FROM resolved',
     ),
+    "payload_json": _query(_TO_BOOKED, f"SELECT {_JSON} AS payload FROM booked"),
+    "payload_batches": _query(
+        _TO_BOOKED,
+        "SELECT place // 500 AS batch_id, count(*) AS n_bookings, "
+        f"'[' || string_agg({_JSON}, ', ' ORDER BY place) || ']' AS payload "
+        f"FROM (SELECT *, row_number() OVER ({_REPORTED}) - 1 AS place "
+        "FROM (SELECT f.*, {_BOOKED} FROM filled f)) GROUP BY 1".replace("{_BOOKED}", _BOOKED),
+    ),
+    "interval_totals_fine": _query(
+        (*_TO_PIECES, "readings", "intervals"),
+        f"SELECT id, slot_no, {_seconds('p.start_dt').replace('AS p.', 'AS ')}, "
+        f"{_seconds('p.end_dt').replace('AS p.', 'AS ')}, "
+        "CAST(coalesce(c.fine, 0) AS DOUBLE) / 100000000 AS fine FROM pieces p LEFT JOIN "
+        "(SELECT i.start_dt, i.end_dt, sum(c3 * 7 + 3) AS fine FROM intervals i JOIN readings r "
+        "ON r.mem_dt >= i.start_dt AND r.mem_dt <= i.end_dt GROUP BY ALL) c "
+        "ON c.start_dt = p.start_dt AND c.end_dt = p.end_dt",
+    ),
+    "rebook_rejects": _query(
+        (*_TO_END, "lookup", "resolved"),
+        "SELECT 'unmapped' AS reason, component, count(*) AS n_slots FROM resolved "
+        "WHERE component_id IS NULL AND component IS NOT NULL GROUP BY ALL UNION ALL "
+        "SELECT CASE WHEN start_dt IS NULL THEN 'begin' ELSE 'time_end' END AS reason, NULL, "
+        "count(*) FROM ended WHERE start_dt IS NULL OR end_dt IS NULL GROUP BY 1",
+        unresolved="(SELECT * FROM ended WHERE start_dt IS NOT NULL AND end_dt IS NOT NULL "
+        "AND production_date IS NOT NULL)",
+    ),
+    "collated_slots": _query(
+        _TO_PIECES,
+        "SELECT production_date, shift, component, n FROM (SELECT "
+        f"{_day('production_date')}, shift, min(spelled) AS component, count(*) AS n FROM (SELECT *, "
+        "CASE WHEN id % 2 = 0 THEN lower(component) ELSE component END AS spelled FROM pieces) "
+        "GROUP BY 1, 2, lower(spelled))",
+    ),
+    "lookup_fallback_large": _query(
+        ("records", "slots", "lookup", "resolved"),
+        "SELECT id, slot_no, component, component_key, component_id FROM resolved",
+        unresolved="slots",
+    ),
+    "interval_enrich_by_key": _query(_TO_MERGED, f"SELECT {_MERGED} FROM merged"),
     "booking_rows": _query(_TO_BOOKED, "SELECT * FROM booked"),
     "recent_bookings": _query(
         _TO_BOOKED, "SELECT * FROM booked", window="production_date >= DATE '2024-01-18'"

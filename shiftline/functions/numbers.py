@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-# Widest decimal Spark has; totals over any number of readings stay exact in it.
-TOTAL_TYPE = "decimal(38,5)"
+# With more decimal places a mean could not be decided within Spark's 38 digits.
+MOST_PLACES = 17
 
 
-def exact_mean(total: str, count: str) -> str:
+def exact_mean(total: str, count: str, places: int = 5) -> str:
     """``total / count`` rounded to two places, halves away from zero; NULL when ``count`` is 0.
 
-    The rounding is decided on whole numbers, so no intermediate digit is lost and no value is
-    rounded twice, however many readings went into the total.
+    ``total`` is a decimal with ``places`` decimal places and at most 33 digits. The rounding is
+    decided on whole numbers, so no digit is lost and no value is rounded twice, however many
+    readings went into the total.
     """
+    if places > MOST_PLACES:
+        raise ValueError(f"means of numbers with more than {MOST_PLACES} decimal places")
     divisor = f"CAST(nullif({count}, 0) AS DECIMAL(20,0))"
-    doubled = f"CAST(abs({total}) * 200 + {divisor} AS {TOTAL_TYPE})"
-    hundredths = f"{doubled} div CAST({divisor} * 2 AS {TOTAL_TYPE})"
+    doubled = f"CAST(abs({total}) AS DECIMAL(33,{places})) * 200 + {divisor}"
+    hundredths = f"({doubled}) div CAST({divisor} * 2 AS DECIMAL(21,0))"
     signed = f"CAST(CAST(sign({total}) AS INT) * ({hundredths}) AS DECIMAL(20,0))"
     return f"CAST({signed} * 0.01 AS DECIMAL(18,2))"
 

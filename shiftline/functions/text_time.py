@@ -24,9 +24,16 @@ def hour_of(text: str) -> str:
 def seconds_of_day(text: str) -> str:
     """Seconds since midnight of ``H:m:s`` text, missing parts counting as 0; NULL for other text.
 
+    Blanks around the text do not count. Besides digits, colons and a point nothing may stand in it, so a
+    time with a zone is unreadable. All parts of an empty text are missing: it is midnight.
+
     Reads the text as a time on the first day of the epoch, which is the cheapest reader Spark has.
     """
-    read = f"try_cast(concat('{_FIRST_DAY} ', {text}) AS TIMESTAMP_NTZ)"
+    plain = f"trim({text})"
+    read = (
+        f"CASE WHEN translate({plain}, '0123456789:.', '') = '' "
+        f"THEN try_cast(concat('{_FIRST_DAY} ', {plain}) AS TIMESTAMP_NTZ) END"
+    )
     return f"CAST(CAST({read} - TIMESTAMP_NTZ'{_FIRST_DAY}' AS INTERVAL SECOND) AS INT)"
 
 

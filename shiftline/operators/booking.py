@@ -135,19 +135,23 @@ def payload_batches(
     batch_size: int = 500,
     columns: Sequence[str] = BOOKING_COLUMNS,
 ) -> DataFrame:
-    """JSON arrays of at most ``batch_size`` bookings each, numbered along ``order_by``.
+    """JSON arrays of ``batch_size`` bookings each, the last one may be shorter, numbered from 0.
 
-    Consecutive batches hold consecutive bookings. A batch never reaches over a range of the order,
-    so the last one of each range may be shorter.
+    Batches hold consecutive bookings along ``order_by``. They do not depend on the number of tasks:
+    a booking's number is its place in its range of the order plus the bookings of the ranges before.
     """
-    ranged = pinned_ranges(bookings, [f"{c} ASC" for c in order_by])
-    number = "row_number() OVER (PARTITION BY _range ORDER BY _position) - 1"
+    ranged = pinned_ranges(bookings, [(c, "ASC") for c in order_by])
+    counts = ranged.groupBy("_range").agg(
+        F.expr("count(1) AS _n"), F.expr("min(_position) AS _first")
+    )
+    # One row per range.
+    earlier = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    counts = counts.selectExpr("_range", f"coalesce(sum(_n) {earlier}, 0) - _first AS _base")
     members = f"struct(_position, {booking_json(columns)} AS json)"
     batches = (
-        ranged.selectExpr("*", f"({number}) div {batch_size} AS _batch")
-        .groupBy("_range", "_batch")
+        ranged.join(F.broadcast(counts), "_range")
+        .groupBy(F.expr(f"(_position + _base) div {batch_size} AS batch_id"))
         .agg(
-            F.expr("min(_position) AS batch_id"),
             F.expr("count(1) AS n_bookings"),
             F.expr(f"sort_array(collect_list({members})) AS _bookings"),
         )

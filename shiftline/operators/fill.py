@@ -36,7 +36,7 @@ def forward_fill(
     if strategy != "two_phase":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    ranged = pinned_ranges(df, [f"{c} ASC" for c in (*partition_by, *order_by)])
+    ranged = pinned_ranges(df, [(c, "ASC") for c in (*partition_by, *order_by)])
     edges = edge_before(
         ranged,
         {f"_edge_{c}": (f"struct({listed([*partition_by, c])})", f"`{c}` IS NOT NULL") for c in cols},

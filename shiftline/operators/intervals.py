@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftline.functions import listed, quoted, with_exprs
-from shiftline.functions.numbers import TOTAL_TYPE, exact_mean
+from shiftline.functions.numbers import exact_mean
 from shiftline.functions.text_time import parse_datetime_text
 from shiftline.operators.ordered import written
-from shiftline.operators.skew import join_by_weight
+from shiftline.operators.skew import HEAVY_ROWS, join_by_weight
 
 # Rows of the interval table (two instants and a dozen numbers, some 300 bytes) up to which every
 # executor gets a copy of it.
@@ -42,8 +42,15 @@ def _stretch(unit: str, instant: str) -> str:
     raise ValueError(f"unknown stretch {unit!r}")
 
 
-def _total_type(kind: T.DataType) -> str:
-    return "bigint" if isinstance(kind, T.IntegralType) else TOTAL_TYPE
+def _total_type(name: str, kind: T.DataType) -> str:
+    if isinstance(kind, T.IntegralType):
+        return "bigint"
+    if isinstance(kind, T.DecimalType):
+        return f"decimal(38,{kind.scale})"
+    raise ValueError(
+        f"total {name!r} is {kind.simpleString()}: differences of running totals are only exact "
+        "for whole numbers and decimals; cast it to a decimal"
+    )
 
 
 def _grouped(df: DataFrame, keys: Sequence[str], aggregates: Sequence[str]) -> DataFrame:
@@ -115,8 +122,8 @@ def interval_totals(
 ) -> DataFrame:
     """Add to every distinct interval the totals of the points inside it.
 
-    ``totals`` are numeric expressions over ``points``, as SQL text; NULL counts as 0. Whole numbers
-    are added up as bigint, all others as ``decimal(38,5)``. ``closed`` says which ends belong to
+    ``totals`` are expressions over ``points``, as SQL text; NULL counts as 0. Whole numbers are
+    added up as bigint, decimals at their own scale; floats and doubles are refused. ``closed`` says which ends belong to
     the interval: ``both``, ``left``, ``right`` or ``neither``. ``by`` names columns on both sides
     that must be equal as well.
 
@@ -129,7 +136,7 @@ def interval_totals(
     measured = points.selectExpr(
         *keys, f"`{ts}` AS _instant", *(f"{total} AS `{name}`" for name, total in totals.items())
     )
-    kinds = {name: _total_type(measured.schema[name].dataType) for name in totals}
+    kinds = {name: _total_type(name, measured.schema[name].dataType) for name in totals}
     bounds = intervals.selectExpr(
         "*", f"stack(2, `{start}`, false, `{end}`, true) AS (_instant, _is_end)"
     )
@@ -177,6 +184,7 @@ def attach_interval_totals(
     closed: str = "both",
     stretches: Sequence[str] = ("day",),
     broadcast_rows: int = BROADCAST_INTERVALS,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Every interval with the totals of the points inside it; 0 where there are none.
 
@@ -192,7 +200,8 @@ def attach_interval_totals(
     if distinct.count() <= broadcast_rows:
         joined = intervals.join(F.broadcast(per_interval.drop("_weight")), keys, "left")
     else:
-        joined = join_by_weight(intervals, per_interval, keys, "_weight")
+        empty = f"`{start}` {'>=' if closed == 'neither' else '>'} `{end}`"
+        joined = join_by_weight(intervals, per_interval, keys, "_weight", heavy_rows, empty)
     return with_exprs(joined, {name: f"coalesce(`{name}`, 0)" for name in totals})
 
 
@@ -220,10 +229,26 @@ def normalise_readings(
 ) -> DataFrame:
     """``mem_dt`` and ``type`` of every reading, and its channels in their reporting unit.
 
-    ``collation`` (such as ``UTF8_LCASE``) decides how ``type`` compares; the default is bytewise.
+    Channels keep every digit: a tenth has one decimal place more than its input. They must be
+    decimals or whole numbers. ``collation`` (such as ``UTF8_LCASE``) decides how ``type`` compares;
+    the default is bytewise.
     """
+    def number(channel: str) -> tuple[int, int]:
+        kind = readings.schema[channel].dataType
+        if isinstance(kind, T.IntegralType):
+            return 20, 0
+        if isinstance(kind, T.DecimalType):
+            return min(kind.precision, 36), kind.scale
+        raise ValueError(f"{channel} is {kind.simpleString()}: cast it to a decimal")
+
     def tenth(channel: str) -> str:
-        return f"CAST(CAST({channel} AS DECIMAL(18,4)) / 10 AS DECIMAL(20,5))"
+        digits, places = number(channel)
+        exact = f"CAST({channel} AS DECIMAL({digits},{places})) * 0.1BD"
+        return f"CAST({exact} AS DECIMAL({digits + 1},{places + 1}))"
+
+    def whole(channel: str) -> str:
+        digits, places = number(channel)
+        return f"CAST({channel} AS DECIMAL({digits},{places}))"
 
     kind = "type" if collation is None else f"collate(type, '{collation}')"
     return readings.selectExpr(
@@ -231,7 +256,7 @@ def normalise_readings(
         f"{parse_datetime_text('mem_date_time')} AS mem_dt",
         f"{kind} AS type",
         f"{tenth('comp_3')} AS bentonite",
-        "CAST(comp_2 AS DECIMAL(20,5)) AS new_sand",
+        f"{whole('comp_2')} AS new_sand",
         f"{tenth('comp_5')} AS lca",
         f"{tenth('water')} AS water",
     )
@@ -262,11 +287,16 @@ def enrich_intervals(
     channels: Sequence[str] = CHANNELS,
     keys: Sequence[str] = REPORT_KEYS,
     broadcast_rows: int = BROADCAST_INTERVALS,
+    stretches: Sequence[str] = ("day",),
+    collation: str | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """One row per different slot, with channel means over good readings and batch counts.
 
     Slots that agree on ``keys`` merge: means are taken over the readings of all of them, counts
-    are the largest. Slots without readings have NULL means and counts of 0.
+    are the largest. Slots without readings have NULL means and counts of 0. With a ``collation``
+    text keys that it holds equal merge, and the spelling that is first bytewise is kept. For
+    ``stretches`` see ``interval_totals``.
     """
     keys = list(dict.fromkeys([*by, *keys]))
     totals = {**batch_counts(), **channel_totals(channels)}
@@ -279,12 +309,19 @@ def enrich_intervals(
         totals,
         by,
         closed,
-        broadcast_rows=broadcast_rows,
+        stretches,
+        broadcast_rows,
+        heavy_rows,
     )
     kinds = {name: attached.schema[name].dataType.simpleString() for name in totals}
-    merged = _grouped(
+
+    def places(total: str) -> int:
+        return getattr(attached.schema[total].dataType, "scale", 0)
+
+    merged = grouped_alike(
         attached,
         keys,
+        collation,
         [
             *(f"CAST(sum(`{t}`) AS {kinds[t]}) AS `{t}`" for t in channel_totals(channels)),
             *(f"max(`{t}`) AS `{t}`" for t in batch_counts()),
@@ -292,10 +329,32 @@ def enrich_intervals(
     )
     return merged.selectExpr(
         *quoted([*keys, *batch_counts()]),
-        *(f"{exact_mean(f'`sum_{c}`', f'`n_{c}`')} AS `{c}`" for c in channels),
+        *(
+            f"{exact_mean(f'`sum_{c}`', f'`n_{c}`', places(f'sum_{c}'))} AS `{c}`"
+            for c in channels
+        ),
     )
 
 
-def collapse_duplicates(slots: DataFrame, keys: Sequence[str] = REPORT_KEYS) -> DataFrame:
-    """One row per different slot; quantities are keys and are not added up."""
-    return slots.select(*keys).distinct()
+def grouped_alike(
+    df: DataFrame, keys: Sequence[str], collation: str | None, aggregates: Sequence[str]
+) -> DataFrame:
+    """Group by ``keys``; text keys compare by ``collation`` and keep their first spelling."""
+    texts = [c for c in keys if collation and isinstance(df.schema[c].dataType, T.StringType)]
+    named = {c: f"collate(`{c}`, '{collation}') AS `_{c}`" for c in texts}
+    groups = [F.expr(named.get(c, f"`{c}`")) for c in keys]
+    spelled = [f"min(collate(`{c}`, 'UTF8_BINARY')) AS `{c}`" for c in texts]
+    grouped = df.groupBy(*groups).agg(*map(F.expr, [*spelled, *aggregates]))
+    return grouped.drop(*(f"_{c}" for c in texts))
+
+
+def collapse_duplicates(
+    slots: DataFrame, keys: Sequence[str] = REPORT_KEYS, collation: str | None = None
+) -> DataFrame:
+    """One row per different slot; quantities are keys and are not added up.
+
+    With a ``collation`` text keys that it holds equal merge, as in ``enrich_intervals``.
+    """
+    if collation is None:
+        return slots.select(*keys).distinct()
+    return grouped_alike(slots, keys, collation, ["count(1) AS _n"]).select(*keys)

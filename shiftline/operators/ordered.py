@@ -10,11 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 # monotonically_increasing_id keeps the partition number above bit 33.
 _ROW_BITS = 33
 
@@ -26,6 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder and folder.startswith("file:") and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is a local folder; executors need a shared one")
     if folder:
         return folder
     if not context.master.startswith("local"):
@@ -35,20 +41,38 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and safe from then on."""
+    """``df`` written to the shared folder and read back: computed once, and safe from then on.
+
+    Inside ``run_folder`` the table goes when the run ends; otherwise it stays.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/shiftline-{uuid.uuid4().hex}"
+    path = f"{_run_folder.get() or shared_folder(spark)}/shiftline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pinned_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside go to one folder, which is deleted at the end, also after a failure."""
+    path = f"{shared_folder(spark)}/shiftline-run-{uuid.uuid4().hex}"
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(place, True)
+
+
+def pinned_ranges(df: DataFrame, order: Sequence[tuple[str, str]]) -> DataFrame:
     """Add ``_position``, which rises along ``order``, and ``_range``, its partition.
 
-    ``order`` is SQL text like ``start_dt DESC NULLS LAST``. Ranges are balanced whatever the
+    ``order`` pairs column names with directions like ``DESC NULLS LAST``. This writes the rows, so it
+    runs their plan. Ranges are balanced whatever the
     leading order columns hold, as long as the full order tells rows apart. AQE merges small ones.
     """
-    columns = [F.expr(item) if " " not in item else _sort_order(item) for item in order]
+    columns = [_sort_order(*item) for item in order]
     return written(
         df.repartitionByRange(*columns)
         .sortWithinPartitions(*columns)
@@ -56,9 +80,8 @@ def pinned_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
     ).selectExpr("*", f"shiftright(_position, {_ROW_BITS}) AS _range")
 
 
-def _sort_order(item: str) -> Column:
-    name, _, direction = item.partition(" ")
-    column = F.col(name)
+def _sort_order(name: str, direction: str) -> Column:
+    column = F.col(f"`{name}`")
     return {
         "ASC": column.asc,
         "DESC": column.desc,

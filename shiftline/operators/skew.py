@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from shiftline.functions import listed, quoted
 
-# A key with this many rows is heavy. There can be at most one heavy key per so many rows of the
-# large side, which bounds what is broadcast.
+# A key with this many rows is heavy, and of those the most frequent ones are broadcast: so many rows
+# fit every executor. Other keys hold a share of the rows that a task can take.
 HEAVY_ROWS = 1_000_000
+MOST_HEAVY = 20_000
 
 # Size up to which a lookup is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -24,21 +25,31 @@ def join_by_weight(
     keys: Sequence[str],
     weight: str,
     heavy_rows: int = HEAVY_ROWS,
+    unmatched: str = "false",
 ) -> DataFrame:
     """Left join with a side that has one row per key and knows how many left rows want it.
 
     Rows with a heavy key get their match from a broadcast of the heavy keys alone. They still pass
-    the shuffle of the light join, but spread by row instead of by key.
+    the shuffle of the light join, but spread by row instead of by key. So do rows that match
+    nothing for certain: those with a NULL key, and those for which ``unmatched`` holds.
     """
     values = [c for c in right.columns if c not in keys and c != weight]
-    heavy = right.where(f"`{weight}` >= {heavy_rows}").selectExpr(
-        *quoted(keys), f"struct({listed(values)}) AS _heavy"
+    heavy = (
+        right.where(f"`{weight}` >= {heavy_rows}")
+        .orderBy(F.desc(weight), *keys)
+        .limit(MOST_HEAVY)
+        .selectExpr(*quoted(keys), f"struct({listed(values)}) AS _heavy")
     )
-    light = right.where(f"`{weight}` < {heavy_rows}").selectExpr(
+    # A heavy key stays here as well: its rows do not look for it.
+    light = right.selectExpr(
         *quoted(keys), f"struct({listed(values)}) AS _light", "0L AS _spread"
     )
-    # Odd for rows that have their match already, so that they meet no light row.
-    spread = f"CASE WHEN _heavy IS NULL THEN 0L ELSE xxhash64({listed(left.columns)}) | 1L END"
+    nothing = " OR ".join([f"({unmatched})", *(f"`{k}` IS NULL" for k in keys)])
+    # Odd for rows that have their match already or have none, so that they meet no light row.
+    spread = (
+        f"CASE WHEN _heavy IS NULL AND NOT ({nothing}) THEN 0L "
+        f"ELSE xxhash64({listed(left.columns)}) | 1L END"
+    )
     return (
         left.join(F.broadcast(heavy), list(keys), "left")
         .selectExpr("*", f"{spread} AS _spread")
@@ -69,11 +80,20 @@ def left_lookup(
 ) -> DataFrame:
     """Left join with a lookup table on a key that few values may dominate.
 
-    A lookup of checked size is broadcast. A larger one is copied ``salts`` times, so that the rows
-    of one key spread over as many tasks.
+    A lookup of checked size is broadcast. In a larger one the names that hold a share of
+    ``1 / salts`` of the left rows, of which there are at most ``salts``, are copied ``salts`` times, so
+    that their rows spread over as many tasks; other names stay single. NULL names match nothing and
+    are spread as well.
     """
     if fits_broadcast(lookup, broadcast_bytes):
         return left.join(F.broadcast(lookup), key, "left")
-    salted = lookup.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
-    salt = f"CAST(pmod(xxhash64({listed(left.columns)}), {salts}) AS INT) AS _salt"
-    return left.selectExpr("*", salt).join(salted, [key, "_salt"], "left").drop("_salt")
+    counts = left.groupBy(key).count().where(f"`{key}` IS NOT NULL")
+    rows = counts.agg(F.sum("count")).first()[0] or 0
+    # At most `salts` values.
+    hot = [r[key] for r in counts.where(F.col("count") * salts >= max(rows, 1)).collect()]
+    is_hot = F.col(f"`{key}`").isin(hot) if hot else F.lit(False)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = lookup.withColumn("_salt", F.explode(copies))
+    spread = F.expr(f"CAST(pmod(xxhash64({listed(left.columns)}), {salts}) AS INT)")
+    salt = F.when(is_hot | F.col(f"`{key}`").isNull(), spread).otherwise(F.lit(0))
+    return left.withColumn("_salt", salt).join(salted, [key, "_salt"], "left").drop("_salt")

@@ -185,7 +185,8 @@ def with_later_slot(
     if strategy != "two_phase":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    ranged = pinned_ranges(slots, [*(f"{c} ASC" for c in record_key), *order])
+    by_time = [(order_col, "DESC NULLS LAST"), *((c, "ASC") for c in tie_break)]
+    ranged = pinned_ranges(slots, [*((c, "ASC") for c in record_key), *by_time])
     edges = edge_before(ranged, {"_edge": (f"struct({listed([*record_key, *later.values()])})", "true")})
     over = f"OVER (PARTITION BY _range, {listed(record_key)} ORDER BY _position)"
     carried = f"{FIRST_OF_RANGE} AND {same_key('_edge', record_key)}"
@@ -198,19 +199,25 @@ def with_later_slot(
     )
 
 
-def resolve_end(slots: DataFrame, calendar: ShiftCalendar = THREE_SHIFTS) -> DataFrame:
+def resolve_end(
+    slots: DataFrame,
+    calendar: ShiftCalendar = THREE_SHIFTS,
+    fix_next_day_fallback: bool = False,
+) -> DataFrame:
     """Add ``end_dt`` and its display text ``end``.
 
     A slot ends where the next-later slot of its record starts; the last one at the record's
     ``time_end``; without that, at the end of the shift its begin hour names, on
     ``record_date``. That last rule gives an evening record's slot past midnight an end before its
-    start, which makes an empty interval.
+    start, which makes an empty interval; ``fix_next_day_fallback`` counts from the day the slot
+    starts on instead.
     """
     hour = hour_of("begin")
+    last_day = "to_date(start_dt)" if fix_next_day_fallback else "record_date"
     end_dt = (
         "CASE WHEN later_start IS NOT NULL THEN later_start "
         "WHEN time_end IS NOT NULL THEN record_end_dt "
-        f"ELSE {calendar.end_instant(hour, 'record_date')} END"
+        f"ELSE {calendar.end_instant(hour, last_day)} END"
     )
     end_text = (
         "CASE WHEN later_begin IS NOT NULL THEN left(later_begin, 5) "

@@ -7,11 +7,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
+from shiftline.functions.text_time import parse_date
 from shiftline.operators.booking import BOOKING_COLUMNS
-from shiftline.plans.pipeline import Sources, bookings
+from shiftline.operators.lookup import resolve_component
+from shiftline.operators.ordered import run_folder
+from shiftline.operators.slots import rejected_slots, trailing_window, window_start
+from shiftline.plans.pipeline import Sources, bookings, slot_intervals
 from shiftline.sources.sinks import write_bookings
 
 
+def skipped(
+    sources: Sources,
+    as_of: dt.date | None = None,
+    window_days: int = 2,
+    strict: bool = False,
+    collation: str | None = None,
+    one_row_per_record: bool = True,
+    calendar: ShiftCalendar = THREE_SHIFTS,
+    fix_next_day_fallback: bool = False,
+) -> DataFrame:
+    """What the window does not book: ``reason``, ``component`` and ``n_slots``.
+
+    ``unmapped`` names a component without an id; the other reasons name the text that could not be
+    read. Records whose date cannot be read are counted whatever the window.
+    """
+    dated = f"{parse_date('date_begin')} >= {window_start(as_of, window_days)}"
+    records = sources.production.where(f"coalesce({dated}, true)")
+    slots = slot_intervals(records, one_row_per_record, calendar, fix_next_day_fallback)
+    recent = trailing_window(slots, "production_date", as_of, window_days)
+    named = resolve_component(
+        recent.where("start_dt IS NOT NULL AND end_dt IS NOT NULL"),
+        sources.component_map,
+        strict=strict,
+        collation=collation,
+    )
+    unmapped = (
+        named.where("component_id IS NULL AND component IS NOT NULL").groupBy("component").count()
+    )
+    return unmapped.selectExpr("'unmapped' AS reason", "component", "count AS n_slots").unionAll(
+        rejected_slots(slots).selectExpr("reason", "CAST(NULL AS STRING)", "n_slots")
+    )
+
+
 def rebook(
     sources: Sources,
     path: str,
@@ -20,15 +58,30 @@ def rebook(
     lookback_days: int = 0,
     line_id: int = 1,
     columns: Sequence[str] = BOOKING_COLUMNS,
+    skipped_path: str | None = None,
     **options,
 ) -> dict[str, int]:
     """Compute the bookings of the trailing window and replace them under ``path``.
 
     ``lookback_days`` computes that many more days and books none of them: the first dates of the
-    window then inherit setpoints, and morning halves of night slots, from before it.
+    window then inherit setpoints, and morning halves of night slots, from before it. With a
+    ``skipped_path`` the table of ``skipped`` is replaced there, and its counts are returned as well.
+    ``as_of`` defaults to the session's current date. Intermediate tables are deleted at the end.
     """
-    as_of = as_of or dt.date.today()
-    rows: DataFrame = bookings(
-        sources, as_of, window_days + lookback_days, line_id, columns, **options
-    )
-    return write_bookings(rows, path, as_of, window_days)
+    spark = sources.production.sparkSession
+    as_of = as_of or spark.sql("SELECT current_date()").first()[0]
+    days = window_days + lookback_days
+    with run_folder(spark):
+        rows: DataFrame = bookings(sources, as_of, days, line_id, columns, **options)
+        result = write_bookings(rows, path, as_of, window_days)
+        if skipped_path is not None:
+            known = {k: v for k, v in options.items() if k not in ("fill_strategy", "stretches")}
+            missed = skipped(sources, as_of, window_days, **known)
+            missed.write.mode("overwrite").parquet(skipped_path)
+            found = spark.read.schema(missed.schema).parquet(skipped_path)
+            counts = found.selectExpr(
+                "count_if(reason = 'unmapped') AS unmapped_names",
+                "coalesce(sum(n_slots) FILTER (WHERE reason <> 'unmapped'), 0) AS rejected_slots",
+            )
+            result |= counts.first().asDict()
+    return result

@@ -43,6 +43,7 @@ def slot_intervals(
     production: DataFrame,
     one_row_per_record: bool = True,
     calendar: ShiftCalendar = THREE_SHIFTS,
+    fix_next_day_fallback: bool = False,
 ) -> DataFrame:
     """One row per used slot with its start, end, shift and production date.
 
@@ -54,9 +55,9 @@ def slot_intervals(
         slots = unpivot_with_later_slot(records, calendar=calendar)
     else:
         slots = with_later_slot(resolve_start(unpivot_slots(records), calendar), ("id",))
-    for step in (production_date, assign_shift, resolve_end):
+    for step in (production_date, assign_shift):
         slots = slots.transform(step, calendar=calendar)
-    return display_columns(slots)
+    return display_columns(resolve_end(slots, calendar, fix_next_day_fallback))
 
 
 def recent_records(
@@ -78,14 +79,20 @@ def enriched_slots(
     collation: str | None = None,
     one_row_per_record: bool = True,
     calendar: ShiftCalendar = THREE_SHIFTS,
+    stretches: Sequence[str] = ("day",),
+    fix_next_day_fallback: bool = False,
 ) -> DataFrame:
     """Split slots of the trailing window with readings and component ids."""
     records = recent_records(sources.production, as_of, window_days)
-    slots = slot_intervals(records, one_row_per_record, calendar)
+    slots = slot_intervals(records, one_row_per_record, calendar, fix_next_day_fallback)
     recent = trailing_window(slots, "production_date", as_of, window_days)
     split = split_at_boundary(recent, calendar=calendar)
-    readings = normalise_readings(sources.readings, collation=collation)
-    enriched = enrich_intervals(split, readings)
+    # What is booked in the window starts at or after its first midnight. Totals are differences, so
+    # readings from before it change nothing.
+    readings = normalise_readings(sources.readings, collation=collation).where(
+        f"mem_dt >= CAST({window_start(as_of, window_days)} AS TIMESTAMP_NTZ)"
+    )
+    enriched = enrich_intervals(split, readings, collation=collation, stretches=stretches)
     return resolve_component(enriched, sources.component_map, strict=strict, collation=collation)
 
 

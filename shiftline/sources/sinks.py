@@ -17,9 +17,11 @@ def write_bookings(
 
     Running it again for the same ``as_of`` gives the same files' content. Dates before the window
     are left alone, so bookings computed with some days of lookback only replace dates that were
-    computed from whole records. Dates of the window that no longer have bookings become empty.
+    computed from whole records. The window has no upper end: a date from its first day on that no
+    longer has bookings loses its folder, also one after ``as_of``.
 
-    Returns the number of rows written and of dates emptied.
+    Returns the number of rows written and of dates emptied. When no booking is left at all, read the
+    folder with a schema.
     """
     first = as_of - dt.timedelta(days=window_days)
     written = Observation("bookings")
@@ -34,22 +36,20 @@ def write_bookings(
         .parquet(path)
     )
     metrics = written.get
-    emptied = _empty_dates(bookings, path, first, as_of, metrics["dates"])
+    emptied = _empty_dates(bookings, path, first, metrics["dates"])
     return {"rows": metrics["rows"], "emptied": emptied}
 
 
-def _empty_dates(
-    bookings: DataFrame, path: str, first: dt.date, last: dt.date, booked: list[str]
-) -> int:
-    """Overwrite the folders of dates from ``first`` to ``last`` that were not ``booked`` with no
-    rows. Returns how many had rows."""
+def _empty_dates(bookings: DataFrame, path: str, first: dt.date, booked: list[str]) -> int:
+    """Delete the folders of dates from ``first`` on that were not ``booked``. Returns how many."""
     spark = bookings.sparkSession
     before = spark.read.schema(bookings.schema).parquet(path).select("date")
-    in_window = F.col("date").between(first.isoformat(), last.isoformat())
+    in_window = F.col("date") >= first.isoformat()
     stale = before.where(in_window & ~F.col("date").isin(booked)).distinct().collect()
-    nothing = spark.createDataFrame([], bookings.drop("date").schema)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for row in stale:
-        nothing.write.mode("overwrite").parquet(f"{path}/date={row.date}")
+        files.delete(folder.suffix(f"/date={row.date}"), True)
     return len(stale)
 
 

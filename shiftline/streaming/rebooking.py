@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shiftline.plans.job import rebook
@@ -23,7 +23,7 @@ def rebook_stream(
     load_sources: Callable[[], Sources],
     path: str,
     checkpoint: str,
-    as_of: Callable[[], dt.date] = dt.date.today,
+    as_of: Callable[[], dt.date | None] = lambda: None,
     every: str | None = "900 seconds",
     **options,
 ) -> StreamingQuery:
@@ -44,3 +44,30 @@ def rebook_stream(
         .trigger(**trigger)
         .start()
     )
+
+
+def rebook_on_schedule(
+    spark: SparkSession,
+    load_sources: Callable[[], Sources],
+    path: str,
+    checkpoint: str,
+    as_of: Callable[[], dt.date | None] = lambda: None,
+    every: str = "900 seconds",
+    **options,
+) -> StreamingQuery:
+    """Start rebooking once per ``every``, whether or not new records have arrived.
+
+    So late readings, new component ids and a new day take effect in the next cycle. The stream's
+    only input is a clock.
+    """
+
+    def book(_batch: DataFrame, _batch_id: int) -> None:
+        rebook(load_sources(), path, as_of(), **options)
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return (
+        ticks.writeStream.foreachBatch(book)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )

@@ -48,7 +48,7 @@ def hot_rows(n=600, seed=7):
 @pytest.mark.parametrize("keys", [(), ("k",)])
 def test_fill_across_ranges(many_ranges, keys):
     df = many_ranges.createDataFrame(hot_rows(), "i INT, k INT, a INT, b INT")
-    assert pinned_ranges(df, ["i ASC"]).select("_range").distinct().count() > 4
+    assert pinned_ranges(df, [("i", "ASC")]).select("_range").distinct().count() > 4
     plain = forward_fill(df, ["a", "b"], ["i"], keys, strategy="window")
     assert same_rows(forward_fill(df, ["a", "b"], ["i"], keys), plain)
 
