@@ -12,12 +12,16 @@ spread over all tasks, and takes one shuffle of rows without text.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,94 +31,101 @@ from shiftline.llm.workspace import Workspace, ship
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-_CACHE = 400_000  # words a worker remembers
-_CHUNK = 1 << 21  # characters tokenized at once
+_CACHE = 600_000  # words a worker remembers
+_CHUNK = 1 << 23  # bytes tokenized at once
 
-_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_LATIN = frozenset(
-    [chr(c) for c in range(128) if chr(c).isalpha()]
-    + [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()]
-)
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+# Letters, then punctuation: what the tokenizer splits into just these two, whatever it does elsewhere.
+_PLAIN = re.compile(f"([{_LETTERS}]*)([{re.escape(_PUNCTUATION)}]*)")
+
+
+def _bytes_of_symbols() -> dict[str, int]:
+    """The byte that each character of the vocabulary stands for: printable Latin-1 characters stand for
+    themselves, other bytes for the characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def _pair_merger(path: str):
+    """A function from the bytes of one plain word part to its ids.
+
+    It merges pairs in the order of the vocabulary, as the tokenizer does, but without that one's fixed
+    cost per call. The mark of a word's end is byte 255, which no UTF-8 text contains. (Tests compare the two.)
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        settings = json.load(file)
+    special = {t["content"] for t in settings["added_tokens"]}
+    mark, byte = settings["model"]["end_of_word_suffix"], _bytes_of_symbols()
+    ranks = {}
+    for token, number in settings["model"]["vocab"].items():
+        if token not in special:
+            body = token.removesuffix(mark)
+            ranks[bytes(map(byte.get, body)) + b"\xff" * (body != token)] = number
+    coder = tiktoken.Encoding("words", pat_str=".+", mergeable_ranks=ranks, special_tokens={})
+    return coder._core_bpe.encode_single_piece
 
 
 class _Words(dict):
-    """Word -> number; remembers the numbers of the parts that are tokenized."""
+    """Word -> number, and the token ids of all words that were met, one after the other."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Plain parts are known to be alike for the tokenizer this library is made for.
+        self.merge = _pair_merger(path) if path.endswith(TOKENIZER) else None
         self.start()
 
     def start(self) -> None:
         self.clear()
-        self.parts: list[tuple[int, ...]] = []  # word number -> part numbers
-        self.part_number: dict[str, int] = {}
-        self.ids: list[list[int]] = []  # part number -> token ids
-        self.new: list[str] = []
-
-    def _part(self, text: str) -> int:
-        # Lower-casing ASCII is what the tokenizer does itself; here it saves repeated work.
-        text = text.lower() if text.isascii() else text
-        number = self.part_number.get(text)
-        if number is None:
-            number = self.part_number[text] = len(self.part_number)
-            self.new.append(text)
-        return number
+        self.ids, self.ends = array("I"), array("q", [0])
 
     def __missing__(self, word: str) -> int:
-        # The tokenizer separates letters from what is neither letter nor digit, so punctuation
-        # after a letter is tokenized for itself.
-        body = word.rstrip(_PUNCTUATION)
-        if body and len(body) < len(word) and body[-1] in _LATIN:
-            parts = (self._part(body), self._part(word[len(body) :]))
+        plain = _PLAIN.fullmatch(word) if self.merge and "<|" not in word else None
+        if plain:
+            for part in plain.groups():
+                if part:
+                    self.ids.extend(self.merge(part.lower().encode() + b"\xff"))
         else:
-            parts = (self._part(word),)
-        number = self[word] = len(self.parts)
-        self.parts.append(parts)
+            self.ids.extend(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        self.ends.append(len(self.ids))
+        number = self[word] = len(self.ends) - 2
         return number
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts in a row, and where each text begins (one more at the end)."""
-        if len(self.parts) > _CACHE:
+        if len(self) > _CACHE:
             self.start()
         # Blanks and line ends separate tokens, and nothing spans them.
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        numbers = np.fromiter(
-            (n for line in words for n in map(self.__getitem__, line)),
-            np.int64,
-            sum(map(len, words)),
-        )
-        if self.new:
-            encoded = self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False)
-            self.ids += [e.ids for e in encoded]
-            self.new = []
-        used, numbers = np.unique(numbers, return_inverse=True)
-        tokens = [[t for p in self.parts[w] for t in self.ids[p]] for w in used.tolist()]
-        lengths = np.array([len(t) for t in tokens], np.int64)
-        flat = np.array([i for t in tokens for i in t], np.uint32)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else lengths
-        length = lengths[numbers]
-        ends = np.cumsum(length)
-        index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(
-            starts[numbers] - (ends - length), length
-        )
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(w) for w in words])])]
-        return flat[index], bounds
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        bounds = np.asarray(words.offsets)
+        words = words.flatten().dictionary_encode()
+        known = np.array([self[w] for w in words.dictionary.to_pylist()], np.int64)
+        numbers = known[words.indices.to_numpy()]
+        ids, ends = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
+        starts = ends[numbers]
+        length = ends[numbers + 1] - starts
+        to = np.cumsum(length)
+        index = np.arange(to[-1] if len(to) else 0) + np.repeat(starts - (to - length), length)
+        return ids[index], np.concatenate([[0], to])[bounds - bounds[0]]
 
 
 _words: dict[str, _Words] = {}
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > _CHUNK:
-            yield first, i
-            first, size = i, 0
-        size += len(text)
-    if first < len(texts):
-        yield first, len(texts)
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Groups of texts of about ``_CHUNK`` bytes."""
+    at = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
+    first = 0
+    while first < len(texts):
+        end = int(np.searchsorted(at, at[first] + _CHUNK, side="right")) - 1
+        end = min(max(end, first + 1), len(texts))
+        yield first, end
+        first = end
 
 
 _PIECES = "doc_id {id}, piece int, start long, length int, ids_crc32 long, ids binary"
@@ -147,9 +158,9 @@ def tokenized_pieces(
             _words[tokenizer] = _Words(tokenizer)
         words = _words[tokenizer]
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).cast(pa.large_string()).fill_null("")
             for a, b in _chunks(texts):
-                ids, bounds = words.encode(texts[a:b])
+                ids, bounds = words.encode(texts.slice(a, b - a))
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
                 for k in range(b - a):
                     own = np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end)).astype("<u4")
