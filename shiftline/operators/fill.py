@@ -37,16 +37,19 @@ def forward_fill(
         raise ValueError(f"unknown strategy {strategy!r}")
 
     ranged = pinned_ranges(df, [(c, "ASC") for c in (*partition_by, *order_by)])
+    edge = {c: f"_edge_{i}" for i, c in enumerate(cols)}
     edges = edge_before(
         ranged,
-        {f"_edge_{c}": (f"struct({listed([*partition_by, c])})", f"`{c}` IS NOT NULL") for c in cols},
+        {
+            edge[c]: (f"struct({listed([*partition_by, c])})", f"`{c}` IS NOT NULL") for c in cols
+        },
     )
     over = f"OVER (PARTITION BY {listed(['_range', *partition_by])} ORDER BY _position {so_far})"
 
     def filled(c: str) -> str:
-        carried = f"CASE WHEN {same_key(f'_edge_{c}', partition_by)} THEN `_edge_{c}`.`{c}` END"
+        carried = f"CASE WHEN {same_key(edge[c], partition_by)} THEN {edge[c]}.`{c}` END"
         return f"coalesce(last(`{c}`, true) {over}, {carried})"
 
     return with_exprs(ranged.join(edges, "_range", "left"), {c: filled(c) for c in cols}).drop(
-        "_range", "_position", *(f"_edge_{c}" for c in cols)
+        "_range", "_position", *edge.values()
     )

@@ -40,9 +40,12 @@ def join_by_weight(
         .limit(MOST_HEAVY)
         .selectExpr(*quoted(keys), f"struct({listed(values)}) AS _heavy")
     )
-    # A heavy key stays here as well: its rows do not look for it.
+    # A heavy key stays here as well: its rows do not look for it. The sign of the weight is 0; a
+    # literal would be folded into the condition and no longer spread rows.
     light = right.selectExpr(
-        *quoted(keys), f"struct({listed(values)}) AS _light", "0L AS _spread"
+        *quoted(keys),
+        f"struct({listed(values)}) AS _light",
+        f"shiftright(CAST(`{weight}` AS BIGINT), 63) AS _spread",
     )
     nothing = " OR ".join([f"({unmatched})", *(f"`{k}` IS NULL" for k in keys)])
     # Odd for rows that have their match already or have none, so that they meet no light row.
