@@ -5,8 +5,9 @@ many intervals over the same hours those pairs grow with the product of the two
 never forms a pair. Totals over a range are the difference of two running totals, so it
 
 1. reduces the intervals to their distinct (start, end), and the points to one row per instant,
-2. runs totals along time, within bounded stretches and then across them,
-3. looks each distinct interval's two ends up, and joins the result back to the intervals.
+2. runs totals over the points along time, within bounded stretches and then across them,
+3. lays the intervals' ends between the points, where each takes the running totals of the last
+   point before it, and joins the differences back to the intervals.
 
 Counts and decimal sums are exact, so the difference equals the direct sum.
 """
@@ -29,6 +30,9 @@ from shiftline.operators.skew import HEAVY_ROWS, join_by_weight
 # executor gets a copy of it.
 BROADCAST_INTERVALS = 200_000
 
+# Stretches of time, the finest first.
+STRETCHES = ("minute", "day")
+
 
 def _stretch(unit: str, instant: str) -> str:
     """Number of the calendar ``unit`` (``day``, ``hour`` or ``minute``) that holds ``instant``."""
@@ -53,6 +57,15 @@ def _total_type(name: str, kind: T.DataType) -> str:
     )
 
 
+def _sum_of(left: str, right: str, kind: str) -> str:
+    """``left + right``, NULL as 0, as ``kind``. Spark cuts decimal places where 39 digits could be
+    needed, so decimals are added with one digit less."""
+    part = kind.replace("(38,", "(37,")
+    return (
+        f"CAST(CAST(coalesce({left}, 0) AS {part}) + CAST(coalesce({right}, 0) AS {part}) AS {kind})"
+    )
+
+
 def _grouped(df: DataFrame, keys: Sequence[str], aggregates: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*map(F.expr, aggregates))
 
@@ -94,7 +107,7 @@ def _running_totals(
     return inside.join(carried, [*by, *finest], "left").selectExpr(
         *quoted(rows.columns),
         *(
-            f"CAST(`before_{t}` + `carried_{t}` AS {kind}) AS `before_{t}`"
+            f"{_sum_of(f'`before_{t}`', f'`carried_{t}`', kind)} AS `before_{t}`"
             for t, kind in kinds.items()
         ),
     )
@@ -118,7 +131,7 @@ def interval_totals(
     totals: Mapping[str, str],
     by: Sequence[str] = (),
     closed: str = "both",
-    stretches: Sequence[str] = ("day",),
+    stretches: Sequence[str] = STRETCHES,
 ) -> DataFrame:
     """Add to every distinct interval the totals of the points inside it.
 
@@ -127,49 +140,79 @@ def interval_totals(
     the interval: ``both``, ``left``, ``right`` or ``neither``. ``by`` names columns on both sides
     that must be equal as well.
 
-    ``stretches`` bounds the work of a task: with the default a window holds one day, at most
-    86,400 rows when instants are whole seconds. For finer instants use ``("minute", "day")``.
+    ``stretches`` bounds the work of a task: with the default a window holds what lies within one
+    minute, and what came before is carried over minutes and days, one row each.
     """
     if closed not in ("both", "left", "right", "neither"):
         raise ValueError(f"unknown closed {closed!r}")
-    keys = quoted(by)
+    keys, names = quoted(by), quoted(totals)
     measured = points.selectExpr(
         *keys, f"`{ts}` AS _instant", *(f"{total} AS `{name}`" for name, total in totals.items())
-    )
+    ).where("_instant IS NOT NULL")
     kinds = {name: _total_type(name, measured.schema[name].dataType) for name in totals}
+    units = [f"{_stretch(unit, '_instant')} AS `_{unit}`" for unit in stretches]
+    cuts = [f"_{unit}" for unit in stretches]
+    # One row per instant with points; totals from the start of the finest stretch to it.
+    instants = _grouped(
+        measured,
+        [*by, "_instant"],
+        [f"CAST(coalesce(sum(`{name}`), 0) AS {kind}) AS `{name}`" for name, kind in kinds.items()],
+    ).selectExpr("*", *units)
+    finest = f"PARTITION BY {listed([*by, *cuts[:1]])} " if by or cuts else ""
+    upto = f"OVER ({finest}ORDER BY _instant ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    so_far = ", ".join(
+        f"'{name}', CAST(sum(`{name}`) {upto} AS {kind})" for name, kind in kinds.items()
+    )
+    known = instants.selectExpr(
+        *quoted([*by, *cuts]), "_instant", "1 AS _phase", f"named_struct({so_far}) AS _so_far"
+    )
+    # An end that belongs to the interval comes after the points of its instant, a start before.
+    phase = {True: 2 if closed in ("both", "right") else 0, False: 0 if closed in ("both", "left") else 2}
     bounds = intervals.selectExpr(
         "*", f"stack(2, `{start}`, false, `{end}`, true) AS (_instant, _is_end)"
+    ).selectExpr("*", *units, f"IF(_is_end, {phase[True]}, {phase[False]}) AS _phase")
+    last = f"OVER ({finest}ORDER BY _instant, _phase ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    at_bounds = (
+        bounds.unionByName(known, allowMissingColumns=True)
+        .selectExpr(*quoted(bounds.columns), f"last(_so_far, true) {last} AS _so_far")
+        .where("_is_end IS NOT NULL")
     )
-    # One row per instant at which anything happens: a reading, a start or an end.
-    instants = _grouped(
-        measured.where("_instant IS NOT NULL")
-        .selectExpr(
-            *keys,
-            "_instant",
-            *(f"CAST(coalesce(`{name}`, 0) AS {kind}) AS `{name}`" for name, kind in kinds.items()),
-        )
-        .unionByName(
-            bounds.selectExpr(
-                *keys, "_instant", *(f"CAST(0 AS {kind}) AS `{n}`" for n, kind in kinds.items())
-            )
-        ),
-        [*by, "_instant"],
-        [f"CAST(sum(`{name}`) AS {kind}) AS `{name}`" for name, kind in kinds.items()],
-    ).selectExpr("*", *(f"{_stretch(unit, '_instant')} AS `_{unit}`" for unit in stretches))
-    running = _running_totals(
-        instants, by, "_instant", kinds, [f"_{unit}" for unit in stretches]
-    ).drop(*(f"_{unit}" for unit in stretches))
-
-    def at_bound(name: str) -> str:
-        before, upto = f"`before_{name}`", f"`before_{name}` + `{name}`"
-        at_end = upto if closed in ("both", "right") else before
-        at_start = before if closed in ("both", "left") else upto
-        return f"CASE WHEN _is_end THEN {at_end} ELSE -({at_start}) END"
-
+    before = [f"_so_far.`{name}`" for name in totals]
+    if cuts:
+        carried = _carried(instants, bounds, by, kinds, cuts)
+        at_bounds = at_bounds.join(carried, [*by, cuts[0]], "left")
+        before = [
+            _sum_of(text, f"`carried_{name}`", kind)
+            for text, (name, kind) in zip(before, kinds.items(), strict=True)
+        ]
     return _grouped(
-        bounds.join(running, [*by, "_instant"], "left"),
+        at_bounds,
         intervals.columns,
-        [f"CAST(sum({at_bound(name)}) AS {kind}) AS `{name}`" for name, kind in kinds.items()],
+        [
+            f"CAST(coalesce(sum(CASE WHEN _is_end THEN {text} ELSE -({text}) END), 0) AS {kind})"
+            f" AS {name}"
+            for text, kind, name in zip(before, kinds.values(), names, strict=True)
+        ],
+    )
+
+
+def _carried(
+    instants: DataFrame,
+    bounds: DataFrame,
+    by: Sequence[str],
+    kinds: Mapping[str, str],
+    cuts: Sequence[str],
+) -> DataFrame:
+    """What came before each of the finest stretches that hold a point or an end of an interval."""
+    empty = [f"CAST(0 AS {kind}) AS `{name}`" for name, kind in kinds.items()]
+    where = quoted([*by, *cuts])
+    rows = instants.selectExpr(*where, *quoted(kinds)).unionByName(
+        bounds.selectExpr(*where).distinct().selectExpr("*", *empty)
+    )
+    sums = [f"CAST(sum(`{name}`) AS {kind}) AS `{name}`" for name, kind in kinds.items()]
+    per_stretch = _grouped(rows, [*by, *cuts], sums)
+    return _running_totals(per_stretch, by, cuts[0], kinds, cuts[1:]).selectExpr(
+        *quoted([*by, cuts[0]]), *(f"`before_{name}` AS `carried_{name}`" for name in kinds)
     )
 
 
@@ -182,22 +225,25 @@ def attach_interval_totals(
     totals: Mapping[str, str],
     by: Sequence[str] = (),
     closed: str = "both",
-    stretches: Sequence[str] = ("day",),
+    stretches: Sequence[str] = STRETCHES,
     broadcast_rows: int = BROADCAST_INTERVALS,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Every interval with the totals of the points inside it; 0 where there are none.
 
-    The distinct intervals are written out once, so their number is known when the join back is
-    planned: a small table goes to all executors and the intervals are not shuffled at all, a large
-    one is joined by key, with the most frequent intervals taken out of the shuffle.
+    This writes two intermediate tables, so it runs the plan of ``intervals``: the intervals, which
+    are read for their distinct ends and for the join back, and the totals by distinct interval,
+    whose number decides how that join is done. A small table goes to all executors and the
+    intervals are not shuffled; a large one is joined by key, with the most frequent intervals taken
+    out of the shuffle.
     """
     keys = [*by, start, end]
-    distinct = written(distinct_intervals(intervals, start, end, by, closed))
-    per_interval = interval_totals(
-        distinct, points, start, end, ts, totals, by, closed, stretches
+    intervals = written(intervals)
+    distinct = distinct_intervals(intervals, start, end, by, closed)
+    per_interval = written(
+        interval_totals(distinct, points, start, end, ts, totals, by, closed, stretches)
     )
-    if distinct.count() <= broadcast_rows:
+    if per_interval.count() <= broadcast_rows:
         joined = intervals.join(F.broadcast(per_interval.drop("_weight")), keys, "left")
     else:
         empty = f"`{start}` {'>=' if closed == 'neither' else '>'} `{end}`"
@@ -287,7 +333,7 @@ def enrich_intervals(
     channels: Sequence[str] = CHANNELS,
     keys: Sequence[str] = REPORT_KEYS,
     broadcast_rows: int = BROADCAST_INTERVALS,
-    stretches: Sequence[str] = ("day",),
+    stretches: Sequence[str] = STRETCHES,
     collation: str | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:

@@ -12,7 +12,12 @@ from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
 from shiftline.functions.text_time import parse_date
 from shiftline.operators.booking import BOOKING_COLUMNS, REPORT_ORDER, to_booking
 from shiftline.operators.fill import forward_fill
-from shiftline.operators.intervals import CHANNELS, enrich_intervals, normalise_readings
+from shiftline.operators.intervals import (
+    CHANNELS,
+    STRETCHES,
+    enrich_intervals,
+    normalise_readings,
+)
 from shiftline.operators.lookup import resolve_component
 from shiftline.operators.slots import (
     assign_shift,
@@ -79,7 +84,7 @@ def enriched_slots(
     collation: str | None = None,
     one_row_per_record: bool = True,
     calendar: ShiftCalendar = THREE_SHIFTS,
-    stretches: Sequence[str] = ("day",),
+    stretches: Sequence[str] = STRETCHES,
     fix_next_day_fallback: bool = False,
 ) -> DataFrame:
     """Split slots of the trailing window with readings and component ids."""
