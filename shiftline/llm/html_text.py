@@ -5,7 +5,7 @@ weight if it lies in a part that cannot be article text (menus, forms, page head
 asides, and what its class, id or role calls an advert, notice, comment and the like) or if it is mostly
 links. Weights are summed over windows of ``WINDOW`` lines. Text starts at a surge, where a window rises
 over the threshold, and ends at a dive, where the window falls to nothing; the lines between are
-kept. Parts are set apart by empty lines, so a window never joins the article with what follows it.
+kept, and with them what else stands in the same elements. Parts are set apart by empty lines, so a window never joins the article with what follows it.
 On a page that marks its article or main part only that part has weight, and any text is a surge.
 """
 
@@ -64,12 +64,15 @@ def _is_hinted(attributes: str) -> bool:
     return False
 
 
-def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
-    """(text, characters in links, in a part that is never text, in the main part) per line.
+def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
+    """(text, characters in links, in a part that is never text, in the main part, number of the
+    element it stands in) per line; elements directly in the body count as 0.
 
     A line without text is yielded wherever a part begins or ends.
     """
     open_tags: list[tuple[str, bool, bool]] = []  # name, never text, main part
+    numbers: list[int] = []  # of the open tags
+    count = 0
     never = main = links = 0
     words: list[str] = []
     linked = 0
@@ -79,12 +82,21 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
         nonlocal words, linked
         text, chars = " ".join("".join(words).split()), linked
         words, linked = [], 0
-        return (text, chars, never > 0, main > 0) if text else None
+        return (text, chars, never > 0, main > 0, numbers[-1] if numbers else 0) if text else None
+
+    def push(name: str, is_never: bool, is_main: bool) -> None:
+        nonlocal never, main, count
+        count += 1
+        open_tags.append((name, is_never, is_main))
+        numbers.append(0 if name in ("body", "html") else count)
+        never += is_never
+        main += is_main
 
     def close(count: int) -> None:
         nonlocal never, main
         for _ in range(count):
             _, was_never, was_main = open_tags.pop()
+            numbers.pop()
             never -= was_never
             main -= was_main
 
@@ -108,12 +120,11 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
             if name == "a":
                 links = 0 if match["end"] else 1
             if not match["end"] and name != "a" and match["attributes"] and _is_hinted(match["attributes"]):
-                open_tags.append((name, True, False))
                 if found := line():
                     yield found
-                never += 1
+                push(name, True, False)
             elif not match["end"] and open_tags and open_tags[-1][0] == name:
-                open_tags.append((name, False, False))
+                push(name, False, False)
             elif match["end"] and open_tags and open_tags[-1][0] == name:
                 if found := line():
                     yield found
@@ -123,12 +134,12 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
             yield found
         if open_tags and open_tags[-1][0] == "p":  # a block ends a paragraph
             close(1)
-            yield "", 0, True, False
+            yield "", 0, True, False, 0
         if match["end"]:
             for depth in range(len(open_tags)):
                 if open_tags[-1 - depth][0] == name:
                     if any(n or m for _, n, m in open_tags[-1 - depth :]):
-                        yield "", 0, True, False
+                        yield "", 0, True, False, 0
                     close(depth + 1)
                     break
         elif name not in _VOID and not match["attributes"].endswith("/"):
@@ -139,12 +150,10 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
                 or (name not in ("body", "html") and not is_main and _is_hinted(match["attributes"]))
             )
             if is_never or is_main:
-                yield "", 0, True, False
+                yield "", 0, True, False, 0
             if is_never or name not in ("p", "li", "dt", "dd", "tr", "option"):
                 if name != "p" or is_never:
-                    open_tags.append((name, is_never, is_main))
-                    never += is_never
-                    main += is_main
+                    push(name, is_never, is_main)
     if at < len(html):
         words.append(unescape(html[at:]))
     if found := line():
@@ -154,9 +163,9 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
 def main_text(html: str | None) -> str:
     """The blocks of the main text, joined by line ends; empty if there is none."""
     lines = list(_lines(html or ""))
-    structured = any(main and not never and text for text, _, never, main in lines)
+    structured = any(main and not never and text for text, _, never, main, _ in lines)
     weights = []
-    for text, linked, never, main in lines:
+    for text, linked, never, main, _ in lines:
         counts = text and not never and (main or not structured)
         if counts and not structured and linked >= LINKED * len(text):
             counts = False
@@ -168,15 +177,19 @@ def main_text(html: str | None) -> str:
         sums.append(window)
         window += padded[i + WINDOW] - padded[i]
     surge = 1 if structured else min(SURGE, max(sums, default=0) / 2)
-    kept, start = [], None
+    kept, start = set(), None
     for i, total in enumerate([*sums, 0]):
         if total > 0 and start is None:
             start = i
         elif total == 0 and start is not None:
             if max(sums[start:i]) >= surge:
-                kept += [lines[k][0] for k in range(start, i) if weights[k]]
+                kept.update(k for k in range(start, i) if weights[k])
             start = None
-    return "\n".join(kept)
+    # A notice or advert within the text's own element does not end the text.
+    elements = {lines[k][4] for k in kept} - {0}
+    return "\n".join(
+        line[0] for k, line in enumerate(lines) if k in kept or weights[k] and line[4] in elements
+    )
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:

@@ -87,6 +87,11 @@ PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head>
             "A paragraph that is long enough to count as text of the page.\nShort one.\n"
             "The end of it comes here, after some words.",
         ),
+        (
+            "<div id=content><p>A paragraph that is long enough to count as text of the page, and that"
+            " is so by far.</p><div class=ad><p>Buy</p><p>our</p><p>things</p></div><p>End.</p></div>",
+            "A paragraph that is long enough to count as text of the page, and that is so by far.\nEnd.",
+        ),
     ],
 )
 def test_page_text(body, text):
