@@ -100,18 +100,27 @@ def edge_before(ranged: DataFrame, values: Mapping[str, tuple[str, str]]) -> Dat
     earlier row for which ``counts`` is true. The result has one row per range, which is at most the
     number of shuffle partitions, so it is safe to broadcast.
     """
-    per_range = ranged.groupBy("_range").agg(
+    # First the positions of those rows, as plain numbers, then the few rows themselves.
+    last = ranged.groupBy("_range").agg(
         *(
-            F.expr(f"max_by({value}, _position) FILTER (WHERE {counts}) AS {name}")
-            for name, (value, counts) in values.items()
+            F.expr(f"max(_position) FILTER (WHERE {counts}) AS _at{i}")
+            for i, (_, counts) in enumerate(values.values())
         )
     )
     earlier = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return F.broadcast(
-        per_range.selectExpr(
-            "_range", *(f"last({name}, true) {earlier} AS {name}" for name in values)
+    before = last.selectExpr(
+        "_range AS _for", *(f"max(_at{i}) {earlier} AS _at{i}" for i in range(len(values)))
+    )
+    flat = ", ".join(f"{i}, _at{i}" for i in range(len(values)))
+    wanted = before.selectExpr("_for", f"stack({len(values)}, {flat}) AS (_which, _at)")
+    rows = ranged.join(F.broadcast(wanted.where("_at IS NOT NULL")), F.expr("_position = _at"))
+    found = rows.groupBy("_for").agg(
+        *(
+            F.expr(f"first({value}) FILTER (WHERE _which = {i}) AS {name}")
+            for i, (name, (value, _)) in enumerate(values.items())
         )
     )
+    return F.broadcast(found.withColumnRenamed("_for", "_range"))
 
 
 def same_key(edge: str, keys: Sequence[str]) -> str:
