@@ -12,8 +12,8 @@ def connected_components(links: DataFrame, work: Workspace, name: str) -> DataFr
     """(id, component) for every id in ``links`` (a, b: long); a component's smallest id names it.
 
     Alternates two steps until nothing changes: every id hands its larger neighbours to its smallest
-    neighbour, then its smaller ones. Long chains shrink by a constant factor a round. Each step is a
-    minimum per id, summed up before the shuffle, and a join, so an id with very many links is no
+    neighbour, then its smaller ones. Long chains shrink by a constant factor a round. Each step is
+    a minimum per id, summed up before the shuffle, and a join, so an id with very many links is no
     bottleneck. Links of an id with itself do not count.
     """
     edges = (

@@ -1,11 +1,12 @@
 """Near-duplicate embeddings by random-hyperplane signs in several tables.
 
 Equal vectors form one class. A class gets, per table, the signs of its vector against random
-hyperplanes, and classes with equal signs in a table share a bucket. Within a bucket all cosines are computed
-in double precision. A pair is counted in the first table whose bucket it shares, which each side's
-signs tell, so links are summed without listing pairs. Buckets of more than ``BUCKET`` classes are
-compared in pairs of blocks. Signs per table grow with the logarithm of the number of rows, so that
-buckets of unlike vectors stay small, and tables follow from the recall asked for at the threshold.
+hyperplanes, and classes with equal signs in a table share a bucket. Within a bucket all cosines are
+computed in double precision. A pair is counted in the first table whose bucket it shares, which
+each side's signs tell, so links are summed without listing pairs. Buckets of more than ``BUCKET``
+classes are compared in pairs of blocks. Signs per table grow with the logarithm of the number of
+rows, so that buckets of unlike vectors stay small, and tables follow from the recall asked for at
+the threshold.
 """
 
 from __future__ import annotations
@@ -131,12 +132,13 @@ def near_embeddings(
 ) -> DataFrame:
     """vec_id, n_links and component_id for every row of ``vectors`` (vec_id, embedding).
 
-    Vectors of one dimension are linked from a cosine of ``cosine`` on; those that are null, empty or zero or
-    hold null or non-finite components are linked with nothing. ``n_links`` counts the other rows that are linked
-    directly; ``component_id`` is the smallest vec_id that links reach, the own one included. No pair below the threshold
-    is linked; a pair at the threshold is found with probability ``recall``. Rows that repeat count as rows. A row without a
-    vec_id is compared and counted, and gets the component of what it is linked with. Other columns are not
-    read. An empty table gives an empty table.
+    Vectors of one dimension are linked from a cosine of ``cosine`` on; those that are null, empty
+    or zero or hold null or non-finite components are linked with nothing. ``n_links`` counts the
+    other rows that are linked directly; ``component_id`` is the smallest vec_id that links reach,
+    the own one included. No pair below the threshold is linked; a pair at the threshold is found
+    with probability ``recall``. Rows that repeat count as rows. A row without a vec_id is compared
+    and counted, and gets the component of what it is linked with. Other columns are not read. An
+    empty table gives an empty table.
     """
     spark = vectors.sparkSession
     ship(spark)

@@ -2,11 +2,12 @@
 
 Markup is stripped into lines, one per block element. A line's weight is its text length, without
 weight if it lies in a part that cannot be article text (menus, forms, page header and footer,
-asides, and what its class, id or role calls an advert, notice, comment and the like) or if it is mostly
-links. Weights are summed over windows of ``WINDOW`` lines. Text starts at a surge, where a window rises
-over the threshold, and ends at a dive, where the window falls to nothing; the lines between are
-kept, and with them what else stands in the same elements. Parts are set apart by empty lines, so a window never joins the article with what follows it.
-On a page that marks its article or main part only that part has weight, and any text is a surge.
+asides, and what its class, id or role calls an advert, notice, comment and the like) or if it is
+mostly links. Weights are summed over windows of ``WINDOW`` lines. Text starts at a surge, where a
+window rises over the threshold, and ends at a dive, where the window falls to nothing; the lines
+between are kept, and with them what else stands in the same elements. Parts are set apart by empty
+lines, so a window never joins the article with what follows it. On a page that marks its article or
+main part only that part has weight, and any text is a surge.
 """
 
 from __future__ import annotations
@@ -195,8 +196,8 @@ def main_text(html: str | None) -> str:
 def extract_main_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:
     """Add the main text of every page as column ``into``.
 
-    Pages that are null, empty or without text give an empty text. Whole pages are read, whatever their
-    length; unclosed elements, comments and quotes end with the page. Equal pages give equal
+    Pages that are null, empty or without text give an empty text. Whole pages are read, whatever
+    their length; unclosed elements, comments and quotes end with the page. Equal pages give equal
     texts; an empty table stays empty. An input column named ``into`` is replaced.
     """
     ship(pages.sparkSession)

@@ -4,8 +4,8 @@ A text becomes a vector of its letter trigrams: letters are folded to lower case
 separates words, trigrams are hashed to ``FEATURES`` places, counts are damped, weighted by inverse
 document frequency and brought to length 1. Each language has several centroids, from spherical
 k-means over a bounded sample of its labelled rows, so that different kinds of text do not blur into
-one mean. A text gets the language of the centroid with the largest cosine. It is rejected when it is
-farther from that centroid than the sampled texts of the language are, by a wide margin.
+one mean. A text gets the language of the centroid with the largest cosine. It is rejected when it
+is farther from that centroid than the sampled texts of the language are, by a wide margin.
 """
 
 from __future__ import annotations
@@ -231,9 +231,10 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     """Add lang_pred, score and rejected to ``docs``.
 
     ``score`` is the cosine to the nearest centroid, 0 to 1. A text that is null, empty or without a
-    letter is ``und`` with score 0 and rejected. A text in a language that was not learned still gets the
-    nearest one, and is rejected if it has ``ENOUGH`` different trigrams to judge it by. Equal texts get equal results; of centroids equally near, the first
-    by language wins. Input columns that bear a result's name are replaced.
+    letter is ``und`` with score 0 and rejected. A text in a language that was not learned still
+    gets the nearest one, and is rejected if it has ``ENOUGH`` different trigrams to judge it by.
+    Equal texts get equal results; of centroids equally near, the first by language wins. Input
+    columns that bear a result's name are replaced.
     """
     new = ["lang_pred", "score", "rejected"]
     kept = [F.col(c) for c in docs.columns if c not in new]

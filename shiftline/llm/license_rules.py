@@ -2,8 +2,8 @@
 
 A licence is stated once: its label and patterns for its name, its short identifier and the address
 of its text. ``rules()`` makes the grant, identifier, address and title rules of every licence from
-these, and adds sentences that stand in licence texts themselves. Each rule names a literal that every
-match contains; a text without it is never searched for the rule.
+these, and adds sentences that stand in licence texts themselves. Each rule names a literal that
+every match contains; a text without it is never searched for the rule.
 """
 
 from __future__ import annotations

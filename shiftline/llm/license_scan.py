@@ -1,9 +1,9 @@
 """License scan by ordered signature rules. DataFrame operations only, and no shuffle.
 
-A text is lower-cased (A-Z) and its words are joined by one blank. Rules (``license_rules``) are tried
-where their keyword occurs. A detection is a run of words. Of two detections of which one contains
-the other, the one of higher priority stays; at equal priority the longer one, then the earlier rule.
-Rows without any gate literal, the great majority, are only counted.
+A text is lower-cased (A-Z) and its words are joined by one blank. Rules (``license_rules``) are
+tried where their keyword occurs. A detection is a run of words. Of two detections of which one
+contains the other, the one of higher priority stays; at equal priority the longer one, then the
+earlier rule. Rows without any gate literal, the great majority, are only counted.
 """
 
 from __future__ import annotations
@@ -89,12 +89,12 @@ def _beats(e: Column, d: Column) -> Column:
 def scan_licenses(docs: DataFrame, table: list[Rule] | None = None, text: str = "text") -> DataFrame:
     """Add to ``docs``: n_words, license_base, license_spans, license_labels and license_score.
 
-    ``license_base``: (label, start, end) of the base phrases. ``license_spans``: (start, end, label,
-    priority, number) of what the rules found and no stronger detection contains, by place.
-    ``license_labels``: the distinct labels of both, sorted. ``license_score``: the highest
-    priority / 100 among the detections, else 0. Word numbers count from 0, ends are exclusive. Null
-    and empty texts have no words and no detections. Equal rows give equal rows; an empty table
-    gives an empty table. Input columns that bear a result's name are replaced.
+    ``license_base``: (label, start, end) of the base phrases. ``license_spans``: (start, end,
+    label, priority, number) of what the rules found and no stronger detection contains, by place.
+    ``license_labels``: the distinct labels of both, sorted. ``license_score``: the highest priority
+    / 100 among the detections, else 0. Word numbers count from 0, ends are exclusive. Null and
+    empty texts have no words and no detections. Equal rows give equal rows; an empty table gives an
+    empty table. Input columns that bear a result's name are replaced.
     """
     table = rules() if table is None else table
     kept = [c for c in docs.columns if c not in (

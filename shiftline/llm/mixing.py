@@ -257,10 +257,10 @@ def mix_to_weights(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
 
     ``copies`` says how often the mix takes the row: 0, 1 or 2 at the default bound. Sources are
     weighed by ``weights`` in order of their names (null is a source, the last), share ``share`` of
-    all words, and stop at ``most_copies`` times their size. Null and empty texts have size 0 and the
-    whole part of their source's copy number. Rows that agree in doc_id, source and text are taken
-    equally often. An empty table gives an empty table. Input columns that bear a result's name are
-    replaced.
+    all words, and stop at ``most_copies`` times their size. Null and empty texts have size 0 and
+    the whole part of their source's copy number. Rows that agree in doc_id, source and text are
+    taken equally often. An empty table gives an empty table. Input columns that bear a result's
+    name are replaced.
     """
     kept = [c for c in docs.columns if c not in _RESULT]
     return with_mix(docs.select(*kept), seed, **targets).select(*kept, "_mixed.*")

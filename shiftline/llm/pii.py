@@ -1,8 +1,8 @@
 """Personal data: patterns, and a linear-chain conditional random field over word shapes.
 
-The patterns (``base_spans``) are kept as they are found. The random field labels words by their shape,
-the shapes beside them and cue words, and adds what the patterns miss, such as phone numbers without a
-country code. It is trained from the small labelled table in ``pii_examples``.
+The patterns (``base_spans``) are kept as they are found. The random field labels words by their
+shape, the shapes beside them and cue words, and adds what the patterns miss, such as phone numbers
+without a country code. It is trained from the small labelled table in ``pii_examples``.
 
 Only a word with a digit or an @ can bear a label other than none; that is part of the model. So the
 chain falls into runs of such words between words that are none for certain, and the runs are
@@ -117,7 +117,8 @@ def _core(word: str) -> tuple[int, int]:
 
 
 def _beside(word: str) -> str:
-    """What matters of a neighbour: its cue, or its shape if it has digits, or whether it is there."""
+    """What matters of a neighbour: its cue, or its shape if it has digits, or whether it is there.
+    """
     if not word:
         return "edge"
     if _SUSPECT.search(word):

@@ -1,7 +1,7 @@
 """The labelled table that the personal-data model is trained from.
 
-One line of text per entry. ``<kind:words>`` marks personal data; everything else is none. Digits are
-examples of their shape only: the model never sees which digit stands where.
+One line of text per entry. ``<kind:words>`` marks personal data; everything else is none. Digits
+are examples of their shape only: the model never sees which digit stands where.
 """
 
 EXAMPLES = """

@@ -1,16 +1,16 @@
 """Exact top-k search by inner product with a pivot-distance index.
 
-Vectors are lifted by one coordinate so that all get the same length; then the largest inner products
-are the smallest distances. Pivots are the centers of a bounded sample. Every vector is keyed by its nearest
-pivot and its distance to it, and the index is sorted by that key, so that a segment of
-``SEGMENT`` rows is an annulus around a pivot (or part of one). Queries are sorted the same way and cut
-into blocks.
+Vectors are lifted by one coordinate so that all get the same length; then the largest inner
+products are the smallest distances. Pivots are the centers of a bounded sample. Every vector is
+keyed by its nearest pivot and its distance to it, and the index is sorted by that key, so that a
+segment of ``SEGMENT`` rows is an annulus around a pivot (or part of one). Queries are sorted the
+same way and cut into blocks.
 
 A first round lets every query search the annulus it would lie in, which gives a bound on its k-th
 distance. By the triangle inequality a vector within that distance has a distance to each pivot that
-differs from the query's by no more. The second round joins blocks of queries with the annuli that some query of
-the block can reach, and in an annulus expands the sorted distances only between those bounds. A pair
-of a block and an annulus is one small task, however many vectors are equal.
+differs from the query's by no more. The second round joins blocks of queries with the annuli that
+some query of the block can reach, and in an annulus expands the sorted distances only between those
+bounds. A pair of a block and an annulus is one small task, however many vectors are equal.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ _KEYED = "vec_id long, vector binary, pivot int, dist double, dists array<double
 
 
 def scaled_vectors(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
-    """vec_id, vector (floor(scale * x) as doubles), size and norm; rows without numbers are left out."""
+    """vec_id, vector (floor(scale * x) as doubles), size and norm; rows without numbers are left
+    out.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +152,8 @@ def _best(k: int):
 
 
 def _searched(queries: DataFrame, index: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """Best rows of each query in the (block, segment) pairs; queries bring low and high per pair."""
+    """Best rows of each query in the (block, segment) pairs; queries bring low and high per pair.
+    """
     left = queries.groupBy("block", "segment")
     # New names for the columns: both sides may stem from one table.
     pairs = pairs.select(F.col("block").alias("b"), F.col("segment").alias("s"))
@@ -170,12 +173,13 @@ def search_top(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` largest inner products of each query.
 
-    ``vectors`` has vec_id (integer) and embedding. Components become floor(scale * x); scores are whole numbers and
-    exact below 2 ** 53. Queries are the rows that fulfil ``is_query``; a row is no candidate for
-    itself. Ties go to the smaller vec_id; with fewer than ``k`` candidates all are returned. Rows that are
-    null or empty or hold null or non-finite components, and rows without a vec_id, take no part; only vectors of one
-    dimension are compared. Rows that repeat a vec_id count once. An empty table gives an empty table. The index is fitted on
-    a sample and holds every row; the result does not depend on the sample.
+    ``vectors`` has vec_id (integer) and embedding. Components become floor(scale * x); scores are
+    whole numbers and exact below 2 ** 53. Queries are the rows that fulfil ``is_query``; a row is
+    no candidate for itself. Ties go to the smaller vec_id; with fewer than ``k`` candidates all are
+    returned. Rows that are null or empty or hold null or non-finite components, and rows without a
+    vec_id, take no part; only vectors of one dimension are compared. Rows that repeat a vec_id
+    count once. An empty table gives an empty table. The index is fitted on a sample and holds every
+    row; the result does not depend on the sample.
     """
     spark = vectors.sparkSession
     ship(spark)

@@ -11,6 +11,7 @@ from shiftline.llm.embedding_dup import near_embeddings
 from shiftline.llm.html_text import extract_main_text
 from shiftline.llm.mixing import document_sizes, mix_sizes
 from shiftline.llm.near_dup import near_duplicates
+from shiftline.llm.oracle import ORACLE_SQL
 from shiftline.llm.packing import pack_documents
 from shiftline.llm.pii import KINDS, find_personal_data
 from shiftline.llm.pivot_search import search_top
@@ -135,4 +136,4 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -1,7 +1,7 @@
 """The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame.
 
-All but the last return the columns they were given, whatever else they hold. Documents need doc_id, text,
-lang and source; rows with nulls go through as each operator says.
+All but the last return the columns they were given, whatever else they hold. Documents need doc_id,
+text, lang and source; rows with nulls go through as each operator says.
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ import pyarrow as pa
 
 
 def valid_rows(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By dimension: row numbers and their vectors, as doubles. Rows that are null, empty or hold null
-    or non-finite components are left out."""
+    """By dimension: row numbers and their vectors, as doubles. Rows that are null, empty or hold
+    null or non-finite components are left out.
+    """
     offsets = np.asarray(column.offsets)
     values = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
     starts, sizes = offsets[:-1], np.diff(offsets)
