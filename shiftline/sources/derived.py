@@ -34,7 +34,11 @@ def production(spark: SparkSession, folder: str) -> DataFrame:
 def _wide_records(events: DataFrame) -> DataFrame:
     """``4 + 26 * 5`` columns."""
     # The source may be a single small file; the rows it turns into are worth more tasks than that.
-    base = events.repartition("event_id", "ts").selectExpr(
+    # An explicit number, because AQE would merge the small source into one task.
+    spark = events.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(spark.sparkContext.defaultParallelism, wanted)
+    base = events.repartition(tasks, "event_id", "ts").selectExpr(
         "event_id AS id",
         "date_format(ts, 'dd.MM.yy') AS date_begin",
         "element_at(array('08:00:00', '16:00:00', '00:00:00'), CAST(event_id % 3 + 1 AS INT)) "
