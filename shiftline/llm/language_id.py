@@ -23,7 +23,7 @@ from shiftline.llm.workspace import Workspace, ship
 FEATURES = 4096
 SAMPLE = 400  # labelled rows per language that the fit looks at, in expectation
 CENTROIDS = 4
-MARGIN = 0.35  # of the sample's lowest evidence; below it a text is rejected
+MARGIN = 0.25  # of the sample's lowest evidence; below it a text is rejected
 ENOUGH = 32  # different trigrams that a text must have to be judged by distance
 SLICE = 1 << 20  # code points handled at once
 UNKNOWN = "und"
