@@ -1,13 +1,14 @@
 """Pack tokenized documents into sequences by bulk-synchronous best fit.
 
 Pieces are range-sorted by length over all tasks, and each gets its rank. A superstep handles all
-pieces of one length, the longest first: it looks up the successor, that is the smallest gap that still
-holds the length, gives the gaps from there on to the pieces in order of rank, so that no two
-claim the same place, and updates the gaps. Sequences are opened when no gap is left. Pieces of one length
-and sequences of one gap are alike, so supersteps work on runs of ranks and runs of sequence numbers. There are at
-most as many lengths, and as many gaps, as a sequence has tokens; so the plan's size depends on
-``capacity`` and not on the documents. What grows with the documents, sorting, ranking and placing them, is
-spread over all tasks, and takes one shuffle of rows without text.
+pieces of one length, the longest first: it looks up the successor, that is the smallest gap that
+still holds the length, gives the gaps from there on to the pieces in order of rank, so that no two
+claim the same place, and updates the gaps. Sequences are opened when no gap is left. Pieces of one
+length and sequences of one gap are alike, so supersteps work on runs of ranks and runs of sequence
+numbers. There are at most as many lengths, and as many gaps, as a sequence has tokens; so the
+plan's size depends on ``capacity`` and not on the documents. What grows with the documents,
+sorting, ranking and placing them, is spread over all tasks, and takes one shuffle of rows without
+text.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from shiftline.llm.workspace import Workspace, ship
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-_CACHE = 600_000  # words a worker remembers
-_CHUNK = 1 << 23  # bytes tokenized at once
+_CACHE = 250_000  # words a worker remembers
+_CHUNK = 1 << 22  # bytes tokenized at once
 
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -41,8 +42,9 @@ _PLAIN = re.compile(f"([{_LETTERS}]*)([{re.escape(_PUNCTUATION)}]*)")
 
 
 def _bytes_of_symbols() -> dict[str, int]:
-    """The byte that each character of the vocabulary stands for: printable Latin-1 characters stand for
-    themselves, other bytes for the characters from 256 on."""
+    """The byte that each character of the vocabulary stands for: printable Latin-1 characters stand
+    for themselves, other bytes for the characters from 256 on.
+    """
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
@@ -51,8 +53,9 @@ def _bytes_of_symbols() -> dict[str, int]:
 def _pair_merger(path: str):
     """A function from the bytes of one plain word part to its ids.
 
-    It merges pairs in the order of the vocabulary, as the tokenizer does, but without that one's fixed
-    cost per call. The mark of a word's end is byte 255, which no UTF-8 text contains. (Tests compare the two.)
+    It merges pairs in the order of the vocabulary, as the tokenizer does, but without that one's
+    fixed cost per call. The mark of a word's end is byte 255, which no UTF-8 text contains. (Tests
+    compare the two.)
     """
     import tiktoken
 
@@ -110,7 +113,9 @@ class _Words(dict):
         starts = ends[numbers]
         length = ends[numbers + 1] - starts
         to = np.cumsum(length)
-        index = np.arange(to[-1] if len(to) else 0) + np.repeat(starts - (to - length), length)
+        total = int(to[-1]) if len(to) else 0
+        index = np.repeat((starts - (to - length)).astype(np.int32), length)
+        index += np.arange(total, dtype=np.int32)
         return ids[index], np.concatenate([[0], to])[bounds - bounds[0]]
 
 
@@ -183,6 +188,8 @@ def tokenized_pieces(
                     ],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
                 )
+            del batch, texts
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(
         pieces, _PIECES.format(id=id_type.simpleString())
@@ -216,7 +223,9 @@ class _Gaps:
 
 
 def plan(runs: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
-    """(length, first rank, end rank, first sequence, pieces per sequence, offset) from counts by length."""
+    """(length, first rank, end rank, first sequence, pieces per sequence, offset) from counts by
+    length.
+    """
     ranks, total = {}, 0
     for length in sorted(runs):
         ranks[length] = total
