@@ -1,19 +1,21 @@
 """Near-duplicate documents by a chosen-path similarity join over word shingles.
 
-Documents with equal shingle sets form one class, and classes are joined. Each class has minwise values of
-its set. A tree of the join branches the classes by the minwise value at a place that depends on the
-node, so similar sets go down the same path; a node that is small enough is compared exhaustively.
-Trees are independent, and there are as many as the recall asks for: a pair of similarity s shares a
-node of the first level of one tree with probability s.
-
-A node is compared on the sets' ``SKETCH`` smallest hashes, which for most documents are the whole set, by
-counting along lists of the classes that hold a hash. What leaves the node is no more than one link per
-class: a spanning forest of the links it found, so a large group of near copies never becomes a list of
-pairs. Links that leave a node are confirmed on the full sets, recomputed from the texts.
-
-There are two rounds. The first takes two trees and cuts large nodes into blocks that share one member;
-its links give first components. The second takes the other trees. A node whose classes are all connected
-has nothing left to tell and ends; the others branch until they are small, and give links across components.
+Documents with equal shingle sets form one class, and classes are joined. Each class has minwise
+values of its set. A tree of the join branches the classes by the minwise value at a place that
+depends on the node, so similar sets go down the same path; a node that is small enough is compared
+exhaustively. Trees are independent, and there are as many as the recall asks for: a pair of
+similarity s shares a node of the first level of one tree with probability s.
+
+A node is compared on the sets' ``SKETCH`` smallest hashes, which for most documents are the whole
+set, by counting along lists of the classes that hold a hash. What leaves the node is no more than
+one link per class: a spanning forest of the links it found, so a large group of near copies never
+becomes a list of pairs. Links that leave a node are confirmed on the full sets. Sets are worked out
+from the texts, a second time, for the classes that share a node with another one only.
+
+There are two rounds. The first takes two trees and cuts large nodes into blocks that share one
+member; its links give first components. The second takes the other trees. A node whose classes are
+all connected has nothing left to tell and ends; the others branch until they are small, and give
+links across components.
 """
 
 from __future__ import annotations
@@ -46,8 +48,7 @@ GROUP_ROWS = 4096
 FILTER_BITS = 25  # of the filter that tells which texts are needed
 
 _FEATURES = (
-    "doc_id long, n_shingles long, set_key binary, paths array<long>, values array<short>,"
-    " sketch binary"
+    "doc_id long, n_shingles long, set_key binary, paths array<long>, values array<short>"
 )
 _BELOW = np.uint64(1) << np.uint64(57)
 _EDGES = np.arange(PLACES, dtype=np.uint64) * _BELOW
@@ -56,7 +57,8 @@ _ORDER = np.random.default_rng(7).integers(0, PLACES, size=(4 * PLACES, PLACES))
 
 
 def minwise(shingles: np.ndarray) -> np.ndarray:
-    """One minimum per interval of the hashes; empty places borrow from others, alike for all sets."""
+    """One minimum per interval of the hashes; empty places borrow from others, alike for all sets.
+    """
     at = np.searchsorted(shingles, _EDGES)
     full = at < len(shingles)
     value = shingles[np.where(full, at, 0)]
@@ -70,12 +72,12 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
 
 
 def set_features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (equal for equal sets), paths, values and sketch, per document."""
+    """doc_id, n_shingles, set_key (equal for equal sets), paths and values, per document."""
     ship(docs.sparkSession)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, keys, paths, values, sketches = [], [], [], [], []
+            counts, keys, paths, values = [], [], [], []
             for first, end, words, bounds in word_hashes(batch.column(1)):
                 for k in range(end - first):
                     shingles = shingle_set(words[bounds[k] : bounds[k + 1]], SHINGLE)
@@ -84,13 +86,11 @@ def set_features(docs: DataFrame) -> DataFrame:
                         keys.append(None)
                         paths.append(None)
                         values.append(None)
-                        sketches.append(None)
                         continue
                     keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                     least = minwise(shingles)
                     paths.append(least[: FIRST_TREES + TREES].view(np.int64))
                     values.append(least.astype(np.uint16).view(np.int16))
-                    sketches.append((shingles[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -98,9 +98,8 @@ def set_features(docs: DataFrame) -> DataFrame:
                     pa.array(keys, pa.binary()),
                     pa.array(paths, pa.list_(pa.int64())),
                     pa.array(values, pa.list_(pa.int16())),
-                    pa.array(sketches, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "paths", "values", "sketch"],
+                names=["doc_id", "n_shingles", "set_key", "paths", "values"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(features, _FEATURES)
@@ -194,10 +193,12 @@ def _links_of(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
 
 
-def _compared(members: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
-    """Links between classes within the nodes of ``members`` (node, rep, label), yet to be confirmed."""
+def _compared(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """Links between classes within the nodes of ``members`` (node, rep, label), yet to be
+    confirmed.
+    """
     groups = max(1, -(-rows // GROUP_ROWS))
-    full = members.join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    full = members.join(sets.select("rep", "n_shingles", "sketch"), "rep")
     bucket = F.pmod(F.xxhash64("node"), F.lit(groups)).alias("bucket")
     return (
         full.select(bucket, "node", "rep", "label", "n_shingles", "sketch")
@@ -207,27 +208,28 @@ def _compared(members: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
     )
 
 
-# --- confirming pairs -------------------------------------------------------------------------
+# --- sets of the classes that share a node -------------------------------------------------------
 
 
-def _needed_filter(pairs: DataFrame) -> np.ndarray:
-    """A fixed-size bit filter of the ids in ``pairs``: 4 MiB, whatever the number of ids."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+def _needed_filter(reps: DataFrame) -> np.ndarray:
+    """A fixed-size bit filter of the ids in ``reps``: 4 MiB, whatever the number of ids."""
+    place = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
     bits = (
-        ids.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).alias("bit"))
+        reps.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit AS INT))")).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    table[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    table[bits["word"].to_numpy()] = bits["bits"].to_numpy()
     return table
 
 
-def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(rep, shingles) for the ids in ``pairs``, and a few more: the filter may let others pass."""
-    table = docs.sparkSession.sparkContext.broadcast(_needed_filter(pairs))
+def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, n_shingles, sketch, shingles) of the documents in ``reps`` and a few more: the filter
+    may let others pass, which later joins drop.
+    """
+    table = docs.sparkSession.sparkContext.broadcast(_needed_filter(reps))
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,22 +240,29 @@ def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             ids = batch.column(0).to_pylist()
             for first, end, words, bounds in word_hashes(batch.column(1)):
                 found = [
-                    shingle_set(words[bounds[k] : bounds[k + 1]], SHINGLE).tobytes()
+                    shingle_set(words[bounds[k] : bounds[k + 1]], SHINGLE)
                     for k in range(end - first)
                 ]
+                sketches = [(x[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes() for x in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[first:end], pa.int64()), pa.array(found, pa.binary())],
-                    names=["rep", "shingles"],
+                    [
+                        pa.array(ids[first:end], pa.int64()),
+                        pa.array([len(x) for x in found], pa.int64()),
+                        pa.array(sketches, pa.binary()),
+                        pa.array([x.tobytes() for x in found], pa.binary()),
+                    ],
+                    names=["rep", "n_shingles", "sketch", "shingles"],
                 )
 
+    schema = "rep long, n_shingles long, sketch binary, shingles binary"
     return (
         docs.where("doc_id IS NOT NULL")
         .select(F.col("doc_id").cast("long").alias("rep"), "text", place.alias("place"))
-        .mapInArrow(sets, "rep long, shingles binary")
+        .mapInArrow(sets, schema)
     )
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, work: Workspace, name: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The links among ``pairs``, by the full sets."""
 
     @F.pandas_udf("boolean")
@@ -266,20 +275,24 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, work: Workspace, name: str) ->
             result[i] = 100 * common >= PERCENT * (len(a) + len(b) - common)
         return pd.Series(result)
 
-    sets = work.write(_sets(docs, pairs).dropDuplicates(["rep"]), f"sets-{name}")
-    both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    return both.where(linked("left", "right")).select("a", "b")
+    one, other = (sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(other, "b")
+    # A doc_id may stand in several rows, which then give the link several times.
+    return both.where(linked("set_a", "set_b")).select("a", "b").distinct()
 
 
 # --- trees ------------------------------------------------------------------------------------
 
 
-def _first_level(classes: DataFrame, trees: range) -> DataFrame:
-    """(node, rep, label), one row per tree and class."""
+def _first_level(classes: DataFrame) -> DataFrame:
+    """(tree, node, rep), one row per tree and class."""
     roots = F.array(
-        *(F.xxhash64(F.lit(t), F.element_at("paths", t + 1)) for t in trees)
+        *(
+            F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.element_at("paths", t + 1)).alias("node"))
+            for t in range(FIRST_TREES + TREES)
+        )
     )
-    return classes.select("rep", "label", F.explode(roots).alias("node"))
+    return classes.select("rep", F.explode(roots).alias("root")).select("root.*", "rep")
 
 
 def _open_nodes(members: DataFrame) -> DataFrame:
@@ -307,10 +320,9 @@ def _blocks(members: DataFrame) -> DataFrame:
     return cut.select(F.xxhash64("node", "block").alias("node"), "rep", "label")
 
 
-def _small_nodes(classes: DataFrame, work: Workspace) -> DataFrame:
-    """All nodes of the second round's trees that are to be compared, branched until small."""
-    trees = range(FIRST_TREES, FIRST_TREES + TREES)
-    level = work.write(_open_nodes(_first_level(classes, trees)), "level-0")
+def _small_nodes(roots: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
+    """All nodes of the trees below ``roots`` that are to be compared, branched until small."""
+    level = work.write(_open_nodes(roots), "level-0")
     ready = [level.where(f"size <= {NODE}").select("node", "rep", "label")]
     values = classes.select("rep", "values")
     for depth in range(1, DEPTH + 1):
@@ -353,8 +365,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if it has fewer. Documents are linked from a Jaccard similarity of 0.75. ``component_id`` is the
     smallest doc_id that can be reached by links, the own one included. A null or empty text has no
     set and no links. Rows that repeat a doc_id count as one document in the links, and each is
-    returned; so a doc_id must not stand for different texts. A row without a doc_id gets no component. Other columns
-    are not read. An empty table gives an empty table.
+    returned; so a doc_id must not stand for different texts. A row without a doc_id gets no
+    component. Other columns are not read. An empty table gives an empty table.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near-dup")
@@ -362,35 +374,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     features = work.write(set_features(docs), "features")
     named = features.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     keys = work.write(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "keys")
-    classes = work.write(
-        named.join(keys, "set_key")
-        .where("doc_id = rep")
-        .dropDuplicates(["rep"])
-        .select("rep", "n_shingles", "paths", "values", "sketch", F.col("rep").alias("label")),
-        "classes",
-    )
-
-    opened = work.write(_open_nodes(_first_level(classes, range(FIRST_TREES))), "first-nodes")
-    blocks = work.write(_blocks(opened), "first-blocks")
-    pairs = work.write(_compared(blocks, classes, blocks.count()), "first-pairs")
-    links = work.write(_confirmed(pairs, docs, work, "first"), "first-links")
-    work.drop("sets-first")
+    reps = named.join(keys, "set_key").where("doc_id = rep")
+    classes = reps.select("rep", "paths", "values").dropDuplicates(["rep"])
+    classes = work.write(classes, "classes")
+
+    # Nodes of the first level with more than one class; only their classes' sets are needed.
+    roots = _first_level(classes)
+    shared = roots.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    roots = work.write(roots.join(shared, "node"), "roots")
+    sets = work.write(_sets(docs, roots.select("rep").distinct()), "sets")
+
+    first = roots.where(F.col("tree") < FIRST_TREES).select("node", "rep", F.col("rep").alias("label"))
+    blocks = work.write(_blocks(_open_nodes(first)), "first-blocks")
+    pairs = work.write(_compared(blocks, sets, blocks.count()), "first-pairs")
+    links = work.write(_confirmed(pairs, sets), "first-links")
     known = work.write(connected_components(links, work, "first"), "first-components")
 
-    labelled = work.write(
-        classes.drop("label")
+    second = (
+        roots.where(F.col("tree") >= FIRST_TREES)
         .join(known.withColumnRenamed("id", "rep"), "rep", "left")
-        .withColumn("label", F.coalesce("component", "rep"))
-        .drop("component"),
-        "labelled",
+        .select("node", "rep", F.coalesce("component", "rep").alias("label"))
     )
-    members = work.write(_small_nodes(labelled, work), "members")
-    more = _compared(members, labelled, members.count())
+    members = work.write(_small_nodes(second, classes, work), "members")
+    more = _compared(members, sets, members.count())
     more = work.write(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    more_links = work.write(_confirmed(more, docs, work, "more"), "more-links")
-    work.drop("sets-more")
+    more_links = work.write(_confirmed(more, sets), "more-links")
     every = links.unionAll(more_links)
     found = work.write(connected_components(every, work, "all"), "components")
+    for table in ("classes", "roots", "sets", "first-blocks", "members"):
+        work.drop(table)
 
     return (
         features.join(keys, "set_key", "left")
