@@ -288,7 +288,10 @@ def _first_level(classes: DataFrame) -> DataFrame:
     """(tree, node, rep), one row per tree and class."""
     roots = F.array(
         *(
-            F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.element_at("paths", t + 1)).alias("node"))
+            F.struct(
+                F.lit(t).alias("tree"),
+                F.xxhash64(F.lit(t), F.element_at("paths", t + 1)).alias("node"),
+            )
             for t in range(FIRST_TREES + TREES)
         )
     )
@@ -329,7 +332,8 @@ def _small_nodes(roots: DataFrame, classes: DataFrame, work: Workspace) -> DataF
         large = level.where(f"size > {NODE}")
         if large.isEmpty():
             break
-        # One or two places per node, by its hash: a pair of similarity s shares 1.5 * s children on average.
+        # One or two places per node, by its hash: a pair of similarity s shares 1.5 * s children on
+        # average.
         places = F.expr("IF(pmod(xxhash64(node, 7), 2) = 0, array(0), array(0, 1))")
         value = "element_at(values, CAST(pmod(xxhash64(node, b), {}) AS INT) + 1)".format(PLACES)
         children = F.expr(f"transform(places, b -> xxhash64(node, b, {value}))")
