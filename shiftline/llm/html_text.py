@@ -1,13 +1,16 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block element. A line's weight is its text length, without
-weight if it lies in a part that cannot be article text (menus, forms, page header and footer,
-asides, and what its class, id or role calls an advert, notice, comment and the like) or if it is
+weight if it lies in a part that cannot be article text (menus, page header and footer, asides,
+forms, and what its class, id or role calls an advert, notice, comment and the like) or if it is
 mostly links. Weights are summed over windows of ``WINDOW`` lines. Text starts at a surge, where a
 window rises over the threshold, and ends at a dive, where the window falls to nothing; the lines
-between are kept, and with them what else stands in the same elements. Parts are set apart by empty
-lines, so a window never joins the article with what follows it. On a page that marks its article or
-main part only that part has weight, and any text is a surge.
+between are kept, and with them what else stands in the same elements. This holds for every page.
+
+A page's <article> and <main> parts weigh more than the rest if they hold the larger part of its
+unlinked text (``OUTSIDE``); else all lines weigh the same. They are set apart by ``WINDOW`` empty
+lines, so a window never joins the article with what follows it. Within them, parts that cannot be
+article text do not count as lines, and lines of links belong to the text that they stand in.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from shiftline.llm.workspace import ship
 WINDOW = 3
 SURGE = 80  # characters in a window, at most; less on pages whose fullest window is small
 LINKED = 0.5  # share of link text from which a line has no weight
+OUTSIDE = 0.25  # weight of a character outside <article> and <main> where these hold most text
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -55,6 +59,7 @@ _HINTS = frozenset(
     " replies reply respond search share sharing sidebar sidebars signup skip social sponsor"
     " sponsored subscribe subscription toolbar widget complementary contentinfo".split()
 )
+_APART = [("", 0, True, False, 0)] * WINDOW  # lines without text
 
 
 def _is_hinted(attributes: str) -> bool:
@@ -135,12 +140,15 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
             yield found
         if open_tags and open_tags[-1][0] == "p":  # a block ends a paragraph
             close(1)
-            yield "", 0, True, False, 0
+            yield "", 0, True, main > 0, 0
         if match["end"]:
             for depth in range(len(open_tags)):
                 if open_tags[-1 - depth][0] == name:
-                    if any(n or m for _, n, m in open_tags[-1 - depth :]):
-                        yield "", 0, True, False, 0
+                    ended = open_tags[-1 - depth :]
+                    if any(m for _, _, m in ended):
+                        yield from _APART
+                    elif any(n for _, n, _ in ended):
+                        yield "", 0, True, main > 0, 0
                     close(depth + 1)
                     break
         elif name not in _VOID and not match["attributes"].endswith("/"):
@@ -151,7 +159,7 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
                 or (name not in ("body", "html") and not is_main and _is_hinted(match["attributes"]))
             )
             if is_never or is_main:
-                yield "", 0, True, False, 0
+                yield from _APART if is_main else [("", 0, True, main > 0, 0)]
             if is_never or name not in ("p", "li", "dt", "dd", "tr", "option"):
                 if name != "p" or is_never:
                     push(name, is_never, is_main)
@@ -164,35 +172,45 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
 def main_text(html: str | None) -> str:
     """The blocks of the main text, joined by line ends; empty if there is none."""
     lines = list(_lines(html or ""))
-    structured = any(main and not never and text for text, _, never, main, _ in lines)
+    inside = outside = 0
+    for text, linked, never, main, _ in lines:
+        if main and not never:
+            inside += max(len(text) - linked, 0)
+        elif not never:
+            outside += max(len(text) - linked, 0)
+    marked = 0 < inside >= outside
+    if marked:
+        lines = [x for x in lines if not (x[3] and x[2])]
     weights = []
     for text, linked, never, main, _ in lines:
-        counts = text and not never and (main or not structured)
-        if counts and not structured and linked >= LINKED * len(text):
-            counts = False
-        weights.append(len(text) if counts else 0)
+        counts = text and not never and linked < LINKED * len(text)
+        weights.append(len(text) * (OUTSIDE if marked and not main else 1) if counts else 0)
     padded = weights + [0] * WINDOW
-    window = sum(padded[:WINDOW])
-    sums = []
-    for i in range(len(weights)):
-        sums.append(window)
-        window += padded[i + WINDOW] - padded[i]
-    surge = 1 if structured else min(SURGE, max(sums, default=0) / 2)
+    sums = [sum(padded[i : i + WINDOW]) for i in range(len(weights))]
+    surge = min(SURGE, max(sums, default=0) / 2)
     kept, start = set(), None
     for i, total in enumerate([*sums, 0]):
         if total > 0 and start is None:
             start = i
         elif total == 0 and start is not None:
             if max(sums[start:i]) >= surge:
-                kept.update(k for k in range(start, i) if weights[k])
+                kept.update(k for k in range(start, i) if _belongs(lines[k], weights[k], marked))
             start = None
     # A notice or advert within the text's own element does not end the text.
     elements = {lines[k][4] for k in kept} - {0}
     return "\n".join(
-        line[0] for k, line in enumerate(lines) if k in kept or weights[k] and line[4] in elements
+        line[0]
+        for k, line in enumerate(lines)
+        if k in kept or line[4] in elements and _belongs(line, weights[k], marked)
     )
 
 
+def _belongs(line: tuple[str, int, bool, bool, int], weight: float, marked: bool) -> bool:
+    """Whether a line near kept ones is text: it has weight, or stands in the marked main part."""
+    text, _, never, main, _ = line
+    return weight > 0 or bool(marked and main and text and not never)
+
+
 def extract_main_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:
     """Add the main text of every page as column ``into``.
 

@@ -98,6 +98,21 @@ def test_page_text(body, text):
     assert html_text.main_text(PAGE.format(body)) == text
 
 
+BODY = "A paragraph that is long enough to count as text of the page, and that is so by far."
+
+
+def test_page_text_surges_and_dives_on_every_page():
+    """Articles weigh more only where they hold most text; short runs in them are no surge."""
+    body = f"<div><p>{BODY}<p>{BODY}<p>The end.</div>"
+    cards = "<article><p>A card on top.</article><article><p>Another card.</article>"
+    assert html_text.main_text(cards + body + cards) == f"{BODY}\n{BODY}\nThe end."
+    page = f"<div>Welcome back, dear reader.</div><article>{body}</article><article>A card.</article>"
+    assert html_text.main_text(page) == f"{BODY}\n{BODY}\nThe end."
+    ads = "<div class=ad>Buy</div>" * 4
+    page = f"<article><div><p>{BODY}</div>{ads}<div><p>The end <a href=x>of it</a>.</div></article>"
+    assert html_text.main_text(page) == f"{BODY}\nThe end of it."
+
+
 def test_page_text_edges(spark):
     pages = [(1, None), (2, ""), (3, "a < b"), (4, "<p>open <b>ended"), (5, "<script>x"), (6, "<!-- x"), (7, '<p class="')]
     found = html_text.extract_main_text(
