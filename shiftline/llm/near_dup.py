@@ -3,8 +3,11 @@
 Documents with equal shingle sets form one class, and classes are joined. Each class has minwise
 values of its set. A tree of the join branches the classes by the minwise value at a place that
 depends on the node, so similar sets go down the same path; a node that is small enough is compared
-exhaustively. Trees are independent, and there are as many as the recall asks for: a pair of
-similarity s shares a node of the first level of one tree with probability s.
+exhaustively. A pair of similarity s shares a node of a tree's first level with probability s, and
+every node that is too large branches at two places, so the pair shares 2 * s children of it on
+average. However deep a tree is, it misses the pair with probability (1 - s) / s at most: the chance x
+to share no small node below a shared one is a solution of x = (1 - s + s * x) ** 2. Trees are
+independent, and there are as many as ``MISSED`` asks for.
 
 A node is compared on the sets' ``SKETCH`` smallest hashes, which for most documents are the whole
 set, by counting along lists of the classes that hold a hash. What leaves the node is no more than
@@ -21,6 +24,7 @@ links across components.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +40,8 @@ from shiftline.llm.workspace import Workspace, ship
 SHINGLE = 5
 PERCENT = 75  # links have 100 * intersection >= PERCENT * union
 FIRST_TREES = 2
-TREES = 10  # of the second round: a pair at the threshold is missed with probability 0.25 ** 10
+MISSED = 2e-6  # chance that the second round's trees miss a pair at the threshold, over all levels
+TREES = math.ceil(math.log(MISSED) / math.log((100 - PERCENT) / PERCENT))  # of the second round
 PLACES = 128  # minwise values of a set, one per interval of hashes
 SKETCH = 1024
 # Similarity on sketches from which sets that are larger than a sketch may be linked, and from which they
@@ -332,13 +337,16 @@ def _small_nodes(roots: DataFrame, classes: DataFrame, work: Workspace) -> DataF
         large = level.where(f"size > {NODE}")
         if large.isEmpty():
             break
-        # One or two places per node, by its hash: a pair of similarity s shares 1.5 * s children on
-        # average.
-        places = F.expr("IF(pmod(xxhash64(node, 7), 2) = 0, array(0), array(0, 1))")
-        value = "element_at(values, CAST(pmod(xxhash64(node, b), {}) AS INT) + 1)".format(PLACES)
-        children = F.expr(f"transform(places, b -> xxhash64(node, b, {value}))")
-        grown = large.join(values, "rep").withColumn("places", places)
-        grown = grown.select("rep", "label", F.explode(children).alias("node"))
+        # Two different places per node.
+        place = F.expr(f"pmod(xxhash64(node, 0), {PLACES})")
+        step = F.expr(f"1 + pmod(xxhash64(node, 1), {PLACES - 1})")
+        children = F.array(
+            *(
+                F.xxhash64("node", F.lit(b), F.element_at("values", (at % PLACES + 1).cast("int")))
+                for b, at in enumerate([place, place + step])
+            )
+        )
+        grown = large.join(values, "rep").select("rep", "label", F.explode(children).alias("node"))
         level = work.write(_open_nodes(grown.select("node", "rep", "label")), f"level-{depth}")
         ready.append(level.where(f"size <= {NODE}").select("node", "rep", "label"))
     else:

@@ -112,6 +112,19 @@ def test_near_duplicates(spark, monkeypatch, node, depth):
     assert check_duplicates(spark, rows) > 20
 
 
+def test_every_large_node_branches_at_two_places(spark, monkeypatch):
+    """Sets that agree everywhere never split: eight nodes after three levels, all pairs of blocks."""
+    monkeypatch.setattr(near_dup, "NODE", 8)
+    monkeypatch.setattr(near_dup, "DEPTH", 3)
+    values = [7] * near_dup.PLACES
+    roots = spark.createDataFrame([(5, i, i) for i in range(20)], "node long, rep long, label long")
+    classes = spark.createDataFrame([(i, values) for i in range(20)], "rep long, values array<short>")
+    members = near_dup._small_nodes(roots, classes, Workspace(spark, "test"))
+    assert members.count() == 2**3 * 20 * 10
+    # A tree misses a pair at the threshold with probability (1 - s) / s, whatever its depth.
+    assert (1 / 3) ** near_dup.TREES <= near_dup.MISSED == 2e-6
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(empty).count() == 0
