@@ -61,6 +61,24 @@ def test_language(spark, sample):
     assert language_id.identify(docs, language_id.fit(nothing)).where("rejected").count() == len(sample)
 
 
+def test_long_foreign_texts_are_rejected():
+    """A long text fills most hash places; it is judged by windows, whatever its length."""
+    rng = random.Random(8)
+
+    def speak(letters, n):
+        known = ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(3000)]
+        return " ".join(rng.choices(known, k=n))
+
+    own, foreign = speak("abcdefghijklm", 20_000), speak([chr(0x430 + i) for i in range(30)], 20_000)
+    idf = np.ones(language_id.FEATURES, np.float32)
+    parts = [own[at : at + 2000] for at in range(0, len(own), 2000)]
+    center = language_id._unit(language_id.trigram_counts(parts), idf).mean(axis=0)
+    center /= np.linalg.norm(center)
+    model = language_id.LanguageModel(["xx"], center[None, :], np.array([0.45]), idf)
+    found = model.predict([foreign[:1500], foreign[:40_000], foreign, own[:1500], own])
+    assert found["rejected"].tolist() == [True, True, True, False, False]
+
+
 def test_long_texts_go_through_in_slices(monkeypatch):
     text = "the quick brown fox " * 50
     whole = language_id.trigram_counts([text])
