@@ -1,8 +1,7 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block element. A line's weight is its text length, without
-weight if it lies in a part that cannot be article text (menus, page header and footer, asides,
-forms, and what its class, id or role calls an advert, notice, comment and the like) or if it is
+weight if it lies in a part that cannot be article text (menus, footer, asides, dialogs) or if it is
 mostly links. Weights are summed over windows of ``WINDOW`` lines. Text starts at a surge, where a
 window rises over the threshold, and ends at a dive, where the window falls to nothing; the lines
 between are kept, and with them what else stands in the same elements. This holds for every page.
@@ -11,6 +10,11 @@ A page's <article> and <main> parts weigh more than the rest if they hold the la
 unlinked text (``OUTSIDE``); else all lines weigh the same. They are set apart by ``WINDOW`` empty
 lines, so a window never joins the article with what follows it. Within them, parts that cannot be
 article text do not count as lines, and lines of links belong to the text that they stand in.
+
+Page headers, forms and what a class, id or role calls an advert, notice, comment and the like are
+doubtful: their lines weigh a tenth (``DOUBTFUL``) and need a surge of their own. A doubtful element
+that holds most of the page's unlinked text, and more than thrice what <article> and <main> hold
+besides, is not doubted. Inline elements are not.
 """
 
 from __future__ import annotations
@@ -28,13 +32,14 @@ from shiftline.llm.workspace import ship
 WINDOW = 3
 SURGE = 80  # characters in a window, at most; less on pages whose fullest window is small
 LINKED = 0.5  # share of link text from which a line has no weight
+DOUBTFUL = 0.1  # weight of a character in a doubtful part
 OUTSIDE = 0.25  # weight of a character outside <article> and <main> where these hold most text
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|button|object|canvas"
-    r"|audio|video|math|datalist)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|audio|video|annotation|annotation-xml|datalist)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -43,10 +48,13 @@ _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp"
-    " rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    " rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow"
+    " mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle mspace mpadded"
+    " mphantom menclose mfenced mmultiscripts semantics".split()
 )
 _SPACED = frozenset(["td", "th"])
-_NEVER = frozenset("nav footer aside form head menu dialog fieldset".split())
+_NEVER = frozenset("nav footer aside head menu dialog".split())
+_DOUBTED = frozenset(["form", "fieldset"])
 _MAIN = frozenset(["article", "main"])
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -59,24 +67,34 @@ _HINTS = frozenset(
     " replies reply respond search share sharing sidebar sidebars signup skip social sponsor"
     " sponsored subscribe subscription toolbar widget complementary contentinfo".split()
 )
-_APART = [("", 0, True, False, 0)] * WINDOW  # lines without text
+# Parts that may stand beside a hint in a name; with others ("related-work") it is no hint.
+_NEUTRAL = frozenset(
+    "area article bar block blog body box button buttons container content div field fixed footer form"
+    " google header icon icons inner item items left link links list main page panel post posts reader"
+    " right section sidebar site slot sticky text title top bottom unit user wrap wrapper".split()
+)
+_APART = [("", 0, True, False, 0, ())] * WINDOW  # lines without text
 
 
 def _is_hinted(attributes: str) -> bool:
     for match in _MARK.finditer(attributes):
         value = match[1] or match[2] or match[3] or ""
-        if any(part.lower() in _HINTS for part in _PARTS.findall(value)):
-            return True
+        for name in value.split():
+            parts = {part.lower() for part in _PARTS.findall(name)}
+            if parts & _HINTS and parts <= _HINTS | _NEUTRAL:
+                return True
     return False
 
 
-def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
+def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int, tuple[int, ...]]]:
     """(text, characters in links, in a part that is never text, in the main part, number of the
-    element it stands in) per line; elements directly in the body count as 0.
+    element it stands in, numbers of the doubtful elements around it) per line; elements directly in
+    the body count as 0.
 
     A line without text is yielded wherever a part begins or ends.
     """
-    open_tags: list[tuple[str, bool, bool]] = []  # name, never text, main part
+    open_tags: list[tuple[str, bool, bool, bool]] = []  # name, never text, main part, doubtful
+    doubted: tuple[int, ...] = ()
     numbers: list[int] = []  # of the open tags
     count = 0
     never = main = links = 0
@@ -88,21 +106,26 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
         nonlocal words, linked
         text, chars = " ".join("".join(words).split()), linked
         words, linked = [], 0
-        return (text, chars, never > 0, main > 0, numbers[-1] if numbers else 0) if text else None
+        number = numbers[-1] if numbers else 0
+        return (text, chars, never > 0, main > 0, number, doubted) if text else None
 
-    def push(name: str, is_never: bool, is_main: bool) -> None:
-        nonlocal never, main, count
+    def push(name: str, is_never: bool, is_main: bool, is_doubted: bool) -> None:
+        nonlocal never, main, count, doubted
         count += 1
-        open_tags.append((name, is_never, is_main))
+        open_tags.append((name, is_never, is_main, is_doubted))
+        if is_doubted:
+            doubted += (count,)
         numbers.append(0 if name in ("body", "html") else count)
         never += is_never
         main += is_main
 
     def close(count: int) -> None:
-        nonlocal never, main
+        nonlocal never, main, doubted
         for _ in range(count):
-            _, was_never, was_main = open_tags.pop()
+            _, was_never, was_main, was_doubted = open_tags.pop()
             numbers.pop()
+            if was_doubted:
+                doubted = doubted[:-1]
             never -= was_never
             main -= was_main
 
@@ -125,44 +148,35 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
         if name in _INLINE:
             if name == "a":
                 links = 0 if match["end"] else 1
-            if not match["end"] and name != "a" and match["attributes"] and _is_hinted(match["attributes"]):
-                if found := line():
-                    yield found
-                push(name, True, False)
-            elif not match["end"] and open_tags and open_tags[-1][0] == name:
-                push(name, False, False)
-            elif match["end"] and open_tags and open_tags[-1][0] == name:
-                if found := line():
-                    yield found
-                close(1)
             continue
         if found := line():
             yield found
         if open_tags and open_tags[-1][0] == "p":  # a block ends a paragraph
             close(1)
-            yield "", 0, True, main > 0, 0
+            yield "", 0, True, main > 0, 0, ()
         if match["end"]:
             for depth in range(len(open_tags)):
                 if open_tags[-1 - depth][0] == name:
                     ended = open_tags[-1 - depth :]
-                    if any(m for _, _, m in ended):
+                    if any(m for _, _, m, _ in ended):
                         yield from _APART
-                    elif any(n for _, n, _ in ended):
-                        yield "", 0, True, main > 0, 0
+                    elif any(n or d for _, n, _, d in ended):
+                        yield "", 0, True, main > 0, 0, ()
                     close(depth + 1)
                     break
         elif name not in _VOID and not match["attributes"].endswith("/"):
             is_main = name in _MAIN
-            is_never = (
-                name in _NEVER
+            is_never = name in _NEVER
+            is_doubted = (
+                name in _DOUBTED
                 or (name == "header" and not main)
                 or (name not in ("body", "html") and not is_main and _is_hinted(match["attributes"]))
             )
-            if is_never or is_main:
-                yield from _APART if is_main else [("", 0, True, main > 0, 0)]
-            if is_never or name not in ("p", "li", "dt", "dd", "tr", "option"):
-                if name != "p" or is_never:
-                    push(name, is_never, is_main)
+            apart = is_never or is_doubted
+            if apart or is_main:
+                yield from _APART if is_main else [("", 0, True, main > 0, 0, ())]
+            if apart or name not in ("p", "li", "dt", "dd", "tr", "option"):
+                push(name, is_never, is_main, is_doubted)
     if at < len(html):
         words.append(unescape(html[at:]))
     if found := line():
@@ -171,44 +185,71 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int]]:
 
 def main_text(html: str | None) -> str:
     """The blocks of the main text, joined by line ends; empty if there is none."""
-    lines = list(_lines(html or ""))
+    lines = _settled(list(_lines(html or "")))
     inside = outside = 0
-    for text, linked, never, main, _ in lines:
-        if main and not never:
+    for text, linked, never, main, _, doubted in lines:
+        if main and not never and not doubted:
             inside += max(len(text) - linked, 0)
-        elif not never:
+        elif not never and not doubted:
             outside += max(len(text) - linked, 0)
     marked = 0 < inside >= outside
-    if marked:
-        lines = [x for x in lines if not (x[3] and x[2])]
-    weights = []
-    for text, linked, never, main, _ in lines:
-        counts = text and not never and linked < LINKED * len(text)
-        weights.append(len(text) * (OUTSIDE if marked and not main else 1) if counts else 0)
+    plain = [k for k, x in enumerate(lines) if not (marked and x[3] and (x[2] or x[5]))]
+    weights = [0.0] * len(lines)
+    for k, (text, linked, never, main, _, doubted) in enumerate(lines):
+        if text and not never and linked < LINKED * len(text):
+            share = DOUBTFUL if doubted else OUTSIDE if marked and not main else 1
+            weights[k] = len(text) * share
+    sure = [0 if lines[k][5] else weights[k] for k in plain]
+    kept = set()
+    for start, end in _surges(sure, relative=True):
+        kept.update(k for k in plain[start:end] if _belongs(lines[k], weights[k], marked))
+    # A notice or advert within the text's own element does not end the text.
+    elements = {lines[k][4] for k in kept} - {0}
+    kept.update(
+        k for k in plain if lines[k][4] in elements and _belongs(lines[k], weights[k], marked)
+    )
+    unsure = [w if x[5] else 0 for x, w in zip(lines, weights, strict=True)]
+    for start, end in _surges(unsure, relative=not any(sure)):
+        kept.update(k for k in range(start, end) if unsure[k])
+    return "\n".join(lines[k][0] for k in sorted(kept))
+
+
+def _settled(lines: list[tuple]) -> list[tuple]:
+    """``lines`` without doubt about elements that hold most of the page's unlinked text."""
+    total = marked = 0
+    held: dict[int, int] = {}  # unlinked text by doubtful element
+    for text, linked, never, main, _, doubted in lines:
+        own = 0 if never else max(len(text) - linked, 0)
+        total += own
+        marked += own if main and not doubted else 0
+        for number in doubted:
+            held[number] = held.get(number, 0) + own
+    least = max(3 * marked, WINDOW * SURGE) if marked else 0
+    most = {n for n, own in held.items() if 2 * own > total and own > least}
+    return [(*x[:5], tuple(n for n in x[5] if n not in most)) for x in lines] if most else lines
+
+
+def _surges(weights: list[float], relative: bool) -> Iterator[tuple[int, int]]:
+    """Start and end of the runs of windows that hold a surge; where it is relative, less is one on
+    pages whose fullest window is small.
+    """
     padded = weights + [0] * WINDOW
     sums = [sum(padded[i : i + WINDOW]) for i in range(len(weights))]
-    surge = min(SURGE, max(sums, default=0) / 2)
-    kept, start = set(), None
+    surge = min(SURGE, max(sums, default=0) / 2) if relative else SURGE
+    start = None
     for i, total in enumerate([*sums, 0]):
         if total > 0 and start is None:
             start = i
         elif total == 0 and start is not None:
             if max(sums[start:i]) >= surge:
-                kept.update(k for k in range(start, i) if _belongs(lines[k], weights[k], marked))
+                yield start, i
             start = None
-    # A notice or advert within the text's own element does not end the text.
-    elements = {lines[k][4] for k in kept} - {0}
-    return "\n".join(
-        line[0]
-        for k, line in enumerate(lines)
-        if k in kept or line[4] in elements and _belongs(line, weights[k], marked)
-    )
 
 
-def _belongs(line: tuple[str, int, bool, bool, int], weight: float, marked: bool) -> bool:
+def _belongs(line: tuple, weight: float, marked: bool) -> bool:
     """Whether a line near kept ones is text: it has weight, or stands in the marked main part."""
-    text, _, never, main, _ = line
-    return weight > 0 or bool(marked and main and text and not never)
+    text, _, never, main, _, doubted = line
+    return not doubted and (weight > 0 or bool(marked and main and text and not never))
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:

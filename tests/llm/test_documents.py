@@ -131,6 +131,21 @@ def test_page_text_surges_and_dives_on_every_page():
     assert html_text.main_text(page) == f"{BODY}\nThe end of it."
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='content with-sidebar'><p>{BODY}</div>", BODY),
+        (f"<div class='comments'><p>{BODY}</div>", BODY),
+        (f"<form><div><p>{BODY}</div></form>", BODY),
+        (f"<article><p>{BODY}<p class='notice-period'>A month.</article>", f"{BODY}\nA month."),
+        (f"<article><p>{BODY}<p>The <span class='search-hit'>term</span> <em class=ad>in</em> it.</article>", f"{BODY}\nThe term in it."),
+        (f"<article><p>{BODY}<p>As <math><mi>x</mi><mo>=</mo><mn>1</mn></math> shows.</article>", f"{BODY}\nAs x=1 shows."),
+    ],
+)
+def test_page_text_outweighs_hints(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_page_text_edges(spark):
     pages = [(1, None), (2, ""), (3, "a < b"), (4, "<p>open <b>ended"), (5, "<script>x"), (6, "<!-- x"), (7, '<p class="')]
     found = html_text.extract_main_text(
