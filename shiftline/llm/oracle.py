@@ -21,7 +21,114 @@ def _components(rows: str, id: str) -> str:
     )
 
 
+_BYTES = "flatten([[ascii(c), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(key, '')])"
+_BIT = "xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, {_BYTES}), lambda c, b: {_BIT}), 4294967295)"
+
+
+def _edit(state: str, cost: str, edit: str, line: str = "''") -> str:
+    """(cost, edits, lines) after one more edit."""
+    return f"{{'c': {state}.c + {cost}, 'e': {state}.e || '{edit}', 'm': {state}.m || {line}}}"
+
+
+def _least(*offers: str) -> str:
+    return f"list_sort([{', '.join(offers)}])[1]"
+
+
+_USER, _ASSISTANT = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+_OWN = "chr(10) || role || ':' || text"
+_FAR = "{'c': 1000000000, 'e': '', 'm': ''}"
+# What inserts reach first: states 2 and 3 (after user, after assistant).
+_INSERTED = f"""
+    SELECT *, {_least('s3', _edit('q2', '3', 'I', _ASSISTANT))} AS q3 FROM (
+        SELECT *, {_least('s2', *(_edit(s, '3', 'I', _USER) for s in ('s0', 's1', 's3')))} AS q2"""
+
+
+def _after(state: str, *more: str) -> str:
+    """The best of deleting a row and, if it may stay, of what else leads to the state."""
+    stays = f"CASE WHEN fault IN ('blank', 'duplicate') THEN [] ELSE [{', '.join(more)}] END"
+    return f"list_sort([{_edit(state, '4', 'D')}] || {stays})[1]"
+
+
+def _if(condition: str, offer: str) -> str:
+    return f"CASE WHEN {condition} THEN {offer} ELSE {_FAR} END"
+
+
+_CUT = "(CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END)"
+_AS_USER = [
+    offer
+    for s in ("s0", "s1", "q3")
+    for offer in (
+        _if("initial = 'u'", _edit(s, _CUT, "K", _OWN)),
+        _edit(s, f"3 + {_CUT}", "R", f"{_USER} || text"),
+    )
+]
+_AS_ASSISTANT = [
+    _if("initial = 'a'", _edit("q2", _CUT, "K", _OWN)),
+    _edit("q2", f"3 + {_CUT}", "R", f"{_ASSISTANT} || text"),
+]
+
 ORACLE_SQL = {
+    "op12_conversation_repair": f"""
+        WITH RECURSIVE said AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+                   || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations),
+        coded AS (SELECT *, {_CRC} % 20 AS code FROM said),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+                   CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END
+                       AS text,
+                   unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM coded),
+        placed AS (
+            SELECT *, left(role, 1) AS initial,
+                   row_number() OVER (PARTITION BY conv_id
+                                      ORDER BY turn NULLS FIRST, role, text, copy) AS rn
+            FROM damaged),
+        faulty AS (
+            SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY rn) || initial AS pair,
+                   CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1
+                        THEN 'duplicate'
+                        WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z')
+                        THEN 'truncated' END AS fault
+            FROM placed),
+        ids AS (SELECT DISTINCT conv_id FROM conversations),
+        walk AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS rn, {{'c': CAST(0 AS BIGINT), 'e': '', 'm': ''}} AS s0,
+                   {{'c': CAST(1000000000 AS BIGINT), 'e': '', 'm': ''}} AS s1,
+                   {{'c': CAST(1000000000 AS BIGINT), 'e': '', 'm': ''}} AS s2,
+                   {{'c': CAST(1000000000 AS BIGINT), 'e': '', 'm': ''}} AS s3
+            FROM ids
+            UNION ALL
+            SELECT conv_id, rn,
+                   {_edit('s0', '4', 'D')},
+                   {_after('s1', _if("initial = 's'", _edit('s0', _CUT, 'K', _OWN)))},
+                   {_after('q2', *_AS_USER)},
+                   {_after('q3', *_AS_ASSISTANT)}
+            FROM ({_INSERTED}
+                  FROM (SELECT f.*, s0, s1, s2, s3 FROM walk w JOIN faulty f
+                        ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.rn = w.rn + 1)))),
+        ends AS (
+            SELECT conv_id, {_least('s0', 'q3')} AS best
+            FROM ({_INSERTED}
+                  FROM (SELECT * FROM walk QUALIFY
+                        row_number() OVER (PARTITION BY conv_id ORDER BY rn DESC) = 1)))),
+        counts AS (
+            SELECT conv_id,
+                   coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY conv_id)
+        SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+               coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, best.c AS cost, best.e AS audit,
+               sha256(substr(best.m, 2)) AS repaired_sha256
+        FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id""",
     "op3_near_duplicates": f"""
         WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftline.llm import language_id
+from shiftline.llm.conversations import damaged, repair_report
 from shiftline.llm.license_scan import scan_licenses
 from shiftline.llm.embedding_dup import near_embeddings
 from shiftline.llm.html_text import extract_main_text
@@ -16,6 +17,7 @@ from shiftline.llm.packing import pack_documents
 from shiftline.llm.pii import KINDS, find_personal_data
 from shiftline.llm.pivot_search import search_top
 from shiftline.llm.suffix_tree import score_texts
+from shiftline.llm.whitening import whiten
 from shiftline.llm.workspace import Workspace
 
 
@@ -123,6 +125,16 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    return repair_report(damaged(turns), turns)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whiten(_table(spark, folder, "embeddings", "vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_html_text": op2_html_text,
@@ -134,6 +146,8 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_personal_data": op10_personal_data,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
