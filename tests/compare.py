@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 def oracle(sql, folder):
     connection = duckdb.connect()
-    for name in ("events", "part", "documents", "embeddings"):
+    for name in ("events", "part", "documents", "embeddings", "conversations"):
         connection.execute(
             f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')"
         )
