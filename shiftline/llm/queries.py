@@ -16,6 +16,7 @@ from shiftline.llm.oracle import ORACLE_SQL
 from shiftline.llm.packing import pack_documents
 from shiftline.llm.pii import KINDS, find_personal_data
 from shiftline.llm.pivot_search import search_top
+from shiftline.llm.repeated_bytes import remove_repeats
 from shiftline.llm.suffix_tree import score_texts
 from shiftline.llm.whitening import whiten
 from shiftline.llm.workspace import Workspace
@@ -125,6 +126,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(_table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
     return repair_report(damaged(turns), turns)
@@ -146,6 +151,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_personal_data": op10_personal_data,
+    "op11_repeated_bytes": op11_repeated_bytes,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_whitening": op13_whitening,
 }
