@@ -71,32 +71,32 @@ _AS_ASSISTANT = [
 ORACLE_SQL = {
     "op11_repeated_bytes": """
         WITH texts AS (
-            SELECT row_number() OVER () AS rid, coalesce(doc_id, 9223372036854775807) AS at, doc_id,
+            SELECT row_number() OVER () AS rid, coalesce(doc_id, 9223372036854775807) AS who, doc_id,
                    hex(encode(coalesce(text, ''))) AS h
             FROM documents),
         strings AS (
-            SELECT rid, at, unnest(range(0, len(h) // 2 - 49)) AS p,
+            SELECT rid, who, unnest(range(0, len(h) // 2 - 49)) AS p,
                    unnest([substr(h, 2 * i + 1, 100) FOR i IN range(0, len(h) // 2 - 49)]) AS s
             FROM texts),
-        least AS (SELECT s, min(at) AS low FROM strings GROUP BY s),
-        gone AS (SELECT rid, p FROM strings JOIN least USING (s) WHERE low < at),
+        lows AS (SELECT s, min(who) AS low FROM strings GROUP BY s),
+        gone AS (SELECT rid, p FROM strings JOIN lows USING (s) WHERE low < who),
         marked AS (
             SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + 50 THEN 0 ELSE 1 END
                       AS head
             FROM gone),
         numbered AS (
-            SELECT *, sum(head) OVER (PARTITION BY rid ORDER BY p) AS run FROM marked),
+            SELECT *, sum(head) OVER (PARTITION BY rid ORDER BY p) AS stretch FROM marked),
         runs AS (
-            SELECT rid, min(p) AS b, max(p) + 50 AS e FROM numbered GROUP BY rid, run),
+            SELECT rid, min(p) AS b, max(p) + 50 AS e FROM numbered GROUP BY rid, stretch),
         pieces AS (
-            SELECT *, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY b), 0) AS before FROM runs),
+            SELECT *, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY b), 0) AS ending FROM runs),
         cut AS (
-            SELECT rid, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS last,
-                   string_agg(substr(h, 2 * before + 1, 2 * (b - before)), '' ORDER BY b) AS kept
+            SELECT rid, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS final,
+                   string_agg(substr(h, 2 * ending + 1, 2 * (b - ending)), '' ORDER BY b) AS kept
             FROM pieces JOIN texts USING (rid) GROUP BY rid)
         SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
                coalesce(n_spans, 0) AS n_spans,
-               sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+               sha256(unhex(coalesce(kept || substr(h, 2 * final + 1), h))) AS kept_sha256
         FROM texts LEFT JOIN cut USING (rid)""",
     "op12_conversation_repair": f"""
         WITH RECURSIVE said AS (
