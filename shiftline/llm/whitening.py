@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import RDD
-from pyspark.mllib.linalg import DenseMatrix
+from pyspark.mllib.common import callMLlibFunc
+from pyspark.mllib.linalg import DenseMatrix, MatrixUDT
 from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftline.llm.workspace import Workspace, ship
 
@@ -30,103 +31,159 @@ COMPONENTS = 16
 BLOCK_VALUES = 1 << 18  # of one block: 2 MB of doubles
 SPLIT_BLOCKS = 16  # blocks that one task of the scatter multiplies
 _EDGE = 1 << 52  # doubles are whole numbers from here on
+_LOW_BITS = 26  # sums are kept in two parts, so that they cannot overflow
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above
 _SCHEMA = (
     "vec_id long, component int, n long, deviation decimal(38,0), whitened double, "
     "explained double, identity_error double"
 )
+_BLOCKS = T.StructType(
+    [T.StructField("block", T.LongType()), T.StructField("rows", MatrixUDT())]
+)
 
 
-def _in_blocks(df: DataFrame, height: int, work: Workspace, table: str) -> DataFrame:
-    """``df`` written, with ``block`` and ``place`` (below ``height``). Only the last block of a
-    range of rows is not full.
-    """
-    numbered = work.write(df.withColumn("_at", F.monotonically_increasing_id()), table)
-    numbered = numbered.withColumn("_range", F.shiftright("_at", _ROW_BITS)).withColumn(
-        "_at", F.expr(f"_at - shiftleft(_range, {_ROW_BITS})")
-    )
-    counts = numbered.groupBy("_range").agg(F.count("*").alias("n")).collect()  # one per range
+def _numbered(df: DataFrame, work: Workspace, table: str) -> tuple[DataFrame, int]:
+    """``df`` written, with a consecutive ``at`` from 0; and the number of rows."""
+    made = work.write(df.withColumn("_at", F.monotonically_increasing_id()), table)
+    made = made.withColumn("_range", F.shiftright("_at", _ROW_BITS))
+    counts = made.groupBy("_range").agg(F.count("*").alias("n")).collect()  # one per range
     bases, total = [], 0
     for row in sorted(counts):
-        bases.append((row["_range"], total))
-        total += -(-row["n"] // height)
+        bases.append((row["_range"], total - (row["_range"] << _ROW_BITS)))
+        total += row["n"]
     bases = df.sparkSession.createDataFrame(bases, "_range long, _base long")
-    return numbered.join(F.broadcast(bases), "_range").select(
-        *df.columns,
-        F.expr(f"_base + _at DIV {height}").alias("block"),
-        F.expr(f"CAST(_at % {height} AS INT)").alias("place"),
-    )
+    at = (F.col("_at") + F.col("_base")).alias("at")
+    return made.join(F.broadcast(bases), "_range").select(*df.columns, at), total
+
+
+class _Centre:
+    """Distances of whole numbers x from their mean S/n, exact before they are divided."""
+
+    def __init__(self, n: int, sums: list[int]):
+        self.n = n
+        self.whole = np.array([s // n for s in sums], np.int64)
+        self.rest = np.array([s % n for s in sums], np.int64)
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        """n * x - S, in Python's numbers where 64 bits are too few."""
+        off = x - self.whole
+        if len(off) and int(np.abs(off).max() + 1) * self.n >= 1 << 62:
+            off = off.astype(object)
+        return off * self.n - self.rest
 
-def _block_rows(centred: DataFrame, height: int, width: int) -> RDD:
-    """(block, matrix) for every block of ``centred`` (block, place, row), zeros where it ends."""
+    def rows(self, x: np.ndarray) -> np.ndarray:
+        return (self.scaled(x) / self.n).astype(float)
 
-    def stacked(rows: pd.DataFrame) -> pd.DataFrame:
-        values = np.zeros((height, width))
-        values[rows["place"].to_numpy()] = np.stack(rows["row"].to_numpy())
-        return pd.DataFrame({"block": rows["block"].iloc[:1], "rows": [values.tobytes()]})
+    def deviations(self, x: np.ndarray) -> list[str]:
+        off = self.scaled(x)
+        if off.dtype != object and len(off) and int(np.abs(off).max()) ** 2 * off.shape[1] >= 1 << 63:
+            off = off.astype(object)
+        return [str(d) for d in (off * off).sum(axis=1)]
 
-    blocks = centred.groupBy("block").applyInPandas(stacked, "block long, rows binary")
+
+def _blocks(rows: DataFrame, height: int, width: int, centre: _Centre) -> DataFrame:
+    """Per block of ``rows`` (at, x, perhaps vec_id): its centred rows, and what they belong to."""
+
+    def stacked(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("at")
+        x = np.stack(part["x"].to_numpy())
+        made = {"block": part["block"].iloc[:1], "values": [centre.rows(x).tobytes()]}
+        if "vec_id" in part:
+            ids = [None if pd.isna(i) else int(i) for i in part["vec_id"].astype("Int64")]
+            made |= {"vec_ids": [ids], "deviations": [centre.deviations(x)]}
+        return pd.DataFrame(made)
+
+    schema = "block long, values binary"
+    if "vec_id" in rows.columns:
+        # A string keeps ids exact beside nulls.
+        rows = rows.withColumn("vec_id", F.col("vec_id").cast("string"))
+        schema += ", vec_ids array<long>, deviations array<string>"
+    by_block = rows.withColumn("block", F.expr(f"at DIV {height}")).groupBy("block")
+    return by_block.applyInPandas(stacked, schema)
+
+
+def _matrices(blocks: DataFrame, width: int) -> DataFrame:
+    """(block, rows) with the block's rows as a matrix."""
 
     def matrix(row):
-        values = np.frombuffer(row["rows"]).reshape(height, width)
-        return row["block"], DenseMatrix(height, width, values.ravel(order="F"))
+        values = np.frombuffer(row["values"]).reshape(-1, width)
+        return row["block"], DenseMatrix(len(values), width, values.ravel(order="F"))
+
+    found = blocks.select("block", "values").rdd.map(matrix)
+    return blocks.sparkSession.createDataFrame(found, _BLOCKS, verifySchema=False)
+
 
-    return blocks.rdd.map(matrix)
+def _block_matrix(
+    blocks: DataFrame, across: int, height: int, width: int, shape: tuple[int, int]
+) -> BlockMatrix:
+    """The blocks in their order, ``across`` beside each other. They stay in the JVM."""
+    placed = blocks.select(
+        F.expr(f"struct(block DIV {across}L, block % {across}L)").alias("place"), "rows"
+    )
+    return BlockMatrix(
+        callMLlibFunc("createBlockMatrix", placed, height, width, *shape), height, width
+    )
 
 
-def _scatter(blocks: RDD, count: int, height: int, width: int) -> np.ndarray:
+def _scatter(blocks: DataFrame, n: int, height: int, width: int) -> np.ndarray:
     """The transpose of all rows times themselves."""
-    column = BlockMatrix(blocks.map(lambda b: ((b[0], 0), b[1])), height, width, count * height, width)
+    column = _block_matrix(blocks, 1, height, width, (n, width))
     # The inner dimension is one long sum; Python's method would leave it to a single task.
+    splits = max(1, -(-n // (height * SPLIT_BLOCKS)))
     product = column.transpose()._java_matrix_wrapper.call(
-        "multiply", column._java_matrix_wrapper._java_model, max(1, -(-count // SPLIT_BLOCKS))
+        "multiply", column._java_matrix_wrapper._java_model, splits
     )
     return BlockMatrix(product, width, width).toLocalMatrix().toArray()
 
 
-def _projected(blocks: RDD, count: int, height: int, matrix: np.ndarray) -> RDD:
-    """(block, rows times ``matrix``) for every block."""
-    side = max(1, math.isqrt(count - 1) + 1)
+def _projected(blocks: DataFrame, n: int, height: int, matrix: np.ndarray) -> DataFrame:
+    """(block, rows) with the rows of every block times ``matrix``."""
     width, kept = matrix.shape
-    grid = BlockMatrix(
-        blocks.map(lambda b: ((b[0] // side, b[0] % side), b[1])),
-        height,
-        width,
-        side * height,
-        side * width,
-    )
-    flat = matrix.ravel(order="F")
-    diagonal = BlockMatrix(
-        blocks.context.parallelize(range(side)).map(
-            lambda i: ((i, i), DenseMatrix(width, kept, flat))
-        ),
-        width,
-        kept,
-        side * width,
-        side * kept,
+    side = math.isqrt(-(-n // height) - 1) + 1
+    grid = _block_matrix(blocks, side, height, width, (side * height, side * width))
+    flat, spark = matrix.ravel(order="F"), blocks.sparkSession
+    copies = spark.sparkContext.parallelize(range(side)).map(
+        lambda i: (i * side + i, DenseMatrix(width, kept, flat))
     )
+    copies = spark.createDataFrame(copies, _BLOCKS, verifySchema=False)
+    diagonal = _block_matrix(copies, side, width, kept, (side * width, side * kept))
     product = grid.multiply(diagonal)
-    # Places of the grid without a block of rows have no product, or one of zeros.
-    return product.blocks.map(lambda b: (b[0][0] * side + b[0][1], b[1])).filter(
-        lambda b: b[0] < count
+    found = callMLlibFunc("getMatrixBlocks", product._java_matrix_wrapper._java_model)
+    place = [found[found.columns[0]][name].cast("long") for name in ("_1", "_2")]
+    return found.select(
+        (place[0] * side + place[1]).alias("block"), F.col(found.columns[1]).alias("rows")
+    ).where(F.col("block") <= (n - 1) // height)
+
+
+def _rows_of(projected: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(vec_id, component, deviation, whitened) of every row of the blocks."""
+
+    def flat(row):
+        return row["block"], bytearray(np.ascontiguousarray(row["rows"].toArray()).tobytes())
+
+    spark = blocks.sparkSession
+    made = spark.createDataFrame(projected.rdd.map(flat), "block long, whitened binary", False)
+
+    def unpacked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for row in part.itertuples():
+                values = np.frombuffer(row.whitened).reshape(len(row.deviations), -1)
+                kept = values.shape[1]
+                yield pd.DataFrame(
+                    {
+                        "vec_id": pd.Series(row.vec_ids, dtype="Int64").repeat(kept).array,
+                        "component": np.tile(np.arange(1, kept + 1), len(values)),
+                        "deviation": np.repeat(row.deviations, kept),
+                        "whitened": values.ravel(),
+                    }
+                )
+
+    ids = blocks.select("block", F.col("vec_ids").cast("array<string>").alias("vec_ids"), "deviations")
+    return made.join(ids, "block").mapInPandas(
+        unpacked, "vec_id long, component int, deviation string, whitened double"
     )
 
 
-def _rows_of(projected: RDD, height: int, kept: int) -> DataFrame:
-    """(block, place, component, whitened) of every row."""
-
-    def unpacked(found: Iterator) -> Iterator:
-        for block, matrix in found:
-            for place, values in enumerate(matrix.toArray().tolist()):
-                yield block, place, values
-
-    rows = projected.mapPartitions(unpacked).toDF("block long, place int, whitened array<double>")
-    return rows.select(
-        "block", "place", F.posexplode("whitened").alias("component", "whitened")
-    ).withColumn("component", F.col("component") + 1)
-
-
 def _whole_numbers(scale: float, shift: int) -> F.Column:
     """floor(scale * c) + shift of every entry, bounded where doubles have no fractions."""
     return F.transform(
@@ -140,18 +197,18 @@ def _whiten_alike(rows: DataFrame, width: int, components: int, work: Workspace)
     """Whitening of vectors of one dimension; None if they do not vary."""
     spark = rows.sparkSession
     height = max(1, BLOCK_VALUES // width)
-    fit = _in_blocks(rows.select("x").distinct(), height, work, f"fit-{width}")
-    sums = fit.select(F.posexplode("x").alias("k", "v")).groupBy("k")
-    sums = sums.agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("s"), F.count("*").alias("n"))
-    found = sorted(sums.collect())  # as many as a vector has entries
-    n, means = found[0]["n"], "array(" + ", ".join(f"{row['s']}BD" for row in found) + ")"
-    # Exact up to the division: n * x - S in whole numbers.
-    off = f"zip_with(x, {means}, (v, s) -> CAST(CAST({n} AS DECIMAL(20,0)) * CAST(v AS DECIMAL(17,0)) - s AS DECIMAL(38,0)))"
-    centred = f"transform({off}, d -> CAST(d AS DOUBLE) / {n}D)"
-
-    blocks = _block_rows(fit.selectExpr("block", "place", f"{centred} AS row"), height, width)
-    count = fit.agg(F.max("block")).first()[0] + 1
-    covariance = _scatter(blocks, count, height, width) / n
+    fit, n = _numbered(rows.select("x").distinct(), work, f"fit-{width}")
+    parts = fit.select(F.posexplode("x").alias("k", "v")).groupBy("k")
+    parts = parts.agg(
+        F.sum(F.shiftright("v", _LOW_BITS)).alias("high"),
+        F.sum(F.col("v").bitwiseAND((1 << _LOW_BITS) - 1)).alias("low"),
+    )
+    sums = [(r["high"] << _LOW_BITS) + r["low"] for r in sorted(parts.collect())]  # one per entry
+    centre = _Centre(n, sums)
+
+    blocks = _matrices(_blocks(fit, height, width, centre), width)
+    blocks = work.write(blocks, f"fit-blocks-{width}")
+    covariance = _scatter(blocks, n, height, width) / n
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     values, vectors = values[::-1], vectors[:, ::-1]
     # What is below the rounding of the largest has no direction.
@@ -160,32 +217,28 @@ def _whiten_alike(rows: DataFrame, width: int, components: int, work: Workspace)
     if kept == 0:
         return None
     matrix = vectors[:, :kept] / np.sqrt(values[:kept])
-    explained = values[:kept] / np.trace(covariance)
-
-    whitened_fit = _projected(blocks, count, height, matrix)
-    error = np.abs(_scatter(whitened_fit, count, height, kept) / n - np.eye(kept)).max()
-
-    own = _in_blocks(rows.selectExpr("vec_id", "x"), height, work, f"rows-{width}")
-    blocks = _block_rows(own.selectExpr("block", "place", f"{centred} AS row"), height, width)
-    count = own.agg(F.max("block")).first()[0] + 1
-    found = _rows_of(_projected(blocks, count, height, matrix), height, kept)
-    shares = spark.createDataFrame(
-        [(i + 1, float(x)) for i, x in enumerate(explained)], "component int, explained double"
-    )
-    squares = f"aggregate({off}, CAST(0 AS DECIMAL(38,0)), (t, d) -> CAST(t + CAST(d AS DECIMAL(19,0)) * CAST(d AS DECIMAL(19,0)) AS DECIMAL(38,0)))"
-    return (
-        own.selectExpr("vec_id", "block", "place", f"{squares} AS deviation")
-        .join(found, ["block", "place"])
-        .join(F.broadcast(shares), "component")
-        .select(
-            "vec_id",
-            "component",
-            F.lit(n).cast("long").alias("n"),
-            "deviation",
-            "whitened",
-            "explained",
-            F.lit(float(error)).alias("identity_error"),
-        )
+    shares = [float(x) for x in values[:kept] / np.trace(covariance)]
+
+    whitened = work.write(_projected(blocks, n, height, matrix), f"fit-whitened-{width}")
+    error = np.abs(_scatter(whitened, n, height, kept) / n - np.eye(kept)).max()
+
+    own, total = _numbered(rows, work, f"rows-{width}")
+    own = work.write(_blocks(own, height, width, centre), f"row-blocks-{width}")
+    projected = _projected(_matrices(own, width), total, height, matrix)
+    found = _rows_of(projected, own)
+    return found.join(
+        F.broadcast(
+            spark.createDataFrame(list(enumerate(shares, 1)), "component int, explained double")
+        ),
+        "component",
+    ).select(
+        "vec_id",
+        "component",
+        F.lit(n).cast("long").alias("n"),
+        F.col("deviation").cast("decimal(38,0)").alias("deviation"),
+        "whitened",
+        "explained",
+        F.lit(float(error)).alias("identity_error"),
     )
 
 
