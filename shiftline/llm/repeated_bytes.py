@@ -20,6 +20,7 @@ Copies of a whole text are one text with its least id.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,7 +35,9 @@ from shiftline.llm.workspace import ship
 
 LENGTH = 50
 GRAM = 24  # bytes of an anchor, at most half of a string
-CHUNK = 8 << 20  # bytes of text, or of regions, that are handled at once
+CHUNK = 8 << 20  # bytes of text whose anchors travel together
+REGION_CHUNK = 16 << 20  # bytes of text whose equal regions travel once
+PIECE = 1 << 20  # bytes that are hashed at once
 BUCKET = 32 << 20  # bytes of text per bucket of anchors
 BIN = 768 << 10  # bytes of regions per bin
 SHARD = 1 << 20  # bytes of a suffix array
@@ -51,11 +54,15 @@ def _planes(values: np.ndarray) -> bytes:
     return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
+def _packed(*values: bytes) -> bytes:
+    return zlib.compress(b"".join(values), 1)
+
+
 class _Reader:
-    """Reads what was put into a value one after the other."""
+    """Reads what was packed one after the other."""
 
     def __init__(self, data: bytes):
-        self.data, self.at = data, 0
+        self.data, self.at = zlib.decompress(data), 0
 
     def take(self, n: int, kind: str) -> np.ndarray:
         found = np.frombuffer(self.data, kind, n, self.at)
@@ -80,16 +87,21 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)
 
 
-def _window_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+def _words(data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes from each of ``at`` on as words, ``sizes`` of them (8 at most), zeros above."""
+    places = np.minimum(at[:, None] + np.arange(8), len(data) - 1)
+    words = data[places].view("<u8").ravel()
+    mask = (np.uint64(1) << (8 * np.minimum(sizes, 7)).astype(np.uint64)) - np.uint64(1)
+    return np.where(sizes >= 8, words, words & mask)
+
+
+def _window_hashes(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Hashes of the ``size`` bytes from each of ``starts`` on."""
     total = np.full(len(starts), size, np.uint64)
-    for k, at in enumerate(range(0, size, 8)):
-        if size >= 8:
-            part = words[starts + min(at, size - 8)]
-        else:
-            part = words[starts] & np.uint64((1 << 8 * size) - 1)
-        total = mixed(total * _FACTORS[k % 4] + part)
-    return mixed(total)
+    for at in range(0, size, 8):
+        part = _words(data, starts + at, np.full(len(starts), size - at))
+        total = mixed(total * _FACTORS[1] + part)
+    return total
 
 
 def _gram_hashes(words: np.ndarray, gram: int) -> np.ndarray:
@@ -152,7 +164,7 @@ def _anchors(length: int, gram: int, buckets: int) -> Callable:
         first = 0
         while first < len(segments):  # long texts are cut where one string ends behind the cut
             last, size = first, 0
-            while last < len(segments) and (last == first or size + len(segments[last][2]) <= CHUNK):
+            while last < len(segments) and (last == first or size + len(segments[last][2]) <= PIECE):
                 size += len(segments[last][2])
                 last += 1
             part = segments[first:last]
@@ -174,11 +186,11 @@ def _anchors(length: int, gram: int, buckets: int) -> Callable:
             counts.append(len(own))
             tag = hashes[own] & np.uint64(0xFFFFFFFF)
             payloads.append(
-                _planes(tag) + _steps(docs[own]) + _planes(starts[own]) + strings[own].astype("u1").tobytes()
+                _packed(_planes(tag), _steps(docs[own]), _planes(starts[own]), strings[own].astype("u1").tobytes())
             )
         numbers.append(chunk % buckets)
         counts.append(-1)
-        payloads.append(np.array(keys, np.int64).tobytes())
+        payloads.append(_packed(np.array(keys, np.int64).tobytes()))
         return pa.RecordBatch.from_pydict(
             {"chunk": [chunk] * len(counts), "bucket": numbers, "n": counts, "payload": payloads},
             schema=pa.schema(
@@ -193,8 +205,8 @@ def _anchors(length: int, gram: int, buckets: int) -> Callable:
             for key, text in zip(ids, _texts(batch["text"]), strict=True):
                 if len(text) < length:
                     continue
-                for at in range(0, len(text) - length + 1, CHUNK):
-                    segments.append((len(keys), at, text[at : at + CHUNK + length - 1]))
+                for at in range(0, len(text) - length + 1, PIECE):
+                    segments.append((len(keys), at, text[at : at + PIECE + length - 1]))
                 keys.append(key)
                 size += len(text)
                 if size >= CHUNK:
@@ -237,9 +249,9 @@ def _shared(length: int) -> Callable:
                 here = kept + at
                 at += len(docs)
                 if len(kept):
-                    payload = (
-                        _steps(docs[kept]) + _planes(starts[kept]) + _planes(place[here])
-                        + own[kept].tobytes() + hot[here].tobytes()
+                    payload = _packed(
+                        _steps(docs[kept]), _planes(starts[kept]), _planes(place[here]),
+                        own[kept].tobytes(), hot[here].tobytes(),
                     )
                     rest.append(row | {"n": len(kept), "payload": payload})
         return pa.Table.from_pylist(
@@ -260,7 +272,7 @@ def _by_text(table: pa.Table) -> pa.Table:
     keys, parts = np.zeros((0, 2), np.int64), []
     for row in table.select(["bucket", "n", "payload"]).to_pylist():
         if row["n"] < 0:
-            keys = np.frombuffer(row["payload"], np.int64).reshape(-1, 2)
+            keys = np.frombuffer(zlib.decompress(row["payload"]), np.int64).reshape(-1, 2)
             continue
         reader, n = _Reader(row["payload"]), row["n"]
         part = [reader.steps(n), reader.planes(n), reader.planes(n) + (row["bucket"] << 16)]
@@ -277,7 +289,7 @@ def _by_text(table: pa.Table) -> pa.Table:
             found["k2"].append(k2)
             found["n"].append(len(own))
             found["references"].append(
-                _steps(starts[own]) + bins[own].tobytes() + strings[own].tobytes() + hot[own].tobytes()
+                _packed(_steps(starts[own]), bins[own].tobytes(), strings[own].tobytes(), hot[own].tobytes())
             )
     return pa.table(
         found,
@@ -309,14 +321,11 @@ def _regions(length: int) -> Callable:
         sizes = strings + length - 1
         # Regions side by side, with zeros behind, as whole words.
         longest = -(-int(sizes.max()) // 8)
-        words = words_at(data)
         grid = np.zeros((longest, len(docs)), np.uint64)
         at = bounds[docs] + starts
         total = mixed(bins.astype(np.uint64) * _FACTORS[0] + sizes.astype(np.uint64))
         for k in range(longest):
-            left = np.clip(sizes - 8 * k, 0, 8)
-            mask = np.where(left == 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (8 * np.minimum(left, 7)).astype(np.uint64)) - np.uint64(1))
-            grid[k] = words[np.minimum(at + 8 * k, len(words) - 1)] & mask
+            grid[k] = _words(data, at + 8 * k, np.maximum(sizes - 8 * k, 0))
             total = mixed(total * _FACTORS[1] + grid[k])
         order = np.argsort(total, kind="stable")
         head = np.ones(len(order), bool)
@@ -345,7 +354,7 @@ def _regions(length: int) -> Callable:
         part_bin = bins[shown][part_of]
         single = np.flatnonzero(~whole[part_of])
         if len(single):
-            own = _window_hashes(words, part_at[single], length)
+            own = _window_hashes(data, part_at[single], length)
             part_bin[single] = _HOT_BINS + (own >> np.uint64(44)).astype(np.int64)
         order = np.argsort(part_bin, kind="stable")
         heads = np.flatnonzero(np.diff(part_bin[order], prepend=-1))
@@ -356,15 +365,19 @@ def _regions(length: int) -> Callable:
             rows["bin"].append(int(part_bin[own[0]]))
             rows["n"].append(len(own))
             rows["payload"].append(
-                _planes(own) + part_strings[own].astype("u1").tobytes()
-                + lows[part_of[own]].tobytes() + data[spans].tobytes()
+                _packed(
+                    _planes(own), part_strings[own].astype("u1").tobytes(),
+                    lows[part_of[own]].tobytes(), data[spans].tobytes(),
+                )
             )
         rows["bin"].append(-1 - chunk % 1024)
         rows["n"].append(-1)
         header = np.array([len(texts), len(docs), len(part_of)], np.int64)
         rows["payload"].append(
-            header.tobytes() + keys.tobytes() + _steps(docs) + _planes(starts) + _planes(parent)
-            + _steps(part_of) + _planes(offset) + _planes(part_strings) + lows[part_of].tobytes()
+            _packed(
+                header.tobytes(), keys.tobytes(), _steps(docs), _planes(starts), _planes(parent),
+                _steps(part_of), _planes(offset), _planes(part_strings), lows[part_of].tobytes(),
+            )
         )
         rows["chunk"] = [chunk] * len(rows["n"])
         return pa.RecordBatch.from_pydict(rows, schema=_REGION_SCHEMA)
@@ -378,8 +391,8 @@ def _regions(length: int) -> Callable:
                 reader = _Reader(found)
                 own = (reader.steps(n), reader.take(n, "<i8"), reader.take(n, "u1"), reader.take(n, "u1"))
                 texts.append((k1, k2, least, text, *own))
-                size += len(text) + n * 3 * length
-                if size >= 4 * CHUNK:
+                size += len(text)
+                if size >= REGION_CHUNK:
                     yield packed(chunk, texts)
                     chunk, texts, size = chunk + 1, [], 0
         if texts:
@@ -476,9 +489,9 @@ def _least_ids(length: int) -> Callable:
                 cuts = np.flatnonzero(np.diff(rownumber, prepend=-1))
                 for a, b in zip(cuts, np.append(cuts, len(at))[1:], strict=True):
                     here = at[a:b]
-                    payload = (
-                        _planes(own[part[here]]) + _planes(place[here]) + _planes(runs[a:b])
-                        + least[here].tobytes()
+                    payload = _packed(
+                        _planes(own[part[here]]), _planes(place[here]), _planes(runs[a:b]),
+                        least[here].tobytes(),
                     )
                     rest.append(rows[rownumber[a]] | {"n": b - a, "payload": payload})
         return pa.Table.from_pylist(rest, schema=_REGION_SCHEMA)
@@ -532,7 +545,7 @@ def _removed(length: int) -> Callable:
                 made["k1"].append(k1)
                 made["k2"].append(k2)
                 made["n"].append(b - a)
-                made["spans"].append(_planes(place[heads[a:b]]) + _planes(ends[a:b]))
+                made["spans"].append(_packed(_planes(place[heads[a:b]]), _planes(ends[a:b])))
         return pa.table(
             made,
             schema=pa.schema([(c, pa.int64()) for c in ("k1", "k2", "n")] + [("spans", pa.binary())]),

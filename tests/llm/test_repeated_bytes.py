@@ -52,7 +52,7 @@ def some_rows(rng, length):
 def test_repeats(spark, monkeypatch, length, small):
     """Small chunks, bins and shards make long texts cut, frequent anchors and merged shards."""
     if small:
-        for name, value in {"CHUNK": 700, "BUCKET": 4000, "BIN": 2500, "SHARD": 900, "HOT": 40}.items():
+        for name, value in {"CHUNK": 700, "REGION_CHUNK": 2000, "PIECE": 300, "BUCKET": 4000, "BIN": 2500, "SHARD": 900, "HOT": 40}.items():
             monkeypatch.setattr(repeated_bytes, name, value)
     rows = some_rows(random.Random(length), length)
     df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], DOCS).repartition(3)
