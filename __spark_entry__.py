@@ -35,18 +35,20 @@ from shiftline.operators.booking import (  # noqa: E402
     payload_json,
     report_rows,
 )
+from shiftline.operators.changes import row_changes  # noqa: E402
 from shiftline.operators.fill import forward_fill  # noqa: E402
 from shiftline.operators.lookup import resolve_component, unresolved_report  # noqa: E402
 from shiftline.operators.ordered import shared_folder  # noqa: E402
 from shiftline.operators.split import split_at_boundary  # noqa: E402
-from shiftline.plans.job import rebook  # noqa: E402
+from shiftline.plans.job import BOOKING_KEY, rebook, rebook_versions, skipped  # noqa: E402
 from shiftline.plans.pipeline import (  # noqa: E402
     Sources,
     bookings,
     enriched_slots,
     slot_intervals,
 )
-from shiftline.sources import derived  # noqa: E402
+from shiftline.sources import curated, derived  # noqa: E402
+from shiftline.sources.versions import commit, read_version  # noqa: E402
 from shiftline.streaming.rebooking import rebook_stream  # noqa: E402
 
 try:
@@ -325,6 +327,87 @@ def stream_rebooked(spark: SparkSession, folder: str) -> DataFrame:
     return _read_bookings(spark, path)
 
 
+# One line has seven tenths of all records and readings.
+LINE_OF = "CASE WHEN {0} % 10 < 7 THEN 1L ELSE CAST({0} % 10 AS BIGINT) END"
+
+
+def _line_sources(spark: SparkSession, folder: str) -> Sources:
+    readings = derived.readings(spark, folder, with_line=True)
+    return Sources(
+        derived.production(spark, folder).withColumn("line", F.expr(LINE_OF.format("id"))),
+        readings.withColumn("line", F.expr(LINE_OF.format("event_id"))).drop("event_id"),
+        derived.component_map(spark, folder),
+    )
+
+
+def booking_rows_by_line(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines in one run; each has its own readings and setpoints."""
+    return bookings(_line_sources(spark, folder), AS_OF, WHOLE_SPAN, line="line")
+
+
+def rebooked_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two cycles into one versioned table: all dates up to a day, then the dates from there on,
+    whose setpoints go on from what the first one kept.
+    """
+    path = _new_path(spark, "rebooked_versions")
+    sources = _line_sources(spark, folder)
+    rebook_versions(sources, path, dt.date(2024, 1, 16), WHOLE_SPAN, line="line")
+    rebook_versions(sources, path, dt.date(2024, 1, 22), window_days=5, line="line")
+    schema = bookings(sources, AS_OF, line="line").schema
+    return read_version(spark, path, schema, dt.date(2024, 1, 17))
+
+
+def _filed(spark: SparkSession, folder: str) -> Sources:
+    """Records and readings filed in two rounds; the second corrects and completes the first.
+
+    The first round lacks every fifth record, and has every seventh one a day late and half empty.
+    """
+    path = _new_path(spark, "filed")
+    records, readings = derived.production(spark, folder), derived.readings(spark, folder, True)
+    readings = readings.drop("line")
+    wrong = with_exprs(
+        records.where("id % 7 = 0"),
+        {"date_begin": "date_format(date_add(to_date(date_begin, 'dd.MM.yy'), 1), 'dd.MM.yy')",
+         "moulded_1": "CAST(NULL AS BIGINT)"},
+    )
+    early = records.where("id % 5 <> 0 AND id % 7 <> 0").unionByName(wrong.where("id % 5 <> 0"))
+    late = records.where("id % 5 = 0 OR id % 7 = 0")
+    for rows in (early, late):
+        curated.file_rows(rows, f"{path}-records", curated.RECORD_DATE, "id")
+    for rows in (readings.where("event_id % 3 <> 1"), readings.where("event_id % 3 = 1")):
+        curated.file_rows(rows, f"{path}-readings", curated.READING_DATE, "event_id")
+    return curated.filed_sources(
+        spark,
+        f"{path}-records",
+        f"{path}-readings",
+        (records.schema, readings.schema),
+        derived.component_map(spark, folder),
+        dt.date(2024, 1, 20),
+    )
+
+
+def filed_bookings(spark: SparkSession, folder: str) -> DataFrame:
+    """The bookings of one cycle over tables into which late and corrected rows were filed."""
+    return bookings(_filed(spark, folder), dt.date(2024, 1, 20))
+
+
+def filed_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What that cycle could not book, records without a readable date included."""
+    return skipped(_filed(spark, folder), dt.date(2024, 1, 20))
+
+
+def booking_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What a second commit changed: rows that went, came, changed and were doubled."""
+    path = _new_path(spark, "booking_changes")
+    rows = booking_rows(spark, folder)
+    poured = "`noOfBoxesPoured` + CASE WHEN `componentId` % 5 = 1 THEN 1 ELSE 0 END"
+    old = with_exprs(rows, {"noOfBoxesPoured": poured}).where("`componentId` % 7 <> 0")
+    commit(old, path, "CAST(date AS DATE)", [])
+    new = rows.where("`componentId` % 11 <> 3")
+    new = new.unionAll(new.where("`componentId` % 13 = 4"))
+    return row_changes(read_version(spark, path, rows.schema), new, BOOKING_KEY)
+
+
 def _new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -371,6 +454,11 @@ def _booking_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_fallback_large": lookup_fallback_large,
         "collated_slots": collated_slots,
         "rebook_rejects": rebook_rejects,
+        "booking_rows_by_line": booking_rows_by_line,
+        "rebooked_versions": rebooked_versions,
+        "booking_changes": booking_changes,
+        "filed_bookings": filed_bookings,
+        "filed_rejects": filed_rejects,
         "rebooked": rebooked,
         "stream_rebooked": stream_rebooked,
     }

@@ -204,7 +204,7 @@ _CTES = {
             last_value(lca IGNORE NULLS) OVER w AS lca,
             last_value(water IGNORE NULLS) OVER w AS water)
         FROM resolved WHERE component_id IS NOT NULL
-        WINDOW w AS (ORDER BY production_date NULLS FIRST, shift_order NULLS FIRST,
+        WINDOW w AS ({fill_by} ORDER BY production_date NULLS FIRST, shift_order NULLS FIRST,
                      sort_begin NULLS FIRST, component NULLS FIRST, component_key NULLS FIRST,
                      "start" NULLS FIRST, "end" NULLS FIRST, moulded NULLS FIRST,
                      poured NULLS FIRST, waste NULLS FIRST
@@ -214,7 +214,7 @@ _CTES = {
                "start" || ':00' AS "startTime", "end" || ':00' AS "endTime",
                component_id AS "componentId", coalesce(moulded, 0) AS "totalMould",
                greatest(coalesce(moulded, 0) - coalesce(poured, 0), 0) AS "unpouredMould",
-               coalesce(poured, 0) AS "noOfBoxesPoured", CAST(1 AS BIGINT) AS "foundryLineId",
+               coalesce(poured, 0) AS "noOfBoxesPoured", CAST({line_id} AS BIGINT) AS "foundryLineId",
                n_bad AS "badBatches", n_batches AS "noOfBatches",
                bentonite AS "bentoniteSetPoint", new_sand AS "newSandSetPoint",
                lca AS "coalDustSetPoint", water AS "waterSetPoint"
@@ -223,7 +223,8 @@ _CTES = {
 
 _WIDE = {
     "slots": "slots", "key": "rk, id", "window": "true", "by": "", "by_i": "", "by_on": "",
-    "by_p": "", "by_t": "", "before_end": "<=", "unresolved": "merged",
+    "by_p": "", "by_t": "", "before_end": "<=", "unresolved": "merged", "fill_by": "",
+    "line_id": "1",
 }
 _LINES = _WIDE | {
     "slots": "line_slots", "key": "line", "by": "line,", "by_i": "i.line,",
@@ -231,6 +232,14 @@ _LINES = _WIDE | {
     "before_end": "<",
 }
 
+# One line has seven tenths of all records and readings.
+_LINE_OF = "CASE WHEN {0} % 10 < 7 THEN 1 ELSE {0} % 10 END"
+_BY_LINE = {
+    "key": f"rk, id, {_LINE_OF.format('id')} AS line", "by": "line,", "by_i": "i.line,",
+    "by_on": f"AND {_LINE_OF.format('r.event_id')} = i.line", "by_p": "p.line,",
+    "by_t": "AND t.line = p.line", "fill_by": "PARTITION BY line", "line_id": "line",
+}
+
 _TO_START = ("records", "slots", "started")
 _TO_END = (*_TO_START, "ended")
 _TO_PIECES = (*_TO_END, "bounded", "cut", "pieces")
@@ -313,6 +322,15 @@ def _fill(scope: str, partition: str) -> str:
     )
 
 
+_KEY_COLUMNS = ("date", "shift", "startTime", "endTime", "componentId", "foundryLineId")
+_BOOKING = ", ".join(f'"{c}"' for c in _PAYLOAD)
+_BOOKING_KEY = ", ".join(f'"{c}"' for c in _KEY_COLUMNS)
+_OTHERS = ", ".join(f'"{c}" NULLS FIRST' for c in _PAYLOAD if c not in _KEY_COLUMNS)
+_EITHER = ", ".join(
+    f'CASE WHEN c.place IS NULL THEN w."{c}" ELSE c."{c}" END AS "{c}"' for c in _PAYLOAD
+)
+_SAME_KEY = " AND ".join(f'w."{c}" IS NOT DISTINCT FROM c."{c}"' for c in _KEY_COLUMNS)
+
 ORACLE_SQL = {
     "unpivot_slots": _query(
         ("records", "slots"),
@@ -443,6 +461,48 @@ ORACLE_SQL = {
     "recent_bookings": _query(
         _TO_BOOKED, "SELECT * FROM booked", window="production_date >= DATE '2024-01-18'"
     ),
+    "filed_rejects": _query(
+        (*_TO_END, "lookup", "resolved"),
+        "SELECT 'unmapped' AS reason, component, count(*) AS n_slots FROM resolved "
+        "WHERE component_id IS NULL AND component IS NOT NULL GROUP BY ALL UNION ALL "
+        "SELECT CASE WHEN start_dt IS NULL THEN 'begin' ELSE 'time_end' END AS reason, NULL, "
+        "count(*) FROM ended WHERE (start_dt IS NULL OR end_dt IS NULL) "
+        "AND try_strptime(date_begin, '%d.%m.%y') >= DATE '2024-01-18' GROUP BY 1",
+        unresolved="(SELECT * FROM ended WHERE start_dt IS NOT NULL AND end_dt IS NOT NULL "
+        "AND production_date >= DATE '2024-01-18')",
+    ),
+    "filed_bookings": _query(
+        _TO_BOOKED, "SELECT * FROM booked", window="production_date >= DATE '2024-01-18'"
+    ),
+    "booking_rows_by_line": _query(_TO_BOOKED, "SELECT * FROM booked", **_BY_LINE),
+    "rebooked_versions": _query(
+        _TO_BOOKED, "SELECT * FROM booked WHERE date >= '2024-01-17'", **_BY_LINE
+    ),
+    "booking_changes": _query(
+        _TO_BOOKED,
+        f"""
+        , old AS (
+            SELECT * REPLACE ("noOfBoxesPoured" + CASE WHEN "componentId" % 5 = 1 THEN 1 ELSE 0 END
+                              AS "noOfBoxesPoured")
+            FROM booked WHERE "componentId" % 7 <> 0),
+        new AS (
+            SELECT * FROM booked WHERE "componentId" % 11 <> 3 UNION ALL
+            SELECT * FROM booked WHERE "componentId" % 13 = 4 AND "componentId" % 11 <> 3),
+        counted AS (
+            SELECT {_BOOKING}, sum(o) AS o, sum(n) AS n
+            FROM (SELECT *, 1 AS o, 0 AS n FROM old UNION ALL SELECT *, 0, 1 FROM new)
+            GROUP BY {_BOOKING} HAVING sum(o) <> sum(n)),
+        numbered AS (
+            SELECT *, abs(n - o) AS copies, row_number() OVER (
+                PARTITION BY {_BOOKING_KEY}, n > o ORDER BY {_OTHERS}) AS place
+            FROM counted),
+        went AS (SELECT * FROM numbered WHERE n < o),
+        came AS (SELECT * FROM numbered WHERE n > o)
+        SELECT CASE WHEN w.place IS NULL THEN 'insert' WHEN c.place IS NULL THEN 'delete'
+                    ELSE 'update' END AS change, {_EITHER},
+               coalesce(w.copies, 0) AS n_removed, coalesce(c.copies, 0) AS n_added
+        FROM went w FULL JOIN came c ON {_SAME_KEY} AND w.place = c.place""",
+    ),
     "rebooked": _query(_TO_BOOKED, "SELECT * FROM booked WHERE date >= '2024-01-17'"),
     "stream_rebooked": _query(_TO_BOOKED, "SELECT * FROM booked"),
 }

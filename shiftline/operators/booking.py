@@ -85,11 +85,12 @@ def to_booking(
     line_id: int = 1,
     columns: Sequence[str] = BOOKING_COLUMNS,
     keep: Sequence[str] = (),
+    line: str | None = None,
 ) -> DataFrame:
     """Booking rows of enriched slots that have a component id.
 
     Setpoints are taken as they are; fill them first. ``keep`` adds input columns, such as those
-    that carry the order.
+    that carry the order. ``line`` names the column with each row's line, in place of ``line_id``.
     """
 
     def count(name: str) -> str:
@@ -104,7 +105,7 @@ def to_booking(
         "totalMould": count("moulded"),
         "unpouredMould": f"greatest({count('moulded')} - {count('poured')}, 0)",
         "noOfBoxesPoured": count("poured"),
-        "foundryLineId": f"CAST({line_id} AS BIGINT)",
+        "foundryLineId": f"CAST({line_id if line is None else f'`{line}`'} AS BIGINT)",
         "badBatches": count("n_bad"),
         "noOfBatches": count("n_batches"),
         **{setpoint: f"CAST({c} AS DOUBLE)" for c, setpoint in SETPOINTS.items()},

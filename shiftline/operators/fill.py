@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from shiftline.functions import listed, with_exprs
+from shiftline.functions import listed, quoted, with_exprs
 from shiftline.operators.ordered import edge_before, pinned_ranges, same_key
 
 
@@ -16,6 +17,7 @@ def forward_fill(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     strategy: str = "two_phase",
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """Replace NULL in each of ``cols`` by the last value before it in ``order_by``.
 
@@ -27,7 +29,12 @@ def forward_fill(
     range's last values on to the next. ``strategy="window"`` puts each key, or without
     ``partition_by`` everything, into one task; it is for small results and for keys known to be
     small.
+
+    ``seed`` has ``cols`` and one row per key, or one row in all: what came before the first row.
     """
+    if seed is not None:
+        filled = forward_fill(df, cols, order_by, partition_by, strategy)
+        return _seeded(filled, cols, partition_by, seed)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     if strategy == "window":
         keys = f"PARTITION BY {listed(partition_by)} " if partition_by else ""
@@ -53,3 +60,27 @@ def forward_fill(
     return with_exprs(ranged.join(edges, "_range", "left"), {c: filled(c) for c in cols}).drop(
         "_range", "_position", *edge.values()
     )
+
+
+def _seeded(
+    filled: DataFrame, cols: Sequence[str], partition_by: Sequence[str], seed: DataFrame
+) -> DataFrame:
+    names = filled.columns
+    before = seed.selectExpr(
+        *(f"`{c}` AS `_key_{i}`" for i, c in enumerate(partition_by)),
+        *(f"`{c}` AS `_seed_{i}`" for i, c in enumerate(cols)),
+    )
+    same = " AND ".join(f"`{c}` <=> `_key_{i}`" for i, c in enumerate(partition_by)) or "true"
+    joined = filled.join(before, F.expr(same), "left")
+    known = {c: f"coalesce(`{c}`, `_seed_{i}`)" for i, c in enumerate(cols)}
+    return with_exprs(joined, known).select(*quoted(names))
+
+
+def last_values(
+    df: DataFrame, cols: Sequence[str], order_by: Sequence[str], by: Sequence[str]
+) -> DataFrame:
+    """For each different ``by``, the last value of each of ``cols`` along ``order_by``."""
+    order = f"struct({listed(order_by)})"
+    return df.groupBy(*quoted(by)).agg(
+        *(F.expr(f"max_by(`{c}`, {order}) FILTER (WHERE `{c}` IS NOT NULL) AS `{c}`") for c in cols)
+    )

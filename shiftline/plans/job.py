@@ -6,15 +6,23 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shiftline.functions.calendar import THREE_SHIFTS, ShiftCalendar
 from shiftline.functions.text_time import parse_date
-from shiftline.operators.booking import BOOKING_COLUMNS
+from shiftline.operators.booking import BOOKING_COLUMNS, REPORT_ORDER, to_booking
+from shiftline.operators.changes import row_changes
+from shiftline.operators.fill import last_values
+from shiftline.operators.intervals import CHANNELS
 from shiftline.operators.lookup import resolve_component
-from shiftline.operators.ordered import run_folder
+from shiftline.operators.ordered import run_folder, written
 from shiftline.operators.slots import rejected_slots, trailing_window, window_start
-from shiftline.plans.pipeline import Sources, bookings, slot_intervals
+from shiftline.plans.pipeline import Sources, bookings, enriched_slots, fill_setpoints, slot_intervals
 from shiftline.sources.sinks import write_bookings
+from shiftline.sources.versions import commit, current, read_table, read_version
+
+# What tells one booking from another; its other columns may change.
+BOOKING_KEY = ("date", "shift", "startTime", "endTime", "componentId", "foundryLineId")
 
 
 def skipped(
@@ -85,3 +93,65 @@ def rebook(
             )
             result |= counts.first().asDict()
     return result
+
+
+def setpoint_schema(line: str | None = None) -> str:
+    """The table of setpoints that a version keeps: the last ones of each date, and line."""
+    lines = f"`{line}` BIGINT, " if line else ""
+    return f"production_date DATE, {lines}" + ", ".join(f"`{c}` DOUBLE" for c in CHANNELS)
+
+
+def rebook_versions(
+    sources: Sources,
+    path: str,
+    as_of: dt.date | None = None,
+    window_days: int = 2,
+    line_id: int = 1,
+    columns: Sequence[str] = BOOKING_COLUMNS,
+    line: str | None = None,
+    fill_strategy: str = "two_phase",
+    **options,
+) -> dict[str, int]:
+    """Compute the bookings of the trailing window and commit what changed as a version of ``path``.
+
+    Readers (``versions.read_version``) see the old window until the new one is complete. Dates whose
+    bookings are the same as before are not written again; a cycle in which nothing changed commits
+    nothing. The version keeps two tables: ``changes``, the rows that it inserted, updated and
+    deleted, and ``setpoints``, the last setpoints of each date (and line). The first dates of a
+    window inherit from these, so no lookback is needed.
+
+    Returns the live version, the rows written and the number of changes of each kind.
+    """
+    spark = sources.production.sparkSession
+    as_of = as_of or spark.sql("SELECT current_date()").first()[0]
+    first = as_of - dt.timedelta(days=window_days)
+    base = current(spark, path)
+    by = [line] if line else []
+    known = read_table(spark, path, "setpoints", setpoint_schema(line), base)
+    earlier = known.where(F.col("production_date") < F.lit(first))
+    seed = last_values(earlier, CHANNELS, ["production_date"], by)
+    with run_folder(spark):
+        # A slot of the night before may be cut into the window's first date.
+        enriched = enriched_slots(sources, as_of, window_days + 1, line=line, **options)
+        enriched = enriched.where(F.col("production_date") >= F.lit(first))
+        filled = fill_setpoints(
+            enriched.withColumns({c: F.col(c).cast("double") for c in CHANNELS}),
+            by,
+            fill_strategy,
+            seed,
+        )
+        filled = written(filled)
+        rows = to_booking(filled, line_id, columns, line=line)
+        before = read_version(spark, path, rows.schema, first, version=base)
+        key = [c for c in BOOKING_KEY if c in columns]
+        changes = written(row_changes(before, rows, key))
+        counts = {r["change"]: r["count"] for r in changes.groupBy("change").count().collect()}
+        found = {kind: counts.get(kind, 0) for kind in ("insert", "update", "delete")}
+        if not counts:
+            return {"version": base.number, "rows": 0, **found}
+        dates = [r["date"] for r in changes.select("date").distinct().collect()]  # of the window
+        lasts = last_values(filled, CHANNELS, REPORT_ORDER, ["production_date", *by])
+        tables = {"changes": changes, "setpoints": earlier.unionByName(lasts)}
+        touched = rows.where(F.col("date").isin(dates))
+        version, n = commit(touched, path, "CAST(date AS DATE)", dates, tables, base)
+    return {"version": version.number, "rows": n, **found}

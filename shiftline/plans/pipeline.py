@@ -86,27 +86,37 @@ def enriched_slots(
     calendar: ShiftCalendar = THREE_SHIFTS,
     stretches: Sequence[str] = STRETCHES,
     fix_next_day_fallback: bool = False,
+    line: str | None = None,
 ) -> DataFrame:
-    """Split slots of the trailing window with readings and component ids."""
+    """Split slots of the trailing window with readings and component ids.
+
+    ``line`` names a column of records and readings; slots then meet readings of their line only.
+    """
+    by = [line] if line else []
     records = recent_records(sources.production, as_of, window_days)
     slots = slot_intervals(records, one_row_per_record, calendar, fix_next_day_fallback)
     recent = trailing_window(slots, "production_date", as_of, window_days)
     split = split_at_boundary(recent, calendar=calendar)
     # What is booked in the window starts at or after its first midnight. Totals are differences, so
     # readings from before it change nothing.
-    readings = normalise_readings(sources.readings, collation=collation).where(
+    readings = normalise_readings(sources.readings, by, collation).where(
         f"mem_dt >= CAST({window_start(as_of, window_days)} AS TIMESTAMP_NTZ)"
     )
-    enriched = enrich_intervals(split, readings, collation=collation, stretches=stretches)
+    enriched = enrich_intervals(
+        split, readings, by=by, collation=collation, stretches=stretches
+    )
     return resolve_component(enriched, sources.component_map, strict=strict, collation=collation)
 
 
 def fill_setpoints(
-    enriched: DataFrame, partition_by: Sequence[str] = (), strategy: str = "two_phase"
+    enriched: DataFrame,
+    partition_by: Sequence[str] = (),
+    strategy: str = "two_phase",
+    seed: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows with a component id, channels filled forward in report order."""
+    """Rows with a component id, channels filled forward in report order, from ``seed`` on."""
     bookable = enriched.where("component_id IS NOT NULL")
-    return forward_fill(bookable, CHANNELS, REPORT_ORDER, partition_by, strategy)
+    return forward_fill(bookable, CHANNELS, REPORT_ORDER, partition_by, strategy, seed)
 
 
 def bookings(
@@ -116,10 +126,29 @@ def bookings(
     line_id: int = 1,
     columns: Sequence[str] = BOOKING_COLUMNS,
     keep: Sequence[str] = (),
+    line: str | None = None,
+    **options,
+) -> DataFrame:
+    """Booking rows of the trailing window. ``options`` go to ``filled_slots``.
+
+    With ``line``, a column of records and readings, all lines are booked in one run: setpoints do not
+    pass from one line to another, and each row is booked under its own line.
+    """
+    filled = filled_slots(sources, as_of, window_days, line=line, **options)
+    return to_booking(filled, line_id, columns, keep, line)
+
+
+def filled_slots(
+    sources: Sources,
+    as_of: dt.date | None = None,
+    window_days: int = 2,
     fill_strategy: str = "two_phase",
+    line: str | None = None,
+    seed: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Booking rows of the trailing window. ``options`` go to ``enriched_slots``."""
-    enriched = enriched_slots(sources, as_of, window_days, **options)
-    filled = fill_setpoints(enriched, strategy=fill_strategy)
-    return to_booking(filled, line_id, columns, keep)
+    """Slots of the trailing window as they are booked, setpoints filled forward from ``seed`` on.
+    ``options`` go to ``enriched_slots``.
+    """
+    enriched = enriched_slots(sources, as_of, window_days, line=line, **options)
+    return fill_setpoints(enriched, [line] if line else [], fill_strategy, seed)

@@ -1,8 +1,8 @@
 """Tables laid out by date, so that a window reads its own dates only.
 
-Records are filed under their own date and readings under theirs, in a partition column that is not
-part of the table. Rows whose date cannot be read are filed under no date, and a window does not
-read them.
+Records are filed under their own date and readings under theirs. ``file_rows`` merges late and
+corrected rows into a versioned table; ``write_by_date`` lays a whole table out, in a partition
+column that is not part of it, and a window does not read rows without a date.
 """
 
 from __future__ import annotations
@@ -10,9 +10,13 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shiftline.functions.text_time import parse_date, parse_datetime_text
+from shiftline.operators.ordered import run_folder, written
 from shiftline.plans.pipeline import Sources
+from shiftline.sources.versions import UNDATED, commit, current, read_version
 
 FILED_UNDER = "filed_under"
 RECORD_DATE = parse_date("date_begin")
@@ -38,6 +42,65 @@ def read_by_date(spark: SparkSession, path: str, first: dt.date | None = None) -
     return rows.drop(FILED_UNDER)
 
 
+def file_rows(
+    df: DataFrame, path: str, date: str, key: str, newest: str | None = None
+) -> dict[str, int]:
+    """File late and corrected rows of ``df`` by ``date`` (SQL text) beside what is there.
+
+    A row replaces the one with its ``key``, also where that is filed under another date; of several
+    rows with one key the one with the largest ``newest`` (SQL text) counts, then the largest row.
+    Rows without a ``key`` are added. Only the dates that lose or get rows are written again, as one
+    version: readers see all of it or nothing. Rows whose date cannot be read are filed apart.
+    Returns the version, the dates written and their rows.
+    """
+    spark = df.sparkSession
+    base = current(spark, path)
+    with run_folder(spark):
+        row = F.struct(*df.columns)
+        order = F.struct(F.expr(newest), row) if newest else row
+        keyed = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, order).alias("_row"))
+        late = keyed.select("_row.*").unionAll(df.where(F.col(key).isNull()))
+        late = written(late.select(*df.columns))
+        ids = late.where(F.col(key).isNotNull()).select(key)
+        # Of what is there, the keys and the dates alone are read here.
+        known = read_version(spark, path, df.schema, version=base)
+        moved = known.join(ids, key, "left_semi").selectExpr(f"{_filed(date)} AS d")
+        dates = {r.d for r in moved.unionAll(late.selectExpr(f"{_filed(date)} AS d")).distinct().collect()}
+        if not dates:
+            return {"version": base.number, "dates": 0, "rows": 0}
+        there = read_version(spark, path, df.schema, dates=dates, version=base)
+        rows = there.join(ids, key, "left_anti").select(*df.columns).unionAll(late)
+        version, n = commit(rows, path, date, dates, base=base)
+    return {"version": version.number, "dates": len(dates), "rows": n}
+
+
+def _filed(date: str) -> str:
+    return f"coalesce(date_format({date}, 'yyyy-MM-dd'), '{UNDATED}')"
+
+
+def filed_sources(
+    spark: SparkSession,
+    production: str,
+    readings: str,
+    schemas: tuple[StructType, StructType],
+    component_map: DataFrame,
+    as_of: dt.date,
+    window_days: int = 2,
+    lookback_days: int = 1,
+) -> Sources:
+    """The sources of one window run, from tables that ``file_rows`` filed.
+
+    Records come with those whose date cannot be read, which a report of what was skipped counts.
+    ``lookback_days`` of records before the window are what ``rebook_versions`` cuts into it.
+    """
+    first = as_of - dt.timedelta(days=window_days + lookback_days)
+    return Sources(
+        read_version(spark, production, schemas[0], first, undated=True),
+        read_version(spark, readings, schemas[1], first),
+        component_map,
+    )
+
+
 def curated_sources(
     spark: SparkSession,
     production: str,
