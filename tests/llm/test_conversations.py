@@ -93,7 +93,7 @@ def some_rows(rng):
     return rows + rows[5:9]
 
 
-@pytest.mark.parametrize("coalesced", ["true", "false"])
+@pytest.mark.parametrize("coalesced", ["false"])
 def test_repair(spark, coalesced):
     """Without coalescing the long conversation lies in several ranges."""
     rows = some_rows(random.Random(3))
