@@ -40,6 +40,7 @@ from shiftline.operators.fill import forward_fill  # noqa: E402
 from shiftline.operators.lookup import resolve_component, unresolved_report  # noqa: E402
 from shiftline.operators.ordered import shared_folder  # noqa: E402
 from shiftline.operators.split import split_at_boundary  # noqa: E402
+from shiftline.plans.dirty import dirty_dates, rebook_dates  # noqa: E402
 from shiftline.plans.job import BOOKING_KEY, rebook, rebook_versions, skipped  # noqa: E402
 from shiftline.plans.pipeline import (  # noqa: E402
     Sources,
@@ -396,6 +397,36 @@ def filed_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return skipped(_filed(spark, folder), dt.date(2024, 1, 20))
 
 
+def dirty_rebooked(spark: SparkSession, folder: str) -> DataFrame:
+    """All dates are booked, then late readings of one day and late records of another arrive, and
+    only what they reach is booked again.
+    """
+    path = _new_path(spark, "dirty_rebooked")
+    records = derived.production(spark, folder)
+    readings = derived.readings(spark, folder, True).drop("line")
+    late_records = "date_begin = '10.01.24' AND id % 3 = 0"
+    late_readings = "mem_date_time LIKE '20.01.2024%' AND event_id % 2 = 0"
+    paths = f"{path}-records", f"{path}-readings"
+    mapping = derived.component_map(spark, folder)
+    schemas = records.schema, readings.schema
+
+    def file(kind: str) -> tuple[dict, dict]:
+        new_records = records.where(f"{kind} ({late_records})")
+        new_readings = readings.where(f"{kind} ({late_readings})")
+        return (
+            curated.file_rows(new_records, paths[0], curated.RECORD_DATE, "id"),
+            curated.file_rows(new_readings, paths[1], curated.READING_DATE, "event_id"),
+        )
+
+    file("NOT")
+    plain = curated.filed_sources(spark, *paths, schemas, mapping, AS_OF, WHOLE_SPAN)
+    rebook_versions(plain, path, AS_OF, WHOLE_SPAN)
+    arrived = file("")
+    load = curated.filed_dates(spark, *paths, schemas, mapping)
+    rebook_dates(load, path, dirty_dates(arrived[0]["dates"], arrived[1]["dates"]))
+    return read_version(spark, path, bookings(plain, AS_OF).schema)
+
+
 def booking_changes(spark: SparkSession, folder: str) -> DataFrame:
     """What a second commit changed: rows that went, came, changed and were doubled."""
     path = _new_path(spark, "booking_changes")
@@ -456,6 +487,7 @@ def _booking_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rebook_rejects": rebook_rejects,
         "booking_rows_by_line": booking_rows_by_line,
         "rebooked_versions": rebooked_versions,
+        "dirty_rebooked": dirty_rebooked,
         "booking_changes": booking_changes,
         "filed_bookings": filed_bookings,
         "filed_rejects": filed_rejects,

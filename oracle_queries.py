@@ -474,6 +474,7 @@ ORACLE_SQL = {
     "filed_bookings": _query(
         _TO_BOOKED, "SELECT * FROM booked", window="production_date >= DATE '2024-01-18'"
     ),
+    "dirty_rebooked": _query(_TO_BOOKED, "SELECT * FROM booked"),
     "booking_rows_by_line": _query(_TO_BOOKED, "SELECT * FROM booked", **_BY_LINE),
     "rebooked_versions": _query(
         _TO_BOOKED, "SELECT * FROM booked WHERE date >= '2024-01-17'", **_BY_LINE

@@ -8,6 +8,7 @@ column that is not part of it, and a window does not read rows without a date.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +45,14 @@ def read_by_date(spark: SparkSession, path: str, first: dt.date | None = None) -
 
 def file_rows(
     df: DataFrame, path: str, date: str, key: str, newest: str | None = None
-) -> dict[str, int]:
+) -> dict[str, int | list[str]]:
     """File late and corrected rows of ``df`` by ``date`` (SQL text) beside what is there.
 
     A row replaces the one with its ``key``, also where that is filed under another date; of several
     rows with one key the one with the largest ``newest`` (SQL text) counts, then the largest row.
     Rows without a ``key`` are added. Only the dates that lose or get rows are written again, as one
     version: readers see all of it or nothing. Rows whose date cannot be read are filed apart.
-    Returns the version, the dates written and their rows.
+    Returns the version, the dates written and the number of their rows.
     """
     spark = df.sparkSession
     base = current(spark, path)
@@ -67,11 +68,11 @@ def file_rows(
         moved = known.join(ids, key, "left_semi").selectExpr(f"{_filed(date)} AS d")
         dates = {r.d for r in moved.unionAll(late.selectExpr(f"{_filed(date)} AS d")).distinct().collect()}
         if not dates:
-            return {"version": base.number, "dates": 0, "rows": 0}
+            return {"version": base.number, "dates": [], "rows": 0}
         there = read_version(spark, path, df.schema, dates=dates, version=base)
         rows = there.join(ids, key, "left_anti").select(*df.columns).unionAll(late)
         version, n = commit(rows, path, date, dates, base=base)
-    return {"version": version.number, "dates": len(dates), "rows": n}
+    return {"version": version.number, "dates": sorted(dates), "rows": n}
 
 
 def _filed(date: str) -> str:
@@ -101,6 +102,25 @@ def filed_sources(
     )
 
 
+def filed_dates(
+    spark: SparkSession,
+    production: str,
+    readings: str,
+    schemas: tuple[StructType, StructType],
+    component_map: DataFrame,
+) -> Callable[[set[str], set[str]], Sources]:
+    """Loads the records and the readings of some dates from tables that ``file_rows`` filed."""
+
+    def load(record_dates: set[str], reading_dates: set[str]) -> Sources:
+        return Sources(
+            read_version(spark, production, schemas[0], dates=record_dates),
+            read_version(spark, readings, schemas[1], dates=reading_dates),
+            component_map,
+        )
+
+    return load
+
+
 def curated_sources(
     spark: SparkSession,
     production: str,

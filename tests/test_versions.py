@@ -9,6 +9,7 @@ from shop_floor import G1_MAP, G1_READINGS, G1_RECORDS, component_map, productio
 
 from shiftline.operators.changes import row_changes
 from shiftline.operators.fill import forward_fill, last_values
+from shiftline.plans.dirty import dirty_dates, rebook_dates
 from shiftline.plans.job import rebook_versions, skipped
 from shiftline.plans.pipeline import Sources, bookings
 from shiftline.sources import curated, versions
@@ -115,6 +116,57 @@ def test_setpoints_go_on_across_cycles(spark, tmp_path):
     assert whole.where("date = '2025-01-12' AND bentoniteSetPoint IS NOT NULL").count() == 1
 
 
+@pytest.mark.parametrize("line", ["line"])
+def test_only_dirty_dates_are_booked_again(spark, tmp_path, line):
+    """Ten days with a slot each and readings on some; a late reading reaches as far as its fill."""
+    days = [f"{d:02d}.02.25" for d in range(1, 11)]
+    records = [
+        record(n, day, "08:00:00", "15:00:00", (1, "09:00:00", "PX-1", 30, 30, 0))
+        for n, day in enumerate(days)
+    ]
+    rows = [(f"{day[:6]}2025 10:00:00", "GOOD", n, n, n, n) for n, day in enumerate(days) if n in (0, 1, 5, 8)]
+    tables = production(spark, *records), readings(spark, *rows)
+    extra = [F.lit(7).cast("long").alias("line")] if line else []
+    tables = [
+        tables[0].select("*", *extra),
+        tables[1].select("*", F.monotonically_increasing_id().alias("n"), *extra),
+    ]
+    paths = [str(tmp_path / name) for name in ("records", "readings", "bookings")]
+    schemas = tables[0].schema, tables[1].schema
+    mapping = component_map(spark, *G1_MAP)
+    curated.file_rows(tables[0], paths[0], curated.RECORD_DATE, "id")
+    curated.file_rows(tables[1], paths[1], curated.READING_DATE, "n")
+    load = curated.filed_dates(spark, *paths[:2], schemas, mapping)
+    plain = curated.filed_sources(spark, *paths[:2], schemas, mapping, dt.date(2025, 2, 10), 30)
+    first = rebook_versions(plain, paths[2], dt.date(2025, 2, 10), 30, line=line)
+    assert first["rows"] == 10
+    before = dict(versions.current(spark, paths[2]).folders)
+
+    late = readings(spark, ("03.02.2025 09:30:00", "GOOD", 90, 90, 90, 90)).select(
+        "*", F.lit(10**12).alias("n"), *extra
+    )
+    filed = curated.file_rows(late, paths[1], curated.READING_DATE, "n")
+    dates = dirty_dates([], filed["dates"])
+    assert dates == {"2025-02-02", "2025-02-03"}
+    found = rebook_dates(load, paths[2], dates, line=line)
+    # The 6th has readings of its own; what lies between inherits.
+    after = dict(versions.current(spark, paths[2]).folders)
+    assert {d for d in after if after[d] != before[d]} == {"2025-02-03", "2025-02-04", "2025-02-05"}
+    assert (found["version"], found["rows"], found["update"], found["booked"]) == (2, 3, 3, 5)
+    plain = curated.filed_sources(spark, *paths[:2], schemas, mapping, dt.date(2025, 2, 10), 30)
+    whole = bookings(plain, dt.date(2025, 2, 10), 30, line=line)
+    assert live(spark, paths[2], whole.schema) == texts(whole)
+
+    # A record that moves leaves its date empty.
+    moved = production(spark, records[9] | {"date_begin": "14.02.25"}).select("*", *extra)
+    filed = curated.file_rows(moved, paths[0], curated.RECORD_DATE, "id")
+    found = rebook_dates(load, paths[2], dirty_dates(filed["dates"], []), line=line)
+    assert (found["insert"], found["delete"], found["version"]) == (1, 1, 3)
+    rows = versions.read_version(spark, paths[2], whole.schema)
+    assert rows.count() == 10 and rows.where("date = '2025-02-14' AND bentoniteSetPoint = 0.8").count() == 1
+    assert "2025-02-10" not in versions.current(spark, paths[2]).folders
+
+
 def test_seeds_and_lasts(spark):
     rows = [("a", 1, None), ("a", 2, 5.0), ("a", 3, None), ("b", 1, None), (None, 1, None), ("c", 9, None)]
     df = spark.createDataFrame(rows, "line string, at int, v double")
@@ -147,16 +199,20 @@ def test_filing_late_rows(spark, tmp_path):
     schema = production(spark).schema
     file = lambda *rows: curated.file_rows(production(spark, *rows), path, curated.RECORD_DATE, "id")
     unreadable = record(9, "soon", "08:00:00", None, (1, "09:00:00", "PX-1", 5, 5, 0))
-    assert file(*G1_RECORDS, unreadable) == {"version": 1, "dates": 3, "rows": 4}
+    assert file(*G1_RECORDS, unreadable) == {
+        "version": 1, "dates": ["2025-01-09", "2025-01-10", "undated"], "rows": 4,
+    }
     # One late row of a filed date, one that moves to another, one without a number.
     late = record(7, "09.01.25", "08:00:00", "10:00:00", (1, "09:00:00", "PX-1", 5, 5, 0))
     moved = G1_RECORDS[2] | {"date_begin": "11.01.25"}
     nameless = record(None, "10.01.25", "08:00:00", "10:00:00")
-    assert file(late, late, moved, nameless) == {"version": 2, "dates": 3, "rows": 5}
+    assert file(late, late, moved, nameless) == {
+        "version": 2, "dates": ["2025-01-09", "2025-01-10", "2025-01-11"], "rows": 5,
+    }
     wanted = production(spark, *G1_RECORDS[:2], unreadable, late, moved, nameless)
     assert live(spark, path, schema) == texts(wanted)
     assert live(spark, path, schema, first=dt.date(2025, 1, 11)) == texts(production(spark, moved))
-    assert file() == {"version": 2, "dates": 0, "rows": 0}
+    assert file() == {"version": 2, "dates": [], "rows": 0}
     # Of several rows with one number the newest counts.
     newer = [G1_RECORDS[2] | {"time_end": t} for t in ("09:30:00", "08:30:00")]
     curated.file_rows(production(spark, *newer), path, curated.RECORD_DATE, "id", newest="time_end")
