@@ -12,9 +12,10 @@ lines, so a window never joins the article with what follows it. Within them, pa
 article text do not count as lines, and lines of links belong to the text that they stand in.
 
 Page headers, forms and what a class, id or role calls an advert, notice, comment and the like are
-doubtful: their lines weigh a tenth (``DOUBTFUL``) and need a surge of their own. A doubtful element
-that holds most of the page's unlinked text, and more than thrice what <article> and <main> hold
-besides, is not doubted. Inline elements are not.
+doubtful, and none of their lines counts, however long. Doubt about an element is given up, from
+the outermost on, where it holds most of the page's unlinked text and the rest of the page has no
+surge of its own; about forms and headers also where they hold nine tenths of it beside no <article>
+or <main> (``_settled``). Inline elements are not doubted.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from shiftline.llm.workspace import ship
 WINDOW = 3
 SURGE = 80  # characters in a window, at most; less on pages whose fullest window is small
 LINKED = 0.5  # share of link text from which a line has no weight
-DOUBTFUL = 0.1  # weight of a character in a doubtful part
+WRAPPER = 0.9  # share of the unlinked text from which a form or header is the page itself
 OUTSIDE = 0.25  # weight of a character outside <article> and <main> where these hold most text
 
 _MARKUP = re.compile(
@@ -86,15 +87,15 @@ def _is_hinted(attributes: str) -> bool:
     return False
 
 
-def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int, tuple[int, ...]]]:
+def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int, tuple[tuple[int, bool], ...]]]:
     """(text, characters in links, in a part that is never text, in the main part, number of the
-    element it stands in, numbers of the doubtful elements around it) per line; elements directly in
-    the body count as 0.
+    element it stands in, the doubtful elements around it) per line; elements directly in the body
+    count as 0. A doubtful element is its number and whether a class, id or role makes it so.
 
     A line without text is yielded wherever a part begins or ends.
     """
     open_tags: list[tuple[str, bool, bool, bool]] = []  # name, never text, main part, doubtful
-    doubted: tuple[int, ...] = ()
+    doubted: tuple[tuple[int, bool], ...] = ()
     numbers: list[int] = []  # of the open tags
     count = 0
     never = main = links = 0
@@ -109,12 +110,12 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int, tuple[int, ..
         number = numbers[-1] if numbers else 0
         return (text, chars, never > 0, main > 0, number, doubted) if text else None
 
-    def push(name: str, is_never: bool, is_main: bool, is_doubted: bool) -> None:
+    def push(name: str, is_never: bool, is_main: bool, is_doubted: bool, is_named: bool) -> None:
         nonlocal never, main, count, doubted
         count += 1
         open_tags.append((name, is_never, is_main, is_doubted))
         if is_doubted:
-            doubted += (count,)
+            doubted += ((count, is_named),)
         numbers.append(0 if name in ("body", "html") else count)
         never += is_never
         main += is_main
@@ -167,16 +168,15 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool, int, tuple[int, ..
         elif name not in _VOID and not match["attributes"].endswith("/"):
             is_main = name in _MAIN
             is_never = name in _NEVER
-            is_doubted = (
-                name in _DOUBTED
-                or (name == "header" and not main)
-                or (name not in ("body", "html") and not is_main and _is_hinted(match["attributes"]))
+            is_named = (
+                name not in ("body", "html") and not is_main and _is_hinted(match["attributes"])
             )
+            is_doubted = is_named or name in _DOUBTED or (name == "header" and not main)
             apart = is_never or is_doubted
             if apart or is_main:
                 yield from _APART if is_main else [("", 0, True, main > 0, 0, ())]
             if apart or name not in ("p", "li", "dt", "dd", "tr", "option"):
-                push(name, is_never, is_main, is_doubted)
+                push(name, is_never, is_main, is_doubted, is_named)
     if at < len(html):
         words.append(unescape(html[at:]))
     if found := line():
@@ -188,54 +188,80 @@ def main_text(html: str | None) -> str:
     lines = _settled(list(_lines(html or "")))
     inside = outside = 0
     for text, linked, never, main, _, doubted in lines:
-        if main and not never and not doubted:
-            inside += max(len(text) - linked, 0)
-        elif not never and not doubted:
-            outside += max(len(text) - linked, 0)
+        if not never and not doubted:
+            own = max(len(text) - linked, 0)
+            inside, outside = (inside + own, outside) if main else (inside, outside + own)
     marked = 0 < inside >= outside
     plain = [k for k, x in enumerate(lines) if not (marked and x[3] and (x[2] or x[5]))]
-    weights = [0.0] * len(lines)
-    for k, (text, linked, never, main, _, doubted) in enumerate(lines):
-        if text and not never and linked < LINKED * len(text):
-            share = DOUBTFUL if doubted else OUTSIDE if marked and not main else 1
-            weights[k] = len(text) * share
-    sure = [0 if lines[k][5] else weights[k] for k in plain]
+    weights = [0.0] * len(plain)
+    for i, k in enumerate(plain):
+        text, linked, never, main, _, doubted = lines[k]
+        if text and not never and not doubted and linked < LINKED * len(text):
+            weights[i] = len(text) * (OUTSIDE if marked and not main else 1)
+    fullest = max(_windows(weights), default=0)
     kept = set()
-    for start, end in _surges(sure, relative=True):
-        kept.update(k for k in plain[start:end] if _belongs(lines[k], weights[k], marked))
+    for start, end in _surges(weights, min(SURGE, fullest / 2)):
+        own = {i for i in range(start, end) if _belongs(lines[plain[i]], weights[i], marked)}
+        # Lines of links between the lines of an element belong to its text.
+        edges: dict[int, tuple[int, int]] = {}
+        for i in sorted(own):
+            element = lines[plain[i]][4]
+            edges[element] = (edges.get(element, (i, i))[0], i)
+        for i in range(start, end):
+            text, _, never, _, element, doubted = lines[plain[i]]
+            first, last = edges.get(element, (end, end))
+            if first < i < last and text and not never and not doubted:
+                own.add(i)
+        kept |= own
     # A notice or advert within the text's own element does not end the text.
-    elements = {lines[k][4] for k in kept} - {0}
+    elements = {lines[plain[i]][4] for i in kept} - {0}
     kept.update(
-        k for k in plain if lines[k][4] in elements and _belongs(lines[k], weights[k], marked)
+        i
+        for i, k in enumerate(plain)
+        if lines[k][4] in elements and _belongs(lines[k], weights[i], marked)
     )
-    unsure = [w if x[5] else 0 for x, w in zip(lines, weights, strict=True)]
-    for start, end in _surges(unsure, relative=not any(sure)):
-        kept.update(k for k in range(start, end) if unsure[k])
-    return "\n".join(lines[k][0] for k in sorted(kept))
+    return "\n".join(lines[plain[i]][0] for i in sorted(kept))
 
 
 def _settled(lines: list[tuple]) -> list[tuple]:
-    """``lines`` without doubt about elements that hold most of the page's unlinked text."""
-    total = marked = 0
-    held: dict[int, int] = {}  # unlinked text by doubtful element
-    for text, linked, never, main, _, doubted in lines:
-        own = 0 if never else max(len(text) - linked, 0)
-        total += own
-        marked += own if main and not doubted else 0
-        for number in doubted:
-            held[number] = held.get(number, 0) + own
-    least = max(3 * marked, WINDOW * SURGE) if marked else 0
-    most = {n for n, own in held.items() if 2 * own > total and own > least}
-    return [(*x[:5], tuple(n for n in x[5] if n not in most)) for x in lines] if most else lines
-
-
-def _surges(weights: list[float], relative: bool) -> Iterator[tuple[int, int]]:
-    """Start and end of the runs of windows that hold a surge; where it is relative, less is one on
-    pages whose fullest window is small.
-    """
-    padded = weights + [0] * WINDOW
-    sums = [sum(padded[i : i + WINDOW]) for i in range(len(weights))]
-    surge = min(SURGE, max(sums, default=0) / 2) if relative else SURGE
+    """``lines`` without doubt about elements that hold the page's text themselves."""
+    while True:
+        total = marked = 0
+        held: dict[int, int] = {}  # unlinked text by doubtful element
+        named: dict[int, bool] = {}  # whether a class, id or role makes it doubtful
+        rest = []
+        for text, linked, never, main, _, doubted in lines:
+            own = 0 if never else max(len(text) - linked, 0)
+            total += own
+            marked += own if main and not doubted else 0
+            if text or never:
+                rest.append(own if not doubted and linked < LINKED * len(text) else 0)
+            for number, is_named in doubted:
+                held[number] = held.get(number, 0) + own
+                named[number] = is_named
+        surges = max(_windows(rest), default=0) >= SURGE
+        least = max(3 * marked, WINDOW * SURGE) if marked else 0
+        found = [
+            number
+            for number, own in held.items()
+            if (not surges and 2 * own > total and own > least)
+            or (not named[number] and not marked and own >= WRAPPER * total > 0)
+        ]
+        if not found:
+            return lines
+        outer = min(found)
+        lines = [(*x[:5], tuple(d for d in x[5] if d[0] != outer)) for x in lines]
+
+
+def _windows(weights: list[float]) -> list[float]:
+    """Sum of the ``WINDOW`` weights from each line on."""
+    padded = [*weights, *[0] * WINDOW]
+    return [sum(padded[i : i + WINDOW]) for i in range(len(weights))]
+
+
+def _surges(weights: list[float], surge: float) -> Iterator[tuple[int, int]]:
+    """Start and end of the runs of windows that hold a surge."""
+    sums = _windows(weights)
     start = None
     for i, total in enumerate([*sums, 0]):
         if total > 0 and start is None:

@@ -146,6 +146,78 @@ def test_page_text_outweighs_hints(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = " ".join(f"This is sentence {k} of a remark that goes on for quite a while." for k in range(40))
+PARTS = ["<section class='comments'>{}</section>", "<div class='cookie-notice'>{}</div>",
+         "<div id=sidebar>{}</div>", "<form>{}</form>"]
+
+
+@pytest.mark.parametrize("part", PARTS)
+@pytest.mark.parametrize("shape", ["<p>" + LONG, "<p>" + "<p>".join([LONG[:413]] * 3), "<p>" + "<p>".join([BODY] * 12)])
+def test_long_doubtful_parts_are_no_text(part, shape):
+    """Comments, notices, sidebars and forms of 1,000 to 2,500 characters stay out, in and beside."""
+    doubtful, text = part.format(shape), f"{BODY}\n{BODY}\nThe end of it."
+    body = f"<p>{BODY}</p><p>{BODY}</p>"
+    for page in (
+        f"<article>{body}<p>The end of it.</p></article>{doubtful}",
+        f"<article>{body}{doubtful}<p>The end of it.</p></article>",
+        f"<article>{body}<p>The end of it.</p>{doubtful}</article>",
+        f"<main>{body}<p>The end of it.</p></main>{doubtful}",
+    ):
+        assert html_text.main_text(page) == text
+    if not part.startswith("<form"):
+        assert html_text.main_text(f"{doubtful}<div>{body}<p>The end of it.</p></div>") == text
+        wrapped = f"<form><div>{body}<p>The end of it.</p></div>{doubtful}</form>"
+        assert html_text.main_text(wrapped) == text
+
+
+def test_lines_of_links_between_paragraphs_are_text():
+    links = "See <a href=x>the longer report of last year about this very matter</a>."
+    plain = "See the longer report of last year about this very matter."
+    for page in ("{}", "<div>{}</div>", "<article>{}</article>"):
+        page = page.format(f"<p>{BODY}</p><p>{links}</p><p>{BODY}</p>")
+        assert html_text.main_text(f"<body><nav><a href=y>Home</a></nav>{page}") == f"{BODY}\n{plain}\n{BODY}"
+
+
+def plain_line_blocks(lines):
+    """Surge and dive over (text, linked characters) lines, by comparing every window anew."""
+    weight = [len(t) if n < 0.5 * len(t) else 0 for t, n in lines]
+    window = [sum(weight[i : i + 3]) for i in range(len(lines))]
+    surge = min(80, max(window, default=0) / 2)
+    kept = []
+    for i in range(len(lines)):
+        a = i
+        while a > 0 and window[i] and window[a - 1]:
+            a -= 1
+        b = i
+        while window[i] and b < len(lines) and window[b]:
+            b += 1
+        if window[i] and max(window[a:b]) >= surge:
+            sure = [k for k in range(a, b) if weight[k]]
+            if weight[i] or (sure[0] < i < sure[-1] and lines[i][0]):
+                kept.append(lines[i][0])
+    return "\n".join(kept)
+
+
+def test_line_blocks_equal_a_plain_version():
+    """Random pages of plain paragraphs, links and gaps directly in the body."""
+    rng = random.Random(11)
+    for _ in range(300):
+        lines, page = [], "<body>"
+        for k in range(rng.randint(0, 30)):
+            text, kind = f"{k} " + "word " * rng.choice([1, 3, 12, 40]) + "x", rng.random()
+            if kind < 0.5:
+                lines.append((text, 0))
+                page += f"<p>{text}</p>"
+            elif kind < 0.8:
+                lines.append((text, len(text)))
+                page += f"<p><a href=x>{text}</a></p>"
+            else:
+                lines += [("", 0)] * 2
+                page += "<nav><p>Menu of the site</p></nav>"
+                lines.insert(-1, ("", 0))
+        assert html_text.main_text(page) == plain_line_blocks(lines)
+
+
 def test_page_text_edges(spark):
     pages = [(1, None), (2, ""), (3, "a < b"), (4, "<p>open <b>ended"), (5, "<script>x"), (6, "<!-- x"), (7, '<p class="')]
     found = html_text.extract_main_text(
