@@ -2,41 +2,41 @@
 
 A text is the bytes of its words (A-Z as a-z), a blank after each word, then an end symbol. The
 tree's states are contexts of up to ``DEPTH`` bytes. Pairs of a context and its next symbol are
-counted over the whole training text, and the ``PAIRS`` most frequent are stored (all with equal
-counts or none). A context is kept if its next symbols diverge from those of its longest kept
-suffix: the Kullback-Leibler divergence times the context's count, in nats, exceeds ``DIVERGENCE``.
-The next symbols of a state are smoothed with those of its suffix state by the Witten-Bell rule;
-symbols that are not stored pass their share on as well, so every state's symbols sum to 1. A text
-is scored by the state of the longest suffix at every position.
-
-``PAIRS`` bounds what is sent to the tasks, whatever the corpus: 16 bytes a pair and less than that
-a context.
+counted over the whole training text, and none is left out. A context is kept if its next symbols
+diverge from those of its longest kept suffix: the Kullback-Leibler divergence times the context's
+count, in nats, exceeds ``DIVERGENCE``. The next symbols of a state are smoothed with those of its
+suffix state by the Witten-Bell rule, so every state's symbols sum to 1. A text is scored by the
+state of the longest suffix at every position.
+
+The tree is a table that grows with the corpus and is worked out depth by depth in joins. Texts lie
+in blocks of ``BLOCK`` bytes; a block's distinct codes (a context and its next symbol) are joined
+with the tree and come back to the block, so that a task holds one block and its codes. A code is in
+one row a block at most, or one each time that a task has to hand on what it counted, which bounds
+the rows of the most frequent one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.llm.words import word_hashes
 from shiftline.llm.workspace import Workspace, ship
 
 DEPTH = 5
-PAIRS = 2_000_000
 DIVERGENCE = 2.0
-LEAST_WORD = 1e-6  # words that are more frequent are sent to the tasks, others are joined
+BLOCK = 8 << 20  # bytes of text whose codes travel together
 _END, _BEFORE = 0xFF, 0xFE  # bytes that UTF-8 text does not contain
 _SYMBOLS = 257
 _CHUNK = 2 << 20  # bytes counted or scored at once
 _FLUSH = 2_000_000  # distinct codes a task holds
-
-_WORDS, _GRAMS, _ENDS = 0, 1, 2
+_WORD = np.int64(-1 << 63)  # the bit that tells a word's hash from a code
 
 
 def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,191 +78,138 @@ class _Counter:
         self.codes = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
-    def add(self, codes: np.ndarray) -> None:
-        codes = np.sort(codes)
-        starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    def add(self, codes: np.ndarray, learn: bool) -> None:
+        """Codes that are not learned from are held with a count of 0."""
         if len(codes) == 0:
             return
-        counts = np.diff(np.concatenate([starts, [len(codes)]]))
+        codes = np.sort(codes)
+        starts = _starts(codes)
+        counts = np.diff(starts, append=len(codes)) * int(learn)
         codes = np.concatenate([self.codes, codes[starts]])
         counts = np.concatenate([self.counts, counts])
-        order = np.argsort(codes)
+        order = np.argsort(codes, kind="stable")
         codes, counts = codes[order], counts[order]
-        starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        starts = _starts(codes)
         self.codes, self.counts = codes[starts], np.add.reduceat(counts, starts)
 
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
-        found = self.codes, self.counts
-        self.__init__()
-        return found
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
+def _word_codes(column: pa.Array) -> np.ndarray:
+    hashes = [np.zeros(0, np.uint64), *(h for _, _, h, _ in word_hashes(column))]
+    return np.concatenate(hashes).view(np.int64) | _WORD
+
+
+def _in_blocks(rows: DataFrame, block: int) -> DataFrame:
+    """(id, text, learn) with the number of the block that each row lies in."""
 
-def corpus_counts(training: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, code, n): how often each word and each run of ``DEPTH`` + 1 symbols occurs, and the
-    number of texts. Words are known by 64-bit hashes.
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, done = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64)
+            ends = done + np.cumsum(sizes)
+            numbers = first + (ends - sizes) // block
+            done = int(ends[-1]) if len(ends) else done
+            names = [*batch.schema.names, "block"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], names=names)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(number, f"id {kind}, text string, learn boolean, block long")
+
+
+def block_codes(blocks: DataFrame) -> DataFrame:
+    """(block, code, n): the codes of ``DEPTH`` + 1 symbols and the words (by 63-bit hashes, below
+    0) of each block, and how often they occur where ``learn`` holds. A code can have several rows.
     """
-    ship(training.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, grams, ends = _Counter(), _Counter(), 0
-
-        def out(kind: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(codes), 200_000):
-                part = codes[at : at + 200_000]
+        counter, held = _Counter(), None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            nonlocal counter
+            for at in range(0, len(counter.codes), 200_000):
+                codes = counter.codes[at : at + 200_000]
+                counts = counter.counts[at : at + 200_000]
+                arrays = [np.full(len(codes), held, np.int64), codes, counts]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(part), kind, np.int32)),
-                        pa.array(part),
-                        pa.array(counts[at : at + 200_000]),
-                    ],
-                    names=["kind", "code", "n"],
+                    [pa.array(x) for x in arrays], names=["block", "code", "n"]
                 )
+            counter = _Counter()
 
         for batch in batches:
-            column = batch.column(0)
-            ends += len(column)
-            hashes = [h for _, _, h, _ in word_hashes(column)]
-            if hashes:
-                words.add(np.concatenate(hashes).view(np.int64))
-            for _, _, texts in _chunks(column):
-                grams.add(_stream(texts)[0])
-            for kind, counter in ((_WORDS, words), (_GRAMS, grams)):
-                if len(counter.codes) > _FLUSH:
-                    yield from out(kind, *counter.take())
+            numbers = batch.column(1).to_numpy()
+            cuts = [*(_starts(numbers) if len(numbers) else []), len(numbers)]
+            for first, last in zip(cuts, cuts[1:]):
+                if numbers[first] != held or len(counter.codes) > _FLUSH:
+                    yield from out()
+                    held = int(numbers[first])
+                part = batch.slice(first, last - first)
+                for learn in (True, False):
+                    texts = part.column(0).filter(pc.equal(part.column(2), learn))
+                    counter.add(_word_codes(texts), learn)
+                    for _, _, chunk in _chunks(texts):
+                        counter.add(_stream(chunk)[0], learn)
             pa.default_memory_pool().release_unused()
-        yield from out(_WORDS, *words.take())
-        yield from out(_GRAMS, *grams.take())
-        yield from out(_ENDS, np.zeros(1, np.int64), np.array([ends], np.int64))
+        yield from out()
 
-    counted = training.select(text).mapInArrow(count, "kind int, code long, n long")
-    return counted.groupBy("kind", "code").agg(F.sum("n").alias("n"))
+    return blocks.select("text", "block", "learn").mapInArrow(
+        count, "block long, code long, n long"
+    )
 
 
-@dataclass(frozen=True)
-class SuffixTree:
-    """By depth: states (sorted contexts) with what they pass on to their suffix, and stored pairs.
+def grow(codes: DataFrame, work: Workspace) -> DataFrame:
+    """(code, chance) from (code, n): the probability of each code's last symbol after the ones
+    before it. Codes with n = 0 are not learned from, and get the probability that the tree gives.
     """
-
-    contexts: list[np.ndarray]
-    passed: list[np.ndarray]  # share of a state that goes to its suffix state
-    pairs: list[np.ndarray]
-    shares: list[np.ndarray]  # own share of a stored pair
-    known: np.ndarray | None = None  # log10 of the deepest stored pairs, worked out beforehand
-
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each code's last symbol after the ones before it."""
-        if self.known is None or len(self.known) == 0:
-            return self._walked(codes)
-        place = _place(self.pairs[-1], codes)
-        result = self.known[place]
-        missing = place < 0
-        result[missing] = self._walked(codes[missing])
-        return result
-
-    def _walked(self, codes: np.ndarray) -> np.ndarray:
-        chance = np.full(len(codes), 1 / _SYMBOLS)
-        for depth in range(len(self.contexts)):
-            context = (codes >> 8) & ((1 << 8 * depth) - 1)
-            state = _place(self.contexts[depth], context)
-            pair = _place(self.pairs[depth], codes & ((1 << 8 * (depth + 1)) - 1))
-            own = np.where(pair >= 0, self.shares[depth][pair], 0) if len(self.shares[depth]) else 0
-            if len(self.contexts[depth]):
-                chance = np.where(state >= 0, own + self.passed[depth][state] * chance, chance)
-        return np.log10(chance)
-
-
-def _place(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Place of each value in a sorted table, or -1."""
-    if len(table) == 0:
-        return np.full(len(values), -1)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return np.where(table[at] == values, at, -1)
-
-
-def _by_symbol(tree: SuffixTree, symbols: np.ndarray) -> np.ndarray:
-    """``tree.log10`` of every symbol, worked out once for those with equal codes."""
-    order = np.argsort(symbols)
-    ordered = symbols[order]
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    each = np.empty(len(symbols))
-    value = tree.log10(ordered[starts])
-    each[order] = np.repeat(value, np.diff(np.concatenate([starts, [len(symbols)]])))
-    return each
-
-
-def grow(counts: DataFrame, work: Workspace) -> SuffixTree:
-    """The tree from ``corpus_counts``."""
-    grams = counts.where(F.col("kind") == _GRAMS)
-    by_depth = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(d).alias("depth"),
-                    F.col("code").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("pair"),
-                )
-                for d in range(DEPTH + 1)
+    levels = [codes.select(F.col("code").alias("pair"), "n")]
+    for depth in range(DEPTH - 1, -1, -1):
+        shorter = F.col("pair").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
+        pairs = levels[0].groupBy(shorter.alias("pair")).agg(F.sum("n").alias("n"))
+        levels.insert(0, work.write(pairs, f"pairs-{depth}"))
+    # A context has at most as many rows as there are symbols.
+    own = Window.partitionBy("context").orderBy("pair")
+    own = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    smoothed = (F.col("n") + F.col("kinds") * F.col("below")) / (F.col("size") + F.col("kinds"))
+    gain = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("smoothed") / F.col("below")))
+    chances = None
+    for depth, pairs in enumerate(levels):
+        if chances is None:
+            near = pairs.withColumn("below", F.lit(1 / _SYMBOLS))
+        else:
+            suffix = F.col("pair").bitwiseAND(F.lit((1 << 8 * depth) - 1))
+            near = pairs.withColumn("suffix", suffix).join(
+                chances.select(F.col("pair").alias("suffix"), F.col("chance").alias("below")), "suffix"
             )
+        kept = (F.col("size") > 0) & ((F.col("gain") > DIVERGENCE) | F.lit(depth == 0))
+        chances = (
+            near.withColumn("context", F.shiftright("pair", 8))
+            .withColumn("size", F.sum("n").over(own))
+            .withColumn("kinds", F.count(F.when(F.col("n") > 0, 1)).over(own))
+            .withColumn("smoothed", F.when(F.col("size") > 0, smoothed))
+            .withColumn("gain", F.sum(gain).over(own))
+            .select("pair", F.when(kept, F.col("smoothed")).otherwise(F.col("below")).alias("chance"))
         )
-    )
-    pairs = grams.select(by_depth.alias("p"), "n").groupBy("p.depth", "p.pair")
-    pairs = work.write(pairs.agg(F.sum("n").alias("n")), "pairs")
-    # Counts in steps of a sixteenth of an octave: at most 1024 rows.
-    step = F.floor(F.log2("n") * 16)
-    steps = pairs.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
-    least, held = 0, 0
-    for row in sorted(steps, reverse=True):
-        held += row["rows"]
-        if held > PAIRS:
-            least = row["step"] + 1
-            break
-    stored = step >= least
-    states = (
-        pairs.groupBy("depth", F.shiftright("pair", 8).alias("context"))
-        .agg(
-            F.sum("n").alias("n"),
-            F.count("*").alias("kinds"),
-            F.sum(F.when(stored, F.col("n")).otherwise(0)).alias("held"),
-        )
-        .where("held > 0")
-    )
-    # Neither has more rows than PAIRS.
-    states = states.toArrow().to_pandas().sort_values(["depth", "context"])
-    pairs = pairs.where(stored).toArrow().to_pandas().sort_values(["depth", "pair"])
-    contexts, passed, kept_pairs, shares = [], [], [], []
-    for depth in range(DEPTH + 1):
-        own = states[states["depth"] == depth]
-        near = pairs[pairs["depth"] == depth]
-        code, n = near["pair"].to_numpy(), near["n"].to_numpy()
-        context, size = own["context"].to_numpy(), own["n"].to_numpy()
-        whole = size + own["kinds"].to_numpy()
-        rest = (whole - own["held"].to_numpy()) / whole
-        parent = _place(context, code >> 8)
-        code, n, parent = code[parent >= 0], n[parent >= 0], parent[parent >= 0]
-        share = n / whole[parent] if len(code) else np.zeros(0)
-        tree = SuffixTree(contexts, passed, kept_pairs, shares)
-        below = 10.0 ** tree.log10(code) if len(code) else np.zeros(0)
-        chance = share + (rest[parent] * below if len(code) else 0)
-        gain = np.zeros(len(context))
-        if len(code):
-            gain = np.bincount(parent, n * np.log(chance / below), len(context))
-        kept = (gain > DIVERGENCE) | (depth == 0)
-        use = kept[parent] if len(code) else np.zeros(0, bool)
-        contexts.append(context[kept])
-        passed.append(rest[kept])
-        kept_pairs.append(code[use])
-        shares.append(share[use])
-    tree = SuffixTree(contexts, passed, kept_pairs, shares)
-    return replace(tree, known=tree.log10(kept_pairs[-1]))
-
-
-_SCORED = (
-    "id {id}, n_tokens long, n_known long, base_score double, score double,"
-    " rare array<long>"
-)
+    return chances.withColumnRenamed("pair", "code")
+
+
+def _looked_up(table: np.ndarray, values: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The value of every code, looked up once for equal ones; all are in the sorted table."""
+    if len(codes) == 0:
+        return np.zeros(0)
+    order = np.argsort(codes)
+    ordered = codes[order]
+    starts = _starts(ordered)
+    found = values[np.searchsorted(table, ordered[starts])]
+    each = np.empty(len(codes))
+    each[order] = np.repeat(found, np.diff(starts, append=len(codes)))
+    return each
 
 
 def score_texts(
-    docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text", block: int = BLOCK
 ) -> DataFrame:
     """``id`` with n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -271,86 +218,74 @@ def score_texts(
     training, N: all tokens, V: different ones), ``n_known`` counts tokens with c > 0, and ``score``
     is the model's log10 probability of the text. Rows that repeat are each scored; without training
     rows every token is unknown and symbols are equally likely. An empty table gives an empty table.
+    Other columns are not read.
     """
     spark = docs.sparkSession
     ship(spark)
     work = Workspace(spark, "suffix-tree")
-    counts = work.write(corpus_counts(docs.where(training), text), "counts")
-    words = counts.where(F.col("kind") == _WORDS)
-    ends = counts.where(F.col("kind") == _ENDS).agg(F.sum("n")).first()[0] or 0
-    seen = words.agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).first()
+    learn = F.coalesce(training, F.lit(False))
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), learn.alias("learn"))
+    blocks = work.write(_in_blocks(rows, block), "blocks")
+    counted = work.write(block_codes(blocks), "counted")
+    codes = work.write(counted.groupBy("code").agg(F.sum("n").alias("n")), "codes")
+    words = codes.where("code < 0")
+    ends = blocks.where("learn").count()
+    seen = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).first()
     tokens = (seen["n"] or 0) + ends
     floor = tokens + seen["kinds"] + (ends > 0) + 1
-    # At most 1 / LEAST_WORD words are so frequent.
-    frequent = words.where(F.col("n") >= LEAST_WORD * tokens).select("code", "n").toArrow()
-    order = np.argsort(frequent["code"].to_numpy())
-    model = spark.sparkContext.broadcast(
-        (grow(counts, work), frequent["code"].to_numpy()[order], frequent["n"].to_numpy()[order])
+    grown = grow(codes.where("code >= 0"), work)
+    values = grown.select("code", F.log10("chance").alias("value")).union(
+        words.select("code", F.col("n").cast("double").alias("value"))
     )
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, codes, numbers = model.value
-        for batch in batches:
-            column = batch.column(1)
-            size = len(column)
-            base, scores = np.zeros(size), np.zeros(size)
-            known, n_tokens = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            rare_rows, rare_codes = [], []
-            for first, last, texts in _chunks(column):
-                symbols, starts, n_words = _stream(texts)
-                # Tokens of a text are its words and the end.
-                owner = np.repeat(np.arange(first, last), n_words + 1)
-                scores += np.bincount(owner, np.add.reduceat(_by_symbol(tree, symbols), starts), size)
-                is_end = np.zeros(len(starts), bool)
-                is_end[np.cumsum(n_words + 1) - 1] = True
-                hashes = [h for _, _, h, _ in word_hashes(column.slice(first, last - first))]
-                place = np.full(len(starts), -1)
-                place[~is_end] = _place(codes, np.concatenate(hashes).view(np.int64))
-                hit = place >= 0
-                count = np.where(hit, numbers[place] if len(numbers) else 0, np.where(is_end, ends, 0))
-                sure = hit | is_end
-                base += np.bincount(owner[sure], np.log10((count + 1) / floor)[sure], size)
-                known += np.bincount(owner[sure & (count > 0)], minlength=size)
-                n_tokens[first:last] = n_words + 1
-                rare_rows.append(owner[~sure])
-                rare_codes.append(np.concatenate(hashes).view(np.int64)[~hit[~is_end]])
-            rows = np.concatenate([np.zeros(0, np.int64), *rare_rows])
-            offsets = np.searchsorted(rows, np.arange(size + 1)).astype(np.int32)
-            rare_codes = pa.array(np.concatenate([np.zeros(0, np.int64), *rare_codes]))
-            rare = pa.ListArray.from_arrays(pa.array(offsets), rare_codes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(n_tokens),
-                    pa.array(known),
-                    pa.array(base),
-                    pa.array(scores),
-                    rare,
-                ],
-                names=["id", "n_tokens", "n_known", "base_score", "score", "rare"],
-            )
-            pa.default_memory_pool().release_unused()
+    known = counted.select("block", "code").join(values, "code").select("block", "code", "value")
+
+    def score(own: pa.Table, tree: pa.Table) -> pa.Table:
+        code, value = tree["code"].to_numpy(), tree["value"].to_numpy()
+        order = np.argsort(code)
+        code, value = code[order], value[order]
+        cut = int(np.searchsorted(code, 0))  # words, then codes
+        column = own["text"].combine_chunks()
+        size = len(column)
+        base, scores = np.zeros(size), np.zeros(size)
+        n_known, n_tokens = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for first, last, texts in _chunks(column):
+            symbols, starts, n_words = _stream(texts)
+            # Tokens of a text are its words and the end.
+            owner = np.repeat(np.arange(first, last), n_words + 1)
+            each = _looked_up(code[cut:], value[cut:], symbols)
+            scores += np.bincount(owner, np.add.reduceat(each, starts), size)
+            is_end = np.zeros(len(starts), bool)
+            is_end[np.cumsum(n_words + 1) - 1] = True
+            count = np.full(len(starts), float(ends))
+            hashes = _word_codes(column.slice(first, last - first))
+            count[~is_end] = _looked_up(code[:cut], value[:cut], hashes)
+            base += np.bincount(owner, np.log10((count + 1) / floor), size)
+            n_known += np.bincount(owner[count > 0], minlength=size)
+            n_tokens[first:last] = n_words + 1
+        return pa.table(
+            {
+                "id": own["id"],
+                "n_tokens": n_tokens,
+                "n_known": n_known,
+                "base_score": base,
+                "score": scores,
+            }
+        )
 
     kind = docs.schema[id].dataType.simpleString()
-    scored = docs.select(F.col(id), text).mapInArrow(score, _SCORED.format(id=kind))
-    scored = scored.withColumn("number", F.monotonically_increasing_id())  # tells equal ids apart
-    scored = work.write(scored, "scored")
-    # A rare word has few rows by definition, so no key of this join is hot.
-    rare = scored.select("number", F.explode("rare").alias("code"))
-    count = F.coalesce("c", F.lit(0))
-    found = (
-        rare.join(words.select("code", F.col("n").alias("c")), "code", "left")
-        .groupBy("number")
-        .agg(
-            F.sum(F.log10((count + 1) / F.lit(float(floor)))).alias("base"),
-            F.sum(F.when(count > 0, 1).otherwise(0)).alias("some"),
+    scored = (
+        blocks.select("block", "id", "text")
+        .groupBy("block")
+        .cogroup(known.groupBy("block"))
+        .applyInArrow(
+            score, f"id {kind}, n_tokens long, n_known long, base_score double, score double"
         )
     )
-    return scored.join(found, "number", "left").select(
+    return scored.select(
         F.col("id").alias(id),
         "n_tokens",
-        (F.col("n_known") + F.coalesce("some", F.lit(0))).cast("long").alias("n_known"),
+        "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
+        "base_score",
         "score",
     )

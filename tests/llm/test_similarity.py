@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -191,15 +191,54 @@ def test_search(spark, monkeypatch, segment):
     assert pivot_search.search_top(df.limit(0)).count() == 0
 
 
-def test_suffix_tree(spark, monkeypatch):
+class PlainTree:
+    """Counts and chances by dictionaries, one symbol after the other."""
+
+    def __init__(self, texts):
+        self.counts = defaultdict(Counter)
+        for text in texts:
+            for context, symbol in self.symbols(text):
+                for depth in range(suffix_tree.DEPTH + 1):
+                    self.counts[context[len(context) - depth :]][symbol] += 1
+        self.kept = {}
+
+    @staticmethod
+    def symbols(text):
+        words = "".join(w + " " for w in SQL_WORD.findall(lower(text)))
+        data = b"\xfe" * suffix_tree.DEPTH + words.encode() + b"\xff"
+        return [(data[i - suffix_tree.DEPTH : i], data[i]) for i in range(suffix_tree.DEPTH, len(data))]
+
+    def smoothed(self, context, symbol):
+        own = self.counts[context]
+        below = self.chance(context[1:], symbol) if context else 1 / 257
+        return (own[symbol] + len(own) * below) / (own.total() + len(own)), below
+
+    def is_kept(self, context):
+        if context not in self.kept:
+            gain = 0
+            for symbol, n in self.counts[context].items() if context in self.counts else ():
+                chance, below = self.smoothed(context, symbol)
+                gain += n * math.log(chance / below)
+            self.kept[context] = gain > suffix_tree.DIVERGENCE or (not context and bool(self.counts))
+        return self.kept[context]
+
+    def chance(self, context, symbol):
+        while context and not self.is_kept(context):
+            context = context[1:]
+        return self.smoothed(context, symbol)[0] if self.is_kept(context) else 1 / 257
+
+    def log10(self, text):
+        return sum(math.log10(self.chance(c, s)) for c, s in self.symbols(text))
+
+
+def test_suffix_tree(spark):
     rng = random.Random(6)
     texts = [" ".join(rng.choices("The the of banana Über x".split(), k=rng.randint(0, 60))) for _ in range(80)]
     texts += [None, "", " \n", "zzz unseen", "the " * 20_000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, "the of")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit(1))
     training = F.coalesce(F.col("doc_id") % 7 != 2, F.lit(True))
-    monkeypatch.setattr(suffix_tree, "LEAST_WORD", 0.05)  # so that some words are joined
-    found = suffix_tree.score_texts(docs, training).toPandas()
+    found = suffix_tree.score_texts(docs, training, block=2000).toPandas()  # many blocks
     tokens = [[*SQL_WORD.findall(lower(t)), None] for _, t in rows]
     counts = Counter(w for (i, _), own in zip(rows, tokens, strict=True) if i is None or i % 7 != 2 for w in own)
     total, kinds = sum(counts.values()), len(counts)
@@ -208,24 +247,36 @@ def test_suffix_tree(spark, monkeypatch):
         base = sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in own)
         wanted.setdefault(i, []).append((len(own), sum(counts[w] > 0 for w in own), base))
     assert len(found) == len(rows)
+    tree = PlainTree(t for i, t in rows if i is None or i % 7 != 2)
+    plain = sorted(tree.log10(t) for _, t in rows)
+    assert sorted(found["score"]) == pytest.approx(plain, rel=1e-9)
+    by_id = found.set_index("doc_id")["score"]
+    for i, text in rows[4:85:9]:
+        assert by_id[i] == pytest.approx(tree.log10(text), rel=1e-9)
+    assert found["score"].max() < 0
     for row in found.itertuples():
         n, known, base = wanted[None if np.isnan(row.doc_id) else int(row.doc_id)][0]
         assert (row.n_tokens, row.n_known, row.train_tokens) == (n, known, total)
         assert row.base_score == pytest.approx(base, rel=1e-9)
-        assert row.score < 0
     empty = docs.limit(0)
     assert suffix_tree.score_texts(empty, training).count() == 0
     unlearned = suffix_tree.score_texts(docs, F.lit(False)).toPandas()
     assert unlearned["n_known"].sum() == 0
+    assert sorted(unlearned["score"]) == pytest.approx(sorted(PlainTree([]).log10(t) for _, t in rows))
 
 
 def test_symbols_of_every_state_sum_to_one(spark):
-    docs = spark.createDataFrame([("the of the banana ban",), ("über the",)] * 30, "text string")
-    counts = suffix_tree.corpus_counts(docs)
-    tree = suffix_tree.grow(counts, Workspace(spark, "test"))
-    symbols = np.arange(256, dtype=np.int64)
-    for context in (b"\xfe\xfe\xfe\xfe\xfe", b"n the", b" bana", b"qqqqq"):
-        code = int.from_bytes(context, "big") << 8 | symbols
-        # One of the 257 equally likely symbols of an unknown state is not a byte.
-        assert (10 ** tree.log10(code)).sum() == pytest.approx(1, abs=1 / 257)
-        assert (10 ** tree._walked(code)).tolist() == (10 ** tree.log10(code)).tolist()
+    docs = [("the of the banana ban",), ("über the",)] * 30
+    blocks = spark.createDataFrame(docs, "text string").withColumn("block", F.lit(0).cast("long"))
+    counted = suffix_tree.block_codes(blocks.withColumn("learn", F.lit(True)))
+    asked = [
+        (int.from_bytes(context, "big") << 8 | symbol, 0)
+        for context in (b"\xfe\xfe\xfe\xfe\xfe", b"n the", b" bana", b"qqqqq")
+        for symbol in range(256)
+    ]
+    codes = counted.where("code >= 0").select("code", "n").union(spark.createDataFrame(asked, "code long, n long"))
+    grown = suffix_tree.grow(codes.groupBy("code").agg(F.sum("n").alias("n")), Workspace(spark, "test"))
+    sums = grown.where(F.col("code").isin([c for c, _ in asked])).groupBy(F.shiftright("code", 8)).agg(F.sum("chance"))
+    # One of the 257 equally likely symbols of an unknown state is not a byte.
+    assert [r[1] for r in sums.collect()] == [pytest.approx(1, abs=1 / 257)] * 4
+
