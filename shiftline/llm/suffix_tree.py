@@ -8,11 +8,12 @@ count, in nats, exceeds ``DIVERGENCE``. The next symbols of a state are smoothed
 suffix state by the Witten-Bell rule, so every state's symbols sum to 1. A text is scored by the
 state of the longest suffix at every position.
 
-The tree is a table that grows with the corpus and is worked out depth by depth in joins. Texts lie
-in blocks of ``BLOCK`` bytes; a block's distinct codes (a context and its next symbol) are joined
-with the tree and come back to the block, so that a task holds one block and its codes. A code is in
-one row a block at most, or one each time that a task has to hand on what it counted, which bounds
-the rows of the most frequent one.
+The tree is a table that grows with the corpus. Texts lie in blocks of ``BLOCK`` bytes; each block
+sends its distinct codes (a context and its next symbol) packed to buckets of codes, where they are
+added up, and gets the tree's probabilities of its own codes back. A code reaches its bucket once a
+block at most, or once each time that a task has to hand on what it counted, so frequent codes do
+not fill a bucket. Contexts of up to two bytes are grown depth by depth in joins; longer ones with
+equal last three bytes lie in one group, which holds different codes only.
 """
 
 from __future__ import annotations
@@ -26,16 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.words import word_hashes
+from shiftline.llm.words import mixed, word_hashes
 from shiftline.llm.workspace import Workspace, ship
 
 DEPTH = 5
 DIVERGENCE = 2.0
-BLOCK = 8 << 20  # bytes of text whose codes travel together
+BLOCK = 32 << 20  # bytes of text whose codes travel together
 _END, _BEFORE = 0xFF, 0xFE  # bytes that UTF-8 text does not contain
 _SYMBOLS = 257
 _CHUNK = 2 << 20  # bytes counted or scored at once
-_FLUSH = 2_000_000  # distinct codes a task holds
+_FLUSH = 4_000_000  # distinct codes a task holds
+_GROUP = 1_000_000  # codes of the tree grown at once, on average
+_NEAR = 2  # depth up to which the tree is grown in joins
 _WORD = np.int64(-1 << 63)  # the bit that tells a word's hash from a code
 
 
@@ -120,9 +123,33 @@ def _in_blocks(rows: DataFrame, block: int) -> DataFrame:
     return rows.mapInArrow(number, f"id {kind}, text string, learn boolean, block long")
 
 
-def block_codes(blocks: DataFrame) -> DataFrame:
-    """(block, code, n): the codes of ``DEPTH`` + 1 symbols and the words (by 63-bit hashes, below
-    0) of each block, and how often they occur where ``learn`` holds. A code can have several rows.
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers of 8 bytes, compressed after all their first bytes, second bytes and so on."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, size: int, kind: type) -> np.ndarray:
+    planes = pa.Codec("zstd").decompress(data, 8 * size, asbytes=True)
+    planes = np.frombuffer(planes, np.uint8).reshape(8, size)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _codes_of(table: pa.Table) -> list[np.ndarray]:
+    """The codes of each row; they are packed as differences."""
+    sizes, packed = table["size"].to_pylist(), table["codes"].to_pylist()
+    return [np.cumsum(_unpacked(c, n, np.int64)) for c, n in zip(packed, sizes, strict=True)]
+
+
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """Codes that differ in their last symbol alone share a bucket."""
+    return (mixed((codes >> 8).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def block_codes(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, size, codes, counts): the codes of ``DEPTH`` + 1 symbols and the words (by
+    63-bit hashes, below 0) of each block, and how often they occur where ``learn`` holds, packed.
+    A code can have several rows.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,14 +157,20 @@ def block_codes(blocks: DataFrame) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             nonlocal counter
-            for at in range(0, len(counter.codes), 200_000):
-                codes = counter.codes[at : at + 200_000]
-                counts = counter.counts[at : at + 200_000]
-                arrays = [np.full(len(codes), held, np.int64), codes, counts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in arrays], names=["block", "code", "n"]
-                )
+            bucket = _bucket(counter.codes, buckets)
+            order = np.argsort(bucket, kind="stable")
+            bucket, codes, counts = bucket[order], counter.codes[order], counter.counts[order]
             counter = _Counter()
+            for part in np.split(np.arange(len(codes)), _starts(bucket)[1:]) if len(codes) else ():
+                own = codes[part]
+                row = {
+                    "block": held,
+                    "bucket": int(bucket[part[0]]),
+                    "size": len(part),
+                    "codes": _packed(np.diff(own, prepend=np.int64(0))),
+                    "counts": _packed(counts[part]),
+                }
+                yield pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
             numbers = batch.column(1).to_numpy()
@@ -156,19 +189,39 @@ def block_codes(blocks: DataFrame) -> DataFrame:
         yield from out()
 
     return blocks.select("text", "block", "learn").mapInArrow(
-        count, "block long, code long, n long"
+        count, "block long, bucket long, size long, codes binary, counts binary"
     )
 
 
-def grow(codes: DataFrame, work: Workspace) -> DataFrame:
-    """(code, chance) from (code, n): the probability of each code's last symbol after the ones
-    before it. Codes with n = 0 are not learned from, and get the probability that the tree gives.
+def code_counts(counted: DataFrame) -> DataFrame:
+    """(bucket, code, n) from ``block_codes``, one row per code."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        packed = zip(rows["counts"].to_pylist(), rows["size"].to_pylist(), strict=True)
+        counts = np.concatenate([_unpacked(c, n, np.int64) for c, n in packed])
+        codes = np.concatenate(_codes_of(rows))
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        starts = _starts(codes)
+        bucket = np.full(len(starts), rows["bucket"][0].as_py(), np.int64)
+        sums = np.add.reduceat(counts[order], starts)
+        return pa.table({"bucket": bucket, "code": codes[starts], "n": sums})
+
+    return counted.groupBy("bucket").applyInArrow(add, "bucket long, code long, n long")
+
+
+def grow(codes: DataFrame, work: Workspace, buckets: int = 1) -> DataFrame:
+    """(bucket, code, chance) from (code, n), one row per code: the probability of each code's last
+    symbol after the ones before it. Codes with n = 0 are not learned from, and get the probability
+    that the tree gives.
     """
-    levels = [codes.select(F.col("code").alias("pair"), "n")]
-    for depth in range(DEPTH - 1, -1, -1):
+    near = codes.select(F.col("code").alias("pair"), "n")
+    levels = []
+    for depth in range(_NEAR, -1, -1):
         shorter = F.col("pair").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
-        pairs = levels[0].groupBy(shorter.alias("pair")).agg(F.sum("n").alias("n"))
-        levels.insert(0, work.write(pairs, f"pairs-{depth}"))
+        near = near.groupBy(shorter.alias("pair")).agg(F.sum("n").alias("n"))
+        near = work.write(near, f"pairs-{depth}")
+        levels.insert(0, near)
     # A context has at most as many rows as there are symbols.
     own = Window.partitionBy("context").orderBy("pair")
     own = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -177,22 +230,76 @@ def grow(codes: DataFrame, work: Workspace) -> DataFrame:
     chances = None
     for depth, pairs in enumerate(levels):
         if chances is None:
-            near = pairs.withColumn("below", F.lit(1 / _SYMBOLS))
+            pairs = pairs.withColumn("below", F.lit(1 / _SYMBOLS))
         else:
-            suffix = F.col("pair").bitwiseAND(F.lit((1 << 8 * depth) - 1))
-            near = pairs.withColumn("suffix", suffix).join(
-                chances.select(F.col("pair").alias("suffix"), F.col("chance").alias("below")), "suffix"
-            )
+            pairs = _with_suffix(pairs, "pair", depth).join(chances, "suffix")
         kept = (F.col("size") > 0) & ((F.col("gain") > DIVERGENCE) | F.lit(depth == 0))
         chances = (
-            near.withColumn("context", F.shiftright("pair", 8))
+            pairs.withColumn("context", F.shiftright("pair", 8))
             .withColumn("size", F.sum("n").over(own))
             .withColumn("kinds", F.count(F.when(F.col("n") > 0, 1)).over(own))
             .withColumn("smoothed", F.when(F.col("size") > 0, smoothed))
             .withColumn("gain", F.sum(gain).over(own))
-            .select("pair", F.when(kept, F.col("smoothed")).otherwise(F.col("below")).alias("chance"))
+            .select(
+                F.col("pair").alias("suffix"),
+                F.when(kept, F.col("smoothed")).otherwise(F.col("below")).alias("below"),
+            )
         )
-    return chances.withColumnRenamed("pair", "code")
+    chances = work.write(chances, "near")
+
+    def deeper(rows: pa.Table) -> pa.Table:
+        code = rows["code"].to_numpy()
+        n, below = rows["n"].to_numpy(), rows["below"].to_numpy()
+        for depth in range(_NEAR + 1, DEPTH + 1):
+            pair, first, place = np.unique(
+                code & ((1 << 8 * (depth + 1)) - 1), return_index=True, return_inverse=True
+            )
+            count = np.bincount(place, n, len(pair))
+            before = below[first]
+            starts = _starts(pair >> 8)  # of the contexts, as pairs are sorted
+            lengths = np.diff(starts, append=len(pair))
+            size = np.repeat(np.add.reduceat(count, starts), lengths)
+            kinds = np.repeat(np.add.reduceat((count > 0).astype(float), starts), lengths)
+            smoothed = (count + kinds * before) / np.maximum(size + kinds, 1)
+            # A context that is not learned from has no gain.
+            ratio = np.log(smoothed / before, out=np.zeros(len(pair)), where=count > 0)
+            gain = np.repeat(np.add.reduceat(count * ratio, starts), lengths)
+            below = np.where(gain > DIVERGENCE, smoothed, before)[place]
+        return pa.table({"bucket": _bucket(code, buckets), "code": code, "chance": below})
+
+    context = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * (_NEAR + 1)) - 1))
+    groups = max(1, codes.count() // _GROUP)
+    return (
+        _with_suffix(codes.select("code", "n"), "code", _NEAR + 1)
+        .join(chances, "suffix")
+        .groupBy(F.pmod(F.xxhash64(context), F.lit(groups)).alias("group"))
+        .applyInArrow(deeper, "bucket long, code long, chance double")
+    )
+
+
+def _with_suffix(pairs: DataFrame, pair: str, depth: int) -> DataFrame:
+    """The pair that is one symbol shorter than that of ``depth``, as column ``suffix``."""
+    return pairs.withColumn("suffix", F.col(pair).bitwiseAND(F.lit((1 << 8 * depth) - 1)))
+
+
+def _to_blocks(counted: DataFrame, values: DataFrame) -> DataFrame:
+    """(block, size, codes, found): the value of every code of a block, packed."""
+
+    def place(rows: pa.Table, tree: pa.Table) -> pa.Table:
+        code, value = tree["code"].to_numpy(), tree["value"].to_numpy()
+        order = np.argsort(code)
+        code, value = code[order], value[order]
+        found = [_packed(value[np.searchsorted(code, own)]) for own in _codes_of(rows)]
+        return rows.select(["block", "size", "codes"]).append_column(
+            "found", pa.array(found, pa.binary())
+        )
+
+    return (
+        counted.select("block", "bucket", "size", "codes")
+        .groupBy("bucket")
+        .cogroup(values.groupBy("bucket"))
+        .applyInArrow(place, "block long, size long, codes binary, found binary")
+    )
 
 
 def _looked_up(table: np.ndarray, values: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -226,21 +333,25 @@ def score_texts(
     learn = F.coalesce(training, F.lit(False))
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), learn.alias("learn"))
     blocks = work.write(_in_blocks(rows, block), "blocks")
-    counted = work.write(block_codes(blocks), "counted")
-    codes = work.write(counted.groupBy("code").agg(F.sum("n").alias("n")), "codes")
+    buckets = blocks.select("block").distinct().count()
+    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counted = work.write(block_codes(blocks, buckets), "counted")
+    codes = work.write(code_counts(counted), "codes")
     words = codes.where("code < 0")
     ends = blocks.where("learn").count()
     seen = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).first()
     tokens = (seen["n"] or 0) + ends
     floor = tokens + seen["kinds"] + (ends > 0) + 1
-    grown = grow(codes.where("code >= 0"), work)
-    values = grown.select("code", F.log10("chance").alias("value")).union(
-        words.select("code", F.col("n").cast("double").alias("value"))
+    grown = grow(codes.where("code >= 0"), work, buckets)
+    values = grown.select("bucket", "code", F.log10("chance").alias("value")).union(
+        words.select("bucket", "code", F.col("n").cast("double").alias("value"))
     )
-    known = counted.select("block", "code").join(values, "code").select("block", "code", "value")
+    known = _to_blocks(counted, values)
 
     def score(own: pa.Table, tree: pa.Table) -> pa.Table:
-        code, value = tree["code"].to_numpy(), tree["value"].to_numpy()
+        packed = zip(tree["found"].to_pylist(), tree["size"].to_pylist(), strict=True)
+        value = np.concatenate([_unpacked(v, n, np.float64) for v, n in packed])
+        code = np.concatenate(_codes_of(tree))
         order = np.argsort(code)
         code, value = code[order], value[order]
         cut = int(np.searchsorted(code, 0))  # words, then codes
