@@ -137,7 +137,8 @@ def near_embeddings(
     other rows that are linked directly; ``component_id`` is the smallest vec_id that links reach,
     the own one included. No pair below the threshold is linked; a pair at the threshold is found
     with probability ``recall``. Rows that repeat count as rows. A row without a vec_id is compared
-    and counted, and gets the component of what it is linked with. Other columns are not read. An
+    and counted, and gets the component of what it is linked with, or null if that has no vec_id
+    either; with such rows, ids are to be below 2^62. Other columns are not read. An
     empty table gives an empty table.
     """
     spark = vectors.sparkSession
@@ -148,15 +149,20 @@ def near_embeddings(
     )
     signs, tables = table_shape(vectors.count(), cosine, recall)
     rows = work.write(_signatures(vectors, signs, tables), "signatures")
+    # Classes without a vec_id get numbers above all others, so no component is named after them
+    # that holds a vec_id.
+    top = rows.agg(F.max("vec_id")).first()[0] or 0
+    number = F.lit(top + 1) + F.monotonically_increasing_id()
     classes = (
         rows.where("key IS NOT NULL")
         .groupBy("key")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        .withColumn("rep", F.coalesce("rep", number))
     )
     classes = work.write(classes, "classes")
     full = work.write(
-        rows.join(classes.where("rep IS NOT NULL"), "key")
-        .where("vec_id = rep")
+        rows.join(classes, "key")
+        .where("coalesce(vec_id, rep) = rep")
         .dropDuplicates(["rep"])
         .select("rep", "copies", "vector", "signs"),
         "vectors",
@@ -195,6 +201,7 @@ def near_embeddings(
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("component", "rep").alias("component_id"),
         )
+        .withColumn("component_id", F.when(F.col("component_id") <= top, F.col("component_id")))
     )
     return rows.join(per_class, "key", "left").select(
         "vec_id",

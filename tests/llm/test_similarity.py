@@ -191,6 +191,15 @@ def test_search(spark, monkeypatch, segment):
     assert pivot_search.search_top(df.limit(0)).count() == 0
 
 
+def test_embeddings_without_ids_are_linked(spark):
+    rows = [(None, [1.0, 0.0]), (1, [1.0, 0.01]), (None, [0.0, 1.0]), (None, [0.0, 1.0]), (None, [0.01, 1.0])]
+    rows += [(7, [-1.0, 0.0]), (None, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in embedding_dup.near_embeddings(df).collect()]
+    wanted = [(None, 1, 1), (1, 1, 1), (None, 2, None), (None, 2, None), (None, 2, None), (7, 0, 7), (None, 0, None)]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
 class PlainTree:
     """Counts and chances by dictionaries, one symbol after the other."""
 
