@@ -102,7 +102,7 @@ _DIGIT_RUN = re.compile(r"[0-9]+")
 
 def _shape(word: str) -> str:
     """Letters become one a, runs of digits their length: (743) is (9:3)."""
-    shape = _LETTERS.sub("a", word[:200])
+    shape = _LETTERS.sub("a", word)
     return _DIGIT_RUN.sub(lambda m: f"<{min(m.end() - m.start(), 20)}>", shape)
 
 
@@ -146,6 +146,16 @@ def _features(word: str, before: str, after: str) -> list[str]:
     ]
 
 
+def _word_before(text: str, end: int) -> str:
+    """The last word before ``end`` in its line, or nothing."""
+    while end > 0 and text[end - 1] != "\n" and text[end - 1].isspace():
+        end -= 1
+    start = end
+    while start > 0 and not text[start - 1].isspace():
+        start -= 1
+    return text[start:end]
+
+
 def _lines(text: str) -> Iterator[tuple[str, list[tuple[str, int]]]]:
     """Runs of suspect words within lines: the word before, (word, start) each, the word after."""
     done, size = 0, len(text)
@@ -154,8 +164,7 @@ def _lines(text: str) -> Iterator[tuple[str, list[tuple[str, int]]]]:
         while a > 0 and text[a - 1] not in " \t\n\x0b\x0c\r":
             a -= 1
         run: list[tuple[str, int]] = []
-        previous = text[max(0, a - 60) : a].rpartition("\n")[2].split()
-        before = previous[-1] if previous else ""
+        before = _word_before(text, a)
         while True:
             blank = _BLANK.search(text, a)
             b = blank.start() if blank else size

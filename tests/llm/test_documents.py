@@ -368,6 +368,14 @@ def test_base_spans_equal_the_patterns():
     assert pii.base_spans("1" * 300_000 + "." + "a@" * 50_000) == []
 
 
+def test_features_see_whole_words_and_lines():
+    far = "tel" + " " * 100 + "+49 30"
+    assert next(iter(pii._lines(far)))[0] == "tel"
+    assert next(iter(pii._lines("x" * 100 + " 12-34")))[0] == "x" * 100
+    assert next(iter(pii._lines("tel\n 12-34")))[0] == ""
+    assert pii._shape("1-" * 200 + "22") == "<1>-" * 200 + "<2>"
+
+
 def test_field_learns_and_decodes_exactly():
     field = pii.default_field()
     wrong = 0
