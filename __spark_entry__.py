@@ -49,6 +49,7 @@ from shiftline.plans.pipeline import (  # noqa: E402
     slot_intervals,
 )
 from shiftline.sources import curated, derived  # noqa: E402
+from shiftline.sources.totals import KeptTotals, keep_readings  # noqa: E402
 from shiftline.sources.versions import commit, read_version  # noqa: E402
 from shiftline.streaming.rebooking import rebook_stream  # noqa: E402
 
@@ -195,6 +196,18 @@ def interval_enrich_by_line(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(I.enrich_intervals(pieces, readings, by=["line"], closed="left"))
 
 
+def interval_enrich_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of readings that are kept and updated three times; the last readings are late."""
+    path = _new_path(spark, "interval_enrich_kept")
+    readings = derived.readings(spark, folder, with_line=True)
+    late = "coalesce(mem_date_time LIKE '10.01.2024%', false)"
+    for arrived in (
+        f"NOT {late} AND event_id % 3 <> 1", f"NOT {late} AND event_id % 3 = 1", late
+    ):
+        keep_readings(readings.where(arrived), path)
+    return _plain(I.enrich_intervals(_pieces(spark, folder), KeptTotals(spark, path)))
+
+
 def duplicate_collapse(spark: SparkSession, folder: str) -> DataFrame:
     pieces = _pieces(spark, folder)
     return _plain(I.collapse_duplicates(pieces.unionAll(pieces)))
@@ -471,6 +484,7 @@ def _booking_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "interval_counts_lateral": interval_counts_lateral,
         "interval_enrich": interval_enrich,
         "interval_enrich_by_line": interval_enrich_by_line,
+        "interval_enrich_kept": interval_enrich_kept,
         "duplicate_collapse": duplicate_collapse,
         "lookup_fallback": lookup_fallback,
         "unresolved_report": unresolved,

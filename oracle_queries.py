@@ -389,6 +389,7 @@ ORACLE_SQL = {
         "ON c.start_dt = p.start_dt AND c.end_dt = p.end_dt",
     ),
     "interval_enrich": _query(_TO_MERGED, f"SELECT {_MERGED} FROM merged"),
+    "interval_enrich_kept": _query(_TO_MERGED, f"SELECT {_MERGED} FROM merged"),
     "interval_enrich_by_line": _query(
         _lines(_TO_MERGED), f"SELECT line, {_MERGED} FROM merged", **_LINES
     ),

@@ -15,6 +15,7 @@ Counts and decimal sums are exact, so the difference equals the direct sum.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -145,19 +146,60 @@ def interval_totals(
     """
     if closed not in ("both", "left", "right", "neither"):
         raise ValueError(f"unknown closed {closed!r}")
-    keys, names = quoted(by), quoted(totals)
+    kinds, instants = instant_totals(points, ts, totals, by)
+    instants = instants.selectExpr("*", *_units(stretches))
+    cuts = [f"_{unit}" for unit in stretches]
+    bounds = interval_bounds(intervals, start, end, closed, stretches)
+    carried = _carried(instants, bounds, by, kinds, cuts) if cuts else None
+    return between_bounds(intervals, bounds, instants, carried, by, kinds, cuts)
+
+
+def _units(stretches: Sequence[str]) -> list[str]:
+    return [f"{_stretch(unit, '_instant')} AS `_{unit}`" for unit in stretches]
+
+
+def instant_totals(
+    points: DataFrame, ts: str, totals: Mapping[str, str], by: Sequence[str] = ()
+) -> tuple[dict[str, str], DataFrame]:
+    """The type of every total, and one row per instant (``_instant``) with points."""
     measured = points.selectExpr(
-        *keys, f"`{ts}` AS _instant", *(f"{total} AS `{name}`" for name, total in totals.items())
+        *quoted(by),
+        f"`{ts}` AS _instant",
+        *(f"{total} AS `{name}`" for name, total in totals.items()),
     ).where("_instant IS NOT NULL")
     kinds = {name: _total_type(name, measured.schema[name].dataType) for name in totals}
-    units = [f"{_stretch(unit, '_instant')} AS `_{unit}`" for unit in stretches]
-    cuts = [f"_{unit}" for unit in stretches]
-    # One row per instant with points; totals from the start of the finest stretch to it.
-    instants = _grouped(
-        measured,
-        [*by, "_instant"],
-        [f"CAST(coalesce(sum(`{name}`), 0) AS {kind}) AS `{name}`" for name, kind in kinds.items()],
-    ).selectExpr("*", *units)
+    sums = [f"CAST(coalesce(sum(`{name}`), 0) AS {kind}) AS `{name}`" for name, kind in kinds.items()]
+    return kinds, _grouped(measured, [*by, "_instant"], sums)
+
+
+def interval_bounds(
+    intervals: DataFrame, start: str, end: str, closed: str, stretches: Sequence[str]
+) -> DataFrame:
+    """Both ends of every interval, with the stretches that hold them.
+
+    An end that belongs to the interval comes after the points of its instant, a start before.
+    """
+    phase = {True: 2 if closed in ("both", "right") else 0, False: 0 if closed in ("both", "left") else 2}
+    return intervals.selectExpr(
+        "*", f"stack(2, `{start}`, false, `{end}`, true) AS (_instant, _is_end)"
+    ).selectExpr("*", *_units(stretches), f"IF(_is_end, {phase[True]}, {phase[False]}) AS _phase")
+
+
+def between_bounds(
+    intervals: DataFrame,
+    bounds: DataFrame,
+    instants: DataFrame,
+    carried: DataFrame | None,
+    by: Sequence[str],
+    kinds: Mapping[str, str],
+    cuts: Sequence[str],
+) -> DataFrame:
+    """Add to every interval what lies between its two ``bounds``.
+
+    ``instants`` have totals per instant, and ``carried`` what came before each of the finest
+    stretches (the first of ``cuts``) that hold a bound.
+    """
+    # Totals from the start of the finest stretch to each instant.
     finest = f"PARTITION BY {listed([*by, *cuts[:1]])} " if by or cuts else ""
     upto = f"OVER ({finest}ORDER BY _instant ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     so_far = ", ".join(
@@ -166,20 +208,14 @@ def interval_totals(
     known = instants.selectExpr(
         *quoted([*by, *cuts]), "_instant", "1 AS _phase", f"named_struct({so_far}) AS _so_far"
     )
-    # An end that belongs to the interval comes after the points of its instant, a start before.
-    phase = {True: 2 if closed in ("both", "right") else 0, False: 0 if closed in ("both", "left") else 2}
-    bounds = intervals.selectExpr(
-        "*", f"stack(2, `{start}`, false, `{end}`, true) AS (_instant, _is_end)"
-    ).selectExpr("*", *units, f"IF(_is_end, {phase[True]}, {phase[False]}) AS _phase")
     last = f"OVER ({finest}ORDER BY _instant, _phase ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     at_bounds = (
         bounds.unionByName(known, allowMissingColumns=True)
         .selectExpr(*quoted(bounds.columns), f"last(_so_far, true) {last} AS _so_far")
         .where("_is_end IS NOT NULL")
     )
-    before = [f"_so_far.`{name}`" for name in totals]
-    if cuts:
-        carried = _carried(instants, bounds, by, kinds, cuts)
+    before = [f"_so_far.`{name}`" for name in kinds]
+    if carried is not None:
         at_bounds = at_bounds.join(carried, [*by, cuts[0]], "left")
         before = [
             _sum_of(text, f"`carried_{name}`", kind)
@@ -190,8 +226,8 @@ def interval_totals(
         intervals.columns,
         [
             f"CAST(coalesce(sum(CASE WHEN _is_end THEN {text} ELSE -({text}) END), 0) AS {kind})"
-            f" AS {name}"
-            for text, kind, name in zip(before, kinds.values(), names, strict=True)
+            f" AS `{name}`"
+            for text, (name, kind) in zip(before, kinds.items(), strict=True)
         ],
     )
 
@@ -216,9 +252,18 @@ def _carried(
     )
 
 
+class TotalsOfIntervals(Protocol):
+    """Points whose totals are kept somewhere; stands in for the points themselves."""
+
+    def interval_totals(
+        self, intervals: DataFrame, start: str, end: str, by: Sequence[str], closed: str
+    ) -> DataFrame:
+        """As the function of this name, with the totals that are kept."""
+
+
 def attach_interval_totals(
     intervals: DataFrame,
-    points: DataFrame,
+    points: DataFrame | TotalsOfIntervals,
     start: str,
     end: str,
     ts: str,
@@ -236,13 +281,18 @@ def attach_interval_totals(
     whose number decides how that join is done. A small table goes to all executors and the
     intervals are not shuffled; a large one is joined by key, with the most frequent intervals taken
     out of the shuffle.
+
+    ``points`` whose totals are kept (``sources.totals.KeptTotals``) are not read again; ``ts`` and
+    ``stretches`` are then those they were kept by.
     """
     keys = [*by, start, end]
     intervals = written(intervals)
     distinct = distinct_intervals(intervals, start, end, by, closed)
-    per_interval = written(
-        interval_totals(distinct, points, start, end, ts, totals, by, closed, stretches)
-    )
+    if isinstance(points, DataFrame):
+        found = interval_totals(distinct, points, start, end, ts, totals, by, closed, stretches)
+    else:
+        found = points.interval_totals(distinct, start, end, by, closed)
+    per_interval = written(found.selectExpr(*quoted([*distinct.columns, *totals])))
     if per_interval.count() <= broadcast_rows:
         joined = intervals.join(F.broadcast(per_interval.drop("_weight")), keys, "left")
     else:
@@ -325,7 +375,7 @@ def channel_totals(channels: Sequence[str] = CHANNELS) -> dict[str, str]:
 
 def enrich_intervals(
     slots: DataFrame,
-    readings: DataFrame,
+    readings: DataFrame | TotalsOfIntervals,
     start: str = "start_dt",
     end: str = "end_dt",
     by: Sequence[str] = (),

@@ -15,6 +15,7 @@ from shiftline.operators.fill import forward_fill
 from shiftline.operators.intervals import (
     CHANNELS,
     STRETCHES,
+    TotalsOfIntervals,
     enrich_intervals,
     normalise_readings,
 )
@@ -37,10 +38,10 @@ from shiftline.operators.split import split_at_boundary
 
 @dataclass(frozen=True)
 class Sources:
-    """The three input tables, as DataFrames."""
+    """The three input tables, as DataFrames. Kept totals may stand in for the readings."""
 
     production: DataFrame
-    readings: DataFrame
+    readings: DataFrame | TotalsOfIntervals
     component_map: DataFrame
 
 
@@ -99,9 +100,11 @@ def enriched_slots(
     split = split_at_boundary(recent, calendar=calendar)
     # What is booked in the window starts at or after its first midnight. Totals are differences, so
     # readings from before it change nothing.
-    readings = normalise_readings(sources.readings, by, collation).where(
-        f"mem_dt >= CAST({window_start(as_of, window_days)} AS TIMESTAMP_NTZ)"
-    )
+    readings = sources.readings
+    if isinstance(readings, DataFrame):
+        readings = normalise_readings(readings, by, collation).where(
+            f"mem_dt >= CAST({window_start(as_of, window_days)} AS TIMESTAMP_NTZ)"
+        )
     enriched = enrich_intervals(
         split, readings, by=by, collation=collation, stretches=stretches
     )

@@ -117,18 +117,21 @@ def commit(
     replaced: Iterable[str],
     tables: Mapping[str, DataFrame] | None = None,
     base: Version | None = None,
+    prefix: str = "''",
 ) -> tuple[Version, int]:
     """Make ``rows`` the live rows of their dates; dates in ``replaced`` without rows lose theirs.
 
     ``date`` is SQL text for a date. ``tables`` are kept with the version; those of the version before
     that are not given stay. ``base`` is the version the rows were computed from; when another job has
-    committed since, this fails and changes nothing. Returns the version and the rows written.
+    committed since, this fails and changes nothing. ``prefix`` is SQL text that goes before the date,
+    so that a date can have several folders. Returns the version and the rows written.
     """
     spark = rows.sparkSession
     base = base or current(spark, path)
     number = base.number + 1
     stage = f"data/{number:010d}-{uuid.uuid4().hex}"
     filed = F.coalesce(F.date_format(F.expr(date), "yyyy-MM-dd"), F.lit(UNDATED))
+    filed = F.concat(F.expr(prefix), filed)
     seen = Observation("filed")
     (
         rows.withColumn(FILED_UNDER, filed)
