@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftline.llm.columns import all_but, free
 from shiftline.llm.workspace import Workspace, ship
 
 FEATURES = 4096
@@ -276,9 +277,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     ``score`` is the cosine to the nearest centroid, 0 to 1. A text that is null, empty or without a
     letter is ``und`` with score 0 and rejected. A text in a language that was not learned still
     gets the nearest one, and is rejected if it has ``ENOUGH`` different trigrams to judge it by.
-    Equal texts get equal results; of centroids equally near, the first by language wins. Input
-    columns that bear a result's name are replaced.
+    Equal texts get equal results; of centroids equally near, the first by language wins. An empty
+    table gives an empty table. Input columns that bear a result's name are replaced.
     """
-    new = ["lang_pred", "score", "rejected"]
-    kept = [F.col(c) for c in docs.columns if c not in new]
-    return docs.withColumn("_found", predicted(model, text)).select(*kept, "_found.*")
+    found = free(docs.columns, "_found")
+    kept = all_but(docs.columns, ["lang_pred", "score", "rejected"])
+    return docs.withColumn(found, predicted(model, text)).select(*kept, f"{found}.*")

@@ -15,6 +15,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftline.llm.columns import all_but, free
 from shiftline.llm.license_rules import GATES, Rule, rules
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -69,20 +70,63 @@ def _rule_table(table: list[Rule]) -> Column:
     )
 
 
-def _beats(e: Column, d: Column) -> Column:
-    """``e`` contains ``d`` and takes its place."""
-    longer = (e["end"] - e["start"]) > (d["end"] - d["start"])
-    same = (e["end"] - e["start"]) == (d["end"] - d["start"])
-    return (
-        (e["start"] <= d["start"])
-        & (e["end"] >= d["end"])
-        & (
-            (e["priority"] > d["priority"])
-            | (
-                (e["priority"] == d["priority"])
-                & (longer | (same & (e["number"] < d["number"])))
-            )
-        )
+def _farthest_before(ends: Column) -> Column:
+    """For every item the largest one before it, -1 for the first.
+
+    Each round doubles the distance that a maximum has come, so n items take log2(n) rounds.
+    """
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(ends) + 1)).cast("int"))
+
+    def moved(items: Column, by: Column) -> Column:
+        by = F.least(by, F.size(items))
+        return F.concat(F.array_repeat(F.lit(-1).cast("long"), by), F.slice(items, 1, F.size(items) - by))
+
+    return F.aggregate(
+        rounds,
+        moved(ends, F.lit(1)),
+        lambda items, k: F.zip_with(
+            items, moved(items, F.call_function("shiftleft", F.lit(1), k)), lambda a, b: F.greatest(a, b)
+        ),
+    )
+
+
+def _not_contained(found: Column, priorities: list[int]) -> Column:
+    """The detections that no stronger one contains, by place.
+
+    In the order by start, then falling end, falling priority and rule, whatever can take a
+    detection's place comes before it. So one goes if one of its priority or a higher one before it
+    reaches as far.
+    """
+
+    def key(d: Column) -> Column:
+        return F.struct(
+            d["start"].alias("start"), (-d["end"]).alias("end"), (-d["priority"]).alias("priority"),
+            d["number"].alias("number"), d["label"].alias("label"),
+        )
+
+    ordered = F.transform(
+        F.array_sort(F.transform(found, key)),
+        lambda d: F.struct(
+            d["start"].alias("start"), (-d["end"]).alias("end"), d["label"].alias("label"),
+            (-d["priority"]).alias("priority"), d["number"].alias("number"),
+        ),
+    )
+
+    def kept_of(every: Column, priority: int) -> Column:
+        ends = F.transform(every, lambda d: F.when(d["priority"] >= priority, d["end"]).otherwise(-1))
+        left = F.zip_with(every, _farthest_before(ends), lambda d, far: F.when(
+            (d["priority"] == priority) & (far < d["end"]), d))
+        return F.when(
+            F.exists(every, lambda d: d["priority"] == priority),
+            F.filter(left, lambda d: d.isNotNull()),
+        ).otherwise(F.slice(every, 1, 0))
+
+    def kept(every: Column) -> Column:
+        return F.array_sort(F.flatten(F.array(*(kept_of(every, p) for p in priorities))))
+
+    # Most texts have one detection or none. The order is worked out once, as a list's only item.
+    return F.when(F.size(found) < 2, found).otherwise(
+        F.flatten(F.transform(F.array(ordered), kept))
     )
 
 
@@ -97,8 +141,9 @@ def scan_licenses(docs: DataFrame, table: list[Rule] | None = None, text: str =
     empty table. Input columns that bear a result's name are replaced.
     """
     table = rules() if table is None else table
-    kept = [c for c in docs.columns if c not in (
-        "n_words", "license_base", "license_spans", "license_labels", "license_score")]
+    results = ("n_words", "license_base", "license_spans", "license_labels", "license_score")
+    kept = all_but(docs.columns, results)
+    in_normal, in_base, in_all = (free(docs.columns, c) for c in ("_normal", "_base", "_all"))
     raw = F.coalesce(F.col(text), F.lit(""))
     lowered = F.lower(raw)
     gated = reduce(or_, (F.contains(lowered, F.lit(g)) for g in GATES))
@@ -106,7 +151,7 @@ def scan_licenses(docs: DataFrame, table: list[Rule] | None = None, text: str =
     # Within the array, so that only gated rows compute it and they do so once.
     normal = F.when(gated, F.array(_normal(raw))).otherwise(F.array().cast("array<string>"))
     words = F.size(F.regexp_extract_all(raw, F.lit(_WORD_ANY_CASE), F.lit(0)))
-    step = docs.select(*kept, words.cast("long").alias("n_words"), normal.alias("_normal"))
+    step = docs.select(*kept, words.cast("long").alias("n_words"), normal.alias(in_normal))
 
     def phrase_places(n: Column, label: str, phrase: str) -> Column:
         def named(p: Column) -> Column:
@@ -144,20 +189,16 @@ def scan_licenses(docs: DataFrame, table: list[Rule] | None = None, text: str =
             )
         )
 
-    step = step.withColumn("_base", F.transform("_normal", base_places)).withColumn(
-        "_all", F.transform("_normal", detections)
+    step = step.withColumn(in_base, F.transform(in_normal, base_places)).withColumn(
+        in_all, F.transform(in_normal, detections)
     )
+    priorities = sorted({r.priority for r in table})
     step = step.select(
         *kept,
         "n_words",
-        F.array_sort(F.flatten("_base")).alias("license_base"),
+        F.array_sort(F.flatten(in_base)).alias("license_base"),
         F.flatten(
-            F.transform(
-                "_all",
-                lambda every: F.array_sort(
-                    F.filter(every, lambda d: ~F.exists(every, lambda e: _beats(e, d)))
-                ),
-            )
+            F.transform(in_all, lambda every: _not_contained(every, priorities))
         ).alias("license_spans"),
     )
     labels = F.concat(

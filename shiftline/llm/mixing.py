@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shiftline.llm.columns import all_but, free
 from shiftline.llm.workspace import Workspace
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -233,23 +234,24 @@ def mix_sizes(sizes: DataFrame, work: Workspace, seed: int = 0, **targets) -> Da
 _RESULT = ("size", "source_size", "target", "copies", "taken")
 
 
-def with_mix(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
-    """``docs`` with the results of ``mix_to_weights`` as the fields of a column ``_mixed``."""
+def with_mix(docs: DataFrame, result: str, seed: int = 0, **targets) -> DataFrame:
+    """``docs`` with the results of ``mix_to_weights`` as the fields of a new column ``result``."""
+    doc_id, source, text_key = (free(docs.columns, n) for n in ("_doc_id", "_source", "_text_key"))
     work = Workspace(docs.sparkSession, "mixing")
     mixed = mix_sizes(work.write(document_sizes(docs), "sizes"), work, seed, **targets)
     # Rows that agree in the key have equal results.
     mixed = mixed.dropDuplicates(list(_UNIT)).select(
-        F.col("doc_id").alias("_doc_id"),
-        F.col("source").alias("_source"),
-        F.col("text_key").alias("_text_key"),
-        F.struct(*_RESULT).alias("_mixed"),
+        F.col("doc_id").alias(doc_id),
+        F.col("source").alias(source),
+        F.col("text_key").alias(text_key),
+        F.struct(*_RESULT).alias(result),
     )
     return docs.join(
         mixed,
-        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & F.xxhash64("text").eqNullSafe(F.col("_text_key")),
-    ).select(*(docs[c] for c in docs.columns), "_mixed")
+        F.col("doc_id").eqNullSafe(F.col(doc_id))
+        & F.col("source").eqNullSafe(F.col(source))
+        & F.xxhash64("text").eqNullSafe(F.col(text_key)),
+    ).select(*all_but(docs.columns), result)
 
 
 def mix_to_weights(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
@@ -262,5 +264,6 @@ def mix_to_weights(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
     taken equally often. An empty table gives an empty table. Input columns that bear a result's
     name are replaced.
     """
-    kept = [c for c in docs.columns if c not in _RESULT]
-    return with_mix(docs.select(*kept), seed, **targets).select(*kept, "_mixed.*")
+    kept = all_but(docs.columns, _RESULT)
+    result = free(docs.columns, "_mixed")
+    return with_mix(docs.select(*kept), result, seed, **targets).select(*kept, f"{result}.*")

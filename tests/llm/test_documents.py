@@ -1,5 +1,6 @@
 """Language, page text, mixing, licences, personal data and packing against plain versions."""
 
+import time
 import random
 import re
 import zlib
@@ -344,6 +345,40 @@ def test_priority_and_containment(spark):
     assert [d["label"] for d in row["license_spans"]] == ["long", "strong"]
 
 
+def test_containment_equals_comparing_all_pairs(spark):
+    """Rules over few words, many of them within each other; columns that clash with helpers."""
+    rule = license_rules.Rule
+    rng = random.Random(5)
+    phrases = sorted({" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 5))) for _ in range(25)})
+    table = [rule(str(i), f"l{i}", p.split()[0], p, rng.choice([10, 20, 30])) for i, p in enumerate(phrases)]
+    texts = ["licen " + " ".join(rng.choice("abc") for _ in range(n)) for n in (0, 1, 2, 3, 9, 40, 200)]
+    docs = spark.createDataFrame([(t, i, "x", 0.5) for i, t in enumerate(texts)], "text string, _normal int, _base string, _ALL double")
+    found = {r._normal: r for r in scan_licenses(docs, table).collect()}
+    for i, text in enumerate(texts):
+        every = []
+        for number, r in enumerate(table):
+            for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", f" {text} "):
+                start = f" {text} "[: m.start()].count(" ") - 1
+                every.append((start, start + len(m.group().split()), r.label, r.priority, number))
+
+        def beats(e, d):
+            contains = e[0] <= d[0] and e[1] >= d[1]
+            return contains and (e[3], e[1] - e[0], -e[4]) > (d[3], d[1] - d[0], -d[4])
+
+        left = sorted(d for d in every if not any(beats(e, d) for e in every))
+        assert [tuple(d) for d in found[i].license_spans] == left
+        assert (found[i]._base, found[i]["_ALL"]) == ("x", 0.5)
+
+
+def test_many_detections_in_one_text(spark):
+    rule = license_rules.Rule
+    table = [rule("a", "outer", "x", "x y z", 10), rule("b", "inner", "y", "y", 5), rule("c", "other", "z", "z", 20)]
+    docs = spark.createDataFrame([("licen " + "x y z " * 40_000,)], "text string")
+    began = time.time()
+    spans = scan_licenses(docs, table).selectExpr("size(license_spans) AS n").first()
+    assert spans.n == 80_000 and time.time() - began < 60
+
+
 def plain_spans(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):

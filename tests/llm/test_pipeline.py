@@ -43,6 +43,31 @@ def test_stages(spark, tmp_path):
     release(spark)
 
 
+def test_stages_keep_other_columns(spark):
+    """Nulls, repeated rows, an empty table, and columns named like those that stages add."""
+    words = "the of and to in that was on for with as by".split()
+    texts = [" ".join(words[(i * k + k) % len(words)] + str(i) * (k % 2) for k in range(30)) for i in range(8)]
+    rows = [(i, t, "en", f"s{i % 2}", len(t)) for i, t in enumerate(texts)]
+    rows += [(7, texts[7], "en", "s1", len(texts[7])), (None, texts[2], "en", None, None), (20, None, None, None, None), (21, "", "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    names = ("_found", "_Spans", "_mixed", "_doc_id", "_source", "_text_key", "_copy", "copies", "size", "kept", "odd.name")
+    wide = docs.select("*", *(F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, docs, "").collect()
+        found = stage(spark, wide, "")
+        assert found.columns == wide.columns
+        found = found.collect()
+        assert sorted(map(str, (r[:5] for r in found))) == sorted(map(str, (r[:] for r in plain))), name
+        for row in found:
+            assert all(row[n] == (None if row.doc_id is None else f"{n} {row.doc_id}") for n in names), name
+        empty = stage(spark, wide.limit(0), "")
+        assert (empty.columns, empty.count()) == (wide.columns, 0)
+    packed = corpus_pipeline.STAGES[-1][1]
+    assert packed(spark, wide, "").count() == len(rows)
+    assert packed(spark, wide.limit(0), "").count() == 0
+    release(spark)
+
+
 def test_the_rest_does_not_need_the_package():
     code = (
         "import sys; sys.modules['shiftline.llm'] = None; import __spark_entry__ as e;"
