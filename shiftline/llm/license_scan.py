@@ -112,7 +112,7 @@ def _not_contained(found: Column, priorities: list[int]) -> Column:
         ),
     )
 
-    def kept_of(every: Column, priority: int) -> Column:
+    def kept_of(every: Column, priority: Column) -> Column:
         ends = F.transform(every, lambda d: F.when(d["priority"] >= priority, d["end"]).otherwise(-1))
         left = F.zip_with(every, _farthest_before(ends), lambda d, far: F.when(
             (d["priority"] == priority) & (far < d["end"]), d))
@@ -122,7 +122,8 @@ def _not_contained(found: Column, priorities: list[int]) -> Column:
         ).otherwise(F.slice(every, 1, 0))
 
     def kept(every: Column) -> Column:
-        return F.array_sort(F.flatten(F.array(*(kept_of(every, p) for p in priorities))))
+        levels = F.array(*map(F.lit, priorities))
+        return F.array_sort(F.flatten(F.transform(levels, lambda p: kept_of(every, p))))
 
     # Most texts have one detection or none. The order is worked out once, as a list's only item.
     return F.when(F.size(found) < 2, found).otherwise(
