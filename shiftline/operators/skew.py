@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftline.functions import listed, quoted
+from shiftline.operators.ordered import written
 
 # A key with this many rows is heavy, and of those the most frequent ones are broadcast: so many rows
 # fit every executor. Other keys hold a share of the rows that a task can take.
@@ -86,11 +87,13 @@ def left_lookup(
     A lookup of checked size is broadcast. In a larger one the names that hold a share of
     ``1 / salts`` of the left rows, of which there are at most ``salts``, are copied ``salts`` times, so
     that their rows spread over as many tasks; other names stay single. NULL names match nothing and
-    are spread as well.
+    are spread as well. For a larger lookup the left rows are written once, and so are their counts by
+    name: the plan behind them runs once.
     """
     if fits_broadcast(lookup, broadcast_bytes):
         return left.join(F.broadcast(lookup), key, "left")
-    counts = left.groupBy(key).count().where(f"`{key}` IS NOT NULL")
+    left = written(left)
+    counts = written(left.where(f"`{key}` IS NOT NULL").groupBy(key).count())
     rows = counts.agg(F.sum("count")).first()[0] or 0
     # At most `salts` values.
     hot = [r[key] for r in counts.where(F.col("count") * salts >= max(rows, 1)).collect()]
