@@ -176,9 +176,11 @@ def _node_links(
     close = _similarities(sketches, sizes)
     whole = sizes <= [len(x) for x in sketches]
     exact = whole[:, None] & whole[None, :]
-    sure = np.where(exact, 100 * close >= PERCENT - 1e-4, close >= SURE)
-    pairs, tree = _forest(np.where(sure, close, 0), labels)
-    maybe = ~exact & ~sure & (close >= LIKELY) & (tree[:, None] != tree[None, :])
+    sure = np.where(exact, close >= (PERCENT - 1e-4) / 100, close >= SURE)
+    maybe = ~exact & ~sure & (close >= LIKELY)
+    close[~sure] = 0  # in place: the matrix is the largest thing here
+    pairs, tree = _forest(close, labels)
+    maybe &= tree[:, None] != tree[None, :]
     return pairs + list(zip(*np.nonzero(np.triu(maybe)), strict=True))
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 _PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-GROUP = 1 << 20  # bytes handled at once
+GROUP = 1 << 18  # bytes handled at once; arrays of eight times this size stand beside them
 
 _separator = np.zeros(256, bool)
 _separator[[0x20, *range(0x09, 0x0E)]] = True
