@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from shiftline.functions.text_time import parse_date, parse_datetime_text
 from shiftline.operators.ordered import run_folder, written
+from shiftline.operators.skew import fits_broadcast
 from shiftline.plans.pipeline import Sources
 from shiftline.sources.versions import UNDATED, commit, current, read_version
 
@@ -57,24 +58,40 @@ def file_rows(
     spark = df.sparkSession
     base = current(spark, path)
     with run_folder(spark):
-        row = F.struct(*df.columns)
-        order = F.struct(F.expr(newest), row) if newest else row
-        keyed = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, order).alias("_row"))
-        late = keyed.select("_row.*").unionAll(df.where(F.col(key).isNull()))
-        late = written(late.select(*df.columns))
+        late = _newest(written(df), key, newest)
         ids = late.where(F.col(key).isNotNull()).select(key)
         # Of what is there, the keys and the dates alone are read here.
         known = read_version(spark, path, df.schema, version=base)
-        moved = known.join(ids, key, "left_semi").selectExpr(f"{_filed(date)} AS d")
-        dates = {r.d for r in moved.unionAll(late.selectExpr(f"{_filed(date)} AS d")).distinct().collect()}
+        moved = written(known.join(ids, key, "left_semi").selectExpr(f"`{key}`", f"{_filed(date)} AS d"))
+        filed = moved.select("d").unionAll(late.selectExpr(f"{_filed(date)} AS d"))
+        dates = {r.d for r in filed.distinct().collect()}
         if not dates:
             return {"version": base.number, "dates": [], "rows": 0}
         there = read_version(spark, path, df.schema, dates=dates, version=base)
-        rows = there.join(ids, key, "left_anti").select(*df.columns).unionAll(late)
+        # Whole rows are not sorted by their keys: they may be wide. A shuffle is left for many keys.
+        gone = moved.select(key)
+        gone = F.broadcast(gone) if fits_broadcast(gone) else gone.hint("shuffle_hash")
+        rows = there.join(gone, key, "left_anti").select(*df.columns).unionAll(late)
         version, n = commit(rows, path, date, dates, base=base)
     return {"version": version.number, "dates": sorted(dates), "rows": n}
 
 
+def _newest(rows: DataFrame, key: str, newest: str | None) -> DataFrame:
+    """Of the written ``rows`` with one ``key`` the one that counts, and all those without a key.
+
+    Keys alone are counted first. Rows that are the only ones of their key stay where they are.
+    """
+    named = rows.where(F.col(key).isNotNull())
+    repeated = written(named.groupBy(key).count().where("count > 1").select(key))
+    if repeated.isEmpty():
+        return rows
+    row = F.struct(*rows.columns)
+    order = F.struct(F.expr(newest), row) if newest else row
+    chosen = rows.join(repeated, key, "left_semi").groupBy(key).agg(F.max_by(row, order).alias("_row"))
+    once = rows.join(repeated, key, "left_anti").select(*rows.columns)
+    return written(once.unionAll(chosen.select("_row.*")))
+
+
 def _filed(date: str) -> str:
     return f"coalesce(date_format({date}, 'yyyy-MM-dd'), '{UNDATED}')"
 
