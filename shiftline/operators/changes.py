@@ -33,7 +33,9 @@ def row_changes(before: DataFrame, after: DataFrame, key: Sequence[str]) -> Data
     place = Window.partitionBy(*key, "_came").orderBy(*(others or key))
     row = F.struct(*columns, "_copies")
     paired = (
-        differing.withColumn("_place", F.row_number().over(place))
+        # Dealt by key once, for the numbering and for the pairs.
+        differing.repartition(*(F.col(f"`{c}`") for c in key))
+        .withColumn("_place", F.row_number().over(place))
         .groupBy(*key, "_place")
         .agg(
             F.max(F.when(~F.col("_came"), row)).alias("_went"),
