@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftline.llm.ranks import ranked
+from shiftline.llm.ranks import ranked, small_table
 from shiftline.llm.workspace import Workspace, ship
 
 CAPACITY = 4096
@@ -263,7 +263,8 @@ def pack(pieces: DataFrame, work: Workspace, capacity: int = CAPACITY) -> DataFr
     items = pieces.select("length", F.struct(*kept).alias("item"))
     items = ranked(items.withColumn("tie", F.xxhash64("item")), ["length", "tie"], work, "ordered")
     runs = {r["length"]: r["count"] for r in items.groupBy("length").count().collect()}
-    rows = pieces.sparkSession.createDataFrame(
+    rows = small_table(
+        pieces.sparkSession,
         plan(runs, capacity),
         "length int, first long, end long, sequence long, each long, start long",
     )

@@ -385,6 +385,14 @@ def find_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int,
     return [sorted(r) for r in result]
 
 
+def _spans_of(texts: Iterable[str | None], field: Field) -> Iterator[list[dict]]:
+    """The spans of each text; a null text has none."""
+    texts = [t or "" for t in texts]
+    for at in range(0, len(texts), 512):
+        for found in find_spans(texts[at : at + 512], field):
+            yield [{"kind": KINDS[k], "start": a, "end": b, "base": is_base} for a, k, b, is_base in found]
+
+
 def personal_spans(text: str = "text", field: Field | None = None) -> Column:
     """Array of (kind, start, end, base) by start, then kind; code points, ends exclusive.
 
@@ -399,28 +407,32 @@ def personal_spans(text: str = "text", field: Field | None = None) -> Column:
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Field(*weights)
         for batch in batches:
-            texts = [t or "" for t in batch]
-            found = [
-                s
-                for at in range(0, len(texts), 512)
-                for s in find_spans(texts[at : at + 512], own)
-            ]
-            yield pd.Series(
-                [
-                    [{"kind": KINDS[k], "start": a, "end": b, "base": is_base} for a, k, b, is_base in s]
-                    for s in found
-                ],
-                dtype=object,
-            )
+            yield pd.Series(list(_spans_of(batch, own)), dtype=object)
 
     return spans(F.col(text))
 
 
-def mask_spans(text: str, spans: Column) -> Column:
+def mask_spans(text: str, spans: Column | None = None, field: Field | None = None) -> Column:
     """The text with each stretch of (overlapping) spans replaced by [KIND] of the first one.
 
-    Time is in proportion to the text, however many spans it has. A null text stays null.
+    Time is in proportion to the text, however many spans it has. A null text stays null. Without
+    ``spans`` they are those of ``personal_spans``, found in the same Python worker: spans that come
+    from a worker of their own take a second worker per task.
     """
+    if spans is None:
+        field = field or default_field()
+        weights = (field.features, field.emission, field.transition)
+
+        ship()
+
+        @F.pandas_udf("string")
+        def mask_found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            own = Field(*weights)
+            for batch in batches:
+                found = zip(batch, _spans_of(batch, own), strict=True)
+                yield pd.Series([_masked(t, s) for t, s in found], dtype=object)
+
+        return mask_found(F.col(text))
 
     @F.pandas_udf("string")
     def mask(texts: pd.Series, found: pd.Series) -> pd.Series:

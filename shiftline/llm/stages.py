@@ -15,7 +15,7 @@ from shiftline.llm.columns import all_but, free
 from shiftline.llm.mixing import with_mix
 from shiftline.llm.near_dup import near_duplicates
 from shiftline.llm.packing import pack_documents
-from shiftline.llm.pii import mask_spans, personal_spans
+from shiftline.llm.pii import mask_spans
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +45,14 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Every row stays. Null and empty texts stay as they are; equal texts are masked alike.
     """
-    spans = free(docs.columns, "_spans")
-    found = docs.withColumn(spans, personal_spans())
-    text = F.when(F.size(spans) > 0, mask_spans("text", F.col(spans))).otherwise(F.col("text"))
-    changed = found.withColumn("text", text)
+    result = free(docs.columns, "_masked")
+    changed = docs.withColumn(result, mask_spans("text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        length = F.when(F.size(spans) > 0, F.char_length("text").cast(kind))
+        # What is masked holds a digit or an @, which its mask does not, so a masked text differs.
+        length = F.when(~F.col("text").eqNullSafe(F.col(result)), F.char_length(result).cast(kind))
         changed = changed.withColumn("n_chars", length.otherwise(F.col("n_chars")))
-    return changed.select(*all_but(docs.columns))
+    return changed.withColumn("text", F.col(result)).select(*all_but(docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

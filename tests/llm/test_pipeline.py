@@ -1,5 +1,6 @@
 """The pipeline's stages on a small table, and that nothing else needs the package."""
 
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -7,6 +8,7 @@ from pathlib import Path
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from shiftline.llm import pii, stages
 from shiftline.llm.workspace import release
 from test_documents import DOCS
 
@@ -74,3 +76,24 @@ def test_the_rest_does_not_need_the_package():
         "assert not any(n.startswith('op') or n == 'pipeline' for n in e.queries()); e.oracle_sql()"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_one_kind_of_python_worker_per_task(spark):
+    """A second Python step in a task, and rows from a list on the driver, take workers of their own,
+    which stay on the executors.
+    """
+    explained = lambda df: df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    texts = ["Ann: ann@example.com, call +1 (743) 555-3824.", "card 4111 1111 1111 1111, 10.0.0.1", "in 2024", "", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
+    masked = stages.masked(spark, docs, "")
+    assert len(re.findall(r"^\(\d+\) ArrowEvalPython", explained(masked), re.MULTILINE)) == 1
+    found = docs.withColumn("spans", pii.personal_spans())
+    apart = found.select("doc_id", pii.mask_spans("text", F.col("spans")), F.size("spans")).collect()
+    apart = {i: (t, len(t or "") if n else len(texts[i] or "")) for i, t, n in apart}
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()} == apart
+    spark.range(6).selectExpr("id AS doc_id", "repeat('word ', CAST(id AS INT)) AS text").createOrReplaceTempView("d")
+    places = stages.packed(spark, spark.table("d"), "")
+    assert "ExistingRDD" not in explained(places)
+    assert places.agg(F.sum("length")).first()[0] == 15 * 1 + 6 and places.count() == 6
+    assert stages.packed(spark, spark.table("d").limit(0), "").count() == 0
+    release(spark)
