@@ -401,6 +401,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = roots.where(F.col("tree") < FIRST_TREES).select("node", "rep", F.col("rep").alias("label"))
     blocks = work.write(_blocks(_open_nodes(first)), "first-blocks")
     pairs = work.write(_compared(blocks, sets, blocks.count()), "first-pairs")
+    work.drop("first-blocks")
     links = work.write(_confirmed(pairs, sets), "first-links")
     known = work.write(connected_components(links, work, "first"), "first-components")
 
@@ -410,13 +411,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("node", "rep", F.coalesce("component", "rep").alias("label"))
     )
     members = work.write(_small_nodes(second, classes, work), "members")
+    for table in ("classes", "roots", *(f"level-{depth}" for depth in range(DEPTH + 1))):
+        work.drop(table)
     more = _compared(members, sets, members.count())
     more = work.write(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    work.drop("members")
     more_links = work.write(_confirmed(more, sets), "more-links")
+    for table in ("sets", "first-pairs", "more-pairs"):
+        work.drop(table)
     every = links.unionAll(more_links)
     found = work.write(connected_components(every, work, "all"), "components")
-    for table in ("classes", "roots", "sets", "first-blocks", "members"):
-        work.drop(table)
 
     return (
         features.join(keys, "set_key", "left")

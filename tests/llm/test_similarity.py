@@ -289,3 +289,23 @@ def test_symbols_of_every_state_sum_to_one(spark):
     # One of the 257 equally likely symbols of an unknown state is not a byte.
     assert [r[1] for r in sums.collect()] == [pytest.approx(1, abs=1 / 257)] * 4
 
+
+
+def test_near_duplicates_leave_tables_as_soon_as_they_are_read(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 97}" for k in range(30)) for i in range(20)]
+    docs = spark.createDataFrame([(i, texts[i // 2]) for i in range(40)], "doc_id long, text string")
+    steps = []
+    write, drop = Workspace.write, Workspace.drop
+    monkeypatch.setattr(Workspace, "write", lambda self, df, table: steps.append(table) or write(self, df, table))
+    monkeypatch.setattr(Workspace, "drop", lambda self, table: steps.append(f"-{table}") or drop(self, table))
+    found = near_dup.near_duplicates(docs).collect()
+    assert len(found) == 40 and all(r.component_id <= r.doc_id for r in found)
+    for table, later in (
+        ("first-blocks", "first-links"),
+        ("roots", "more-pairs"),
+        ("classes", "more-pairs"),
+        ("level-0", "more-pairs"),
+        ("members", "more-links"),
+        ("sets", "components"),
+    ):
+        assert steps.index(table) < steps.index(f"-{table}") < steps.index(later), table
