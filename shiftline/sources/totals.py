@@ -157,7 +157,8 @@ class KeptTotals:
         """Add to every distinct interval the totals of the points inside it.
 
         As ``intervals.interval_totals`` over all points that were added. ``by`` must be what the
-        totals were kept by. This runs the plan of ``intervals`` once for the dates they touch.
+        totals were kept by. This writes ``intervals``, which are read for the dates they touch and
+        for their ends.
         """
         if closed not in ("both", "left", "right", "neither"):
             raise ValueError(f"unknown closed {closed!r}")
@@ -173,6 +174,7 @@ class KeptTotals:
         kept_by = [c for c in schema.names if c != "_day" and c not in kinds and not c.startswith(UPTO)]
         if set(kept_by) != set(by):
             raise ValueError(f"totals are kept by {kept_by}, not by {list(by)}")
+        intervals = written(intervals)
         bounds = interval_bounds(intervals, start, end, closed, STRETCHES)
         touched = bounds.selectExpr(f"date_format({_DATE}, 'yyyy-MM-dd') AS d").distinct()
         dates = {r.d for r in touched.collect()}

@@ -1,4 +1,4 @@
-"""Sums that travel as whole numbers."""
+"""Sums that travel as whole numbers, and what the intervals' totals do only once."""
 
 import datetime as dt
 import random
@@ -11,7 +11,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from test_plans import _explained
+from test_plans import _counted, _explained
 
 from shiftline.functions.numbers import (
     exact_mean,
@@ -22,6 +22,7 @@ from shiftline.functions.numbers import (
     whole_units,
 )
 from shiftline.operators.intervals import enrich_intervals
+from shiftline.sources.totals import KeptTotals, update_totals
 
 NOON = dt.datetime(2024, 1, 5, 12)
 
@@ -105,3 +106,14 @@ def test_mean_of_parts_is_the_exact_mean(spark, places):
     ).collect()
     assert [r for r in shown if r.got != r.want] == []
     assert {r.small for r in shown} == {True, False}
+
+
+def test_kept_totals_run_the_plan_of_intervals_once(spark, tmp_path):
+    (_, slots), (_, points) = _tables(spark, 1)
+    update_totals(points, str(tmp_path / "kept"), "mem_dt", {"n": "1"})
+    runs = spark.sparkContext.accumulator(0)
+    asked = _counted(slots.selectExpr("start_dt", "end_dt", "monotonically_increasing_id() AS id"), runs, "id")
+    asked = asked.where("id IS NOT NULL AND start_dt IS NOT NULL")
+    found = KeptTotals(spark, str(tmp_path / "kept")).interval_totals(asked, "start_dt", "end_dt")
+    assert found.count() == 46
+    assert runs.value <= 47  # rows of ``slots``
