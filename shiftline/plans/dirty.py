@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftline.operators.booking import BOOKING_COLUMNS, REPORT_ORDER, to_booking
+from shiftline.operators.booking import BOOKING_COLUMNS, to_booking
 from shiftline.operators.changes import row_changes
 from shiftline.operators.fill import last_values
 from shiftline.operators.intervals import CHANNELS
@@ -48,8 +48,8 @@ def _booked_on(
     known: DataFrame,
     line: str | None,
     options: dict,
-) -> DataFrame:
-    """Filled slots of ``dates``. ``known`` has the last setpoints of the ``others``; dates that
+) -> tuple[DataFrame, DataFrame]:
+    """Filled slots of ``dates`` and the last setpoints of each. ``known`` has the last setpoints of the ``others``; dates that
     follow each other among all of them are filled as one.
     """
     by = [line] if line else []
@@ -72,7 +72,8 @@ def _booked_on(
     rows = enriched.join(F.broadcast(numbered), "production_date").withColumns(
         {c: F.col(c).cast("double") for c in CHANNELS}
     )
-    return fill_setpoints(rows, ["_run", *by], seed=seeds).drop("_run")
+    filled, lasts = fill_setpoints(rows, ["_run", *by], seed=seeds)
+    return filled.drop("_run"), lasts.drop("_run")
 
 
 def _without(known: DataFrame, dates: set[str]) -> DataFrame:
@@ -119,8 +120,7 @@ def rebook_dates(
         every, done = sorted(booked | waiting), {}
         while waiting:
             others = set(every) - waiting
-            filled = written(_booked_on(spark, load, waiting, others, known, line, options))
-            lasts = last_values(filled, CHANNELS, REPORT_ORDER, ["production_date", *by])
+            filled, lasts = _booked_on(spark, load, waiting, others, known, line, options)
             reached = _changed(known, lasts, waiting, by)
             known = written(_without(known, waiting).unionByName(lasts))
             done |= dict.fromkeys(waiting, filled)
