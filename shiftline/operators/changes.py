@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def row_changes(before: DataFrame, after: DataFrame, key: Sequence[str]) -> DataFrame:
+def row_changes(before: DataFrame | None, after: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows to insert, update and delete: ``change``, the columns of ``after``, and how many copies
     go (``n_removed``) and come (``n_added``).
 
     Rows equal in all columns cancel out copy by copy; NULLs are equal. Of what is left, the rows
     that went and that came under one ``key`` are paired in the order of their columns: a pair is an
     ``update`` and shows the new row; the rest is an ``insert`` or a ``delete``, which shows the old
-    row. Copies are counted before they are shuffled, and only rows that differ are sorted.
+    row. Copies are counted before they are shuffled, and only rows that differ are sorted. Without
+    ``before`` there is nothing to pair: all rows are inserts.
     """
     columns = after.columns
+    if before is None:
+        came = after.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_added"))
+        return came.select(
+            F.lit("insert").alias("change"), *columns, F.lit(0).cast("bigint").alias("n_removed"), "n_added"
+        )
     states = before.select(*columns, F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionAll(
         after.select(*columns, F.lit(0), F.lit(1))
     )

@@ -110,26 +110,45 @@ def read_table(spark: SparkSession, path: str, name: str, schema: StructType, ve
     return spark.read.schema(schema).parquet(f"{path}/{version.tables[name]}")
 
 
+def new_stage(base: Version) -> str:
+    """The folder that a commit on top of ``base`` writes to."""
+    return f"data/{base.number + 1:010d}-{uuid.uuid4().hex}"
+
+
+def staged(table: DataFrame, path: str, stage: str, name: str) -> DataFrame:
+    """``table`` written where a commit with this ``stage`` keeps its further table ``name``."""
+    spark, place = table.sparkSession, f"{path}/{stage}-{name}"
+    table.write.parquet(place)
+    return spark.read.schema(table.schema).parquet(place)
+
+
+def drop_staged(spark: SparkSession, path: str, stage: str, name: str) -> None:
+    """Delete what ``staged`` wrote, when nothing is committed."""
+    _Files(spark, path).delete(f"{stage}-{name}")
+
+
 def commit(
     rows: DataFrame,
     path: str,
     date: str,
     replaced: Iterable[str],
-    tables: Mapping[str, DataFrame] | None = None,
+    tables: Mapping[str, DataFrame | None] | None = None,
     base: Version | None = None,
     prefix: str = "''",
+    stage: str | None = None,
 ) -> tuple[Version, int]:
     """Make ``rows`` the live rows of their dates; dates in ``replaced`` without rows lose theirs.
 
     ``date`` is SQL text for a date. ``tables`` are kept with the version; those of the version before
     that are not given stay. ``base`` is the version the rows were computed from; when another job has
     committed since, this fails and changes nothing. ``prefix`` is SQL text that goes before the date,
-    so that a date can have several folders. Returns the version and the rows written.
+    so that a date can have several folders. ``stage`` is that of further tables which are in place
+    already (``staged``); they are None in ``tables``. Returns the version and the rows written.
     """
     spark = rows.sparkSession
     base = base or current(spark, path)
     number = base.number + 1
-    stage = f"data/{number:010d}-{uuid.uuid4().hex}"
+    stage = stage or new_stage(base)
     filed = F.coalesce(F.date_format(F.expr(date), "yyyy-MM-dd"), F.lit(UNDATED))
     filed = F.concat(F.expr(prefix), filed)
     seen = Observation("filed")
@@ -145,7 +164,8 @@ def commit(
     kept = dict(base.tables)
     for name, table in (tables or {}).items():
         kept[name] = f"{stage}-{name}"
-        table.write.parquet(f"{path}/{kept[name]}")
+        if table is not None:
+            table.write.parquet(f"{path}/{kept[name]}")
     version = Version(number, folders, kept)
     _switch(spark, path, version)
     return version, seen.get["rows"]

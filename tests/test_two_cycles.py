@@ -14,12 +14,14 @@ from shop_floor import record, sources
 from test_plans import _explained
 from test_scale_paths import same_rows
 
+from shiftline.operators.changes import row_changes
 from shiftline.operators.fill import fill_by_stretch, forward_fill, last_values
 from shiftline.operators.lookup import resolve_component
 from shiftline.operators.ordered import written
 from shiftline.plans import pipeline
-from shiftline.plans.job import rebook
+from shiftline.plans.job import rebook, rebook_versions
 from shiftline.plans.pipeline import bookings
+from shiftline.sources import versions
 
 
 def _sparse(spark):
@@ -127,3 +129,36 @@ def test_written_tables_are_not_written_again(spark):
     table = written(spark.range(3))
     assert written(table) is table
     assert written(table.where("id > 0")).inputFiles() != table.inputFiles()
+
+
+def test_what_has_nothing_before_is_shuffled_once(spark):
+    after = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
+    found = row_changes(None, after, ["k"])
+    assert _explained(found, "simple").count("Exchange hashpartitioning") == 1
+    expected = row_changes(after.limit(0), after, ["k"])
+    assert found.columns == expected.columns
+    assert [f.dataType for f in found.schema] == [f.dataType for f in expected.schema]
+    assert same_rows(found, expected)
+
+
+def test_changes_are_written_where_they_are_kept(spark, tmp_path, monkeypatch):
+    path, kept = str(tmp_path / "bookings"), []
+    plain = versions.commit
+    import shiftline.plans.job as job
+
+    def spied(rows, at, date, replaced, tables, *args, **kwargs):
+        kept.append(sorted(name for name, table in tables.items() if table is not None))
+        return plain(rows, at, date, replaced, tables, *args, **kwargs)
+
+    monkeypatch.setattr(job, "commit", spied)
+    given = sources(spark, DAYS, READ)
+    first = rebook_versions(given, path, AS_OF, 30)
+    assert kept == [["setpoints"]]
+    schema = spark.createDataFrame([], "change string, date string, n_removed long, n_added long").schema
+    changes = versions.read_table(spark, path, "changes", schema)
+    assert changes.groupBy("change").count().collect() == [("insert", first["insert"])]
+    # A cycle without changes leaves nothing behind.
+    before = sorted(p.name for p in (tmp_path / "bookings" / "data").iterdir())
+    again = rebook_versions(given, path, AS_OF, 30)
+    assert (again["version"], again["rows"]) == (1, 0)
+    assert sorted(p.name for p in (tmp_path / "bookings" / "data").iterdir()) == before
