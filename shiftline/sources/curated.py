@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shiftline.functions.text_time import parse_date, parse_datetime_text
-from shiftline.operators.ordered import run_folder, written
+from shiftline.operators.ordered import is_stored, run_folder, written
 from shiftline.operators.skew import fits_broadcast
 from shiftline.plans.pipeline import Sources
 from shiftline.sources.versions import UNDATED, commit, current, read_version
@@ -58,7 +58,7 @@ def file_rows(
     spark = df.sparkSession
     base = current(spark, path)
     with run_folder(spark):
-        late = _newest(written(df), key, newest)
+        late = _newest(df if is_stored(df) else written(df), key, newest)
         ids = late.where(F.col(key).isNotNull()).select(key)
         # Of what is there, the keys and the dates alone are read here.
         known = read_version(spark, path, df.schema, version=base)
@@ -77,7 +77,7 @@ def file_rows(
 
 
 def _newest(rows: DataFrame, key: str, newest: str | None) -> DataFrame:
-    """Of the written ``rows`` with one ``key`` the one that counts, and all those without a key.
+    """Of the written or stored ``rows`` with one ``key`` the one that counts, and all those without a key.
 
     Keys alone are counted first. Rows that are the only ones of their key stay where they are.
     """

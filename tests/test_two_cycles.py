@@ -17,11 +17,11 @@ from test_scale_paths import same_rows
 from shiftline.operators.changes import row_changes
 from shiftline.operators.fill import fill_by_stretch, forward_fill, last_values
 from shiftline.operators.lookup import resolve_component
-from shiftline.operators.ordered import written
+from shiftline.operators.ordered import is_stored, written
 from shiftline.plans import pipeline
 from shiftline.plans.job import rebook, rebook_versions
 from shiftline.plans.pipeline import bookings
-from shiftline.sources import versions
+from shiftline.sources import curated, versions
 
 
 def _sparse(spark):
@@ -162,3 +162,31 @@ def test_changes_are_written_where_they_are_kept(spark, tmp_path, monkeypatch):
     again = rebook_versions(given, path, AS_OF, 30)
     assert (again["version"], again["rows"]) == (1, 0)
     assert sorted(p.name for p in (tmp_path / "bookings" / "data").iterdir()) == before
+
+
+def test_rows_of_files_are_filed_without_a_copy(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(
+        [(1, "09.01.25", "a"), (2, "10.01.25", "b"), (2, "10.01.25", "c"), (None, "x", "d")],
+        "id int, date_begin string, more string",
+    ).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    assert is_stored(rows) and is_stored(rows.where("id > 1").select("more"))
+    assert not is_stored(rows.selectExpr("id + 1 AS id"))
+    assert not is_stored(rows.where("rand() < 0.5"))
+    assert not is_stored(rows.distinct())
+    copied, plain = [], curated.written
+
+    def spied(df):
+        copied.append(df.columns)
+        return plain(df)
+
+    monkeypatch.setattr(curated, "written", spied)
+    once = rows.where("id = 1 OR id IS NULL")
+    path = str(tmp_path / "filed")
+    assert curated.file_rows(once, path, curated.RECORD_DATE, "id")["rows"] == 2
+    assert rows.columns not in copied
+    assert curated.file_rows(rows.where("id = 2"), path, curated.RECORD_DATE, "id")["rows"] == 1
+    found = versions.read_version(spark, path, rows.schema, undated=True)
+    assert sorted(map(str, found.collect())) == sorted(
+        map(str, [*once.collect(), *rows.where("more = 'c'").collect()])
+    )
